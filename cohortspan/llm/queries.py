@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, token_counts
+from . import bpe_codec, packing, sharding, simhash, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -49,8 +49,17 @@ def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op9_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe_codec, op5_best_fit_packing, op6_section_tokens)}
+    return {f.__name__: f for f in (op3_bpe_codec, op5_best_fit_packing, op6_section_tokens, op9_ball_simhash, op10_vector_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
