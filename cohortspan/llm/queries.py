@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, sharding, simhash, token_counts
+from . import bpe_codec, packing, ppm_langid, quality, sharding, simhash, token_counts
+from .common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -41,6 +42,11 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.mapInArrow(partial(_codec_digests, ranks=RANKS), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ppm_langid.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), RANKS, keep_ids=False)
 
@@ -49,6 +55,11 @@ def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op8_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -59,7 +70,7 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe_codec, op5_best_fit_packing, op6_section_tokens, op9_ball_simhash, op10_vector_sharding)}
+    return {f.__name__: f for f in (op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op8_subword_quality, op9_ball_simhash, op10_vector_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
