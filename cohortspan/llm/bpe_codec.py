@@ -11,13 +11,14 @@ kept, each row with its own result; an empty table gives an empty result; other
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +26,11 @@ from pyspark.sql import functions as F
 from . import pretokens
 from .common import shuffle_partitions
 
+Finish = Callable[[pa.ChunkedArray, list[np.ndarray]], pa.Table]
 #: UTF-8 bytes of text in a block, about: the memory that one block takes in a task follows from it.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 _PACKED = pa.schema([("block", pa.int64()), ("rows", pa.binary())])
-_WORDS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.list_(pa.string()))])
-_REPLY = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("counts", pa.list_(pa.int32())), ("ids", pa.list_(pa.int32()))])
+_ENTRY = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("entry", pa.binary())])
 
 
 def _to_bytes(table: pa.Table) -> bytes:
@@ -43,6 +44,37 @@ def _from_bytes(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
+def _pack_numbers(*arrays: np.ndarray) -> bytes:
+    """Arrays of small unsigned numbers, compressed: all low bytes first, then all second bytes, and so on."""
+    sizes = np.array([len(arrays), *map(len, arrays)], "<u4").tobytes()
+    planes = [np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for x in arrays]
+    return zstandard.compress(sizes + b"".join(planes))
+
+
+def _unpack_numbers(data: bytes) -> list[np.ndarray]:
+    raw = zstandard.decompress(data)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    at, out = 4 + 4 * n, []
+    for size in np.frombuffer(raw, "<u4", n, 4).tolist():
+        planes = np.frombuffer(raw, np.uint8, 4 * size, at).reshape(4, size)
+        out.append(np.ascontiguousarray(planes.T).view("<u4").ravel())
+        at += 4 * size
+    return out
+
+
+def _pack_words(words: list[str]) -> bytes:
+    return zstandard.compress(b"".join(len(b).to_bytes(4, "little") + b for b in map(str.encode, words)))
+
+
+def _unpack_words(data: bytes) -> list[str]:
+    raw, at, out = zstandard.decompress(data), 0, []
+    while at < len(raw):
+        end = at + 4 + int.from_bytes(raw[at : at + 4], "little")
+        out.append(raw[at + 4 : end].decode())
+        at = end
+    return out
+
+
 def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows in compressed blocks; a block's number names its partition and its place there."""
     number = TaskContext.get().partitionId() << 24
@@ -67,7 +99,7 @@ def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Re
 
 
 def _bucketed(rows: bytes, buckets: int) -> tuple[list[str], dict[str, int], list[list[str]]]:
-    """A block's texts, a number for each distinct word, and the words of each bucket in order of their numbers."""
+    """A block's texts, a number for each distinct word, and the sorted words of each bucket."""
     texts = [t or "" for t in _from_bytes(rows).column(1).to_pylist()]
     seen: dict[str, int] = {}
     for _, parts in pretokens.chunks(texts):
@@ -76,6 +108,8 @@ def _bucketed(rows: bytes, buckets: int) -> tuple[list[str], dict[str, int], lis
     by_bucket: list[list[str]] = [[] for _ in range(buckets)]
     for word in seen:
         by_bucket[zlib.crc32(word.encode()) % buckets].append(word)
+    for words in by_bucket:
+        words.sort()
     return texts, seen, by_bucket
 
 
@@ -85,43 +119,39 @@ def _distinct_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator
             _, _, by_bucket = _bucketed(rows.as_py(), buckets)
             full = [b for b in range(buckets) if by_bucket[b]]
             if full:
-                yield pa.RecordBatch.from_pydict({"block": [block] * len(full), "bucket": full, "words": [by_bucket[b] for b in full]}, _WORDS)
+                yield pa.RecordBatch.from_pydict({"block": [block] * len(full), "bucket": full, "entry": [_pack_words(by_bucket[b]) for b in full]}, _ENTRY)
 
 
 def _encode_words(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
     """All occurrences of a word's entry reach this partition: it is encoded once and then found in the cache."""
     encoder = pretokens.WordEncoder(ranks, cache=2_000_000)
     for batch in batches:
-        for i in range(batch.num_rows):
-            pieces = encoder.words(batch.column(2)[i].as_py())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(i, 1),
-                    batch.column(1).slice(i, 1),
-                    pa.array([list(map(len, pieces))], _REPLY.field("counts").type),
-                    pa.array([list(chain.from_iterable(pieces))], _REPLY.field("ids").type),
-                ],
-                schema=_REPLY,
-            )
-
-
-def _reassemble(key, packed: pa.Table, replies: pa.Table, ranks: str, buckets: int) -> pa.Table:
+        entries = []
+        for entry in batch.column(2):
+            pieces = encoder.words(_unpack_words(entry.as_py()))
+            counts = np.fromiter(map(len, pieces), np.uint32, len(pieces))
+            entries.append(_pack_numbers(counts, np.fromiter(chain.from_iterable(pieces), np.uint32, int(counts.sum()))))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(entries, pa.binary())], schema=_ENTRY)
+
+
+def _reassemble(key, packed: pa.Table, replies: pa.Table, ranks: str, buckets: int, finish: Finish | None) -> pa.Table:
     """Put the ids of each word where the word stands in the block's texts."""
-    found = {b: i for i, b in enumerate(replies.column("bucket").to_pylist())}
-    counts, ids = replies.column("counts").combine_chunks(), replies.column("ids").combine_chunks()
-    source, texts, encoded = [], [], []
-    for rows in packed.column("rows").to_pylist():
+    reply = dict(zip(replies.column("bucket").to_pylist(), replies.column("entry"), strict=True))
+    tables = []
+    for rows in packed.column("rows"):
+        rows = rows.as_py()
         own_texts, seen, by_bucket = _bucketed(rows, buckets)
-        lengths, order, flat = [], [], []
+        lengths, order, flat = [np.zeros(0, np.uint32)], [], [np.zeros(0, np.uint32)]
         for b, words in enumerate(by_bucket):
             if words:
-                order.extend(seen[w] for w in words)
-                lengths.append(counts[found[b]].values.to_numpy())
-                flat.append(ids[found[b]].values.to_numpy())
+                order.extend(map(seen.__getitem__, words))
+                counts, ids = _unpack_numbers(reply[b].as_py())
+                lengths.append(counts)
+                flat.append(ids)
+        del by_bucket
         place = np.empty(len(order), np.int64)
         place[np.array(order, np.int64)] = np.arange(len(order))
-        lengths = np.concatenate(lengths).astype(np.int64) if lengths else np.zeros(0, np.int64)
-        flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        lengths, flat = np.concatenate(lengths).astype(np.int64), np.concatenate(flat)
         parts: list[list[np.ndarray]] = [[] for _ in own_texts]
         for numbers, chunk in pretokens.chunks(own_texts):
             words, number, firsts, odd = pretokens.split(chunk)
@@ -129,26 +159,35 @@ def _reassemble(key, packed: pa.Table, replies: pa.Table, ranks: str, buckets: i
             values, before = pretokens.expand(flat, lengths, at[number])
             cuts = before[firsts].tolist()
             for k, i in enumerate(numbers):
-                parts[i].append(np.array(pretokens.load_encoding(ranks).encode_ordinary(chunk[k]), np.int32) if k in odd else values[cuts[k] : cuts[k + 1]])
-        source.append(_from_bytes(rows).column(0))
-        texts += own_texts
-        encoded += [np.concatenate(x) if x else np.zeros(0, np.int32) for x in parts]
-    offsets = np.zeros(len(encoded) + 1, np.int32)
-    np.cumsum([len(x) for x in encoded], out=offsets[1:])
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(encoded).astype(np.int32)))
-    return pa.table([pa.concat_arrays([c for s in source for c in s.chunks]), lists], names=["id", "ids"])
-
-
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(`id_col`, ids array<int>) for every row of `docs`. `ranks` is the path of a tiktoken rank file on every machine."""
+                parts[i].append(np.array(pretokens.load_encoding(ranks).encode_ordinary(chunk[k]), np.uint32) if k in odd else values[cuts[k] : cuts[k + 1]])
+        encoded = [x[0] if len(x) == 1 else np.concatenate(x) if x else np.zeros(0, np.uint32) for x in parts]
+        source = _from_bytes(rows).column(0)
+        if finish:
+            tables.append(finish(source, encoded))
+            continue
+        offsets = np.zeros(len(encoded) + 1, np.int32)
+        np.cumsum([len(x) for x in encoded], out=offsets[1:])
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(encoded).astype(np.int32)))
+        tables.append(pa.table([source, lists], names=["id", "ids"]))
+    return pa.concat_tables(tables)
+
+
+def encode(
+    docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, finish: Finish | None = None, schema: str = "ids array<int>"
+) -> DataFrame:
+    """(`id_col`, ids array<int>) for every row of `docs`. `ranks` is the path of a tiktoken rank file on every machine.
+
+    `finish` turns a block's ids and token arrays into a table whose first column is the id and whose other columns
+    `schema` describes, in the task that made them: then the token ids need not leave it.
+    """
     n = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     packed = rows.mapInArrow(partial(_pack, block_bytes=block_bytes), "block long, rows binary").repartition(n, "block")
-    words = packed.mapInArrow(partial(_distinct_words, buckets=n), "block long, bucket int, words array<string>")
-    replies = words.repartition(n, "bucket").mapInArrow(partial(_encode_words, ranks=ranks), "block long, bucket int, counts array<int>, ids array<int>")
+    words = packed.mapInArrow(partial(_distinct_words, buckets=n), "block long, bucket int, entry binary")
+    replies = words.repartition(n, "bucket").mapInArrow(partial(_encode_words, ranks=ranks), "block long, bucket int, entry binary")
     id_type = docs.schema[id_col].dataType.simpleString()
     joined = packed.groupBy("block").cogroup(replies.groupBy("block"))
-    out = joined.applyInArrow(lambda k, a, b: _reassemble(k, a, b, ranks, n), f"id {id_type}, ids array<int>")
+    out = joined.applyInArrow(lambda k, a, b: _reassemble(k, a, b, ranks, n, finish), f"id {id_type}, {schema}")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -165,8 +204,13 @@ class TokenBytes:
         return pretokens.expand(self.flat, self.lengths, ids)[0].tobytes() if len(ids) else b""
 
 
+@lru_cache(maxsize=2)
+def token_bytes(ranks: str) -> TokenBytes:
+    return TokenBytes(ranks)
+
+
 def _decode(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
-    table = TokenBytes(ranks)
+    table = token_bytes(ranks)
     for batch in batches:
         decoded = [table.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(decoded, pa.binary())], ["id", "ids", "decoded"])

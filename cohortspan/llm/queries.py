@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
-from functools import partial
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
@@ -22,24 +21,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _codec_digests(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
-    decoder = bpe_codec.TokenBytes(ranks)
-    for batch in batches:
-        rows = [x.values.to_numpy() for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(map(len, rows), pa.int64()),
-                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in rows], pa.string()),
-                pa.array([hashlib.sha256(decoder.decode(x)).hexdigest() for x in rows], pa.string()),
-            ],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+class _CodecDigests:
+    """Digests of a block's token ids and of their decoded bytes."""
+
+    def __init__(self, ranks: str):
+        self.ranks = ranks
+
+    def __call__(self, source: pa.ChunkedArray, encoded: list[np.ndarray]) -> pa.Table:
+        decoder = bpe_codec.token_bytes(self.ranks)
+        columns = [
+            source,
+            pa.array(map(len, encoded), pa.int64()),
+            pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in encoded], pa.string()),
+            pa.array([hashlib.sha256(decoder.decode(x)).hexdigest() for x in encoded], pa.string()),
+        ]
+        return pa.table(columns, names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_codec.encode(table(spark, sf_dir, "documents"), RANKS)
-    return encoded.mapInArrow(partial(_codec_digests, ranks=RANKS), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bpe_codec.encode(table(spark, sf_dir, "documents"), RANKS, finish=_CodecDigests(RANKS), schema="n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
