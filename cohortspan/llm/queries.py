@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, ppm_langid, quality, sharding, simhash, token_counts
+from . import bpe_codec, packing, pii, ppm_langid, quality, sharding, simhash, token_counts
 from .common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -55,6 +55,12 @@ def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op7_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [pii.count_kind(F.col("pii_base"), k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.describe(F.col("pii_base")), 256).alias("base_sha256"), pii.describe(F.col("pii_spans")).alias("spans"))
+
+
 def op8_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
@@ -70,7 +76,7 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op8_subword_quality, op9_ball_simhash, op10_vector_sharding)}
+    return {f.__name__: f for f in (op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op7_disclosure_pii, op8_subword_quality, op9_ball_simhash, op10_vector_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
