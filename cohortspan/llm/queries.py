@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, pii, ppm_langid, quality, sharding, simhash, token_counts
+from . import ball_tree, bpe_codec, learned_partitions, packing, pii, ppm_langid, quality, sharding, simhash, token_counts
 from .common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 class _CodecDigests:
     """Digests of a block's token ids and of their decoded bytes."""
 
@@ -76,7 +84,7 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op7_disclosure_pii, op8_subword_quality, op9_ball_simhash, op10_vector_sharding)}
+    return {f.__name__: f for f in (op1_ball_tree, op2_learned_partitions, op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op7_disclosure_pii, op8_subword_quality, op9_ball_simhash, op10_vector_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
