@@ -140,7 +140,7 @@ def _rerank(k: int):
     return run
 
 
-def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.96, sample_rows: int = SAMPLE) -> DataFrame:
+def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.95, sample_rows: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score double) of vectors (id long, vec array<double>); a query's own id is no candidate of its."""
     spark = candidates.sparkSession
     kept = materialise(vectors.thin_copies(candidates, k + 1))
@@ -149,7 +149,7 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float
     sample = kept.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("vec").toPandas()
     if not len(sample) or not n_asked:
         return vectors.answers(queries, spark.createDataFrame([], "qid long, hits array<struct<nth:int,id:long,score:double>>"), k)
-    parts = 1 << min(max((n // 4096).bit_length(), 3), max(len(sample) // 64, 1).bit_length())
+    parts = 1 << min(max((n // 512).bit_length(), 3), max(len(sample) // 48, 1).bit_length() - 1)
     router, probes = fit(_unit(sample["vec"]), parts, k, recall)
 
     def route(pdf: pd.DataFrame, m: int) -> pd.DataFrame:
@@ -172,7 +172,7 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float
     return vectors.answers(queries, vectors.best(hits, k + 1), k)
 
 
-def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", recall: float = 0.96) -> DataFrame:
+def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", recall: float = 0.95) -> DataFrame:
     """`nearest` over a table: rows for which `is_query` (of column id) holds ask, all rows are candidates."""
     rows = materialise(vectors.usable(df, id_col, vec_col, nonzero=True))
     return nearest(rows, rows.filter(is_query), k, recall)

@@ -121,7 +121,7 @@ class Trees:
         return out
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model, text_at: int, kept: int) -> Iterator[pa.RecordBatch]:
     key = model.id
     if key not in _built:
         _built.clear()
@@ -129,7 +129,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
     trees = _built[key]
     for batch in batches:
         langs, scores = [], []
-        texts = [(t or "").encode() for t in batch.column(batch.num_columns - 2).to_pylist()]
+        texts = [(t or "").encode() for t in batch.column(text_at).to_pylist()]
         letters = batch.column(batch.num_columns - 1).to_pylist()
         for at in range(0, len(texts), 256):
             part = texts[at : at + 256]
@@ -144,8 +144,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
                 known = letters[at + i]
                 langs.append(trees.langs[best[i]] if known else "und")
                 scores.append(float(share[i]) if known else 0.0)
-        columns = batch.columns[:-2]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-2], "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names[:kept], "lang_pred", "score"])
 
 
 def predict(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -153,9 +152,10 @@ def predict(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the learning sample
     text = F.col(text_col).cast("string")
     inner = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
-    rows = docs.select(*inner, text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    text_at = keep.index(text_col) if text_col in keep and docs.schema[text_col].dataType.simpleString() == "string" else len(keep)
+    rows = docs.select(*inner, *[text.alias("_text")] * (text_at == len(keep)), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
     types = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = rows.mapInArrow(partial(_predict, model=_Shared(shared)), f"{types}, lang_pred string, score double")
+    out = rows.mapInArrow(partial(_predict, model=_Shared(shared), text_at=text_at, kept=len(keep)), f"{types}, lang_pred string, score double")
     return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score")
 
 

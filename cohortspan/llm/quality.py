@@ -106,23 +106,25 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return np.frombuffer(found[0]["model"], "<f8") if found else np.zeros(1 + BUCKETS)
 
 
-def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model, text_at: int, kept: int) -> Iterator[pa.RecordBatch]:
     values = np.frombuffer(model.value, "<f8")
     for batch in batches:
         out = []
-        for t in batch.column(batch.num_columns - 1).to_pylist():
+        for t in batch.column(text_at).to_pylist():
             own = features((t or "").encode())
             logit = values[0] + (values[1:][own].mean() if len(own) else 0.0)
             out.append(1 / (1 + np.exp(-logit)))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(out, pa.float64())], names=[*batch.schema.names[:kept], "score"])
 
 
 def score(docs: DataFrame, model: np.ndarray, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns `keep` of every row with its score."""
     shared = docs.sparkSession.sparkContext.broadcast(model.astype("<f8").tobytes())  # BUCKETS numbers
-    rows = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.col(text_col).cast("string").alias("_text"))
+    text_at = keep.index(text_col) if text_col in keep and docs.schema[text_col].dataType.simpleString() == "string" else len(keep)
+    extra = [F.col(text_col).cast("string").alias("_text")] * (text_at == len(keep))
+    rows = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), *extra)
     types = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = rows.mapInArrow(partial(_score, model=shared), f"{types}, score double")
+    out = rows.mapInArrow(partial(_score, model=shared, text_at=text_at, kept=len(keep)), f"{types}, score double")
     return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), "score")
 
 
