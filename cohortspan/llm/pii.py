@@ -91,30 +91,43 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], value)
 
 
-def revealing_terms(docs: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
+def _context(text: Column, span: Column) -> Column:
+    """The words around a mention, without words that the window cuts."""
+    left = F.substring(text, F.greatest(span["start"] - REACH, F.lit(0)) + 1, F.least(span["start"], F.lit(REACH)))
+    right = F.substring(text, span["end"] + 1, F.lit(REACH))
+    left = F.when(span["start"] > REACH, F.regexp_replace(left, r"^\S*", "")).otherwise(left)
+    right = F.when(F.char_length(right) == REACH, F.regexp_replace(right, r"\S*$", "")).otherwise(right)
+    return F.lower(F.concat_ws(" ", left, right))
+
+
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+
+
+def revealing_terms(docs: DataFrame, mentions: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
     """(entity, term, gone): terms that reveal a share `generalise` of the entity's information; gone from `remove` on.
 
-    `docs` has id, text and base.
+    `docs` has text; `mentions` has for each document with entities the array `said` of (entity, context). A term's documents
+    are counted over the corpus only if the documents with mentions, which are some of them, don't already show that
+    it is too frequent to reveal so much.
     """
-    mention = docs.filter(F.size("base") > 0).select("text", F.explode("base").alias("s"))
-    left = F.substring(F.col("text"), F.greatest(F.col("s.start") - REACH, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(REACH)))
-    right = F.substring(F.col("text"), F.col("s.end") + 1, F.lit(REACH))
-    left = F.when(F.col("s.start") > REACH, F.regexp_replace(left, r"^\S*", "")).otherwise(left)
-    right = F.when(F.char_length(right) == REACH, F.regexp_replace(right, r"\S*$", "")).otherwise(right)
-    contexts = mention.select(_entity(F.col("s")).alias("entity"), F.lower(F.concat_ws(" ", left, right)).alias("context")).distinct()
+    contexts = mentions.select(F.explode("said").alias("s")).select("s.entity", "s.context").distinct()
     entities = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support)
-    near = contexts.select("entity", F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))).alias("term"))
+    near = contexts.select("entity", F.explode(_terms(F.col("context"))).alias("term"))
     both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= support)
-    candidates = materialise(both.join(entities, "entity"))
+    at_least = mentions.select(F.explode(F.array_distinct(F.flatten(F.transform("said", lambda s: _terms(s["context"]))))).alias("term"))
+    at_least = at_least.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    total = F.lit(float(docs.count()))
+    share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / F.log2(total / F.col("n_entity"))
+    possible = both.join(entities, "entity").join(at_least, "term").filter(share >= generalise)
+    candidates = materialise(possible.drop("n_term"))
     terms = materialise(candidates.select("term").distinct())
     n_terms = terms.count()
     if n_terms == 0:
         return candidates.select("entity", "term", F.lit(False).alias("gone"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = docs.select(F.explode(_terms(F.lower("text"))).alias("term"))
     wanted = F.broadcast(terms) if n_terms <= BROADCAST_ROWS else terms
     holding = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = F.lit(float(docs.count()))
-    share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / F.log2(total / F.col("n_entity"))
     return candidates.join(holding, "term").withColumn("share", share).filter(F.col("share") >= generalise).select("entity", "term", (F.col("share") >= remove).alias("gone"))
 
 
@@ -122,13 +135,15 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
     """`docs` with `pii_base` and `pii_spans` (arrays of spans) and `pii_text`, the text with all spans replaced or taken out."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    revealing = materialise(revealing_terms(rows, generalise, remove, support))
+    said = F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), _context(F.col("text"), s).alias("context")))
+    mentions = materialise(rows.filter(F.size("base") > 0).select("id", said.alias("said")))
+    revealing = materialise(revealing_terms(rows, mentions, generalise, remove, support))
     marked = docs.withColumn("pii_base", base_spans(text))
     n_revealing = revealing.count()
     if n_revealing == 0:
         marked = marked.withColumn("_soft", F.lit(None).cast("array<string>")).withColumn("_hard", F.lit(None).cast("array<string>"))
     else:
-        holders = rows.filter(F.size("base") > 0).select("id", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+        holders = mentions.select("id", F.explode(F.array_distinct("said.entity")).alias("entity"))
         held = holders.join(F.broadcast(revealing) if n_revealing <= BROADCAST_ROWS else revealing, "entity")
         held = held.groupBy(F.col("id").alias("_id")).agg(F.collect_set(F.when(~F.col("gone"), F.col("term"))).alias("_soft"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_hard"))
         held = materialise(held.filter("_id is not null"))
