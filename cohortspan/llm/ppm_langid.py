@@ -54,9 +54,16 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500) -> bytes:
     """Statistics of the trees. What reaches the driver is bounded by the sample of `per_language` documents."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null and text <> ''")
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    # the rank needs no texts: they are read again for the chosen ids only
-    chosen = rows.select("id", "lang").withColumn("nth", nth).filter(F.col("nth") <= per_language).select("id", "lang")
+    # The rank needs no texts: they are read again for the chosen ids only. Hash ranges are counted first, so a language's rank
+    # is taken over the few ranges that hold its smallest hashes, however many documents it has.
+    hashed = rows.select("id", "lang", F.xxhash64("id").alias("h"))
+    ranges = min(max(hashed.count() // (4 * per_language), 1), 1 << 16)
+    hashed = hashed.withColumn("range", F.floor((F.col("h") / 2.0**64 + 0.5) * ranges))
+    counted = hashed.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = counted.withColumn("before", before).filter(F.col("before") < per_language).select("lang", "range")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    chosen = hashed.join(F.broadcast(first), ["lang", "range"]).withColumn("nth", nth).filter(F.col("nth") <= per_language).select("id", "lang")
     sample = rows.join(F.broadcast(chosen), ["id", "lang"], "left_semi")
     counted = sample.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counted["lang"].unique())
