@@ -47,7 +47,7 @@ def extract_windows(contigs: DataFrame, windows: DataFrame, block: int = 65_536)
     n = F.ceil(F.length("seq") / block).cast("int")
     blocks = contigs.filter(F.length("seq") > 0).select("contig", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"), "seq")
     blocks = blocks.select("contig", "block", F.substring("seq", F.col("block") * block + 1, F.lit(block)).alias("part"))
-    wanted = windows.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.greatest("end_", F.col("start") + 1) - 1) / block))).cast("int"))
+    wanted = windows.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block).cast("int"), F.floor((F.greatest("end_", F.col("start") + 1) - 1) / block).cast("int"))))
     joined = wanted.join(blocks, ["contig", "block"], "left")
     at = F.greatest(F.col("start") - F.col("block") * block, F.lit(0))
     piece = F.substring("part", (at + 1).cast("int"), (F.least(F.col("end_") - F.col("block") * block, F.lit(block)) - at).cast("int"))

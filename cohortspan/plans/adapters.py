@@ -73,7 +73,7 @@ ADAPTERS = {
           CASE (c_custkey {d} 7) % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN 'no' ELSE 'yes' END AS sequenced, c_mktsegment AS phenotype, 'B'||CAST(c_nationkey AS STRING) AS batch, 10 + (c_custkey*37) % 50 AS depth,
           CASE WHEN (c_custkey*11) % 3 = 0 THEN 1 ELSE 0 END AS carrier, CASE WHEN (c_custkey*13) % 4 = 0 THEN 1 ELSE 0 END AS affected FROM {customer}""",
     "sequences": """
-        SELECT doc_id AS contig, translate(upper(text), 'BDEFHIJKLMOPQRSUVWXYZ ', 'ACGTACGTACGTACGTACGTAN') AS seq FROM {documents}""",
+        SELECT doc_id AS contig, translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ', 'AACACGGTACGTANGTACGTACGTACAACACGGTACGTANGTACGTACGTACN') AS seq FROM {documents}""",
 }
 
 
