@@ -96,7 +96,7 @@ def format_to_map(fmt: Column, call: Column) -> Column:
 
 
 def cigar_well_formed(col: Column) -> Column:
-    return col.rlike(r"^(?:[0-9]+[MIDNSHP=X])+$")
+    return col.rlike(r"^(?:[0-9]+[MIDNSHP=X])+\z")
 
 
 def parse_cigar(col: Column) -> Column:
@@ -155,7 +155,7 @@ def infer_svlen(pos0: Column, ref: Column, alt: Column, svlen: Column, end: Colu
 
 def literal_sequence(col: Column) -> Column:
     """SCL-12."""
-    return col.rlike("^[ACGTNacgtn]+$")
+    return col.rlike(r"^[ACGTNacgtn]+\z")
 
 
 def alternate_sequence(ref: Column, alt: Column, svtype: Column) -> Column:
@@ -181,7 +181,7 @@ def mask_bases(col: Column) -> Column:
     plain = F.translate(upper, "RYSWKMBDHV", "NNNNNNNNNN")
     masked = F.length(upper) - F.length(F.translate(upper, "RYSWKMBDHV", ""))
     lower = F.length(col) - F.length(F.regexp_replace(col, "[a-z]", ""))
-    return F.struct(plain.alias("seq"), masked.cast("bigint").alias("masked"), lower.cast("bigint").alias("lower"), plain.rlike("^[ACGTN]*$").alias("ok"))
+    return F.struct(plain.alias("seq"), masked.cast("bigint").alias("masked"), lower.cast("bigint").alias("lower"), plain.rlike(r"^[ACGTN]*\z").alias("ok"))
 
 
 def fragment_name(col: Column) -> Column:

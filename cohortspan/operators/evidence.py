@@ -196,4 +196,4 @@ def count_kmers(reads: DataFrame, panel: DataFrame, k: int, keys: list[str]) ->
 def kmers(df: DataFrame, k: int = 31) -> DataFrame:
     """SCL-32: distinct k-mers of ACGT only, for short windows. Rows: name, seq."""
     rows = df.filter(F.length("seq") >= k).select("name", F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substring(F.col("seq"), i, F.lit(k)))).alias("kmer"))
-    return rows.filter(F.col("kmer").rlike("^[ACGT]+$")).distinct()
+    return rows.filter(F.col("kmer").rlike(r"^[ACGT]+\z")).distinct()

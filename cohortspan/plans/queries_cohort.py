@@ -441,9 +441,9 @@ def _(t):
     return t.sequences.select("contig", C.reverse_complement(F.col("seq")).alias("rc"))
 
 
-@query("scl_16_mask_bases", "+ s AS (SELECT contig, translate(substr(seq, 1, 2000), 'N', 'R') AS q FROM sequences) SELECT contig, translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN') AS seq, CAST(length(q) - length(translate(q, 'RYSWKMBDHV', '')) AS BIGINT) AS masked, CAST(0 AS BIGINT) AS \"lower\", regexp_full_match(translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN'), '[ACGTN]*') AS ok FROM s", ("sequences",))
+@query("scl_16_mask_bases", "+ s AS (SELECT contig, upper(translate(substr(seq, 1, 2000), 'Nß', 'RS')) AS q FROM sequences) SELECT contig, translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN') AS seq, CAST(length(q) - length(translate(q, 'RYSWKMBDHV', '')) AS BIGINT) AS masked, CAST(0 AS BIGINT) AS \"lower\", regexp_full_match(translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN'), '[ACGTN]*') AS ok FROM s", ("sequences",))
 def _(t):
-    q = F.translate(F.substring("seq", 1, 2000), "N", "R")
+    q = F.translate(F.substring("seq", 1, 2000), "Nß", "RS")
     return t.sequences.select("contig", C.mask_bases(q).alias("m")).select("contig", "m.seq", "m.masked", F.lit(0).cast("long").alias("lower"), "m.ok")
 
 
