@@ -21,7 +21,7 @@ def _mark(df: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is joined to the smallest node around it."""
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
     return both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 

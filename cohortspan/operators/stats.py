@@ -60,6 +60,7 @@ def firth_tests(rows: DataFrame, key: str, outcome: str, predictor: str, covaria
     from math import erfc, sqrt
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        name = pdf[key].iloc[0]
         pdf = pdf.dropna(subset=[outcome, predictor, *covariates])
         y, carrier = pdf[outcome].to_numpy(float), pdf[predictor].to_numpy(float)
         base = {"n": len(pdf), "beta": None, "p_value": None}
@@ -79,14 +80,8 @@ def firth_tests(rows: DataFrame, key: str, outcome: str, predictor: str, covaria
         chi = max(0.0, 2 * (full[1] - null[1]))
         return out("ESTIMATED", beta=float(full[0][-1]), p_value=erfc(sqrt(chi / 2)))
 
-    def named(k, pdf: pd.DataFrame) -> pd.DataFrame:
-        nonlocal name
-        name = k[0]
-        return run(pdf)
-
-    name = None
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key, outcome, predictor, *covariates).groupBy(key).applyInPandas(named, f"{key} {kind}, n long, beta double, p_value double, status string, reason string")
+    return rows.select(key, outcome, predictor, *covariates).groupBy(key).applyInPandas(run, f"{key} {kind}, n long, beta double, p_value double, status string, reason string")
 
 
 def binary_scores(df: DataFrame, keys: list[str], label: str, score: str) -> DataFrame:

@@ -470,7 +470,7 @@ def _(t):
     return evidence.count_kmers(t.sequences, panel(t), 5, ["contig"])
 
 
-@query("scl_32_distinct_kmers", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 6), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, substr(seq, 1, 500) AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))
+@query("scl_32_distinct_kmers", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, substr(seq, 1, 500) AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))
 def _(t):
     return evidence.kmers(t.sequences.select(F.col("contig").alias("name"), F.substring("seq", 1, 500).alias("seq")), 7).groupBy("name").agg(F.count(F.lit(1)).alias("kmers"))
 
