@@ -210,7 +210,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, shard_rows: in
         sent = frame.select("qid", "vec", "floor").mapInPandas(lambda it: (route(x, rest) for x in it if len(x)), "qid long, vec array<long>, floor long, shard long")
         return sent.withColumn("slice", F.pmod(F.xxhash64("qid"), F.lit(slices)))
 
-    copies = placed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long")) if slices > 1 else placed.withColumn("slice", F.lit(0).cast("long"))
+    copies = placed.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))) if slices > 1 else placed.withColumn("slice", F.lit(0).cast("long"))
 
     def searched(frame: DataFrame) -> DataFrame:
         both = copies.groupBy("shard", "slice").cogroup(frame.groupBy("shard", "slice"))

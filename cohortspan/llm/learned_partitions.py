@@ -163,7 +163,7 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float
     cuts, cuts_asked = (spark.createDataFrame([(r["part"], r["cuts"]) for r in cut], f"part long, {name} long") for name in ("cuts", "cuts_asked"))
     slices = max(-(-n_asked // QUERY_ROWS), 1)
     held = placed.join(F.broadcast(cuts), "part").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
-    held = held.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long")) if slices > 1 else held.withColumn("slice", F.lit(0).cast("long"))
+    held = held.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))) if slices > 1 else held.withColumn("slice", F.lit(0).cast("long"))
     sent = asked.select("qid", "vec").mapInPandas(lambda it: (route(x, probes) for x in it if len(x)), "qid long, vec array<double>, part long")
     sent = sent.withColumn("slice", F.pmod(F.xxhash64("qid"), F.lit(slices))).join(F.broadcast(cuts_asked), "part")
     sent = sent.withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts_asked") - 1)))

@@ -34,7 +34,7 @@ def line_sections(text: str) -> list[int]:
 
 def allot(token_ends: np.ndarray, section_starts: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """The section of each token and whether it crosses a boundary; all offsets in bytes, tokens and sections tile the text."""
-    token_starts = np.concatenate([[0], token_ends[:-1]]).astype(np.int64)
+    token_starts = np.concatenate([[0], token_ends]).astype(np.int64)[: len(token_ends)]
     first = np.searchsorted(section_starts, token_starts, side="right") - 1
     last = np.searchsorted(section_starts, token_ends - 1, side="right") - 1
     section = first.copy()
