@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,29 +24,46 @@ def filter_alignments(df: DataFrame, min_mapq: int = 0, min_identity: float = 0.
     return df.filter(keep & ~F.col("is_secondary") if primary else keep)
 
 
+_TOKEN = re.compile(r"([0-9]+)([MIDNSHP=X])")
+
+
 def _events(cigar: str, query: int, target: int, raw_min: int, gap: int, cluster_min: int) -> list[dict]:
-    tokens = [(int(n), op) for n, op in re.findall(r"([0-9]+)([MIDNSHP=X])", cigar)]
-    length = np.array([n for n, _ in tokens], np.int64)
-    op = np.array([o for _, o in tokens])
-    aligned = np.isin(op, list("M=X"))
-    q = np.concatenate([[0], np.cumsum(np.where(aligned | np.isin(op, ["I", "S"]), length, 0))])
-    t = np.concatenate([[0], np.cumsum(np.where(aligned | np.isin(op, ["D", "N"]), length, 0))])
-    a = np.concatenate([[0], np.cumsum(np.where(aligned, length, 0))])
-    at = np.flatnonzero(np.isin(op, ["I", "D"]))
-
-    def event(kind: str, first: int, last: int, operation: str, size: int, signed: int, members: int) -> dict:
+    """Events of one CIGAR in one pass; most have a few operations, so plain integers beat arrays."""
+    aligned = 0
+    indels = []  # operation, length, query and target before it, aligned bases before it
+    for n, op in _TOKEN.findall(cigar):
+        n = int(n)
+        if op in "ID":
+            indels.append((op, n, query, target, aligned))
+        if op in "M=X":
+            query += n
+            target += n
+            aligned += n
+        elif op in "IS":
+            query += n
+        elif op in "DN":
+            target += n
+
+    def event(kind: str, first: tuple, last: tuple, op: str, size: int, signed: int, members: int) -> dict:
         return {
-            "kind": kind, "operation": operation, "length": int(size), "svlen": int(signed), "query_position": int(query + q[first]), "target_position": int(target + t[first]),
-            "members": members, "left_anchor": int(a[first]), "right_anchor": int(a[-1] - a[last + 1]),
+            "kind": kind, "operation": op, "length": size, "svlen": signed, "query_position": first[2], "target_position": first[3],
+            "members": members, "left_anchor": first[4], "right_anchor": aligned - last[4],
         }
 
-    out = [event("atomic", i, i, op[i], length[i], length[i] if op[i] == "I" else -length[i], 1) for i in at if length[i] >= raw_min]
-    if len(at) > 1:
-        apart = np.maximum(q[at[1:]] - q[at[:-1] + 1], t[at[1:]] - t[at[:-1] + 1])
-        for own in np.split(at, np.flatnonzero(apart > gap) + 1):
-            if len(own) > 1 and length[own].sum() >= cluster_min:
-                ins, del_ = length[own][op[own] == "I"].sum(), length[own][op[own] == "D"].sum()
-                out.append(event("cluster", own[0], own[-1], "I" if not del_ else "D" if not ins else "ID", ins + del_, ins - del_, len(own)))
+    out = [event("atomic", x, x, x[0], x[1], x[1] if x[0] == "I" else -x[1], 1) for x in indels if x[1] >= raw_min]
+    run: list[tuple] = []
+    for x in [*indels, None]:
+        if x and run:
+            last = run[-1]
+            away_q = x[2] - last[2] - (last[1] if last[0] == "I" else 0)
+            away_t = x[3] - last[3] - (last[1] if last[0] == "D" else 0)
+        if x and (not run or max(away_q, away_t) <= gap):
+            run.append(x)
+            continue
+        if len(run) > 1 and sum(r[1] for r in run) >= cluster_min:
+            ins, del_ = sum(r[1] for r in run if r[0] == "I"), sum(r[1] for r in run if r[0] == "D")
+            out.append(event("cluster", run[0], run[-1], "I" if not del_ else "D" if not ins else "ID", ins + del_, ins - del_, len(run)))
+        run = [x]
     return out
 
 

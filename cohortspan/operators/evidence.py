@@ -88,7 +88,7 @@ def anchored_edges(edits: DataFrame, anchor: int) -> DataFrame:
     runs = edits.withColumn("_run", island).filter("exact")
     run = Window.partitionBy("read_id", "_run").orderBy("step")
     before = F.coalesce(F.sum("length").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    after = F.sum("length").over(run.rowsBetween(0, Window.unboundedFollowing))
+    after = F.sum("length").over(Window.partitionBy("read_id", "_run")) - before
     rows = runs.withColumns({"_before": before, "_after": after, "_from": F.lag("node").over(run)})
     return rows.filter(F.col("new_node") & F.col("_from").isNotNull() & (F.col("_before") >= anchor) & (F.col("_after") >= anchor)).select("read_id", F.col("_from").alias("edge_from"), F.col("node").alias("edge_to"))
 

@@ -92,7 +92,8 @@ def nearest_join(loci: DataFrame, features: DataFrame, keys: list[str]) -> DataF
     asks = loci.select(*keys, F.col("locus_end").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end_"), "locus_id", "locus_start", "locus_end")
     both = marks.unionByName(asks)
     up = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(0, Window.unboundedFollowing)
+    # the rows after, read backwards: a frame that ends at the last row would be summed anew for each row
+    down = Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
     found = both.withColumns({"_end": F.max("end_").over(up), "_next": F.min("start").over(down)}).filter("_kind = 1")
     before = F.greatest(F.col("locus_start") - F.col("_end"), F.lit(0))
     found = found.select(*keys, "locus_id", "locus_start", "locus_end", F.least(before, F.col("_next") - F.col("locus_end")).alias("distance")).filter("distance is not null")
