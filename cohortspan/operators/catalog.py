@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import has_all, stable_id
+from .components import saved
 from .intervals import length_compatible, sv_match
 from .kernels import difflib_ratio, greedy_clusters, transitive_clusters
 
@@ -92,10 +93,10 @@ def catalog_rows(clustered: DataFrame) -> DataFrame:
         F.min(F.struct("position_0", "svtype", "svlen", "evidence_id")).alias("first"),
         _join_set(when(found, F.col("assembly_id"))).alias("carrier_assemblies"),
         _join_set(when(found, F.col("sample_id"))).alias("carrier_samples"),
-        F.count_distinct(when(found, F.col("assembly_id"))).alias("carrier_assembly_count"),
-        F.count_distinct(when(found, F.col("sample_id"))).alias("independent_sample_count"),
-        F.count_distinct(when(control, F.col("assembly_id"))).alias("graph_member_control_count"),
-        F.count_distinct(when(linear, F.col("sample_id"))).alias("linear_supporting_sample_count"),
+        F.size(F.collect_set(when(found, F.col("assembly_id")))).cast("long").alias("carrier_assembly_count"),
+        F.size(F.collect_set(when(found, F.col("sample_id")))).cast("long").alias("independent_sample_count"),
+        F.size(F.collect_set(when(control, F.col("assembly_id")))).cast("long").alias("graph_member_control_count"),
+        F.size(F.collect_set(when(linear, F.col("sample_id")))).cast("long").alias("linear_supporting_sample_count"),
         _join_set(F.col("discovery_method")).alias("discovery_methods"),
         _join_set(F.col("caller")).alias("caller_support"),
         F.collect_set(when(found & (F.col("qc_tier") != ""), F.col("qc_tier"))).alias("tiers"),
@@ -133,6 +134,7 @@ def sample_candidates(catalog: DataFrame, limit: int = 25) -> DataFrame:
 
     Event ids are ranked with a row number, so a sample's rows are cut to `limit` before they are gathered.
     """
+    catalog = saved(catalog)  # four aggregates read it
     rows = catalog.select("event_id", "confidence", "svtype", "validation_status", F.explode(F.split("carrier_samples", ";")).alias("sample_id")).filter("sample_id <> ''")
 
     def tally(col: str) -> DataFrame:

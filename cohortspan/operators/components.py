@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame) -> DataFrame:
+    """`df` written to the shared checkpoint folder: computed once, lineage cut. A folder of our own is set only where none is."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
@@ -40,12 +41,12 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b", max_rounds: int
     Large-star and small-star rounds (logarithmic in the longest chain) until nothing changes; the edges of each
     round are checkpointed. Null ends and self-loops are left out. A node's edges are never gathered in one row.
     """
-    current = _saved(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a <> b").distinct())
+    current = saved(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a <> b").distinct())
     mark = _mark(current)
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        current = _saved(_small_star(_large_star(current)))
+        current = saved(_small_star(_large_star(current)))
         before, mark = mark, _mark(current)
         if before == mark:
             break
