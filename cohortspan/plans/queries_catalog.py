@@ -358,10 +358,10 @@ def _(t):
     return graph.partition_graph(t.segments, t.links, graph.find_bridges(t.links), 20_000)
 
 
-@query("agg_44_compare_builds", "+ a AS (SELECT sn, CAST(SUM(ln) AS BIGINT) AS v FROM segments WHERE sr <= 1 GROUP BY 1), b AS (SELECT sn, CAST(SUM(ln) AS BIGINT) AS v FROM segments WHERE sr >= 1 GROUP BY 1) SELECT COALESCE(a.sn, b.sn) AS sn, a.v AS left_value, b.v AS right_value, b.v - a.v AS difference, ROUND(b.v / CAST(a.v AS DOUBLE), 6) AS ratio FROM a FULL JOIN b ON a.sn = b.sn", ("segments",))
+@query("agg_44_compare_builds", "+ a AS (SELECT sn, CAST(SUM(ln) AS BIGINT) AS v FROM segments WHERE sr <= 1 GROUP BY 1), b AS (SELECT sn, CAST(SUM(ln) AS BIGINT) AS v FROM segments WHERE sr >= 1 GROUP BY 1) SELECT COALESCE(a.sn, b.sn) AS sn, COALESCE(a.v, -1) AS left_value, COALESCE(b.v, -1) AS right_value, COALESCE(b.v - a.v, 0) AS difference, ROUND(b.v / CAST(a.v AS DOUBLE), 6) AS ratio FROM a FULL JOIN b ON a.sn = b.sn", ("segments",))
 def _(t):
     sums = lambda c: t.segments.filter(c).groupBy("sn").agg(F.sum("ln").alias("v"))
-    return compare.compare_builds(sums("sr <= 1"), sums("sr >= 1"), "sn", "v")
+    return compare.compare_builds(sums("sr <= 1"), sums("sr >= 1"), "sn", "v").fillna({"left_value": -1, "right_value": -1, "difference": 0})
 
 
 @query("agg_27_shared_sites", "+ g AS (SELECT so % 5000 AS site, string_agg(DISTINCT sn, ';' ORDER BY sn) AS graphs, COUNT(DISTINCT sn) AS n_graphs FROM segments WHERE sr > 0 GROUP BY 1) SELECT site, graphs, n_graphs, CASE WHEN n_graphs = 7 THEN 'shared_all' WHEN n_graphs = 1 THEN graphs || '_only' ELSE 'shared_some' END AS sharing FROM g", ("segments",))

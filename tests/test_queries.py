@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from cohortspan.plans import all_queries, entry_query
@@ -14,9 +15,11 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
 def norm(v):
-    if v is None or isinstance(v, float) and math.isnan(v):
+    if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v):
         return None
-    return norm(v.item()) if hasattr(v, "item") else round(v, 6) + 0.0 if isinstance(v, float) else v
+    if hasattr(v, "item"):
+        return norm(v.item())
+    return round(float(v), 6) + 0.0 if isinstance(v, int | float) and not isinstance(v, bool) else v
 
 
 @pytest.fixture(scope="module")
