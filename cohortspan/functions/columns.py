@@ -239,10 +239,17 @@ def size_bin(length: Column, style: str) -> Column:
     return F.when(length < 1000, "<1kb").when(length < 10000, "1-10kb").otherwise(">=10kb")
 
 
-def bubble_class(shortest: Column, longest: Column, reference: Column) -> Column:
-    """SCL-24: INS, DEL or BOTH by allele lengths against the reference; null if no allele differs by 50 bases."""
-    grows, shrinks = longest - reference >= 50, reference - shortest >= 50
-    return F.when(grows & shrinks, "BOTH").when(grows, "INS").when(shrinks, "DEL")
+def bubble_difference(shortest: Column, longest: Column, reference: Column) -> Column:
+    """SCL-24: the largest difference of an allele length from the reference."""
+    return F.greatest(F.abs(shortest - reference), F.abs(longest - reference))
+
+
+def bubble_class(shortest: Column, longest: Column, reference: Column, bidirectional: Column) -> Column:
+    """SCL-24: INS, DEL, INV_OR_COMPLEX (bidirectional) or MULTIALLELIC_OR_COMPLEX; null if no allele length differs by 50 bases and the bubble is not bidirectional."""
+    small = bubble_difference(shortest, longest, reference) < 50
+    grows = (longest >= reference + 50) & (shortest >= reference - 49)
+    shrinks = (shortest <= reference - 50) & (longest <= reference + 49)
+    return F.when(bidirectional, "INV_OR_COMPLEX").when(small, None).when(grows, "INS").when(shrinks, "DEL").otherwise("MULTIALLELIC_OR_COMPLEX")
 
 
 def sex_chromosome_status(frame: Column, chrom: Column) -> Column:
@@ -263,9 +270,11 @@ def translate_paths(col: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def parse_truth_name(col: Column) -> Column:
-    """SCL-33: sample|hap|contig|start|end in a simulated read's name."""
-    part = lambda i: F.regexp_extract(col, r"^([^|]+)\|([^|]+)\|([^|]+)\|([0-9]+)\|([0-9]+)", i)
-    return F.struct(part(1).alias("sample"), part(2).alias("haplotype"), part(3).alias("contig"), part(4).try_cast("bigint").alias("start"), part(5).try_cast("bigint").alias("end"))
+    """SCL-33: struct(sample, haplotype, contig, start, end) of a simulated read's name `sim|sample|hap|contig:start-end|...`; null for other names."""
+    pattern = r"^sim\|([^|]+)\|([^|]+)\|([^:|]+):([0-9]+)-([0-9]+)\|"
+    part = lambda i: F.regexp_extract(col, pattern, i)
+    found = F.struct(part(1).alias("sample"), part(2).alias("haplotype"), part(3).alias("contig"), part(4).try_cast("bigint").alias("start"), part(5).try_cast("bigint").alias("end"))
+    return F.when(col.rlike(pattern), found)
 
 
 def has_all(col: Column, required: list[str]) -> Column:

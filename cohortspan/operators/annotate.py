@@ -34,7 +34,7 @@ def annotation_queries(loci: DataFrame, flank: int) -> DataFrame:
 
 def counterpart_rows(crosswalk: DataFrame) -> DataFrame:
     """JN-27: the native row and an explicit UNRESOLVED row for the other build. Rows: locus_id, build, chromosome, start, end_."""
-    other = F.when(F.col("build") == "CHM13", "GRCh38").otherwise("CHM13")
+    other = F.when(F.col("build") == "GRCh38", "CHM13").otherwise("GRCh38")
     missing = crosswalk.select("locus_id", other.alias("build"), F.lit(None).cast("string").alias("chromosome"), F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end_"), F.lit("UNRESOLVED").alias("coordinate_status"))
     return crosswalk.select("locus_id", "build", "chromosome", "start", "end_", F.lit("NATIVE").alias("coordinate_status")).unionByName(missing)
 
@@ -57,11 +57,15 @@ def extract_windows(contigs: DataFrame, windows: DataFrame, block: int = 65_536)
 
 
 def placement_review(queries: DataFrame, paf: DataFrame, flank: int = 1000, slack: int = 100) -> DataFrame:
-    """JN-31: per query all hits, hits at the locus, and hits that span both query ends with MAPQ 20 to 254. Queries: query_id, chromosome, start, end_, qlen."""
+    """JN-31: per query all hits, hits at its locus, and those of them that span both query ends with MAPQ 20 to 254.
+
+    Queries: query_id, chromosome, start, end_; hits: query_id, chromosome, qlen, qstart, qend, tstart, tend, mapq.
+    """
     j = queries.join(paf.withColumnRenamed("chromosome", "hit_chromosome"), "query_id", "left")
-    local = (F.col("hit_chromosome") == F.col("chromosome")) & (F.col("tstart") < F.col("end_") + flank) & (F.col("tend") > F.col("start") - flank)
-    spans = (F.col("qstart") <= slack) & (F.col("qend") >= F.col("qlen") - slack) & F.col("mapq").between(20, 254)
-    return j.groupBy("query_id").agg(F.count("hit_chromosome").alias("hits"), F.count_if(local).alias("local_hits"), F.count_if(spans).alias("spanning_hits"))
+    local = (F.col("hit_chromosome") == F.col("chromosome")) & (F.col("tstart") <= F.col("end_") + flank) & (F.col("tend") >= F.greatest(F.col("start") - flank, F.lit(0)))
+    spans = local & (F.col("qstart") <= slack) & (F.col("qend") >= F.col("qlen") - slack) & F.col("mapq").between(20, 254)
+    found = j.groupBy("query_id").agg(F.count("hit_chromosome").alias("hits"), F.count_if(local).alias("local_hits"), F.count_if(spans).alias("spanning_hits"))
+    return found.withColumn("placement_status", F.when(F.col("spanning_hits") > 0, "REVIEW_ALIGNMENT").otherwise("UNRESOLVED_PLACEMENT"))
 
 
 def qualify_placements(df: DataFrame, min_coverage: float = 0.95, min_identity: float = 0.95) -> DataFrame:

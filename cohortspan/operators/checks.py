@@ -57,3 +57,42 @@ def complete_cells(df: DataFrame, rows: DataFrame, columns: DataFrame, keys: lis
 def grouped_conflicts(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """FLT-27: keys whose repeated rows disagree; equal repeats collapse."""
     return df.groupBy(*keys).agg(F.count_distinct(F.struct(*values)).alias("versions")).filter("versions > 1")
+
+
+def check_crosswalk(contigs: DataFrame, manifest: DataFrame) -> DataFrame:
+    """JN-34: what disagrees between a contig crosswalk and its manifest: assembly_id, check, expected, found.
+
+    Contig count, bases and name prefix of each assembly, and names that repeat in one of three namespaces (query name,
+    original header of an assembly, panel name). An empty result means agreement. Contigs: assembly_id, contig_id,
+    original_header, panel_name, length; manifest: assembly_id, sample, haplotype, contig_count, total_bases.
+    """
+    prefixed = contigs.join(manifest.select("assembly_id", F.concat_ws("#", "sample", "haplotype", F.lit("")).alias("_prefix")), "assembly_id", "left")
+    totals = prefixed.groupBy("assembly_id").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bp"), F.count_if(~F.coalesce(F.startswith("panel_name", "_prefix"), F.lit(False))).alias("bad"), F.count_if(F.coalesce(F.col("length"), F.lit(0)) <= 0).alias("short"))
+    both = manifest.withColumn("_listed", F.lit(True)).join(totals, "assembly_id", "full")
+    zero = F.lit(0).cast("long")
+    held = lambda c: F.coalesce(F.col(c).cast("long"), zero)
+    found = both.select(
+        "assembly_id",
+        F.explode(
+            F.array(
+                *(
+                    F.struct(F.lit(k).alias("check"), expected.alias("expected"), seen.alias("found"))
+                    for k, expected, seen in (
+                        ("listed", F.lit(1).cast("long"), held("_listed")),
+                        ("contig_count", held("contig_count"), held("n")),
+                        ("total_bases", held("total_bases"), held("bp")),
+                        ("name_prefix", zero, held("bad")),
+                        ("empty_contig", zero, held("short")),
+                    )
+                )
+            )
+        ).alias("c"),
+    ).select("assembly_id", "c.*").filter("expected <> found")
+    first_word = F.regexp_extract("original_header", r"^\s*(\S*)", 1)
+    names = F.array(
+        F.struct(F.lit("query_name").alias("check"), F.concat(F.lit("id="), F.col("assembly_id"), F.lit("|"), F.col("contig_id")).alias("name")),
+        F.struct(F.lit("original_name").alias("check"), F.concat_ws("|", "assembly_id", first_word).alias("name")),
+        F.struct(F.lit("panel_name").alias("check"), F.col("panel_name").alias("name")),
+    )
+    repeated = contigs.select("assembly_id", F.explode(names).alias("n")).groupBy("n.check", "n.name").agg(F.min("assembly_id").alias("assembly_id"), F.count(F.lit(1)).alias("found")).filter("found > 1")
+    return found.unionByName(repeated.select("assembly_id", "check", F.lit(1).cast("long").alias("expected"), "found"))

@@ -138,15 +138,36 @@ def grouped_order(manifest: DataFrame, group: str, order: str, first_rank: int)
     return first.withColumn("rank", F.row_number().over(Window.orderBy("_first", order)) + first_rank - 1).drop("_first")
 
 
-def exclusion_ledger(*frames: DataFrame) -> DataFrame:
-    """AGG-48: all given rows with their columns as JSON, by name of the table."""
-    rows = [df.select(F.lit(f"table_{i}").alias("table"), F.to_json(F.struct("*")).alias("row")) for i, df in enumerate(frames)]
-    out = rows[0]
-    for more in rows[1:]:
-        out = out.unionByName(more)
+def exclusion_ledger(*tables: tuple[str, str, str, DataFrame]) -> DataFrame:
+    """AGG-48: rows of all tables that are not callable, in one form, with the source row as JSON (columns in order of name).
+
+    Tables: (name, entity, identifier column, rows). Rows with a `callable` column leave it out where it is `yes`;
+    `status` and `reason` are empty where a table has none.
+    """
+    out = None
+    for name, entity, identifier, df in tables:
+        kept = df.filter(~F.col("callable").eqNullSafe(F.lit("yes"))) if "callable" in df.columns else df
+        text = lambda c, df=df: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")
+        rows = kept.select(F.lit(name).alias("source_table"), F.lit(entity).alias("entity"), text(identifier).alias("identifier"), text("status").alias("status"), text("reason").alias("reason"), F.to_json(F.struct(*sorted(df.columns))).alias("source_record_json"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def status_snapshot(tables: DataFrame) -> DataFrame:
+    """AGG-48: state of each stage from its status words. Rows: stage, status (null: the stage has an output without rows of that word, or none), available.
+
+    UNRUN without output; FAILED if any row failed; COMPLETED or SKIPPED if all rows say so; else OUTPUT_AVAILABLE.
+    """
+    states = F.collect_set(F.when(F.col("available"), F.col("status")))
+    only = lambda words: (F.size("_s") > 0) & (F.size(F.array_except("_s", F.array(*map(F.lit, words)))) == 0)
+    seen = tables.groupBy("stage").agg(states.alias("_s"), F.max("available").alias("_any"), F.min("available").alias("_all"))
+    state = (
+        F.when(F.arrays_overlap("_s", F.array(F.lit("FAILED"), F.lit("ERROR"))), "FAILED").when(only(["SKIPPED", "NOT_IMPLEMENTED"]), "SKIPPED")
+        .when(only(["COMPLETED", "COMPLETE", "ESTIMATED"]) & F.col("_all"), "COMPLETED").when(F.col("_any"), "OUTPUT_AVAILABLE").otherwise("UNRUN")
+    )
+    return seen.select("stage", state.alias("state"))
+
+
 def representation_matrix(alleles: DataFrame, resources: DataFrame, hits: DataFrame) -> DataFrame:
     """JN-20: allele x resource (three resources) with hits, and whether the allele is in none. A resource without review stays UNDECIDED."""
     grid = alleles.select("allele_id").crossJoin(F.broadcast(resources))
@@ -155,10 +176,39 @@ def representation_matrix(alleles: DataFrame, resources: DataFrame, hits: DataFr
     return rows.withColumn("absent_everywhere", F.min((F.col("status") == "NOT_REPRESENTED").cast("int")).over(Window.partitionBy("allele_id")) == 1)
 
 
-def call_manifest(assemblies: DataFrame, references: DataFrame, callers: DataFrame) -> DataFrame:
-    """JN-32: samples with both haplotypes x references x callers (the latter two small); a caller's own contig pattern."""
-    both = assemblies.groupBy("sample").agg(F.count_distinct("haplotype").alias("n")).filter("n = 2").select("sample")
-    return both.crossJoin(F.broadcast(references)).crossJoin(F.broadcast(callers))
+def paired_samples(assemblies: DataFrame) -> DataFrame:
+    """JN-32: every sample with whether it has exactly the assemblies hap1 and hap2. Rows: sample, haplotype."""
+    return assemblies.groupBy("sample").agg(F.sort_array(F.collect_set("haplotype")).alias("_h")).select("sample", (F.col("_h") == F.array(F.lit("hap1"), F.lit("hap2"))).alias("paired"))
+
+
+def call_manifest(assemblies: DataFrame, references: list[str], callers: list[str], sex_mode: str, sex_contigs: str, par_aware: tuple[str, ...] = ("dipcall",)) -> DataFrame:
+    """JN-32: paired samples x references x callers. Sex contigs are excluded for all callers where `sex_mode` is autosomes_only, else for those that know no pseudoautosomal regions."""
+    grid = paired_samples(assemblies).filter("paired").select("sample", F.explode(F.array(*map(F.lit, references))).alias("coordinate_system"))
+    grid = grid.withColumn("caller", F.explode(F.array(*map(F.lit, callers))))
+    keeps = F.col("caller").isin(*par_aware) if sex_mode != "autosomes_only" else F.lit(False)
+    return grid.withColumn("exclude_contig_regex", F.when(keeps, "").otherwise(sex_contigs))
+
+
+def carrier_by_group(evidence: DataFrame, samples: DataFrame) -> DataFrame:
+    """AGG-53: per allele and independence group of the person: attempted, callable, carriers and no-calls.
+
+    Evidence: person_id, allele_id, callable, carrier_status; samples: person_id, discovery_donor,
+    related_to_discovery_donor, analysis_eligible, unrelated_primary (yes, no or unknown).
+    """
+    donor, related = F.col("discovery_donor"), F.col("related_to_discovery_donor")
+    no, yes = (donor == "no") & (related == "no"), (donor == "yes") | (related == "yes")
+    primary = (F.col("analysis_eligible") == "yes") & (F.col("unrelated_primary") == "yes")
+    group = F.when(no & primary, "independent_primary").when(no, "non_donor_not_primary").when(yes, "discovery_overlap").otherwise("independence_unknown")
+    called = F.col("callable") == "yes"
+    g = evidence.join(samples.select("person_id", group.alias("independence_group")), "person_id").groupBy("allele_id", "independence_group")
+    return g.agg(F.count(F.lit(1)).alias("attempted"), F.count_if(called).alias("callable"), F.count_if(called & (F.col("carrier_status") == "ALT_SUPPORTED")).alias("carriers"), (F.count(F.lit(1)) - F.count_if(called)).alias("no_call"))
+
+
+def coverage_report(samples: DataFrame, intervals: DataFrame) -> DataFrame:
+    """AGG-47: per sample in the order of the inventory: input, represented and excluded bases and intervals; samples without intervals count as 0. Samples: ordinal, sample, input_bases; intervals: sample, start, end_."""
+    g = intervals.groupBy("sample").agg(F.sum(F.col("end_") - F.col("start")).alias("represented_bases"), F.count(F.lit(1)).alias("intervals"))
+    rows = samples.join(g, "sample", "left").fillna(0, ["represented_bases", "intervals"])
+    return rows.select("ordinal", "sample", "input_bases", "represented_bases", (F.col("input_bases") - F.col("represented_bases")).alias("excluded_unaligned_bases"), "intervals").orderBy("ordinal")
 
 
 def candidate_flow(attempts: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import parse_truth_name
 from .kernels import sign_flip
 
 
@@ -67,11 +68,32 @@ def shared_sites(bubbles: DataFrame, graphs: list[str]) -> DataFrame:
     return g.select("site", F.array_join("g", ";").alias("graphs"), F.size("g").cast("long").alias("n_graphs"), label.alias("sharing"))
 
 
-def simulated_accuracy(aln: DataFrame, tolerance: int = 10_000) -> DataFrame:
-    """JN-25: reads, mapped and correct ones: best primary row by MAPQ and block on the true contig within the tolerance. Rows: read_name, contig, start, end_, true_contig, true_start, true_end."""
-    best = aln.filter(~F.col("is_secondary")).groupBy("read_name").agg(F.max_by(F.struct("contig", "start", "end_", "true_contig", "true_start", "true_end"), F.struct("mapq", "block", "start")).alias("b"))
-    hit = (F.col("b.contig") == F.col("b.true_contig")) & (F.col("b.start") < F.col("b.true_end") + tolerance) & (F.col("b.end_") > F.col("b.true_start") - tolerance)
-    return best.agg(F.count(F.lit(1)).alias("mapped_reads"), F.count_if(hit).alias("correct_reads"))
+def simulated_accuracy(aln: DataFrame, keys: list[str], tolerance: int = 10_000) -> DataFrame:
+    """JN-25: accuracy of simulated reads against the place in their names (SCL-33).
+
+    The best non-secondary row of a read, by MAPQ and block, is compared; a graph path gives its place as the first
+    `chr:start-end` in it, else its first chromosome with path coordinates. Reads whose names tell no place are left out.
+    The haplotype is assessable where the path names the sample or the haplotype. Rows: read_name, path, qlen, qstart,
+    qend, tstart, tend, matches, block, mapq, is_secondary.
+    """
+    best = aln.filter(~F.col("is_secondary")).groupBy(*keys, "read_name").agg(F.max_by(F.struct("path", "qlen", "qstart", "qend", "tstart", "tend", "matches", "block"), F.struct("mapq", "block", "path", "tstart", "qstart")).alias("b"))
+    b = best.select(*keys, parse_truth_name(F.col("read_name")).alias("t"), "b.*").filter("t IS NOT NULL")
+    chromosome = r"chr(?:[0-9]+|X|Y|M)"
+    span = rf"(?:CHM13[.#])?({chromosome}):([0-9]+)-([0-9]+)"
+    in_graph, spanned = F.col("path").rlike("^[><]"), F.col("path").rlike(span)
+    named = F.regexp_extract("path", chromosome, 0)
+    chrom = F.when(~in_graph, F.col("path")).when(spanned, F.regexp_extract("path", span, 1)).when(named != "", named).otherwise(F.col("path"))
+    place = lambda i, c: F.when(in_graph & spanned, F.regexp_extract("path", span, i).try_cast("bigint")).otherwise(F.col(c))
+    bare = lambda c: F.regexp_replace(c, "^chr", "")
+    rows = b.withColumns({"_same": bare(chrom) == bare(F.col("t.contig")), "_hit": (place(3, "tend") + tolerance >= F.col("t.start")) & (place(2, "tstart") - tolerance <= F.col("t.end"))})
+    sample, hap = F.contains("path", F.col("t.sample")), F.contains("path", F.col("t.haplotype"))
+    n = F.count(F.lit(1))
+    share = lambda c: F.count_if(c) / n
+    return rows.groupBy(*keys).agg(
+        n.alias("reads_assessed"), share(F.col("_same")).alias("correct_chromosome_fraction"), share(F.col("_same") & F.col("_hit")).alias("correct_locus_fraction"), share(~(F.col("_same") & F.col("_hit"))).alias("wrong_locus_fraction"),
+        F.try_divide(F.count_if(sample & hap), F.count_if(sample | hap)).alias("correct_haplotype_fraction"), F.count_if(sample | hap).alias("haplotype_assessable_reads"),
+        F.avg(F.coalesce(F.try_divide("matches", "block"), F.lit(0.0))).alias("mean_identity"), F.avg((F.col("qend") - F.col("qstart")) / F.col("qlen")).alias("mean_aligned_fraction"), F.avg((F.col("qstart") + F.col("qlen") - F.col("qend")) / F.col("qlen")).alias("mean_clipped_fraction"),
+    )
 
 
 def coverage_summary(cov: DataFrame, keys: list[str]) -> DataFrame:

@@ -139,31 +139,35 @@ def call_agreement(evidence: DataFrame, left: str, right: str) -> DataFrame:
     return a.join(b, "sample_id").groupBy("left_call", "right_call").agg(F.count(F.lit(1)).alias("samples"))
 
 
-def seed_read_support(paf: DataFrame, keys: list[str], min_mapq: int = 20, min_aligned: int = 1000) -> DataFrame:
-    """AGG-49: distinct reads selected, spanning both anchors, and spanning with at most 30 discordant bases. Rows: read_name, tstart, tend, left_anchor, right_anchor, discordance."""
-    ok = (F.col("mapq") >= min_mapq) & (F.col("block") >= min_aligned) & ~F.col("is_secondary")
-    spans = ok & (F.col("tstart") <= F.col("left_anchor")) & (F.col("tend") >= F.col("right_anchor"))
+def seed_read_support(paf: DataFrame, keys: list[str], min_mapq: int = 20, min_aligned: int = 1000, max_discordance: int = 30) -> DataFrame:
+    """AGG-49: distinct reads selected, spanning both anchors, and spanning with at most `max_discordance` discordant bases.
+
+    Aligned length counts on the target. Rows: read_name, tstart, tend, mapq, is_secondary, left_anchor, right_anchor, discordance (SCL-22).
+    """
+    ok = (F.col("mapq") >= min_mapq) & (F.col("tend") - F.col("tstart") >= min_aligned) & ~F.col("is_secondary")
+    spans = ok & (F.col("tstart") <= F.greatest("left_anchor", F.lit(0))) & (F.col("tend") >= F.col("right_anchor"))
     n = lambda c: F.count_distinct(F.when(c, F.col("read_name")))
-    return paf.groupBy(*keys).agg(n(ok).alias("selected"), n(spans).alias("spanning"), n(spans & (F.col("discordance") <= 30)).alias("supporting"))
+    return paf.groupBy(*keys).agg(n(ok).alias("selected"), n(spans).alias("spanning"), n(spans & (F.col("discordance") <= max_discordance)).alias("supporting"))
 
 
 def validate_concordance(panel: DataFrame, people: DataFrame, adjudication: DataFrame, calls: DataFrame) -> DataFrame:
-    """JN-21: per scope: evaluable pairs of person and allele and concordant ones. All lists are small panels."""
-    grid = panel.crossJoin(F.broadcast(people)).join(adjudication, ["person_id", "allele_id"], "left").join(calls, ["person_id", "allele_id"], "left")
-    evaluable = F.col("truth").isin("ALT", "REF") & F.col("short_call").isin("ALT", "REF")
-    nonref = (F.col("truth") == "ALT") | (F.col("short_call") == "ALT")
-    rows = grid.withColumns({"e": F.coalesce(evaluable, F.lit(False)), "n": F.coalesce(nonref, F.lit(False)), "c": F.coalesce(F.col("truth") == F.col("short_call"), F.lit(False))})
-    one = rows.agg(F.count_if("e").alias("a"), F.count_if(F.col("e") & F.col("c")).alias("b"), F.count_if(F.col("e") & F.col("n")).alias("c"), F.count_if(F.col("e") & F.col("n") & F.col("c")).alias("d"))
-    return one.select(F.expr("stack(2, 'all', a, b, 'nonreference_union', c, d) AS (scope, evaluable, concordant)"))
-
-
-def rescue_capture(aln: DataFrame, keys: list[str]) -> DataFrame:
-    """AGG-43. Rows: read_name, left_anchor, right_anchor, alternate (booleans), is_secondary, max_indel, clip."""
-    g = aln.groupBy(*keys).agg(
-        F.count_if(~F.col("is_secondary")).alias("mapped"), F.count_if(F.col("is_secondary")).alias("secondary"), F.count_if(F.col("left_anchor") & F.col("right_anchor")).alias("both_anchors"),
-        F.count_if("alternate").alias("alternate_traversals"), F.median("max_indel").alias("median_max_indel"), F.median("clip").alias("median_clip"),
-    )
-    return g.withColumn("status", F.when(F.col("mapped") == 0, "NOT_MAPPED").when(F.col("alternate_traversals") > 0, "CAPTURED").otherwise("NOT_CAPTURED"))
+    """JN-21: per validation set and scope: attempted, evaluable, concordant and no-call cells of people x panel.
+
+    A cell is evaluable if its adjudication is resolved and its short-read call is callable. Scope `nonreference_union`
+    keeps evaluable cells where either side carries the allele. Panel: allele_id (a short list); people: person_id;
+    adjudication: person_id, allele_id, status, truth, validation_set; calls: person_id, allele_id, callable, short_call.
+    Cells without an adjudication belong to no validation set. The grid is the result's definition: its size is people
+    times panel, and both joins on it are by (person_id, allele_id).
+    """
+    cell = ["person_id", "allele_id"]
+    rows = panel.select("allele_id").crossJoin(people.select("person_id")).join(adjudication, cell).join(calls, cell, "left")
+    evaluable = F.col("status").isin("RESOLVED_CARRIER", "RESOLVED_GENOTYPE") & F.coalesce(F.col("callable"), F.lit(False))
+    union = evaluable & ((F.col("truth") == "ALT_SUPPORTED") | (F.col("short_call") == "ALT_SUPPORTED"))
+    same = F.col("truth") == F.col("short_call")
+    one = rows.groupBy("validation_set").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(evaluable).alias("a"), F.count_if(evaluable & same).alias("b"), F.count_if(union).alias("c"), F.count_if(union & same).alias("d")
+    )
+    return one.selectExpr("validation_set", "stack(2, 'all_resolved', n, a, b, n - a, 'nonreference_union', n, c, d, n - a) AS (scope, attempted, evaluable, concordant, no_call)")
 
 
 def count_kmers(reads: DataFrame, panel: DataFrame, k: int, keys: list[str]) -> DataFrame:

@@ -54,10 +54,20 @@ def per_chromosome(labelled: DataFrame) -> DataFrame:
     return g.select("chromosome", "reference_bp", "nonreference_bp", F.when(F.col("reference_bp") > 0, 1e6 * F.col("nonreference_bp") / F.col("reference_bp")).alias("nonreference_per_mb"), order.alias("chromosome_order"))
 
 
-def inventory(records: DataFrame) -> DataFrame:
-    """AGG-21: segments, links, walks and bases from rows record_type, length."""
+def graph_inventory(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """AGG-21: segments, links, embedded paths and segment bases from rows record_type (S, L, P, W), length."""
     kind = lambda k: F.count_if(F.col("record_type") == k)
-    return records.agg(kind("S").alias("segments"), kind("L").alias("links"), F.count_if(F.col("record_type").isin("P", "W")).alias("paths"), F.sum(F.when(F.col("record_type") == "S", F.col("length")).otherwise(0)).alias("bp"))
+    bases = F.coalesce(F.sum(F.when(F.col("record_type") == "S", F.col("length"))), F.lit(0))
+    return records.groupBy(*(keys or [])).agg(kind("S").alias("segments"), kind("L").alias("links"), F.count_if(F.col("record_type").isin("P", "W")).alias("paths"), bases.alias("segment_bp"))
+
+
+def inventory_delta(source: DataFrame, final: DataFrame) -> DataFrame:
+    """AGG-21: metric, value rows of both inventories and their difference, from one pass over each graph."""
+    both = graph_inventory(source.withColumn("side", F.lit("source")).unionByName(final.withColumn("side", F.lit("final"))), ["side"])
+    names = ["segments", "links", "paths", "segment_bp"]
+    sides = both.agg(*(F.coalesce(F.max(F.when(F.col("side") == s, F.col(n))), F.lit(0)).alias(f"{s}_{n}") for s in ("source", "final") for n in names))
+    wide = sides.select("*", *((F.col(f"final_{n}") - F.col(f"source_{n}")).alias(f"delta_{n}") for n in names))
+    return wide.unpivot([], wide.columns, "metric", "value")
 
 
 def growth_curve(tally: DataFrame) -> DataFrame:
@@ -191,7 +201,7 @@ def chunk_sizes(chunks: DataFrame, max_bp: int) -> DataFrame:
 
 
 def translate_edges(targets: DataFrame, translation: DataFrame) -> DataFrame:
-    """JN-24: oriented segment edges in dense node ids. Targets: edge_id, left_token, right_token; translation: segment_id, nodes (array)."""
+    """JN-24: oriented segment edges in dense node ids; a segment without translation leaves a null node. Targets: edge_id, left_token, right_token; translation: segment_id, nodes (array), as long as the graph and so never broadcast by hint."""
 
     def side(token: str, at: int, name: str) -> DataFrame:
         nodes = F.when(F.col(token).startswith("<"), F.reverse("nodes")).otherwise(F.col("nodes"))
@@ -199,8 +209,8 @@ def translate_edges(targets: DataFrame, translation: DataFrame) -> DataFrame:
 
     left, left_node = side("left_token", -1, "left_node")
     right, right_node = side("right_token", 1, "right_node")
-    rows = targets.join(F.broadcast(left), F.substring("left_token", 2, 1 << 30) == F.col("_left_node"), "left").select("*", left_node).drop("nodes", "_left_node")
-    return rows.join(F.broadcast(right), F.substring("right_token", 2, 1 << 30) == F.col("_right_node"), "left").select("edge_id", "left_token", "right_token", "left_node", right_node)
+    rows = targets.join(left, F.substring("left_token", 2, 1 << 30) == F.col("_left_node"), "left").select("*", left_node).drop("nodes", "_left_node")
+    return rows.join(right, F.substring("right_token", 2, 1 << 30) == F.col("_right_node"), "left").select("edge_id", "left_token", "right_token", "left_node", right_node)
 
 
 def is_reference(rank: Column) -> Column:

@@ -74,6 +74,52 @@ ADAPTERS = {
           CASE WHEN (c_custkey*11) % 3 = 0 THEN 1 ELSE 0 END AS carrier, CASE WHEN (c_custkey*13) % 4 = 0 THEN 1 ELSE 0 END AS affected FROM {customer}""",
     "sequences": """
         SELECT doc_id AS contig, translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ', 'AACACGGTACGTANGTACGTACGTACAACACGGTACGTANGTACGTACGTACN') AS seq FROM {documents}""",
+    "repeat_calls": """
+        SELECT 'f'||CAST(c AS STRING) AS file, v AS variant, 'chr'||CAST(1 + v % 5 AS STRING) AS chromosome, v*1000 + CASE WHEN o % 23 = 0 THEN 1 ELSE 0 END AS pos, v*1000 + 30 AS end_,
+          CASE o % 9 WHEN 0 THEN 'LowDepth' WHEN 1 THEN 'q10;LowDepth' WHEN 2 THEN 'q10' ELSE 'PASS' END AS filter, CASE c % 7 WHEN 0 THEN './.' WHEN 1 THEN '1' WHEN 2 THEN './1' ELSE '0/1' END AS gt,
+          CASE o % 11 WHEN 0 THEN './.' WHEN 1 THEN '7' WHEN 2 THEN '12/x' ELSE CAST(5 + o % 20 AS STRING)||'/'||CAST(9 + c % 20 AS STRING) END AS repcn,
+          CASE WHEN c % 5 = 0 THEN '.' WHEN o % 11 = 1 THEN '4-9' ELSE '4-40/8-'||CAST(20 + o % 12 AS STRING) END AS repci,
+          v % 9 <> 8 AS catalog_found, 'chr'||CAST(1 + v % 5 AS STRING) AS catalog_chromosome, v*1000 AS catalog_start, v*1000 + 30 AS catalog_end
+        FROM (SELECT o_orderkey AS o, o_custkey AS c, (o_orderkey*7) % 60 AS v, ROW_NUMBER() OVER (PARTITION BY o_custkey, (o_orderkey*7) % 60 ORDER BY o_orderkey) AS r FROM {orders}) WHERE r = 1""",
+    "cn_segments": """
+        SELECT 'f'||CAST(l_suppkey AS STRING) AS file, CAST(l_orderkey AS STRING)||':'||CAST(l_linenumber AS STRING)||':'||CAST(l_partkey AS STRING)||':'||CAST(l_suppkey AS STRING) AS record_id,
+          (l_partkey*31) % 1000000 + CASE WHEN l_orderkey % 97 = 0 THEN 0 ELSE 1 END AS pos, (l_partkey*31) % 1000000 + l_orderkey % 500 AS end_,
+          CASE l_linenumber % 4 WHEN 0 THEN '<DEL>' WHEN 1 THEN '<DUP>' WHEN 2 THEN '.' ELSE '<INS>' END AS alt, CASE l_partkey % 4 WHEN 0 THEN './.' WHEN 1 THEN '0/0' WHEN 2 THEN '0' ELSE '0|1' END AS gt,
+          CASE l_suppkey % 5 WHEN 0 THEN '.' WHEN 1 THEN '-1' ELSE CAST(l_suppkey % 5 AS STRING) END AS cn FROM {lineitem}""",
+    "bubbles": """
+        SELECT p_partkey AS n, (p_partkey*13) % 400 AS reference_length, (p_partkey*29) % 500 AS shortest, (p_partkey*29) % 500 + (p_partkey*7) % 600 AS longest, p_partkey % 11 = 0 AS bidirectional FROM {part}""",
+    "cells": """
+        SELECT 'P'||CAST(c AS STRING) AS person_id, 'A'||CAST(a AS STRING) AS allele_id, o, CASE o % 5 WHEN 0 THEN 'UNRESOLVED' WHEN 1 THEN 'RESOLVED_GENOTYPE' ELSE 'RESOLVED_CARRIER' END AS status,
+          CASE WHEN o % 3 = 0 THEN 'REF_SUPPORTED' ELSE 'ALT_SUPPORTED' END AS truth, CASE WHEN c % 2 = 0 THEN 'development' ELSE 'held_out' END AS validation_set,
+          CASE WHEN o % 7 = 0 THEN 'no' ELSE 'yes' END AS callable, CASE WHEN (o + c) % 4 = 0 THEN 'REF_SUPPORTED' ELSE 'ALT_SUPPORTED' END AS carrier_status
+        FROM (SELECT o_orderkey AS o, o_custkey AS c, o_orderkey % 25 AS a, ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderkey % 25 ORDER BY o_orderkey) AS r FROM {orders}) WHERE r = 1""",
+    "donors": """
+        SELECT 'P'||CAST(c_custkey AS STRING) AS person_id, CASE c_custkey % 6 WHEN 0 THEN 'yes' WHEN 1 THEN 'unknown' ELSE 'no' END AS discovery_donor, CASE c_custkey % 11 WHEN 0 THEN 'yes' WHEN 1 THEN 'unknown' ELSE 'no' END AS related_to_discovery_donor,
+          CASE c_custkey % 4 WHEN 0 THEN 'no' ELSE 'yes' END AS analysis_eligible, CASE c_custkey % 5 WHEN 0 THEN 'unknown' ELSE 'yes' END AS unrelated_primary FROM {customer}""",
+    "path_alignments": """
+        SELECT event_id AS aln_id, 'S'||CAST(user_id % 20 AS STRING) AS sample_id, CASE WHEN event_id % 50 = 0 THEN 's'||CAST(1 + user_id % 30 AS STRING) ELSE '>s'||CAST(1 + user_id % 20 AS STRING)||'>s'||CAST(2 + user_id % 20 AS STRING)||'<s'||CAST(3 + (user_id + event_id % 3) % 20 AS STRING) END AS path,
+          (event_id % 5) * 100 AS tstart, (event_id % 5) * 100 + 15000 AS tend, event_id % 17 = 0 OR event_id % 4 = 1 AS is_secondary, event_id % 90 AS max_indel, event_id % 40 AS clip FROM {events}""",
+    "path_events": """
+        SELECT 'e'||CAST(p_partkey AS STRING) AS event_id, (CASE WHEN p_partkey % 3 = 0 THEN 'x' ELSE 's' END)||CAST(p_partkey AS STRING) AS graph_segment, (p_partkey*17) % 9000 AS segment_offset, p_partkey AS n FROM {part}""",
+    "path_segments": """
+        SELECT 's'||CAST(p_partkey AS STRING) AS segment_id, 1 + (p_partkey*37) % 9000 AS ln, CASE WHEN p_partkey % 3 = 0 THEN 'x'||CAST(p_partkey AS STRING) END AS alias, CASE WHEN p_partkey % 5 = 0 THEN 'e'||CAST(p_partkey + 1 AS STRING) END AS event_id, p_partkey % 9 = 4 AS novel FROM {part}""",
+    "simulated": """
+        SELECT assembly_id, 'sim|S'||CAST(o % 50 AS STRING)||'|hap'||CAST(o % 2 AS STRING)||'|chr'||CAST(o % 5 AS STRING)||':'||CAST((o*53) % 2000000 AS STRING)||'-'||CAST((o*53) % 2000000 + 15000 AS STRING)||'|'||CAST(o AS STRING) AS read_name,
+          CASE a % 4 WHEN 0 THEN 'chr'||CAST(o % 5 AS STRING) WHEN 1 THEN CAST((o + a) % 5 AS STRING) WHEN 2 THEN '>CHM13#chr'||CAST(o % 5 AS STRING)||':'||CAST(ts AS STRING)||'-'||CAST(ts + block AS STRING)||'<x' ELSE '>S'||CAST(o % 50 AS STRING)||'.hap'||CAST(a % 2 AS STRING)||'.chr'||CAST(o % 5 AS STRING) END AS path,
+          15000 AS qlen, a % 300 AS qstart, 15000 - a % 700 AS qend, CASE WHEN a % 4 = 2 THEN 0 ELSE ts END AS tstart, CASE WHEN a % 4 = 2 THEN block ELSE ts + block END AS tend, matches, block, mapq, is_secondary, o, ts, a
+        FROM (SELECT a.*, aln_id {d} 100 AS o, aln_id AS a, CASE WHEN strand = '+' THEN ((aln_id {d} 100)*53) % 2000000 + aln_id % 20000 ELSE tstart END AS ts FROM (
+          SELECT 'asm'||CAST(l_suppkey % 6 AS STRING) AS assembly_id, 500 + (l_orderkey*17 + l_partkey*13) % 4500 AS block, 400 + (l_orderkey*17 + l_partkey*13) % 4500 AS matches, (l_suppkey*7 + l_linenumber*11 + l_partkey) % 61 AS mapq, l_linenumber = 7 AS is_secondary,
+            CASE WHEN l_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand, (l_partkey*6007 + l_orderkey*17) % 2000000 AS tstart, l_orderkey*100 + l_linenumber*10 + l_partkey % 10 AS aln_id FROM {lineitem}) a)""",
+    "crosswalk_contigs": """
+        SELECT 'A'||CAST(o_custkey AS STRING) AS assembly_id, 'c'||CAST(CASE WHEN o_orderkey % 301 = 0 THEN 0 ELSE o_orderkey END AS STRING) AS contig_id, 'h'||CAST(o_orderkey AS STRING)||' len' AS original_header,
+          (CASE WHEN o_orderkey % 97 = 0 THEN 'Z' ELSE 'S' END)||CAST(o_custkey AS STRING)||'#1#'||CAST(CASE WHEN o_orderkey % 151 = 0 THEN 0 ELSE o_orderkey END AS STRING) AS panel_name, CASE WHEN o_orderkey % 211 = 0 THEN 0 ELSE 1000 + o_orderkey % 777 END AS length, o_custkey AS c FROM {orders}""",
+    "crosswalk_manifest": """
+        SELECT 'A'||CAST(c_custkey AS STRING) AS assembly_id, 'S'||CAST(c_custkey AS STRING) AS sample, '1' AS haplotype, COUNT(o_orderkey) + CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS contig_count,
+          CAST(COALESCE(SUM(CASE WHEN o_orderkey % 211 = 0 THEN 0 ELSE 1000 + o_orderkey % 777 END), 0) AS BIGINT) AS total_bases FROM {customer} LEFT JOIN {orders} ON o_custkey = c_custkey WHERE c_custkey % 13 <> 5 GROUP BY c_custkey""",
+    "placements": """
+        SELECT 'f'||CAST(n AS STRING) AS query_id, 'chr'||CAST(1 + (n + CASE WHEN a % 6 = 0 THEN 1 ELSE 0 END) % 5 AS STRING) AS chromosome, 2200 AS qlen, a % 150 AS qstart, 2200 - a % 130 AS qend,
+          (n*9973) % 2000000 + a % 6000 - 3000 AS tstart, (n*9973) % 2000000 + a % 6000 - 800 AS tend, (a*7) % 256 AS mapq
+        FROM (SELECT l_orderkey*7 + l_linenumber AS a, l_partkey AS n FROM {lineitem})""",
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortspan.functions import columns as C
 from cohortspan.operators import alignments as A
-from cohortspan.operators import annotate, catalog, checks, cohort, evidence, graph, intervals, kernels, qc, stats
+from cohortspan.operators import alleles, annotate, calls, catalog, checks, cohort, evidence, graph, intervals, kernels, qc, stats
 from cohortspan.operators.components import components
 
 
@@ -183,3 +183,58 @@ def test_walks(spark):
     walks = spark.createDataFrame([("w", ">a>b"), ("x", ">b>a")], "walk_id string, path string")
     got = {r.walk_id: (r.missing_links, r.length) for r in graph.verify_walks(walks, segments, links).collect()}
     assert got == {"w": (0, 4), "x": (1, 4)}
+
+
+def test_repeat_calls(spark):
+    rows = [
+        ("pass", "chr1", 100, 130, "PASS", "0/1", "10/12", "8-11/12-14", True),
+        ("haploid", "chr1", 100, 130, "PASS", "1", "10", "8-11", True),
+        ("outside", "chr1", 100, 130, "PASS", "0/1", "10/20", "8-11/12-14", True),
+        ("low", "chr1", 100, 130, "q;LowDepth", "0/1", "10/12", "8-11/12-14", True),
+        ("none", "chr1", 100, 130, "PASS", "./.", "./.", "./.", True),
+        ("null", "chr1", 100, 130, None, None, None, None, True),
+        ("filtered", "chr1", 100, 130, "q", "0/1", "10/12", "8-11/12-14", True),
+        ("moved", "chr1", 101, 130, "PASS", "0/1", "10/12", "8-11/12-14", True),
+        ("unknown", "chr1", 100, 130, "PASS", "0/1", "10/12", "8-11/12-14", False),
+    ]
+    df = spark.createDataFrame(rows, "id string, chromosome string, pos long, end_ long, filter string, gt string, repcn string, repci string, catalog_found boolean")
+    df = df.selectExpr("*", "'chr1' AS catalog_chromosome", "100L AS catalog_start", "130L AS catalog_end")
+    got = {r.id: r for r in calls.parse_repeat_calls(df).collect()}
+    want = {"pass": "CALLER_PASS", "haploid": "CALLER_PASS", "outside": "PARTIAL_GENOTYPE", "low": "LOW_DEPTH", "none": "NO_CALL", "null": "NO_CALL", "filtered": "FILTERED_OR_UNASSESSED", "moved": "CATALOG_COORDINATE_MISMATCH", "unknown": "NOT_IN_CATALOG"}
+    assert {k: r.call_status for k, r in got.items()} == want
+    assert (got["pass"].allele2_repeat_units, got["pass"].allele2_ci_low, got["moved"].allele1_repeat_units) == (12, 12, None)
+
+
+def test_path_coordinates(spark):
+    segments = spark.createDataFrame([("a", 100, None, None, False), ("b", 50, "y", None, True), ("c", 70, None, "e3", False)], "segment_id string, ln long, alias string, event_id string, novel boolean")
+    events = spark.createDataFrame([("e1", "b", 20), ("e2", "y", 90), ("e3", "zz", 5), ("e4", "a", 30)], "event_id string, graph_segment string, segment_offset long")
+    aln = spark.createDataFrame([(1, ">a<b>a"), (2, "a"), (3, ">c>q>b"), (4, None), (5, "y"), (6, "")], "aln_id long, path string")
+    got = {(r.aln_id, r.event_id): (r.coordinate, r.alternate) for r in alleles.path_event_coordinate(aln, events, segments).collect()}
+    assert got == {(1, "e1"): (120, True), (1, "e2"): (150, True), (1, "e4"): (30, True), (2, "e4"): (30, False), (3, "e1"): (90, True), (3, "e2"): (120, True), (3, "e3"): (None, True), (5, "e2"): (90, False)}
+
+
+def test_reconstructed_alleles(spark):
+    left, right = "ACCTGAAGCT", "GGATCTTACC"
+    turned = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    reference = spark.createDataFrame([("r", left + right)], "contig string, seq string")
+    plus, pal = left + "TTTAC" + right, left + "ACGT" + right
+    sources = spark.createDataFrame([("p", plus), ("m", turned(plus)), ("q", pal), ("x", left + "TTTAC" + right[::-1])], "contig string, seq string")
+    rows = [("plus", "r", 10, "p", 10, "TTTAC"), ("minus", "r", 10, "m", 10, "TTTAC"), ("pal", "r", 10, "q", 10, "ACGT"), ("reviewed", "r", 10, "q", 10, "ACGT"), ("flanks", "r", 10, "x", 10, "TTTAC"), ("other", "r", 10, "p", 10, "CCCCC"), ("edge", "r", 4, "p", 10, "TTTAC"), ("lost", "r", 10, "none", 10, "TTTAC")]
+    candidates = spark.createDataFrame(rows, "candidate_id string, chromosome string, position long, source_contig string, source_offset long, allele string")
+    review = spark.createDataFrame([("reviewed", "+")], "candidate_id string, orientation string")
+    built = alleles.reconstruct_alleles(candidates, reference, sources, review, 10)
+    got = {r.candidate_id: (r.status, r.source_orientation, r.alternate_seq) for r in built.collect()}
+    assert got["plus"] == ("PASS", "+", plus) and got["minus"] == ("PASS", "-", plus) and got["reviewed"] == ("PASS", "+", pal)
+    assert got["flanks"][0] == "SOURCE_INSERT_CONFIRMED_ANCHORS_PENDING"
+    assert {k for k, v in got.items() if v == ("REJECTED", None, None)} == {"pal", "other", "edge", "lost"}
+    found = {r.candidate_ids for r in alleles.distinct_alleles(built).collect()}
+    assert found == {"flanks;minus;plus", "reviewed"}
+
+
+def test_crosswalk_agrees(spark):
+    contigs = spark.createDataFrame([("A1", "c1", "h1 x", "S#1#c1", 10), ("A1", "c2", "h2", "S#1#c2", 5)], "assembly_id string, contig_id string, original_header string, panel_name string, length long")
+    manifest = spark.createDataFrame([("A1", "S", "1", 2, 15)], "assembly_id string, sample string, haplotype string, contig_count long, total_bases long")
+    assert checks.check_crosswalk(contigs, manifest).count() == 0
+    again = checks.check_crosswalk(contigs.unionByName(contigs.limit(1)), manifest)
+    assert {r.check for r in again.collect()} == {"contig_count", "total_bases", "query_name", "original_name", "panel_name"}
+    assert checks.check_crosswalk(contigs.limit(0), manifest.limit(0)).count() == 0
