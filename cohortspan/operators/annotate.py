@@ -76,3 +76,18 @@ def qualify_placements(df: DataFrame, min_coverage: float = 0.95, min_identity:
     }
     rows = df.withColumn("checks", F.struct(*(c.alias(n) for n, c in checks.items())))
     return rows.withColumn("qualified", F.forall(F.array(*(F.col(f"checks.{n}") for n in checks)), lambda x: F.coalesce(x, F.lit(False))))
+
+
+def placement_evidence(aln: DataFrame, queries: DataFrame, resources: DataFrame) -> DataFrame:
+    """JN-38: alignments of queries with what the query and the resource are; `status` tells an unknown query or a length that disagrees.
+
+    Aln: query_name, resource, qlen and more; queries: query_name, allele_id, locus_id, query_type, query_length;
+    resources: resource, resource_version.
+    """
+    rows = aln.join(queries, "query_name", "left").join(resources, "resource", "left")
+    return rows.withColumn("status", F.when(F.col("allele_id").isNull(), "UNKNOWN_QUERY").when(F.col("qlen") != F.col("query_length"), "LENGTH_DISAGREES").otherwise("ALIGNMENT_SCREEN_ONLY"))
+
+
+def placement_hits(found: DataFrame) -> DataFrame:
+    """JN-38: valid hits by allele, resource and part of the query."""
+    return found.filter("status = 'ALIGNMENT_SCREEN_ONLY'").groupBy("allele_id", "resource", "query_type").agg(F.count(F.lit(1)).alias("hits"))

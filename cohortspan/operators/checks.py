@@ -96,3 +96,21 @@ def check_crosswalk(contigs: DataFrame, manifest: DataFrame) -> DataFrame:
     )
     repeated = contigs.select("assembly_id", F.explode(names).alias("n")).groupBy("n.check", "n.name").agg(F.min("assembly_id").alias("assembly_id"), F.count(F.lit(1)).alias("found")).filter("found > 1")
     return found.unionByName(repeated.select("assembly_id", "check", F.lit(1).cast("long").alias("expected"), "found"))
+
+
+def graph_members(*lists: DataFrame) -> DataFrame:
+    """SET-2: the union of membership lists, each member once. Rows: graph_id, sample_id."""
+    out = lists[0].select("graph_id", "sample_id")
+    for more in lists[1:]:
+        out = out.unionByName(more.select("graph_id", "sample_id"))
+    return out.distinct()
+
+
+def outer_fill(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """SET-4: rows of either side by key; counts that a side lacks are 0. Keys are equal also where both are null; other columns must differ in name."""
+    right = b.select(*(F.col(k).alias(f"_{k}") for k in keys), *(c for c in b.columns if c not in keys))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    values = [c for c in (*a.columns, *b.columns) if c not in keys]
+    return a.join(right, same, "full").select(*(F.coalesce(k, f"_{k}").alias(k) for k in keys), *(F.coalesce(c, F.lit(0)).alias(c) for c in values))

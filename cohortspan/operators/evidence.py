@@ -52,12 +52,12 @@ def classify_allele_evidence(df: DataFrame, min_junction: int = 3, min_ref: int
 
 def apply_measurement_lock(evidence: DataFrame, locks: DataFrame) -> DataFrame:
     """FLT-17: carrier state under the lock row of the same graph, locus and allele. Without a usable lock NOT_LOCKED."""
-    rows = evidence.join(F.broadcast(locks), ["graph_id", "locus_id", "allele_id"], "left")
+    rows = evidence.join(locks, ["graph_id", "locus_id", "allele_id"], "left")
     enough = F.col("depth") >= F.col("min_depth")
     two_sided = F.least("left_support", "right_support") >= F.col("min_alt")
     state = (
         F.when(F.coalesce(F.col("technical_status"), F.lit("")) != "PASS", "NOT_LOCKED")
-        .when(F.col("mapping_ambiguity") > F.col("max_mapping_ambiguity"), "NO_CALL")
+        .when(F.col("depth").isNull() | F.col("mapping_ambiguity").isNull() | (F.col("mapping_ambiguity") > F.col("max_mapping_ambiguity")), "NO_CALL")
         .when(~enough, "NO_CALL")
         .when(two_sided, "ALT_SUPPORTED")
         .when((F.col("left_support") == 0) & (F.col("right_support") == 0) & (F.col("reference_support") >= F.col("min_ref")), "REF_SUPPORTED")
@@ -115,12 +115,15 @@ def path_support(gaf: DataFrame, targets: DataFrame, min_mapq: int = 5) -> DataF
     return rows.groupBy("sample_id", "target").agg(has("left_pair").alias("left"), has("right_pair").alias("right"), has("reference_pair").alias("reference"))
 
 
-def pilot_call(df: DataFrame, minimum: int = 2) -> DataFrame:
-    """FLT-23: call, allele balance and concordance with the expected allele; BLINDED stays so."""
-    alt, ref = F.least("left", "right"), F.col("reference")
-    call = F.when((alt >= minimum) & (ref >= minimum), "ALT_AND_REF").when(alt >= minimum, "ALT").when(ref >= minimum, "REF").otherwise("NO_CALL")
-    rows = df.withColumns({"pilot_call": call, "allele_balance": F.when(alt + ref > 0, alt / (alt + ref))})
-    match = F.when(F.col("expected") == "BLINDED", "BLINDED").when(F.col("pilot_call") == "NO_CALL", "NOT_EVALUABLE").when(F.col("pilot_call").contains(F.col("expected")), "CONCORDANT").otherwise("DISCORDANT")
+def pilot_call(df: DataFrame, min_junction: int = 2, min_reference: int = 2) -> DataFrame:
+    """FLT-23: call, allele balance and concordance with the expected allele (insertion_present, insertion_absent or blinded). Rows: left, right, reference, expected. REF needs both junctions without any read."""
+    left, right, ref = F.col("left"), F.col("right"), F.col("reference")
+    both, seen = (left >= min_junction) & (right >= min_junction), ref >= min_reference
+    call = F.when(both & seen, "ALT_and_reference_supported").when(both, "ALT_supported").when(seen & (left == 0) & (right == 0), "reference_supported").otherwise("no_call")
+    rows = df.withColumns({"pilot_call": call, "allele_balance": F.when(left + right + ref > 0, (left + right) / (left + right + 2 * ref))})
+    alt = F.col("pilot_call").startswith("ALT")
+    agrees = F.when(F.col("expected") == "insertion_present", alt).when(F.col("expected") == "insertion_absent", ~alt)
+    match = F.when(F.col("expected") == "blinded", "blinded").when(F.col("pilot_call") == "no_call", "no_call").when(agrees, "concordant").when(~agrees, "discordant").otherwise("unknown_expectation")
     return rows.withColumn("concordance", match)
 
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import path_tokens
+from ..functions.columns import flip_token, path_tokens, reverse_complement
 from .components import components
 from .kernels import bridges
 from .qc import n50
@@ -179,13 +179,18 @@ def partition_graph(segments: DataFrame, links: DataFrame, accepted: DataFrame,
 
 
 def verify_walks(walks: DataFrame, segments: DataFrame, links: DataFrame) -> DataFrame:
-    """GR-6: per walk: steps without a link, spelled length and SHA-256. Walks: walk_id, path; segments: segment_id, seq, ln."""
+    """GR-6: per walk: steps without a link (in either reading of it), unknown segments, spelled length and SHA-256; reverse steps spell the reverse complement.
+
+    Walks: walk_id, path (`>a<b`), each as long as a chunk; segments: segment_id, seq; links: left_token, right_token.
+    """
     steps = walks.select("walk_id", F.posexplode(path_tokens(F.col("path"))).alias("step", "token")).withColumn("segment_id", F.substring("token", 2, 1 << 30))
-    next_ = F.lead("segment_id").over(Window.partitionBy("walk_id").orderBy("step"))
-    linked = links.select(F.col("left_id").alias("segment_id"), F.col("right_id").alias("_next"), F.lit(1).alias("_link")).distinct()
-    joined = steps.withColumn("_next", next_).join(linked, ["segment_id", "_next"], "left").join(segments.select("segment_id", "seq", "ln"), "segment_id", "left")
-    spelled = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", "seq"))), lambda s: s["seq"]), "")
-    return joined.groupBy("walk_id").agg(F.count_if(F.col("_next").isNotNull() & F.col("_link").isNull()).alias("missing_links"), F.sum("ln").alias("length"), F.sha2(spelled, 256).alias("sequence_sha256"))
+    next_ = F.lead("token").over(Window.partitionBy("walk_id").orderBy("step"))
+    edge = lambda a, b: F.least(F.concat(a, b), F.concat(flip_token(b), flip_token(a)))
+    linked = links.select(edge(F.col("left_token"), F.col("right_token")).alias("_edge"), F.lit(True).alias("_link")).distinct()
+    joined = steps.withColumn("_next", next_).withColumn("_edge", edge(F.col("token"), F.col("_next"))).join(linked, "_edge", "left").join(segments.select("segment_id", "seq"), "segment_id", "left")
+    part = F.when(F.col("token").startswith("<"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    spelled = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", part.alias("seq")))), lambda s: s["seq"]), "")
+    return joined.groupBy("walk_id").agg(F.count_if(F.col("_edge").isNotNull() & F.col("_link").isNull()).alias("missing_links"), F.count_if(F.col("seq").isNull()).alias("unknown_segments"), F.sum(F.length("seq")).cast("long").alias("length"), F.sha2(spelled, 256).alias("sequence_sha256"))
 
 
 def rename_sources(segments: DataFrame, source_map: DataFrame) -> DataFrame:

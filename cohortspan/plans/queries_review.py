@@ -390,3 +390,92 @@ def _(t):
 )
 def _(t):
     return cohort.carrier_by_group(t.cells, t.donors)
+
+
+# walks, locks and placements
+
+
+def links_both(t: Tables) -> DataFrame:
+    return t.links.selectExpr("IF(left_forward, '>', '<') || left_id AS left_token", "'>' || right_id AS right_token")
+
+
+BASES = "substr('ACGTTGCAAC', CAST(1 + n % 7 AS INT), CAST(1 + n % 4 AS INT))"
+WALK = "SELECT n, CASE WHEN n % 3 = 0 THEN '<s' || (n + 1) || CASE WHEN n % 2 = 0 THEN '<' ELSE '>' END || 's' || n ELSE CASE WHEN n % 2 = 0 THEN '>' ELSE '<' END || 's' || n || '>s' || (n + 1) || CASE WHEN n % 5 = 1 THEN '>s' || (n + 7) ELSE '' END END AS path"
+
+
+@query(
+    "gr_6_verify_walks",
+    f"""+ sq AS (SELECT segment_id, {BASES} AS seq FROM segments), wk AS ({WALK} FROM segments), tk AS (SELECT *, regexp_extract_all(path, '[><][^><]+') AS k FROM wk), st AS (SELECT n, unnest(k) AS token, unnest(list_concat(k[2:], [NULL])) AS nxt, generate_subscripts(k, 1) AS step FROM tk),
+    lk AS (SELECT DISTINCT CASE WHEN left_forward THEN '>' ELSE '<' END || left_id AS a, '>' || right_id AS b FROM links), ab AS (SELECT a, b FROM lk UNION SELECT translate(substr(b, 1, 1), '><', '<>') || substr(b, 2), translate(substr(a, 1, 1), '><', '<>') || substr(a, 2) FROM lk)
+    SELECT 'w' || n AS walk_id, COUNT(*) FILTER (nxt IS NOT NULL AND a IS NULL) AS missing_links, COUNT(*) FILTER (seq IS NULL) AS unknown_segments, CAST(SUM(length(seq)) AS BIGINT) AS length,
+      sha256(coalesce(string_agg(CASE WHEN token[1] = '<' THEN {RC.format("seq")} ELSE seq END, '' ORDER BY step), '')) AS sequence_sha256 FROM st LEFT JOIN ab ON a = token AND b = nxt LEFT JOIN sq ON segment_id = substr(token, 2) GROUP BY n""",
+    ("segments", "links"),
+)
+def _(t):
+    walks = t.spark.sql(WALK + " FROM {segments}", segments=t.segments).selectExpr("'w' || n AS walk_id", "path")
+    return graph.verify_walks(walks, t.segments.selectExpr("segment_id", f"{BASES} AS seq"), links_both(t))
+
+
+PILOT = "event_id, event_id % 5 AS \"left\", event_id % 4 AS \"right\", event_id % 3 AS reference, CASE event_id % 7 WHEN 0 THEN 'blinded' WHEN 1 THEN 'unknown' WHEN 2 THEN 'insertion_absent' ELSE 'insertion_present' END AS expected"
+
+
+@query(
+    "flt_23_pilot_call",
+    f"""WITH p AS (SELECT {PILOT} FROM events), c AS (SELECT *, CASE WHEN "left" >= 2 AND "right" >= 2 THEN CASE WHEN reference >= 2 THEN 'ALT_and_reference_supported' ELSE 'ALT_supported' END WHEN reference >= 2 AND "left" + "right" = 0 THEN 'reference_supported' ELSE 'no_call' END AS pilot_call FROM p)
+    SELECT event_id, pilot_call, ROUND(("left" + "right") / CAST(nullif("left" + "right" + 2 * reference, 0) AS DOUBLE), 6) AS allele_balance, CASE WHEN expected = 'blinded' THEN 'blinded' WHEN pilot_call = 'no_call' THEN 'no_call' WHEN expected = 'unknown' THEN 'unknown_expectation'
+      WHEN (expected = 'insertion_present') = (pilot_call[1:3] = 'ALT') THEN 'concordant' ELSE 'discordant' END AS concordance FROM c""",
+)
+def _(t):
+    rows = t.spark.sql(f"SELECT {PILOT.replace(chr(34), chr(96))} FROM {{events}}", events=t.table("events"))
+    return evidence.pilot_call(rows).select("event_id", "pilot_call", "allele_balance", "concordance")
+
+
+@query(
+    "flt_17_measurement_lock",
+    """+ e AS (SELECT person_id, allele_id, o % 6 AS l, o % 4 AS r, o % 5 AS f, CASE WHEN o % 8 <> 0 THEN o % 30 END AS d, CAST(o % 10 AS DOUBLE) / 10 AS m FROM cells), k AS (SELECT DISTINCT 'A' || (o_orderkey % 20) AS allele_id, o_orderkey % 20 <> 7 AS pass FROM orders)
+    SELECT person_id, allele_id, CASE WHEN NOT coalesce(pass, false) THEN 'NOT_LOCKED' WHEN d IS NULL OR m > 0.5 OR d < 5 THEN 'NO_CALL' WHEN l >= 2 AND r >= 2 THEN 'ALT_SUPPORTED' WHEN l = 0 AND r = 0 AND f >= 2 THEN 'REF_SUPPORTED' ELSE 'NO_CALL' END AS carrier_state FROM e LEFT JOIN k USING (allele_id)""",
+    ("cells",),
+)
+def _(t):
+    rows = t.cells.selectExpr("person_id", "'l' AS locus_id", "'g' AS graph_id", "allele_id", "o % 6 AS left_support", "o % 4 AS right_support", "o % 5 AS reference_support", "CASE WHEN o % 8 <> 0 THEN o % 30 END AS depth", "CAST(o % 10 AS DOUBLE) / 10 AS mapping_ambiguity")
+    locks = t.table("orders").selectExpr("'l' AS locus_id", "'g' AS graph_id", "'A' || (o_orderkey % 20) AS allele_id", "IF(o_orderkey % 20 = 7, 'FAIL', 'PASS') AS technical_status", "2 AS min_alt", "2 AS min_ref", "5 AS min_depth", "0.5D AS max_mapping_ambiguity").distinct()
+    return evidence.apply_measurement_lock(rows, locks).select("person_id", "allele_id", "carrier_state")
+
+
+@query(
+    "jn_38_placement_hits",
+    """+ q AS (SELECT feature_id AS query_name, gene_id, CASE n % 4 WHEN 0 THEN 'REF' WHEN 1 THEN 'ALT' WHEN 2 THEN 'LEFT' ELSE 'RIGHT' END AS query_type, 2200 + CASE WHEN n % 10 = 0 THEN 1 ELSE 0 END AS query_length FROM features WHERE n % 6 <> 5)
+    SELECT gene_id AS allele_id, chromosome AS resource, query_type, COUNT(*) AS hits FROM placements JOIN q ON query_name = query_id WHERE qlen = query_length GROUP BY 1, 2, 3""",
+    ("features", "placements"),
+)
+def _(t):
+    queries = t.features.filter("n % 6 <> 5").selectExpr("feature_id AS query_name", "gene_id AS allele_id", "feature_id AS locus_id", "CASE n % 4 WHEN 0 THEN 'REF' WHEN 1 THEN 'ALT' WHEN 2 THEN 'LEFT' ELSE 'RIGHT' END AS query_type", "2200 + IF(n % 10 = 0, 1, 0) AS query_length")
+    resources = t.features.select(F.col("chromosome").alias("resource"), F.lit("1").alias("resource_version")).distinct()
+    aln = t.placements.withColumnsRenamed({"query_id": "query_name", "chromosome": "resource"})
+    return annotate.placement_hits(annotate.placement_evidence(aln, queries, resources))
+
+
+@query("set_2_graph_members", "SELECT graph_id, sample_id FROM (SELECT 'g' || o_custkey % 3 AS graph_id, 'S' || o_custkey AS sample_id FROM orders UNION SELECT 'g' || c_custkey % 2, 'S' || c_custkey FROM customer)")
+def _(t):
+    used = t.table("orders").selectExpr("'g' || o_custkey % 3 AS graph_id", "'S' || o_custkey AS sample_id")
+    return checks.graph_members(used, t.table("customer").selectExpr("'g' || c_custkey % 2 AS graph_id", "'S' || c_custkey AS sample_id"))
+
+
+@query(
+    "set_4_outer_fill",
+    "+ a AS (SELECT sn AS chromosome, COUNT(*) AS segments FROM segments GROUP BY 1), b AS (SELECT chromosome, COUNT(*) AS features FROM features WHERE chromosome <> 'chr2' GROUP BY 1) SELECT coalesce(a.chromosome, b.chromosome) AS chromosome, coalesce(segments, 0) AS segments, coalesce(features, 0) AS features FROM a FULL JOIN b ON a.chromosome = b.chromosome",
+    ("segments", "features"),
+)
+def _(t):
+    segments = t.segments.groupBy(F.col("sn").alias("chromosome")).agg(F.count(F.lit(1)).alias("segments"))
+    return checks.outer_fill(segments, t.features.filter("chromosome <> 'chr2'").groupBy("chromosome").agg(F.count(F.lit(1)).alias("features")), ["chromosome"])
+
+
+@query(
+    "jn_19_assign_molecules",
+    "+ f AS (SELECT DISTINCT sample_id, string_split(read_name, '/')[1] AS fragment FROM gaf), m AS (SELECT sample_id, string_split(read_name, '/')[1] AS fragment, MIN('m' || (event_id // 3)) AS molecule_id, COUNT(DISTINCT event_id // 3) AS n FROM gaf WHERE event_id % 5 <> 0 GROUP BY 1, 2) SELECT f.sample_id AS library_id, f.fragment, molecule_id, CASE WHEN n IS NULL THEN 'UNASSIGNED' WHEN n > 1 THEN 'CONFLICT' ELSE 'ASSIGNED' END AS molecule_status FROM f LEFT JOIN m USING (sample_id, fragment)",
+    ("gaf",),
+)
+def _(t):
+    named = t.gaf.select(F.col("sample_id").alias("library_id"), C.fragment_name(F.col("read_name")).alias("fragment"), "event_id")
+    return evidence.assign_molecules(named.select("library_id", "fragment").distinct(), named.filter("event_id % 5 <> 0").selectExpr("library_id", "fragment", "'m' || (event_id div 3) AS molecule_id"))

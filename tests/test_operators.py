@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 
@@ -179,10 +180,12 @@ def test_windows_at_block_borders(spark):
 
 def test_walks(spark):
     segments = spark.createDataFrame([("a", "AC", 2), ("b", "GG", 2)], "segment_id string, seq string, ln long")
-    links = spark.createDataFrame([("a", "b")], "left_id string, right_id string")
-    walks = spark.createDataFrame([("w", ">a>b"), ("x", ">b>a")], "walk_id string, path string")
+    links = spark.createDataFrame([(">a", ">b")], "left_token string, right_token string")
+    walks = spark.createDataFrame([("w", ">a>b"), ("x", ">b>a"), ("y", "<b<a")], "walk_id string, path string")
     got = {r.walk_id: (r.missing_links, r.length) for r in graph.verify_walks(walks, segments, links).collect()}
-    assert got == {"w": (0, 4), "x": (1, 4)}
+    assert got == {"w": (0, 4), "x": (1, 4), "y": (0, 4)}
+    spelled = {r.walk_id: r.sequence_sha256 for r in graph.verify_walks(walks, segments, links).collect()}
+    assert spelled["w"] == hashlib.sha256(b"ACGG").hexdigest() and spelled["y"] == hashlib.sha256(b"CCGT").hexdigest()
 
 
 def test_repeat_calls(spark):
