@@ -3,7 +3,7 @@
 Base spans are matches of fixed patterns. Every value found is a protected entity. Its contexts (the text around each
 mention; equal contexts, as copies have them, count once) say how strongly a nearby term reveals it: the term's pointwise mutual
 information with the entity, PMI = log2(n(entity, term) N / (n(entity) n(term))), against the entity's own information
-IC = log2(N / n(entity)), with N documents and n(term) documents that hold the term, counted over the whole corpus.
+IC = log2(N / n(entity)), with N texts and n(term) texts that hold the term, counted over the whole corpus. All numbers count distinct texts.
 In documents that hold the entity, terms that reveal at least `generalise` of IC are replaced by a placeholder, from `remove` on they
 are taken out. A term must occur with the entity in `support` different contexts.
 
@@ -107,17 +107,16 @@ def _terms(text: Column) -> Column:
 def revealing_terms(docs: DataFrame, mentions: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
     """(entity, term, gone): terms that reveal a share `generalise` of the entity's information; gone from `remove` on.
 
-    `docs` has text; `mentions` has for each document with entities the array `said` of (entity, context). A term's documents
-    are counted over the corpus only if the documents with mentions, which are some of them, don't already show that
+    `docs` has text and its hash; `mentions` has for each document with entities the hash and the array `said` of (entity, context).
+    All four numbers count distinct texts, so copies of a document change none of them. A term's texts are counted over the corpus only if the texts with mentions, which are some of them, don't already show that
     it is too frequent to reveal so much.
     """
-    contexts = mentions.select(F.explode("said").alias("s")).select("s.entity", "s.context").distinct()
-    entities = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support)
-    near = contexts.select("entity", F.explode(_terms(F.col("context"))).alias("term"))
-    both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= support)
-    at_least = mentions.select(F.explode(F.array_distinct(F.flatten(F.transform("said", lambda s: _terms(s["context"]))))).alias("term"))
-    at_least = at_least.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = F.lit(float(docs.count()))
+    said = mentions.select("hash", F.explode("said").alias("s")).select("hash", "s.entity", "s.context").distinct()
+    entities = said.groupBy("entity").agg(F.count_distinct("hash").alias("n_entity"), F.count_distinct("context").alias("n_said")).filter(F.col("n_said") >= support).drop("n_said")
+    near = said.select("hash", "entity", "context", F.explode(_terms(F.col("context"))).alias("term"))
+    both = near.groupBy("entity", "term").agg(F.count_distinct("hash").alias("n_both"), F.count_distinct("context").alias("n_said")).filter(F.col("n_said") >= support).drop("n_said")
+    at_least = near.select("hash", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    total = F.lit(float(docs.select("hash").distinct().count()))
     share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / F.log2(total / F.col("n_entity"))
     possible = both.join(entities, "entity").join(at_least, "term").filter(share >= generalise)
     candidates = materialise(possible.drop("n_term"))
@@ -125,18 +124,18 @@ def revealing_terms(docs: DataFrame, mentions: DataFrame, generalise: float, rem
     n_terms = terms.count()
     if n_terms == 0:
         return candidates.select("entity", "term", F.lit(False).alias("gone"))
-    words = docs.select(F.explode(_terms(F.lower("text"))).alias("term"))
+    words = docs.select("hash", F.explode(_terms(F.lower("text"))).alias("term"))
     wanted = F.broadcast(terms) if n_terms <= BROADCAST_ROWS else terms
-    holding = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    holding = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     return candidates.join(holding, "term").withColumn("share", share).filter(F.col("share") >= generalise).select("entity", "term", (F.col("share") >= remove).alias("gone"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = 0.9, remove: float = 0.97, support: int = 3) -> DataFrame:
     """`docs` with `pii_base` and `pii_spans` (arrays of spans) and `pii_text`, the text with all spans replaced or taken out."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.md5(text.cast("binary")).alias("hash")).withColumn("base", base_spans(F.col("text")))
     said = F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), _context(F.col("text"), s).alias("context")))
-    mentions = materialise(rows.filter(F.size("base") > 0).select("id", said.alias("said")))
+    mentions = materialise(rows.filter(F.size("base") > 0).select("id", "hash", said.alias("said")))
     revealing = materialise(revealing_terms(rows, mentions, generalise, remove, support))
     marked = docs.withColumn("pii_base", base_spans(text))
     n_revealing = revealing.count()

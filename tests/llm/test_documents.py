@@ -189,6 +189,19 @@ def test_disclosing_terms(spark, docs, rows, empty):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(pii.describe(F.array().cast(pii._SPAN)), 256)).first()[0]
 
 
+def test_copies_do_not_hide_disclosing_terms(spark):
+    data = [(i, f"Case {'abc'[i] * 3} write to our harbour office at bob@corp.example today") for i in range(3)]
+    data += [(100 + i, f"plain the office text {i} our today write to zanzibar ok") for i in range(300)]
+    copies = [(1000 + i, data[0][1]) for i in range(1000)]
+
+    def texts(rows):
+        return {r.doc_id: r.pii_text for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+    once, often = texts(data), texts(data + copies)
+    assert all("harbour" not in once[i] for i in range(3))
+    assert all(often[i] == t for i, t in once.items()) and all(often[i] == once[0] for i, _ in copies)
+
+
 def test_shards(spark, docs, rows, empty):
     got = sharding.shard(docs).collect()
     want = Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in rows)
