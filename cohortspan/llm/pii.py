@@ -1,11 +1,13 @@
 """Personal data, and terms that give it away: information-theoretic sanitisation with DataFrame functions only.
 
-Base spans are matches of fixed patterns. Every value found is a protected entity. Its contexts (the text around each
-mention; equal contexts, as copies have them, count once) say how strongly a nearby term reveals it: the term's pointwise mutual
-information with the entity, PMI = log2(n(entity, term) N / (n(entity) n(term))), against the entity's own information
-IC = log2(N / n(entity)), with N texts and n(term) texts that hold the term, counted over the whole corpus. All numbers count distinct texts.
-In documents that hold the entity, terms that reveal at least `generalise` of IC are replaced by a placeholder, from `remove` on they
-are taken out. A term must occur with the entity in `support` different contexts.
+Base spans are matches of fixed patterns. Every value found is a protected entity. The words of a whole text outside its base
+spans are terms. How strongly a term reveals an entity is their pointwise mutual information, PMI = log2(n(entity, term) N /
+(n(entity) n(term))), against the entity's own information IC = log2(N / n(entity)). All numbers count distinct texts of the
+whole corpus, so copies change nothing. In documents that hold the entity, terms that reveal at least `generalise` of IC are
+replaced by a placeholder, from `remove` on they are taken out, if they meet the entity more often than chance explains: were
+they independent, so many common texts would have a probability of at most exp(-n(entity) KL(n(entity, term) / n(entity) ||
+n(term) / N)) (Hoeffding), which must not exceed `alpha` over the number of pairs of an entity and a word of the corpus (Bonferroni).
+A rare word in the one text of an entity meets it once, which chance explains in all but small vocabularies.
 
 Results for special cases: a null or empty text has no spans; repeated rows are kept; rows that share an id share
 the terms found for it, and rows without an id get base spans only; ties between spans go by kind; an empty table gives an
@@ -14,6 +16,8 @@ empty result; other columns stay as they are.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +34,6 @@ PATTERNS = {
 }
 TERM = r"[\p{L}][\p{L}\p{Nd}]{2,}"
 _SPAN = "array<struct<start:int,ord:int,kind:string,end:int,value:string>>"
-#: Characters on each side of a mention that are its context.
-REACH = 64
 #: Rows up to which a table of terms is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 50_000
 
@@ -91,70 +93,96 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], value)
 
 
-def _context(text: Column, span: Column) -> Column:
-    """The words around a mention, without words that the window cuts."""
-    left = F.substring(text, F.greatest(span["start"] - REACH, F.lit(0)) + 1, F.least(span["start"], F.lit(REACH)))
-    right = F.substring(text, span["end"] + 1, F.lit(REACH))
-    left = F.when(span["start"] > REACH, F.regexp_replace(left, r"^\S*", "")).otherwise(left)
-    right = F.when(F.char_length(right) == REACH, F.regexp_replace(right, r"\S*$", "")).otherwise(right)
-    return F.lower(F.concat_ws(" ", left, right))
+def _outside(text: Column, spans: Column) -> Column:
+    """The text without the spans."""
+
+    def cut(state: Column, s: Column) -> Column:
+        out = F.concat_ws(" ", state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, zero, cut, lambda s: F.concat_ws(" ", s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
 
 
 def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
 
 
-def revealing_terms(docs: DataFrame, mentions: DataFrame, generalise: float, remove: float, support: int) -> DataFrame:
+def revealing_terms(docs: DataFrame, mentions: DataFrame, generalise: float, remove: float, alpha: float) -> DataFrame:
     """(entity, term, gone): terms that reveal a share `generalise` of the entity's information; gone from `remove` on.
 
-    `docs` has text and its hash; `mentions` has for each document with entities the hash and the array `said` of (entity, context).
-    All four numbers count distinct texts, so copies of a document change none of them. A term's texts are counted over the corpus only if the texts with mentions, which are some of them, don't already show that
-    it is too frequent to reveal so much.
+    `docs` has text and its hash; `mentions` has for each document with entities the hash and the arrays `entities` and `terms`.
+    Entities and pairs that can't pass even with the least numbers of terms that the texts with mentions show are ruled
+    out before terms are counted over the corpus.
     """
-    said = mentions.select("hash", F.explode("said").alias("s")).select("hash", "s.entity", "s.context").distinct()
-    entities = said.groupBy("entity").agg(F.count_distinct("hash").alias("n_entity"), F.count_distinct("context").alias("n_said")).filter(F.col("n_said") >= support).drop("n_said")
-    near = said.select("hash", "entity", "context", F.explode(_terms(F.col("context"))).alias("term"))
-    both = near.groupBy("entity", "term").agg(F.count_distinct("hash").alias("n_both"), F.count_distinct("context").alias("n_said")).filter(F.col("n_said") >= support).drop("n_said")
-    at_least = near.select("hash", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    texts = materialise(mentions.groupBy("hash").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms")))
+    entities = materialise(texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
+    at_least = materialise(texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    n_entities, n_words = entities.count(), at_least.count()
+    nothing = entities.select("entity", F.lit("").alias("term"), F.lit(False).alias("gone")).limit(0)
+    if n_words == 0:
+        return nothing
     total = F.lit(float(docs.select("hash").distinct().count()))
-    share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / F.log2(total / F.col("n_entity"))
-    possible = both.join(entities, "entity").join(at_least, "term").filter(share >= generalise)
-    candidates = materialise(possible.drop("n_term"))
+    n_both, n_entity, n_term = F.col("n_both"), F.col("n_entity"), F.col("n_term")
+    apart = F.when(n_both < n_entity, (n_entity - n_both) * (F.log(1 - n_both / n_entity) - F.log(1 - n_term / total))).otherwise(0.0)
+    nats = n_both * F.log(n_both * total / (n_entity * n_term)) + apart
+
+    def reveals(share: float) -> Column:
+        return F.log(n_both * total / (n_entity * n_term)) >= share * F.log(total / n_entity)
+
+    def needed(words: int) -> float:
+        return math.log(n_entities * words / alpha)
+
+    possible = materialise(entities.filter(n_entity * F.log(total / n_entity) >= needed(n_words)))
+    n_possible = possible.count()
+    if n_possible == 0:
+        return nothing
+    pairs = texts.select(F.explode("entities").alias("entity"), "terms")
+    if n_possible <= BROADCAST_ROWS:
+        pairs = pairs.join(F.broadcast(possible.select("entity")), "entity", "left_semi")
+    both = pairs.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    candidates = both.join(possible, "entity").join(at_least, "term").filter(reveals(generalise) & (nats >= needed(n_words)))
+    candidates = materialise(candidates.drop("n_term"))
     terms = materialise(candidates.select("term").distinct())
     n_terms = terms.count()
     if n_terms == 0:
-        return candidates.select("entity", "term", F.lit(False).alias("gone"))
+        return nothing
+    wanted = terms.withColumn("wanted", F.lit(True))
     words = docs.select("hash", F.explode(_terms(F.lower("text"))).alias("term"))
-    wanted = F.broadcast(terms) if n_terms <= BROADCAST_ROWS else terms
-    holding = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    return candidates.join(holding, "term").withColumn("share", share).filter(F.col("share") >= generalise).select("entity", "term", (F.col("share") >= remove).alias("gone"))
+    words = words.join(F.broadcast(wanted) if n_terms <= BROADCAST_ROWS else wanted, "term", "left")
+    words = materialise(words.select("term", F.when(F.col("wanted"), F.col("hash")).alias("hash")).distinct())
+    elsewhere = words.filter("hash is not null").join(texts.select("hash"), "hash", "left_anti").groupBy("term").agg(F.count(F.lit(1)).alias("more"))
+    holding = terms.join(at_least, "term").join(elsewhere, "term", "left").select("term", (n_term + F.coalesce("more", F.lit(0))).alias("n_term"))
+    found = candidates.join(holding, "term").filter(reveals(generalise) & (nats >= needed(words.select("term").distinct().count())))
+    return found.select("entity", "term", reveals(remove).alias("gone"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = 0.9, remove: float = 0.97, support: int = 3) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = 0.9, remove: float = 0.97, alpha: float = 0.05) -> DataFrame:
     """`docs` with `pii_base` and `pii_spans` (arrays of spans) and `pii_text`, the text with all spans replaced or taken out."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.md5(text.cast("binary")).alias("hash")).withColumn("base", base_spans(F.col("text")))
-    said = F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), _context(F.col("text"), s).alias("context")))
-    mentions = materialise(rows.filter(F.size("base") > 0).select("id", "hash", said.alias("said")))
-    revealing = materialise(revealing_terms(rows, mentions, generalise, remove, support))
+    entities = F.array_distinct(F.transform("base", _entity))
+    terms = _terms(F.lower(_outside(F.col("text"), F.col("base"))))
+    mentions = materialise(rows.filter(F.size("base") > 0).select("id", "hash", entities.alias("entities"), terms.alias("terms")))
+    revealing = materialise(revealing_terms(rows, mentions, generalise, remove, alpha))
     marked = docs.withColumn("pii_base", base_spans(text))
     n_revealing = revealing.count()
     if n_revealing == 0:
         marked = marked.withColumn("_soft", F.lit(None).cast("array<string>")).withColumn("_hard", F.lit(None).cast("array<string>"))
     else:
-        holders = mentions.select("id", F.explode(F.array_distinct("said.entity")).alias("entity"))
+        holders = mentions.select("id", F.explode("entities").alias("entity"))
         held = holders.join(F.broadcast(revealing) if n_revealing <= BROADCAST_ROWS else revealing, "entity")
         held = held.groupBy(F.col("id").alias("_id")).agg(F.collect_set(F.when(~F.col("gone"), F.col("term"))).alias("_soft"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_hard"))
         held = materialise(held.filter("_id is not null"))
         marked = marked.join(F.broadcast(held) if held.count() <= BROADCAST_ROWS else held, F.col(id_col) == F.col("_id"), "left").drop("_id")
 
-    def terms(column: str, kind: str, order: int) -> Column:
+    def term_spans(column: str, kind: str, order: int) -> Column:
         longest_first = F.array_sort(F.col(column), lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
         pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{Nd}])(?:"), F.array_join(longest_first, "|"), F.lit(r")(?![\p{L}\p{Nd}])"))
         found = F.filter(matches(text, pattern, kind, order), lambda t: ~F.exists("pii_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
         return F.when(F.size(column) > 0, found).otherwise(F.array().cast(_SPAN))
 
-    marked = marked.withColumn("pii_spans", F.array_sort(F.concat("pii_base", terms("_soft", "term", 4), terms("_hard", "removed", 5)))).drop("_soft", "_hard")
+    marked = marked.withColumn("pii_spans", F.array_sort(F.concat("pii_base", term_spans("_soft", "term", 4), term_spans("_hard", "removed", 5)))).drop("_soft", "_hard")
 
     def replace(state: Column, s: Column) -> Column:
         shown = F.when(s["kind"] == "removed", "").otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))

@@ -202,6 +202,18 @@ def test_copies_do_not_hide_disclosing_terms(spark):
     assert all(often[i] == t for i, t in once.items()) and all(often[i] == once[0] for i, _ in copies)
 
 
+def test_disclosing_terms_of_whole_texts(spark):
+    """Two texts are enough, the name stands far from the value, and what chance explains stays."""
+    far = " ".join(f"word{i}" for i in range(40))
+    data = [(i, f"Harbour {far} case {'ab'[i] * 3} write to bob@corp.example") for i in range(2)] + [(2, f"lonely {far} ccc ann@corp.example")]
+    data += [(100 + i, f"plain {far} case {i} write bob to corp") for i in range(400)]
+    found = {r.doc_id: r.pii_text for r in pii.find(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert all(found[i] == f" {far} case {'ab'[i] * 3} write to <EMAIL>" for i in range(2))
+    assert found[2] == f"lonely {far} ccc <EMAIL>" and all(found[i] == t for i, t in data if i >= 100)
+    every = pii.find(spark.createDataFrame([(i, f"text {i} bob@corp.example") for i in range(4)], "doc_id long, text string"))
+    assert [r.pii_text for r in every.orderBy("doc_id").collect()] == [f"text {i} <EMAIL>" for i in range(4)]
+
+
 def test_shards(spark, docs, rows, empty):
     got = sharding.shard(docs).collect()
     want = Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in rows)
