@@ -309,6 +309,8 @@ def _(t):
 
 
 ALIASES = "al AS (SELECT 'lab' AS ns, 'x' || (person % 500) AS a, person_id FROM people WHERE person < 600)"
+# Every person has an alias; the list above ends at person 600.
+ALL_ALIASES = ALIASES.removesuffix(" WHERE person < 600)") + ")"
 
 
 @query("jn_14_identity", f"+ {ALIASES}, o AS (SELECT ns, a, COUNT(DISTINCT person_id) AS n, MIN(person_id) AS p FROM al GROUP BY 1, 2), r AS (SELECT person, 'x' || (person % 700) AS a FROM people) SELECT person, CASE WHEN n = 1 THEN p END AS person_id, CASE WHEN n IS NULL THEN 'UNRESOLVED' WHEN n > 1 THEN 'CONFLICT' ELSE 'RESOLVED' END AS identity_status FROM r LEFT JOIN o USING (a)", ("people",))
@@ -318,6 +320,13 @@ def _(t):
     return cohort.resolve_identity(reads, aliases).select("person", "person_id", "identity_status")
 
 
+@query("jn_14_identity_whole", f"+ {ALL_ALIASES}, o AS (SELECT ns, a, COUNT(DISTINCT person_id) AS n, MIN(person_id) AS p FROM al GROUP BY 1, 2), r AS (SELECT person, 'x' || (person % 700) AS a FROM people) SELECT person, CASE WHEN n = 1 THEN p END AS person_id, CASE WHEN n IS NULL THEN 'UNRESOLVED' WHEN n > 1 THEN 'CONFLICT' ELSE 'RESOLVED' END AS identity_status FROM r LEFT JOIN o USING (a)", ("people",))
+def _(t):
+    aliases = t.people.select(F.lit("lab").alias("namespace"), F.concat(F.lit("x"), (F.col("person") % 500).cast("string")).alias("alias"), "person_id")
+    reads = t.people.select("person", F.lit("lab").alias("namespace"), F.concat(F.lit("x"), (F.col("person") % 700).cast("string")).alias("alias"))
+    return cohort.resolve_identity(reads, aliases).select("person", "person_id", "identity_status")
+
+
 @query(
     "jn_15_phenotypes",
     """+ s AS (SELECT person AS source_id, CASE WHEN person % 4 <> 0 THEN phenotype END AS ph, CASE WHEN person % 9 <> 0 THEN person_id END AS pid FROM people), k AS (SELECT person_id, CASE WHEN person % 3 = 0 THEN phenotype WHEN person % 50 = 1 THEN 'OTHER' END AS known FROM people)
@@ -447,6 +456,12 @@ def _(t):
     return t.sequences.select("contig", C.mask_bases(q).alias("m")).select("contig", "m.seq", "m.masked", F.lit(0).cast("long").alias("lower"), "m.ok")
 
 
+@query("scl_16_mask_bases_whole", "+ s AS (SELECT contig, upper(translate(seq, 'Nß', 'RS')) AS q FROM sequences) SELECT contig, translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN') AS seq, CAST(length(q) - length(translate(q, 'RYSWKMBDHV', '')) AS BIGINT) AS masked, CAST(0 AS BIGINT) AS \"lower\", regexp_full_match(translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN'), '[ACGTN]*') AS ok FROM s", ("sequences",))
+def _(t):
+    q = F.translate("seq", "Nß", "RS")
+    return t.sequences.select("contig", C.mask_bases(q).alias("m")).select("contig", "m.seq", "m.masked", F.lit(0).cast("long").alias("lower"), "m.ok")
+
+
 @query("scl_15_windows", "+ w AS (SELECT contig, 'w' || contig AS window_id, contig % 50 AS s, contig % 50 + 300 AS e, seq FROM sequences) SELECT window_id, substr(seq, s + 1, 300) AS window_seq, length(substr(seq, s + 1, 300)) < 300 AS truncated FROM w", ("sequences",))
 def _(t):
     windows = t.sequences.select(F.concat(F.lit("w"), F.col("contig").cast("string")).alias("window_id"), "contig", (F.col("contig") % 50).alias("start"), (F.col("contig") % 50 + 300).alias("end_"))
@@ -475,6 +490,11 @@ def _(t):
     return evidence.kmers(t.sequences.select(F.col("contig").alias("name"), F.substring("seq", 1, 500).alias("seq")), 7).groupBy("name").agg(F.count(F.lit(1)).alias("kmers"))
 
 
+@query("scl_32_distinct_kmers_whole", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, seq AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))
+def _(t):
+    return evidence.kmers(t.sequences.select(F.col("contig").alias("name"), "seq"), 7).groupBy("name").agg(F.count(F.lit(1)).alias("kmers"))
+
+
 @query(
     "flt_5_apply_decisions",
     """+ c AS (SELECT contig, CAST(length(seq) AS BIGINT) AS n, CASE contig % 4 WHEN 0 THEN 'KEEP' WHEN 1 THEN 'REMOVE' WHEN 2 THEN 'SPLIT' ELSE 'REVIEW' END AS d FROM sequences WHERE length(seq) > 60)

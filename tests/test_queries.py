@@ -44,3 +44,14 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry_query(spark, SF).count() == 6
+
+
+def test_whole_sequences(spark):
+    """By brute force over the whole texts, of which many are longer than any prefix."""
+    from cohortspan.plans.registry import Tables
+
+    seqs = {r.contig: r.seq for r in Tables(spark, SF).sequences.select("contig", "seq").collect()}
+    assert max(map(len, seqs.values())) > 2000
+    sets = {c: {s[i : i + 7] for i in range(len(s) - 6) if set(s[i : i + 7]) <= set("ACGT")} for c, s in seqs.items()}
+    assert {r.name: r.kmers for r in QUERIES["scl_32_distinct_kmers_whole"](spark, SF).collect()} == {c: len(k) for c, k in sets.items() if k}
+    assert {r.contig: len(r.seq) for r in QUERIES["scl_16_mask_bases_whole"](spark, SF).collect()} == {c: len(s) for c, s in seqs.items()}
