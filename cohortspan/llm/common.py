@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: One row of an Arrow batch can hold a whole text; this many keep a batch of long texts small.
-TEXT_BATCH = 512
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the cluster's spark.checkpoint.dir; set a folder of our own only where none is set (local tests)."""
+    """Keep the cluster's spark.checkpoint.dir. Where none is set, one machine alone gets a folder of its own; a cluster is an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -33,21 +33,21 @@ def held_out(doc_id) -> "F.Column":
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def number_within(df: DataFrame, group: str, order: list[str], name: str, buckets: int = 64) -> DataFrame:
-    """Add `name`: 0, 1, 2, ... inside each value of `group`, any order that is fixed by `order`.
+def number_within(df: DataFrame, group: str, name: str) -> DataFrame:
+    """Add `name`: 0, 1, 2, ... inside each value of `group`, in the order in which `df` holds its rows.
 
-    A group can hold a third of all rows, so it is never one window: rows are numbered inside (group, hash bucket),
-    and each bucket starts where the counts of the buckets before it end. The table of bucket counts has at most
-    groups x `buckets` rows.
+    `df` must read a materialised table through narrow steps only: then a row's partition and place are fixed. A group can
+    hold a third of all rows, so it is never one window: rows are numbered inside (group, partition), however alike they are,
+    and each partition starts where the counts of those before it end. The table of counts has a row a group and partition.
     """
-    keyed = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    counts = keyed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"), F.coalesce(before, F.lit(0)).alias("_start"))
-    inner = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*order)) - 1
+    keyed = df.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    counts = keyed.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), F.coalesce(before, F.lit(0)).alias("_start"))
+    inner = F.row_number().over(Window.partitionBy(group, "_part").orderBy("_row")) - 1
     return (
         keyed.withColumn("_inner", inner)
-        .join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_bucket") == F.col("_b")))
+        .join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
         .withColumn(name, (F.col("_start") + F.col("_inner")).cast("long"))
-        .drop("_bucket", "_inner", "_g", "_b", "_start")
+        .drop("_part", "_row", "_inner", "_g", "_p", "_start")
     )

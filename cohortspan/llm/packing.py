@@ -5,8 +5,8 @@ corpus. Reduction and best fit run on the histogram and give patterns (lengths t
 Spark then numbers the pieces of each length and deals them to the patterns' places.
 
 Results for special cases: a null text counts as empty and gives one piece that holds only the end id; repeated rows
-and null ids are kept and packed like others; ties between equal lengths go by document id and piece; an empty table gives
-an empty result; other columns are not read.
+and null ids are kept and packed like others; pieces of equal length are dealt in the
+order in which they are held; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -164,6 +164,6 @@ def pack(docs: DataFrame, ranks: str, capacity: int = 2048, end_id: int = 0, id_
             offset[own] = row[:, 3] + t % row[:, 2] * s
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    ranked = number_within(cut, "length", [id_col, "piece", "ids_crc32"], "_rank")
+    ranked = number_within(cut, "length", "_rank")
     placed = ranked.withColumn("_place", place("length", "_rank"))
     return placed.select(*cut.columns, F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))

@@ -1,12 +1,15 @@
 """Sharding by vector bin packing: bytes, tokens and rows balanced together.
 
-Equal texts form a group and stay together. Groups are gathered in cells by the hash of their text; a group with more
-than an eighth of a shard is cut into pieces of about a cell. Cells go, the largest first, to the shard
-where the dot product with what room is left is highest among those with room for its bytes. What the driver handles is
-the table of cells (CELLS for each shard) and of large groups (8 times 3 for each shard at most), whatever the corpus.
+Equal texts form a group. Every group is cut into as few equal pieces as keep each within an eighth of a shard, in bytes, tokens
+and rows alike; that is one piece for all groups but the largest. Groups from a cell on (a cell is 1 / CELLS of a shard) are
+placed one by one, the smaller ones are gathered in cells by the hash of their text. Pieces and cells go, the largest first, to the
+shard where the dot product with what room is left is highest among those with room for its bytes. What the driver
+handles is the table of cells (CELLS for each shard) and of groups of a cell or more (3 CELLS for each shard at
+most), whatever the corpus.
 
 Results for special cases: a null text has no bytes, counts as an empty text and forms a group with the empty ones; repeated
-rows and null ids are kept and get a slot each; ties in slots go by id, size and checksum; an empty table gives an empty
+rows and null ids are kept and get a slot each, and rows of one piece are told apart by their place, not by what they hold;
+slots follow the order in which rows are held; ties in placing go to the lower shard; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -19,11 +22,13 @@ from pyspark.sql import functions as F
 from .common import materialise, number_within
 
 CELLS = 512
+#: A piece of a group is at most this share of a shard.
+PIECE = 1 / 8
 _SIZES = ("size", "tokens", "rows")
 
 
 def place(cells: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each cell; `cells` has a row (bytes, tokens, rows) for each."""
+    """The shard of each cell or piece; `cells` has a row (bytes, tokens, rows) for each."""
     need = cells / np.maximum(cells.sum(axis=0), 1) * shards
     room = np.ones((shards, need.shape[1]))
     out = np.zeros(len(cells), np.int32)
@@ -49,25 +54,22 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
         )
     )
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
-    groups = rows.groupBy("_group").agg(*sums)
     total = rows.agg(*sums).first()
-    eighth = {k: (total[k] or 0) / (8 * shards) for k in _SIZES}
-    large = groups.filter(" or ".join(f"{k} > {eighth[k]!r}D" for k in _SIZES)).collect()  # at most 3 * 8 * shards
-    n_cells, pieces = cells * shards, []
+    full = {k: (total[k] or 0) / shards for k in _SIZES}
+    large = rows.groupBy("_group").agg(*sums).filter(" or ".join(f"{k} * {cells} > {full[k]!r}D" for k in _SIZES)).collect()  # at most 3 * cells * shards
+    n_items, pieces = cells * shards, []
     for r in sorted(large, key=lambda r: r["_group"]):
-        n = max(int(np.ceil(r[k] / eighth[k] * cells / 8)) for k in _SIZES if eighth[k])
-        pieces.append((r["_group"], n_cells, n))
-        n_cells += n
+        n = max(int(np.ceil(r[k] / (full[k] * PIECE))) for k in _SIZES if full[k])
+        pieces.append((r["_group"], n_items, n))
+        n_items += n
     cut = spark.createDataFrame(pieces, "_group long, _base int, _pieces int")
-    celled = rows.join(F.broadcast(cut), "_group", "left").withColumn(
-        "_cell",
-        F.when(F.col("_base").isNull(), F.pmod("_group", F.lit(cells * shards))).otherwise(F.col("_base") + F.pmod(F.xxhash64(id_col, "size"), F.col("_pieces"))).cast("int"),
-    )
-    table = celled.groupBy("_cell").agg(*sums).collect()  # at most the number of cells and pieces
+    # a row's number in the materialised table deals a group's rows to its pieces, also where all of them are alike
+    piece = F.col("_base") + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_pieces"))
+    whole = F.pmod("_group", F.lit(cells * shards))
+    items = rows.join(F.broadcast(cut), "_group", "left").withColumn("_item", F.coalesce(piece, whole).cast("int"))
+    table = items.groupBy("_item").agg(*sums).collect()  # at most the number of cells and pieces
     found = place(np.array([[r[k] for k in _SIZES] for r in table], float).reshape(-1, 3), shards)
-    where = np.zeros(n_cells, np.int32)
-    where[[r["_cell"] for r in table]] = found
-    by_cell = spark.createDataFrame([(int(c), int(where[c])) for c in sorted(r["_cell"] for r in table)], "_cell int, shard int")
-    placed = celled.join(F.broadcast(by_cell), "_cell")
-    numbered = number_within(placed, "shard", [id_col, "size", "text_crc32"], "slot", buckets=2048)
+    by_item = spark.createDataFrame([(r["_item"], int(s)) for r, s in zip(table, found, strict=True)], "_item int, shard int")
+    placed = items.join(F.broadcast(by_item), "_item").select(id_col, "size", "text_crc32", "shard")
+    numbered = number_within(placed, "shard", "slot")
     return numbered.select(id_col, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
