@@ -1,11 +1,14 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
-Fingerprints of 64 bits link when at most three bits differ; then one 32-bit half differs by at most one bit, which
-is half the radius. Every distinct fingerprint emits each half with all variants within one bit, the variants are
-shuffled to the halves that hold them, and colliding pairs are verified. A half that many fingerprints share would
-give all pairs of a group: there the whole fingerprint's ball is used instead. Fingerprints of even weight emit all
-variants within one bit, those of odd weight all within two; what meets on a variant is within three bits by
-construction, so each member is linked to one centre and no pairs are listed.
+Fingerprints of 64 bits link when at most three bits differ. Every distinct fingerprint that can have a link emits all
+variants within half the radius: those of even weight the variants with one bit flipped, those of odd weight the variants with
+one and with two (halves of three, rounded down and up, told apart by parity, since fingerprints one or three bits apart differ
+in it and those two bits apart do not). Variants are shuffled; what meets on one is within three bits, and each member is
+linked to the smallest fingerprint met there, so links are verified by construction and no pairs are listed, however many meet.
+
+Which fingerprints can have a link is settled first, without loss: two within three bits agree in at least five of their eight
+bytes. Each fingerprint sends every choice of five bytes to a shuffle and stays if another one has the same five. One without
+such a neighbour has no link, and its ball need not be emitted.
 
 Results for special cases: a null text or one without words has fingerprint zero and links like any other; null ids and
 repeated rows are kept, each with its own row; a component without any id has a null component_id; an empty table
@@ -27,10 +30,8 @@ from pyspark.sql import functions as F
 from ..operators.components import components
 from .common import materialise
 
-RADIUS = 3
-#: Fingerprints that share a half before whole-fingerprint balls replace pairs.
-DENSE = 32
-
+#: Rows up to which a table of keys is broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 def hashes(text: str, width: int = 3, seed: int = 42) -> list[int]:
     """XXH64 of each shingle of `width` words; of the whole word sequence if it is shorter; none without words."""
@@ -78,34 +79,34 @@ def _emit(df: DataFrame, masks: list[int], name: str, of: str) -> DataFrame:
     return df.withColumn("_mask", F.explode(F.array(*map(F.lit, masks)))).withColumn(name, F.col(of).bitwiseXOR(F.col("_mask"))).drop("_mask")
 
 
-def links(distinct: DataFrame, dense: int = DENSE) -> DataFrame:
-    """Edges (a, b) between the distinct fingerprints `fp`: enough to connect all that reach each other by steps of RADIUS bits.
+def linkable(distinct: DataFrame) -> DataFrame:
+    """The fingerprints `fp` that agree with another one in five of eight bytes; all that have a link are among them."""
+    choices = [sum(0xFF << 8 * b for b in c) for c in combinations(range(8), 5)]
+    signed = [c - (1 << 64) if c >> 63 else c for c in choices]
+    # a choice and its bytes as one number: two that share it by chance only send a ball too many
+    keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(c))) for i, c in enumerate(signed)))
+    sent = distinct.select("fp", F.explode(keys).alias("key"))
+    shared = materialise(sent.groupBy("key").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).filter("least <> most").select("key"))
+    shared = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
+    return sent.join(shared, "key", "left_semi").select("fp").distinct()
+
 
-    No edge joins fingerprints further apart, and no pair within RADIUS is left in two components.
+def links(distinct: DataFrame) -> DataFrame:
+    """Edges (a, b) between the distinct fingerprints `fp`: enough to connect all that reach each other by steps of three bits.
+
+    No edge joins fingerprints further apart, and no pair within three bits is left in two components.
     """
-    low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
-    high = F.shiftrightunsigned("fp", 32)
-    halves = distinct.select("fp", F.explode(F.array(low, high + F.lit(1 << 32))).alias("key"))
-    own = Window.partitionBy("key")
-    held = halves.select("key", F.col("fp").alias("other"), F.count(F.lit(1)).over(own).alias("n"), F.row_number().over(own.orderBy("fp")).alias("nth"))
-    held = held.filter((F.col("n") <= dense) | (F.col("nth") == 1)).select("key", "other", (F.col("n") > dense).alias("crowded"))
-    variants = _emit(halves, [0, *_flips(32, 1)], "variant", "key").select("fp", "variant")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= RADIUS
-    met = variants.join(held, (F.col("variant") == F.col("key")) & (F.col("crowded") | (F.col("fp") != F.col("other")) & near))
-    met = materialise(met.select("fp", "other", "crowded"))
-    pairs = met.filter(~F.col("crowded")).select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b"))
-
-    crowded = materialise(met.filter("crowded").select("fp").distinct())
+    near = materialise(linkable(distinct))
     odd = F.bit_count("fp") % 2 == 1
-    even_one = _emit(crowded.filter(~odd), _flips(64, 1), "v", "fp")
-    odd_one = _emit(crowded.filter(odd), _flips(64, 1), "v", "fp")
-    odd_two = _emit(crowded.filter(odd), _flips(64, 2), "v", "fp")
+    even_one = _emit(near.filter(~odd), _flips(64, 1), "v", "fp")
+    odd_one = _emit(near.filter(odd), _flips(64, 1), "v", "fp")
+    odd_two = _emit(near.filter(odd), _flips(64, 2), "v", "fp")
 
     def star(members: DataFrame, around: DataFrame) -> DataFrame:
         centre = around.groupBy("v").agg(F.min("fp").alias("a"))
         return members.join(centre, "v").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
-    return pairs.union(star(even_one, even_one)).union(star(odd_two, even_one)).union(star(odd_one, odd_one)).distinct()
+    return star(even_one, even_one).union(star(odd_two, even_one)).union(star(odd_one, odd_one)).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -119,6 +120,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component. Rows without an id, and components without one, stay."""
-    kept = classes(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(kept, id_col, "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
+    """One row of `docs` for each component: the smallest id's (rows without an id come last), of several texts the one with the smallest MD5.
+
+    Of rows that agree in id and text any one stays.
+    """
+    text = F.col(text_col).cast("string")
+    own = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit("\n"), F.coalesce(text, F.lit(""))))
+    key = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), own.alias("own"))
+    rows = docs.withColumn("_own", own)
+    found = classes(docs.select(key.alias("_key"), text.alias("_text")), "_key", "_text")
+    chosen = found.select(F.col("component_id.own").alias("_own")).distinct()
+    # repeated rows shrink to one in each partition before any shuffle
+    return rows.dropDuplicates(["_own"]).join(chosen, "_own", "left_semi").drop("_own")
