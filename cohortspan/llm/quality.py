@@ -1,13 +1,14 @@
 """Quality scores from supervised subword embeddings.
 
 A document is the mean of learned vectors of its features: hashed words, a word that repeats the one before it,
-and hashed byte n-grams of its whole text. A softmax over the mean gives the score. Training is numpy stochastic
+and hashed character n-grams of its words, whose edges are marked. A softmax over the mean gives the score. Training is numpy stochastic
 gradient descent (step sizes by AdaGrad) in one task over at most `max_rows` labelled documents; everything else is a
 scan. The softmax is linear in the mean, so scoring looks up one number for each feature: the difference of the classes' products
 with its vector.
 
 Results for special cases: a null or empty text has no features and gets the score of the learned bias; labels that are null or
-neither 0 nor 1 are left out; of several labels of a document the smallest counts; without labels every score is 0.5; repeated rows
+neither 0 nor 1 are left out; of several labels of a document the smallest counts, of
+several texts of an id the first in order; without labels every score is 0.5; repeated rows
 and null ids are kept; an empty table gives an empty result; other columns are not read.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,38 +29,42 @@ from .pretokens import _powers
 
 BUCKETS = 1 << 17
 NGRAMS = (3, 4)
-REPEATED, FIRST = 0, 1  # reserved buckets
-_SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
+REPEATED, FIRST = 0, 1  # a reserved bucket, and the first of the others
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def features(text: bytes) -> np.ndarray:
-    """The buckets of a text's features, repeats included."""
-    b = np.frombuffer(text, np.uint8)
-    if not len(b):
+def features(text: str) -> np.ndarray:
+    """The buckets of a text's features, repeats included. Words lie between ASCII white space."""
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    if not len(code):
         return np.zeros(0, np.int64)
-    found = []
-    wide = b.astype(np.uint64) + np.uint64(1)
-    for n in NGRAMS:
-        if len(b) >= n:
-            gram = np.full(len(b) - n + 1, n, np.uint64)
-            for i in range(n):
-                gram = gram * np.uint64(257) + wide[i : len(b) - n + 1 + i]
-            found.append(gram)
-    inside = ~_SPACES[b]
+    inside = (code != 32) & (code - np.uint32(9) > 4)
     edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    power, inverse = _powers(len(b))
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(wide * power[: len(b)], out=total[1:])
+    wide = code.astype(np.uint64) + np.uint64(1)
+    power, inverse = _powers(len(code))
+    total = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum(wide * power[: len(code)], out=total[1:])
     words = (total[ends] - total[starts]) * inverse[starts]
-    found.append(words)
+    # characters of words with one mark between words, and at both ends
+    kept = inside.copy()
+    kept[ends[ends < len(code)]] = True
+    marked = np.concatenate([np.zeros(1, np.uint64), np.where(inside, wide, np.uint64(0))[kept], np.zeros(int(inside[-1]), np.uint64)])
+    marks = np.concatenate([[0], np.cumsum(marked == 0)])
+    found = [words]
+    for n in NGRAMS:
+        m = len(marked) - n + 1
+        if m > 0:
+            gram = np.full(m, n, np.uint64)
+            for i in range(n):
+                gram = gram * np.uint64(0x100000001B3) + marked[i : m + i]
+            found.append(gram[marks[n - 1 : n - 1 + m] == marks[1 : 1 + m]])  # no mark but at the ends
     repeated = np.full(int((words[1:] == words[:-1]).sum()), REPEATED, np.int64)
     mixed = np.concatenate(found) * _MIX
-    return np.concatenate([repeated, FIRST + 1 + ((mixed ^ mixed >> np.uint64(29)) * _MIX >> np.uint64(32)).astype(np.int64) % (BUCKETS - FIRST - 1)])
+    return np.concatenate([repeated, FIRST + ((mixed ^ mixed >> np.uint64(29)) * _MIX >> np.uint64(32)).astype(np.int64) % (BUCKETS - FIRST)])
 
 
-def train(texts: list[bytes], labels: np.ndarray, dims: int = 8, epochs: int = 12, rate: float = 0.5, seed: int = 7) -> np.ndarray:
+def train(texts: list[str], labels: np.ndarray, dims: int = 8, epochs: int = 12, rate: float = 0.5, seed: int = 7) -> np.ndarray:
     """The number of each bucket, and the bias in front of them."""
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (BUCKETS, dims)).astype(np.float32)
@@ -93,7 +99,7 @@ def _train(batches: Iterator[pd.DataFrame], options: dict) -> Iterator[pd.DataFr
     rows = pd.concat(batches, ignore_index=True)
     rows = rows.sort_values(["order", "text"], kind="stable")
     if len(rows):
-        yield pd.DataFrame({"model": [train([t.encode() for t in rows["text"]], rows["quality"].to_numpy(), **options).astype("<f8").tobytes()]})
+        yield pd.DataFrame({"model": [train(list(rows["text"]), rows["quality"].to_numpy(), **options).astype("<f8").tobytes()]})
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 4000, **options) -> np.ndarray:
@@ -102,6 +108,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
     chosen = known.groupBy("id").agg(F.min("quality").alias("quality")).withColumn("order", F.xxhash64("id")).orderBy("order", "id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    texts = texts.groupBy("id", "order", "quality").agg(F.min("text").alias("text"))  # repeated ids count once
     found = texts.select("order", "text", "quality").repartition(1).mapInPandas(partial(_train, options=options), "model binary").collect()
     return np.frombuffer(found[0]["model"], "<f8") if found else np.zeros(1 + BUCKETS)
 
@@ -110,8 +117,8 @@ def _score(batches: Iterator[pa.RecordBatch], model, text_at: int, kept: int) ->
     values = np.frombuffer(model.value, "<f8")
     for batch in batches:
         out = []
-        for t in batch.column(text_at).to_pylist():
-            own = features((t or "").encode())
+        for t in chain.from_iterable(batch.column(text_at).slice(at, 256).to_pylist() for at in range(0, batch.num_rows, 256)):
+            own = features(t or "")
             logit = values[0] + (values[1:][own].mean() if len(own) else 0.0)
             out.append(1 / (1 + np.exp(-logit)))
         yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(out, pa.float64())], names=[*batch.schema.names[:kept], "score"])
