@@ -1,28 +1,38 @@
 """Approximate nearest neighbours by learned partitions.
 
 On a sample of at most SAMPLE vectors the neighbour graph is cut into balanced parts (recursive bisection at the median of
-the graph's slow eigenvector), and a small network learns to tell from a vector in which parts its neighbours lie. Every
-vector of the table is indexed in its most probable part. A query probes its most probable parts, as many as the sample needs
-for the wanted recall, and all their vectors are reranked by exact cosine.
-
-Results for special cases: see `vectors.usable` for rows that take no part (zero vectors too); fewer candidates than k give all of
-those probed; ties go to the smaller id; copies of a vector beyond k + 1 can't enter a list and are not searched; no
-queries or no candidates give an empty result; other columns are not read.
+the graph's slow eigenvector), and a small network learns to tell from a vector in which parts its neighbours lie. A larger
+table has two levels: each part is cut again on a sample of its own, by a network of its own, so that parts stay small up to
+64 x 64 of them. Every vector of the table is indexed in its most probable part; a part beyond PART_ROWS is dealt to several tasks.
+A query probes its most probable parts by the product of both levels, and all their vectors are reranked by exact cosine.
+
+How many parts are probed is measured, not assumed: for CALIBRATION of the asked vectors the exact neighbours in the whole
+table are found, and the fewest probes that reach them with the wanted recall are taken.
+
+Results for special cases: see `vectors.usable` for rows that take no part (zero vectors too); rows that share an id are candidates
+each, and a row is no candidate of its own; fewer candidates than k give all of those probed; ties go to the smaller id; copies of
+a vector beyond k + 1 can't enter a list and are not searched; no queries or no candidates give an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
 
+import logging
+import pickle
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vectors
 from .common import materialise
 
-SAMPLE = 4096
-#: Candidates and queries of one task, about.
-PART_ROWS, QUERY_ROWS = 32_768, 20_000
+log = logging.getLogger(__name__)
+SAMPLE, CALIBRATION = 4096, 256
+#: Rows of the table for each part, about; parts that one network tells apart, at most; candidates of one task, about.
+ROWS_A_PART, MAX_PARTS, PART_ROWS = 512, 64, 32_768
 
 
 def neighbours(x: np.ndarray, k: int) -> np.ndarray:
@@ -82,35 +92,54 @@ class Router:
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    def ranked(self, x: np.ndarray) -> np.ndarray:
-        """Parts by falling probability."""
+    def logs(self, x: np.ndarray) -> np.ndarray:
+        """The logarithm of each part's probability."""
         z = np.maximum(x @ self.w[0] + self.w[1], 0) @ self.w[2] + self.w[3]
-        return np.argsort(-z, axis=1, kind="stable")
+        z = z - z.max(axis=1, keepdims=True)
+        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
-def fit(x: np.ndarray, parts: int, k: int, recall: float, seed: int = 11) -> tuple[Router, int]:
-    """The router and how many parts to probe, from normalised sample vectors; a quarter of them only measures recall."""
+def fit(x: np.ndarray, parts: int, seed: int = 11) -> Router:
+    """The router of `parts` parts (a power of two) of a sample of normalised vectors."""
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(x))
-    learn = x[order[len(x) // 4 :]] if len(x) >= 64 else x
-    near = neighbours(learn, 10)
+    near = neighbours(x, 10)
     label = bisect(near, parts, rng)
-    target = np.zeros((len(learn), parts))
-    np.add.at(target, (np.repeat(np.arange(len(learn)), near.shape[1]), label[near].ravel()), 1.0)
-    target[np.arange(len(learn)), label] += 1
-    router = Router(learn, target / target.sum(axis=1, keepdims=True), rng)
-    test = order[: max(len(x) // 4, 1)]
-    true = neighbours(x, k)[test]
-    ranked = router.ranked(x)
-    home = ranked[:, 0]
-    place = np.argsort(ranked[test], axis=1)  # the rank of each part
-    needed = np.take_along_axis(place, home[true], axis=1)
-    probes = next((m for m in range(1, parts + 1) if (needed < m).mean() >= recall), parts) if true.size else parts
-    return router, probes
+    target = np.zeros((len(x), parts))
+    np.add.at(target, (np.repeat(np.arange(len(x)), near.shape[1]), label[near].ravel()), 1.0)
+    target[np.arange(len(x)), label] += 1
+    return Router(x, target / target.sum(axis=1, keepdims=True), rng)
+
+
+class Parts:
+    """One router, and below it one for each of its parts, each of which makes `below` parts."""
+
+    def __init__(self, top: Router, parts: int, below: int = 1, inner: dict[int, Router] | None = None):
+        self.top, self.parts, self.below, self.inner = top, parts, below, inner or {}
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """The part in which each vector is indexed: the most probable one, level by level."""
+        outer = self.top.logs(x).argmax(axis=1)
+        out = outer * self.below
+        for p, router in self.inner.items():
+            own = np.flatnonzero(outer == p)
+            if len(own):
+                out[own] += router.logs(x[own]).argmax(axis=1)
+        return out
+
+    def ranked(self, x: np.ndarray) -> np.ndarray:
+        """All parts by falling probability."""
+        logs = np.repeat(self.top.logs(x), self.below, axis=1)
+        for p, router in self.inner.items():
+            logs[:, p * self.below : (p + 1) * self.below] += router.logs(x)
+        return np.argsort(-logs, axis=1, kind="stable")
 
 
 def _unit(vec: pd.Series) -> np.ndarray:
     x = np.array(vec.tolist(), np.float64)
+    return _normal(x)
+
+
+def _normal(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x**2).sum(axis=1, keepdims=True))
 
@@ -120,56 +149,97 @@ def cosine(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return (rows * query).sum(axis=1) / (np.sqrt((rows**2).sum(axis=1)) * np.sqrt((query**2).sum()))
 
 
-def _rerank(k: int):
-    def run(key, candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(candidates) or not len(queries):
-            return vectors.no_hits()
-        ids, rows = candidates["id"].to_numpy(np.int64), np.array(candidates["vec"].tolist(), np.float64)
-        unit, asked = _unit(candidates["vec"]), _unit(queries["vec"])
-        out = []
-        for at in range(0, len(asked), 128):
-            near = asked[at : at + 128] @ unit.T
-            kth = np.partition(near, max(len(ids) - k, 0), axis=1)[:, max(len(ids) - k, 0)]
-            for i, vec in enumerate(queries["vec"].iloc[at : at + 128]):
-                good = np.flatnonzero(near[i] >= kth[i] - 1e-9)
-                score = cosine(np.asarray(vec, np.float64), rows[good])
-                keep = np.lexsort((ids[good], -score))[:k]
-                out.append([{"score": float(score[j]), "id": int(ids[good[j]])} for j in keep])
-        return pd.DataFrame({"qid": queries["qid"].to_numpy(), "hits": out})
-
-    return run
-
-
-def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.95, sample_rows: int = SAMPLE) -> DataFrame:
-    """(query_id, rank, vec_id, score double) of vectors (id long, vec array<double>); a query's own id is no candidate of its."""
+class _Part:
+    """The vectors of one part, for exact cosines."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int):
+        self.ids, self.rows, self.k = ids, rows.astype(np.float64), k
+        self.unit = _normal(self.rows)
+
+    def hits(self, query: np.ndarray, floor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        near = self.unit @ _normal(query[None])[0]
+        at = max(len(near) - self.k, 0)
+        good = np.flatnonzero(near >= np.partition(near, at)[at] - 1e-9)
+        score = cosine(query, self.rows[good])
+        keep = np.lexsort((self.ids[good], -score))[: self.k]
+        return score[keep], self.ids[good[keep]], (self.rows[good[keep]] == query).all(axis=1)
+
+
+def _learn(kept: DataFrame, n: int, sample_rows: int) -> Parts:
+    """The partitions: the first level here, the second one a task for each part, each from its own bounded sample."""
+    sample = kept.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("vec").toPandas()
+    most = max(len(sample) // 48, 1).bit_length() - 1
+    wanted = max((n // ROWS_A_PART).bit_length(), 3)
+    parts = 1 << min(wanted, most, MAX_PARTS.bit_length() - 1)
+    top = Parts(fit(_unit(sample["vec"]), parts), parts)
+    below = 1 << min(max(wanted - parts.bit_length() + 1, 0), MAX_PARTS.bit_length() - 1) if parts == MAX_PARTS else 1
+    if below == 1:
+        return top
+    drawn = kept.select("vec", "id").mapInPandas(lambda it: (x.assign(part=top.home(_unit(x["vec"]))) for x in it if len(x)), "vec array<double>, id long, part long")
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(F.xxhash64("id"), "id"))
+    drawn = drawn.withColumn("nth", nth).filter(F.col("nth") <= sample_rows).select("part", "vec")
+
+    def inner(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "router": [pickle.dumps(fit(_unit(pdf["vec"]), below))]})
+
+    enough = drawn.groupBy("part").applyInPandas(lambda pdf: inner(pdf) if len(pdf) >= 2 * below else pd.DataFrame({"part": [], "router": []}), "part long, router binary")
+    return Parts(top.top, parts, below, {r["part"]: pickle.loads(r["router"]) for r in enough.collect()})  # at most MAX_PARTS small networks
+
+
+def _probes(placed: DataFrame, asked: DataFrame, parts: Parts, k: int, recall: float, calibration: int) -> tuple[int, float]:
+    """The fewest parts that hold the wanted share of the exact neighbours of some asked vectors, and the share they hold."""
+    some = asked.orderBy(F.xxhash64("vec"), "qid").limit(calibration).select("vec").toPandas()
+    queries = _unit(some["vec"])
+
+    def nearest_here(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [np.zeros((len(queries), 0)), np.zeros((len(queries), 0), np.int64)]
+        for x in batches:
+            if len(x):
+                near = queries @ _unit(x["vec"]).T
+                near[near > 1 - 1e-12] = -np.inf  # the vector itself and its copies
+                both = np.hstack([held[0], near]), np.hstack([held[1], np.broadcast_to(x["shard"].to_numpy(), near.shape)])
+                top = np.argsort(-both[0], axis=1, kind="stable")[:, :k]
+                held = [np.take_along_axis(b, top, axis=1) for b in both]
+        q, col = np.nonzero(held[0] > -np.inf)
+        yield pd.DataFrame({"q": q, "score": held[0][q, col], "part": held[1][q, col]})
+
+    flat = placed.select("vec", "shard").mapInPandas(nearest_here, "q long, score double, part long")
+    nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
+    true = flat.withColumn("nth", nth).filter(F.col("nth") <= k).select("q", "part").toPandas()  # at most calibration * k rows
+    if not len(true):
+        return 1, 1.0
+    place = np.argsort(parts.ranked(queries), axis=1)  # the rank of each part
+    needed = np.sort(place[true["q"], true["part"]])
+    m = int(needed[min(int(np.ceil(recall * len(needed))), len(needed)) - 1]) + 1
+    return m, float((needed < m).mean())
+
+
+def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.95, sample_rows: int = SAMPLE, calibration: int = CALIBRATION) -> DataFrame:
+    """(query_id, rank, vec_id, score double) of vectors (id long, vec array<double>); a query's own row is no candidate of its."""
     spark = candidates.sparkSession
     kept = materialise(vectors.thin_copies(candidates, k + 1))
-    asked = materialise(vectors.distinct_queries(queries))
-    n, n_asked = kept.count(), asked.count()
-    sample = kept.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("vec").toPandas()
-    if not len(sample) or not n_asked:
-        return vectors.answers(queries, spark.createDataFrame([], "qid long, hits array<struct<nth:int,id:long,score:double>>"), k)
-    parts = 1 << min(max((n // 512).bit_length(), 3), max(len(sample) // 48, 1).bit_length() - 1)
-    router, probes = fit(_unit(sample["vec"]), parts, k, recall)
-
-    def route(pdf: pd.DataFrame, m: int) -> pd.DataFrame:
-        ranked = router.ranked(_unit(pdf["vec"]))[:, :m]
-        out = pdf.loc[pdf.index.repeat(m)].reset_index(drop=True)
-        out["part"] = ranked.ravel()
-        return out
-
-    placed = materialise(kept.select("id", "vec").mapInPandas(lambda it: (route(x, 1) for x in it if len(x)), "id long, vec array<double>, part long"))
-    cut = placed.groupBy("part").count().select("part", F.ceil(F.col("count") / PART_ROWS).alias("cuts")).collect()  # a row a part
-    cuts, cuts_asked = (spark.createDataFrame([(r["part"], r["cuts"]) for r in cut], f"part long, {name} long") for name in ("cuts", "cuts_asked"))
-    slices = max(-(-n_asked // QUERY_ROWS), 1)
-    held = placed.join(F.broadcast(cuts), "part").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
-    held = held.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))) if slices > 1 else held.withColumn("slice", F.lit(0).cast("long"))
-    sent = asked.select("qid", "vec").mapInPandas(lambda it: (route(x, probes) for x in it if len(x)), "qid long, vec array<double>, part long")
-    sent = sent.withColumn("slice", F.pmod(F.xxhash64("qid"), F.lit(slices))).join(F.broadcast(cuts_asked), "part")
-    sent = sent.withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts_asked") - 1)))
-    both = held.groupBy("part", "cut", "slice").cogroup(sent.groupBy("part", "cut", "slice"))
-    hits = both.applyInPandas(_rerank(k + 1), "qid long, " + vectors.HIT.format("double"))
-    return vectors.answers(queries, vectors.best(hits, k + 1), k)
+    asked = vectors.distinct_queries(queries)
+    n = kept.count()
+    if not n or asked.isEmpty():
+        return vectors.answers(queries, asked, spark.createDataFrame([], vectors.BEST.format("double")), k)
+    parts = _learn(kept, n, sample_rows)
+    placed = materialise(kept.select("id", "vec").mapInPandas(lambda it: (x.assign(shard=parts.home(_unit(x["vec"]))) for x in it if len(x)), "id long, vec array<double>, shard long"))
+    probes, reached = _probes(placed, asked, parts, k, recall, calibration)
+    log.info("%d of %d parts hold %.3f of the exact neighbours", probes, parts.parts * parts.below, reached)
+    cut = placed.groupBy("shard").count().select(F.col("shard").alias("part"), F.ceil(F.col("count") / PART_ROWS).alias("cuts")).orderBy("part").collect()  # a row a part
+    firsts = np.cumsum([0, *(r["cuts"] for r in cut)])
+    blocks = F.broadcast(spark.createDataFrame([(r["part"], int(f), r["cuts"]) for r, f in zip(cut, firsts, strict=False)], "part long, _first long, _cuts long"))
+    held = placed.withColumnRenamed("shard", "part").join(blocks, "part").select((F.col("_first") + F.pmod(F.xxhash64("id", "vec"), F.col("_cuts"))).alias("shard"), "id", "vec")
+
+    def route(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf.loc[pdf.index.repeat(probes)].reset_index(drop=True)
+        return out.assign(part=parts.ranked(_unit(pdf["vec"]))[:, :probes].ravel())
+
+    sent = asked.mapInPandas(lambda it: (route(x) for x in it if len(x)), "qid long, vec array<double>, part long")
+    each = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_cuts") - 1))
+    sent = sent.join(blocks, "part").select(each.alias("shard"), "qid", "vec", F.lit(None).cast("double").alias("floor"))
+    hits = vectors.search_shards(held, sent, lambda ids, rows: _Part(ids, rows, k + 1), "double")
+    return vectors.answers(queries, asked, materialise(vectors.best(hits, k + 1)), k)
 
 
 def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", recall: float = 0.95) -> DataFrame:

@@ -1,24 +1,27 @@
-"""What both vector searches share: usable vectors, distinct queries, and answers without a query's own row."""
+"""What both vector searches share: usable vectors, distinct queries, shards searched by a stream of queries, and answers."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HIT = "hits array<struct<score:{0},id:long>>"
-
+from .common import materialise, shuffle_partitions
 
-def no_hits() -> pd.DataFrame:
-    return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "hits": pd.Series([], dtype=object)})
+HIT = "hits array<struct<score:{0},id:long,same:boolean>>"
+BEST = "qid long, hits array<struct<nth:int,id:long,score:{0},same:boolean>>"
+#: Queries that one task answers from one shard, about.
+QUERY_ROWS = 100_000
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str, nonzero: bool = False) -> DataFrame:
-    """(id long, vec array<double>) of the rows that take part.
+    """(id long, vec array<double>) of the rows that take part; rows that share an id each take part.
 
-    Left out: null ids, vectors that are null, empty, or hold null or non-finite components (or only zeros with `nonzero`), and
-    vectors whose length is not the most frequent one (the longer on a tie). Of several rows with one id the smallest
-    vector in array order takes part.
+    Left out: null ids, vectors that are null, empty, or hold null or non-finite components (or only zeros with `nonzero`), and, since
+    nothing measures them against the others, vectors whose length is not the most frequent one (the longer on a tie).
     """
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
@@ -26,8 +29,7 @@ def usable(df: DataFrame, id_col: str, vec_col: str, nonzero: bool = False) -> D
     if nonzero:
         rows = rows.filter(F.exists("vec", lambda x: x != 0))
     common = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    rows = rows.filter(F.size("vec") == (common["n"] if common else 0))
-    return rows.groupBy("id").agg(F.min("vec").alias("vec"))
+    return rows.filter(F.size("vec") == (common["n"] if common else 0))
 
 
 def thin_copies(rows: DataFrame, copies: int) -> DataFrame:
@@ -37,8 +39,48 @@ def thin_copies(rows: DataFrame, copies: int) -> DataFrame:
 
 
 def distinct_queries(queries: DataFrame) -> DataFrame:
-    """One row (qid, vec) for each vector that is asked for: qid is the smallest id that asks."""
-    return queries.groupBy("vec").agg(F.min("id").alias("qid"))
+    """One row (qid, vec) for each vector that is asked for, numbered."""
+    return materialise(queries.select("vec").distinct()).select(F.monotonically_increasing_id().alias("qid"), "vec")
+
+
+def search_shards(held: DataFrame, sent: DataFrame, build: Callable, score: str) -> DataFrame:
+    """(qid, hits) of each query of `sent` (shard, qid, vec, floor) in its shard of `held` (shard, id, vec).
+
+    `build(ids, points)` makes a shard searchable; its `hits(query, floor)` gives (scores, ids, same), best first. A task holds one
+    shard's candidates and reads queries as a stream. A shard that many queries ask goes to several tasks, each with its share of
+    them; one that none asks goes nowhere.
+    """
+    need = sent.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("slices"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))
+    a = held.join(need, "shard").select("shard", each.alias("slice"), F.lit(0).alias("side"), "id", "vec", F.lit(None).cast(score).alias("floor"))
+    share = F.pmod(F.xxhash64("qid"), F.col("slices"))
+    b = sent.join(need, "shard").select("shard", share.alias("slice"), F.lit(1).alias("side"), F.col("qid").alias("id"), "vec", F.col("floor").cast(score).alias("floor"))
+    both = a.union(b).repartition(shuffle_partitions(held.sparkSession), "shard", "slice").sortWithinPartitions("shard", "slice", "side")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, ids, points, built = None, [], [], None
+        for batch in batches:
+            keys = batch[["shard", "slice", "side"]].to_numpy()
+            edges = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+            for lo, hi in zip([0, *edges], [*edges, len(keys)], strict=True):
+                if lo == hi:
+                    continue
+                part, own = batch.iloc[lo:hi], tuple(keys[lo, :2])
+                if own != key:
+                    key, ids, points, built = own, [], [], None
+                vecs = np.array(part["vec"].tolist())
+                if keys[lo, 2] == 0:
+                    ids.append(part["id"].to_numpy(np.int64))
+                    points.append(vecs)
+                elif ids or built:
+                    if not built:
+                        built = build(np.concatenate(ids), np.concatenate(points))
+                        ids, points = [], []
+                    found = [built.hits(q, None if pd.isna(f) else f) for q, f in zip(vecs, part["floor"], strict=True)]
+                    hits = [[{"score": s.item(), "id": int(i), "same": bool(e)} for s, i, e in zip(*x, strict=True)] for x in found]
+                    yield pd.DataFrame({"qid": part["id"].to_numpy(np.int64), "hits": hits})
+
+    return both.mapInPandas(run, "qid long, " + HIT.format(score))
 
 
 def best(hits: DataFrame, k: int) -> DataFrame:
@@ -46,12 +88,19 @@ def best(hits: DataFrame, k: int) -> DataFrame:
     flat = hits.select("qid", F.explode("hits").alias("h"))
     nth = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("h.score"), F.asc("h.id")))
     top = flat.withColumn("nth", nth).filter(F.col("nth") <= k)
-    return top.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("nth", F.col("h.id").alias("id"), F.col("h.score").alias("score")))).alias("hits"))
+    one = F.struct("nth", F.col("h.id").alias("id"), F.col("h.score").alias("score"), F.col("h.same").alias("same"))
+    return top.groupBy("qid").agg(F.array_sort(F.collect_list(one)).alias("hits"))
 
 
-def answers(queries: DataFrame, found: DataFrame, k: int, id_name: str = "vec_id") -> DataFrame:
-    """(query_id, rank, `id_name`, score): for every asking row the first `k` hits that are not the row itself."""
-    qids = queries.select("id", F.min("id").over(Window.partitionBy("vec")).alias("qid"))
-    own = qids.join(found, "qid")
-    rest = F.slice(F.filter("hits", lambda h: h["id"] != F.col("id")), 1, k)
-    return own.select(F.col("id").alias("query_id"), F.posexplode(rest).alias("rank", "h")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("h.id").alias(id_name), F.col("h.score").alias("score"))
+def answers(queries: DataFrame, asked: DataFrame, found: DataFrame, k: int, id_name: str = "vec_id") -> DataFrame:
+    """(query_id, rank, `id_name`, score): for every asking row the first `k` hits without the row itself.
+
+    Rows that ask for the same vector share its hits; the join that deals them out has one row a vector on its other side, so a hot
+    vector's rows can be split.
+    """
+    by_vec = asked.join(found, "qid").select("vec", "hits")
+    own = queries.join(by_vec, "vec")
+    itself = F.array_position(F.transform("hits", lambda h: (h["id"] == F.col("id")) & h["same"]), True)
+    rest = F.slice(F.filter("hits", lambda h, i: i + 1 != F.col("_own")), 1, k)
+    placed = own.withColumn("_own", itself).select(F.col("id").alias("query_id"), F.posexplode(rest).alias("rank", "h"))
+    return placed.select("query_id", (F.col("rank") + 1).alias("rank"), F.col("h.id").alias(id_name), F.col("h.score").alias("score"))
