@@ -1,6 +1,7 @@
 """Language ID, quality, SimHash, personal data and sharding on small documents, against brute force."""
 
 import hashlib
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -14,10 +15,9 @@ from cohortspan.llm import pii, ppm_langid, quality, sharding, simhash
 from cohortspan.llm.common import number_within
 
 
-def test_ppm_costs_against_plain_trees():
-    texts = {"x": [b"abracadabra", b"cab"], "y": [b"banana band", b"nab"]}
-    counts = {k: {} for k in texts}
-    grams = []
+def learned(texts):
+    """A model of the texts of each language, and the plain trees: how often each byte followed each context."""
+    counts, grams = {k: {} for k in texts}, []
     for lang, own in texts.items():
         for t in own:
             padded = bytes(3) + t
@@ -27,26 +27,56 @@ def test_ppm_costs_against_plain_trees():
                     c[padded[i]] += 1
             grams += [(lang, int(g)) for g in ppm_langid._grams(t)]
     table = sorted(Counter(grams).items())
-    import pickle
+    langs = sorted(texts)
+    model = pickle.dumps((langs, np.array([langs.index(k[0]) for k, _ in table], np.uint8), np.array([k[1] for k, _ in table], np.uint32), np.array([n for _, n in table], np.uint32)))
+    return model, counts
 
-    model = pickle.dumps((["x", "y"], np.array([int(k[0] == "y") for k, _ in table], np.uint8), np.array([k[1] for k, _ in table], np.uint32), np.array([n for _, n in table], np.uint32)))
-    trees = ppm_langid.Trees(model)
-    known = set(b"".join(t for own in texts.values() for t in own))
 
-    def p(lang, context, sym):
+def plain_cost(counts, lang, text):
+    def p(context, sym):
         if context is None:
             return 1 / 256
         c = counts[lang].get(context)
         shorter = context[1:] if context else None
         if c is None:
-            return p(lang, shorter, sym)
+            return p(shorter, sym)
         all_ = sum(c.values()) + len(c)
-        return c[sym] / all_ if sym in c else len(c) / all_ * p(lang, shorter, sym)
+        return c[sym] / all_ if sym in c else len(c) / all_ * p(shorter, sym)
 
-    for t in (b"abra", b"banana", b"", b"zq cab", b"nabab dab"):
-        padded = bytes(3) + bytes(ch if ch in known else 0 for ch in t)
-        want = [sum(np.log(p(lang, padded[i - 3 : i], padded[i] if padded[i] else 1)) for i in range(3, len(padded))) for lang in ("x", "y")]
-        assert trees.costs([t])[0] == pytest.approx(want, rel=1e-4)
+    padded = bytes(3) + text
+    return sum(np.log(p(padded[i - 3 : i], padded[i])) for i in range(3, len(padded)))
+
+
+def test_ppm_costs_against_plain_trees(monkeypatch):
+    model, counts = learned({"x": [b"abracadabra", b"cab"], "y": [b"banana band", b"nab"]})
+    tests = [b"abra", b"banana", b"", b"zq cab", b"nabab dab", "zé a\u4e2d".encode(), b"abracadabra banana band " * 20]
+    want = [[plain_cost(counts, lang, t) for lang in ("x", "y")] for t in tests]
+    assert ppm_langid.Trees(model).costs(tests) == pytest.approx(np.array(want), rel=1e-9)
+    monkeypatch.setattr(ppm_langid, "WINDOW", 7)  # long texts are scored in parts
+    assert ppm_langid.Trees(model).costs(tests) == pytest.approx(np.array(want), rel=1e-9)
+
+
+def test_ppm_keeps_every_context():
+    """Far more than 16,384 contexts in three languages: costs are those of the plain trees."""
+    rng = np.random.default_rng(2)
+    texts = {lang: [bytes(rng.integers(lo, lo + 60, 30_000, dtype=np.uint8)) for lo in (40, 150)] for lang in "xyz"}
+    model, counts = learned(texts)
+    assert len({c for own in counts.values() for c in own if len(c) == 3}) > 100_000
+    tests = [t[i : i + 50] for own in texts.values() for t in own for i in (0, 777)] + [b"nothing learned \xff\xfe"]
+    want = [[plain_cost(counts, lang, t) for lang in "xyz"] for t in tests]
+    assert ppm_langid.Trees(model).costs(tests) == pytest.approx(np.array(want), rel=1e-9)
+
+
+def test_language_ties_and_repeated_rows(spark):
+    """Two languages learned from equal texts tie: the first by name wins. A row repeated often counts once in learning."""
+    rows = [(i, f"same text {i % 7}", lang) for i, lang in enumerate(["b", "a"] * 40)]
+    rows = [(i, f"same text {i // 2 % 7}", lang) for i, _, lang in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = df.filter("doc_id < 28")
+    got = ppm_langid.predict(df, ppm_langid.learn(sample), ["doc_id"]).collect()
+    assert {(r.lang_pred, round(r.score, 9)) for r in got} == {("a", 0.5)}
+    often = sample.union(spark.range(500).selectExpr("4L", "'same text 2'", "'b'"))
+    assert pickle.loads(ppm_langid.learn(often))[3].tolist() == pickle.loads(ppm_langid.learn(sample))[3].tolist()
 
 
 def test_language_rows(spark, docs, empty):
@@ -75,6 +105,77 @@ def test_quality(spark, docs, empty):
     assert quality.classify(empty, labels).count() == 0
 
 
+def plain_features(text):
+    """Words, a mark for each word that repeats the one before it, and character n-grams of marked words."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    grams = [f"<{w}>"[i : i + n] for n in (3, 4) for w in words for i in range(len(w) + 3 - n)]
+    return words, grams, sum(a == b for a, b in zip(words, words[1:]))
+
+
+def test_quality_features():
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(["a", "b", "é", "\U0001f600", " ", "\n", "\u2003"], rng.integers(0, 30))) for _ in range(300)] + ["x y z " * 50_000]
+    bucket = {}
+    for t in texts:
+        words, grams, repeated = plain_features(t)
+        own = quality.features(t).tolist()
+        assert own[:repeated] == [quality.REPEATED] * repeated and len(own) == repeated + len(words) + len(grams)
+        for key, b in zip([("w", w) for w in words], own[repeated:], strict=False):
+            assert bucket.setdefault(key, b) == b
+        rest = Counter(own[repeated + len(words) :])
+        if len(t) < 40:
+            for n in set(grams):
+                alone = [quality.features(n[1:-1])] if n[0] == "<" and n[-1] == ">" else []
+                assert all(set(a.tolist()) <= set(own) for a in alone)
+        assert sum(rest.values()) == len(grams)
+    assert len(set(bucket.values())) > 0.9 * len(bucket)
+
+
+def test_quality_training_against_plain_gradients(monkeypatch):
+    """One epoch over explicit vectors with the gradient of the softmax loss, by numerical differences."""
+    monkeypatch.setattr(quality, "BUCKETS", 50)
+    texts, labels = ["a b", "b c c", "d", ""], np.array([1, 0, 1, 0])
+    dims, rate, seed = 3, 0.3, 5
+    rng = np.random.default_rng(seed)
+    v, o, b = rng.normal(0, 0.1, (50, dims)), rng.normal(0, 0.1, (2, dims)), np.zeros(2)
+    sv, so, sb = np.full(50, 1e-8), 1e-8, 1e-8
+
+    def loss(v, o, b, share, label):
+        z = o @ (share @ v) + b
+        return -z[label] + np.log(np.exp(z).sum())
+
+    def slope(x, f):
+        out = np.zeros_like(x)
+        for i in np.ndindex(x.shape):
+            up, down = x.copy(), x.copy()
+            up[i] += 1e-6
+            down[i] -= 1e-6
+            out[i] = (f(up) - f(down)) / 2e-6
+        return out
+
+    for i in rng.permutation(4):
+        f = quality.features(texts[i])
+        share = np.bincount(f, minlength=50) / max(len(f), 1)
+        gv, go, gb = slope(v, lambda x: loss(x, o, b, share, labels[i])), slope(o, lambda x: loss(v, x, b, share, labels[i])), slope(b, lambda x: loss(v, o, x, share, labels[i]))
+        so, sb, sv = so + (go**2).sum(), sb + (gb**2).sum(), sv + (gv**2).sum(axis=1)
+        o, b = o - rate * go / np.sqrt(so), b - rate * gb / np.sqrt(sb)
+        v = v - rate * gv / np.sqrt(sv)[:, None]
+    want = np.concatenate([[b[1] - b[0]], v @ (o[1] - o[0])])
+    assert quality.train(texts, labels, dims=dims, epochs=1, rate=rate, seed=seed) == pytest.approx(want, abs=1e-4)
+
+
+def test_quality_threshold_and_repeated_ids(spark):
+    """A score of exactly the threshold counts as good; repeated rows of an id count once in training."""
+    model = np.zeros(1 + quality.BUCKETS)
+    df = spark.createDataFrame([(i, f"word {i % 5} " * (1 + i % 3)) for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    assert {r.score for r in quality.score(df, model, ["doc_id"]).collect()} == {0.5}
+    assert {r.predicted for r in quality.classify(df, labels.limit(0), threshold=0.5).collect()} == {1}
+    often = df.union(spark.range(300).selectExpr("4L", "'word 4 word 4 '"))
+    assert quality.learn(often, labels).tolist() == quality.learn(df, labels).tolist()
+    assert len({r.score for r in quality.classify(often, labels).filter("doc_id = 4").collect()}) == 1
+
+
 def test_quality_never_sees_held_out_labels(spark):
     df = spark.createDataFrame([(i, f"word{i % 7} other") for i in range(200)], "doc_id long, text string")
     a = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
@@ -121,8 +222,18 @@ def test_simhash_classes(docs, rows, empty):
     assert simhash.keep_one(docs).filter("doc_id is null").count() == 1
 
 
-@pytest.mark.parametrize("dense", [1, 32])
-def test_links_connect_what_pairs_connect(spark, dense):
+def test_one_row_of_each_component_stays(spark, docs, rows):
+    """Also of repeated rows, of different texts that share an id, and of rows without an id."""
+    t, u = "one two three four five six", "seven eight nine ten"
+    df = spark.createDataFrame([(1, t), (1, t), (None, t), (None, t), (2, t), (3, u), (1, u), (None, "alone"), (None, "alone"), (None, None), (9, "")], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(df).collect()), key=str) == sorted([(1, t), (1, u), (9, ""), (None, "alone")], key=str)
+    kept = simhash.keep_one(docs)
+    comp = classes([plain_fingerprint(t) for _, t in rows])
+    assert kept.columns == docs.columns
+    assert Counter(comp[plain_fingerprint(r.text)] for r in kept.collect()) == Counter(set(comp.values()))
+
+
+def test_links_connect_what_pairs_connect(spark):
     rng = np.random.default_rng(9)
     centres = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
     fps = set()
@@ -133,7 +244,7 @@ def test_links_connect_what_pairs_connect(spark, dense):
                 v ^= 1 << int(b)
             fps.add(v)
     signed = [v - (1 << 64) if v >> 63 else v for v in fps]
-    edges = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), dense=dense).collect()
+    edges = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long")).collect()
     mask = (1 << 64) - 1
     assert all(((e.a ^ e.b) & mask).bit_count() <= 3 for e in edges)
     root = {v & mask: v & mask for v in signed}
@@ -230,7 +341,36 @@ def test_shards(spark, docs, rows, empty):
     assert small <= 1  # only the group with a third of all rows is cut
 
 
+def test_shards_of_rows_that_are_alike(spark):
+    """Repeated rows without an id can't be told apart by what they hold, and still fill the shards evenly."""
+    df = spark.range(3500).selectExpr("if(id < 3000, null, id) doc_id", "if(id < 3000, 'the same', concat('text ', id)) text")
+    got = sharding.shard(df).collect()
+    sizes, slots = Counter(), {}
+    for r in got:
+        sizes[r.shard] += r["size"]
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == 3500 and len(sizes) == 24 and max(sizes.values()) <= 1.03 * min(sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_placing_against_plain_dot_products():
+    """Largest first; among shards with room for the bytes the one with the highest dot product, ties to the lower number."""
+    rng = np.random.default_rng(7)
+    for n, shards in ((0, 3), (1, 3), (40, 4), (60, 7)):
+        cells = rng.integers(0, 9, (n, 3)).astype(float)
+        total = cells.sum(axis=0)
+        need = [[c / max(t, 1) * shards for c, t in zip(row, total)] for row in cells.tolist()]
+        room, want = [[1.0] * 3 for _ in range(shards)], [0] * n
+        for i in sorted(range(n), key=lambda i: -max(need[i])):
+            fit = [s for s in range(shards) if room[s][0] >= need[i][0]]
+            dot = lambda s: sum(a * b for a, b in zip(room[s], need[i]))
+            want[i] = max(fit, key=lambda s: (round(dot(s), 12), -s)) if fit else max(range(shards), key=lambda s: (round(room[s][0], 12), -s))
+            room[want[i]] = [a - b for a, b in zip(room[want[i]], need[i])]
+        got = sharding.place(cells, shards)
+        assert len(got) == n and (got == want).mean() >= 0.9 if n else not len(got)  # rounding may turn a tie
+
+
 def test_numbers_have_no_gaps(spark):
-    df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
-    got = number_within(df, "g", ["id"], "n", buckets=7).groupBy("g").agg(F.count_distinct("n").alias("c"), F.max("n").alias("m"), F.min("n").alias("l"), F.count(F.lit(1)).alias("k")).collect()
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.lit(1).alias("id"))  # rows are alike
+    got = number_within(df, "g", "n").groupBy("g").agg(F.count_distinct("n").alias("c"), F.max("n").alias("m"), F.min("n").alias("l"), F.count(F.lit(1)).alias("k")).collect()
     assert all((r.c, r.m, r.l) == (r.k, r.k - 1, 0) for r in got)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortspan.llm import ball_tree, learned_partitions
+from cohortspan.llm import ball_tree, learned_partitions, vectors
 
 
 @pytest.fixture(scope="module")
@@ -17,29 +17,48 @@ def table(spark):
     return spark.createDataFrame(data, "vec_id long, embedding array<float>, qid string"), x
 
 
+def plain_top(ids, z, asking, k):
+    """Rows (query, rank, id, score) by all pairs of rows; a row leaves only itself out."""
+    out = []
+    for i in np.flatnonzero(asking):
+        s = z @ z[i]
+        out += [(ids[i], r + 1, ids[j], s[j]) for r, j in enumerate([j for j in np.lexsort((ids, -s)) if j != i][:k])]
+    return sorted(out)
+
+
 def test_exact(table):
+    """Rows that share an id count each: id 3 twice with one vector, id 40 twice with two."""
     df, x = table
-    z = np.vstack([np.floor(64 * x.astype(float)), np.zeros(12)]).astype(np.int64)
-    ids = np.array([*range(900), 2004])
-    got = {}
-    for r in ball_tree.search(df, F.col("id") % 20 == 0, k=20).orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    want = {}
-    for i in np.flatnonzero(ids % 20 == 0):
-        s = z @ z[i]
-        want[ids[i]] = [(ids[j], s[j]) for j in np.lexsort((ids, -s)) if j != i][:20]
-    assert got == want
+    df = df.union(df.sparkSession.createDataFrame([(40, x[41].tolist(), "again")], df.schema))
+    z = np.vstack([np.floor(64 * x.astype(float)), np.zeros(12), np.floor(64 * x[[3, 41]].astype(float))]).astype(np.int64)
+    ids = np.array([*range(900), 2004, 3, 40])
+    got = ball_tree.search(df, F.col("id") % 20 == 0, k=20)
+    assert sorted(map(tuple, got.collect())) == plain_top(ids, z, ids % 20 == 0, 20)
 
 
-def test_exact_with_many_shards_and_slices(table, monkeypatch):
-    monkeypatch.setattr(ball_tree, "QUERY_ROWS", 5)
+@pytest.mark.parametrize("max_cells", [1, 3, 1024])
+def test_exact_with_many_shards_and_slices(table, monkeypatch, max_cells):
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 5)
     df, _ = table
     rows = df.filter("vec_id < 900 and qid = 'q'").select(F.col("vec_id").alias("id"), ball_tree.quantise(F.col("embedding")).alias("vec"))
-    one = ball_tree.top_k(rows, rows.filter("id % 50 = 0"), 5, shard_rows=2000)
-    many = ball_tree.top_k(rows, rows.filter("id % 50 = 0"), 5, shard_rows=90)
+    one = ball_tree.top_k(rows, rows.filter("id % 50 = 0"), 5, shard_rows=2000, waves=(None,))
+    many = ball_tree.top_k(rows, rows.filter("id % 50 = 0"), 5, shard_rows=90, max_cells=max_cells)
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
 
 
+def test_components_and_scores_beyond_a_long(spark):
+    """Finite components that leave a long's range count as its end, and so do scores; ties then go by id."""
+    x = [[1e30, 1.0], [-1e30, 2.0], [3.0, 4.0], [1e30, -1e30], [0.5, 0.25], [1e17, 0.0]]
+    ends = -(1 << 63), (1 << 63) - 1
+    z = [[min(max(int(np.floor(64 * c)), ends[0]), ends[1]) for c in v] for v in x]
+    got = ball_tree.search(spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>"), F.lit(True), k=4)
+    want = []
+    for i, q in enumerate(z):
+        s = [(-min(max(sum(a * b for a, b in zip(q, v)), ends[0]), ends[1]), j) for j, v in enumerate(z) if j != i]
+        want += [(i, r + 1, j, -n) for r, (n, j) in enumerate(sorted(s)[:4])]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_large_components_stay_exact(spark):
     big = 1 << 28
     rows = spark.createDataFrame([(i, [big + i, big - i]) for i in range(30)], "id long, vec array<long>")
@@ -64,6 +83,23 @@ def test_approximate(table):
     assert set(got) == set(range(0, 900, 50)) and hit / (5 * len(got)) >= 0.9
 
 
+def test_two_levels_of_parts(spark, monkeypatch):
+    """Vectors around centres: both levels are learned, and the probes measured on the table reach the recall."""
+    monkeypatch.setattr(learned_partitions, "MAX_PARTS", 8)
+    monkeypatch.setattr(learned_partitions, "ROWS_A_PART", 64)
+    monkeypatch.setattr(learned_partitions, "PART_ROWS", 50)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 8))[rng.integers(0, 60, 3000)] + 0.2 * rng.normal(size=(3000, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    kept = rows.cache()
+    parts = learned_partitions._learn(kept, 3000, 512)
+    assert parts.parts == 8 and parts.below == 8 and len(parts.inner) == 8
+    got = learned_partitions.nearest(rows, rows.filter("id % 50 = 0"), 5, recall=0.95, sample_rows=512).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {(q, j) for q in range(0, 3000, 50) for j in [j for j in np.argsort(-(unit @ unit[q]), kind="stable") if j != q][:5]}
+    assert len(got) == 300 and len(want & {(r.query_id, r.vec_id) for r in got}) / 300 >= 0.9
+
+
 def test_empty(table):
     df, _ = table
     for search in (ball_tree.search, learned_partitions.search):
