@@ -1,18 +1,23 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Texts travel once, in blocks. Each block sends every distinct word to the word's bucket, where it is encoded once for
-the whole corpus; the ids come back to the block and are put where the word stands. A word's positions stay with its
-block, so a very frequent word costs one row entry for each block, not one for each occurrence.
+Encoding: texts are split in pre-tokens in blocks. A block's distinct words go to the words' buckets, where each distinct word of the
+corpus is encoded once; the ids come back to the block, are joined to the block's list of word numbers by position, and give the
+documents' ids again. Words and positions of a block travel packed (a row for each word and block, let alone for each position, is
+several times the input), so a very frequent word costs one entry for each block.
 
-Results for special cases: a null text counts as empty and gives no ids; repeated rows and null document ids are
-kept, each row with its own result; an empty table gives an empty result; other columns are not read.
+Decoding: the distinct ids of some documents are rows that are joined with the token-byte table, which has a row for each rank and
+is broadcast; the documents' positions follow as one row, and bytes are put where their ids stand. Nothing is shuffled.
+
+Results for special cases: a null text counts as empty and gives no ids, null ids decode to no bytes, an id that the table does not
+have is an error; repeated rows and null document ids are kept, each row with its own result; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
-from functools import lru_cache, partial
+from collections.abc import Iterator
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -24,26 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens
-from .common import shuffle_partitions
+from .common import free_arrow, materialise, shuffle_partitions
 
-Finish = Callable[[pa.ChunkedArray, list[np.ndarray]], pa.Table]
 #: UTF-8 bytes of text in a block, about: the memory that one block takes in a task follows from it.
 BLOCK_BYTES = 8_000_000
-_PACKED = pa.schema([("block", pa.int64()), ("rows", pa.binary())])
+#: Ids of the documents that are decoded together, about.
+DECODE_IDS = 500_000
 _ENTRY = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("entry", pa.binary())])
 
 
-def _to_bytes(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _from_bytes(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
-
-
 def _pack_numbers(*arrays: np.ndarray) -> bytes:
     """Arrays of small unsigned numbers, compressed: all low bytes first, then all second bytes, and so on."""
     sizes = np.array([len(arrays), *map(len, arrays)], "<u4").tobytes()
@@ -75,56 +69,72 @@ def _unpack_words(data: bytes) -> list[str]:
     return out
 
 
-def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Rows in compressed blocks; a block's number names its partition and its place there."""
-    number = TaskContext.get().partitionId() << 24
-    held, size = [], 0
-
-    def close() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"block": [number], "rows": [_to_bytes(pa.Table.from_batches(held))]}, _PACKED)
-
+def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[int, list, list[str]]]:
+    """(block, document ids, texts); a block's number names its partition and its place there."""
+    number, ids, texts, size = TaskContext.get().partitionId() << 24, [], [], 0
     for batch in batches:
+        lengths = pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
         at = 0
-        while at < batch.num_rows:
-            ends = np.cumsum(pc.binary_length(batch.column(1).slice(at)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            n = min(len(ends), int(np.searchsorted(ends, block_bytes - size)) + 1)
-            held.append(batch.slice(at, n))
-            size += int(ends[n - 1])
-            at += n
+        for i, n in enumerate(lengths.tolist()):
+            size += n
+            if size >= block_bytes or i + 1 == len(lengths):
+                part = batch.slice(at, i + 1 - at)
+                ids += part.column(0).to_pylist()
+                texts += [t or "" for t in part.column(1).to_pylist()]
+                at = i + 1
             if size >= block_bytes:
-                yield close()
-                held, size, number = [], 0, number + 1
-    if held:
-        yield close()
+                yield number, ids, texts
+                number, ids, texts, size = number + 1, [], [], 0
+    if ids:
+        yield number, ids, texts
 
 
-def _bucketed(rows: bytes, buckets: int) -> tuple[list[str], dict[str, int], list[list[str]]]:
-    """A block's texts, a number for each distinct word, and the sorted words of each bucket."""
-    texts = [t or "" for t in _from_bytes(rows).column(1).to_pylist()]
+def _numbered(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words as met, the number of the word at each position of the block, and each text's count of positions."""
     seen: dict[str, int] = {}
-    for _, parts in pretokens.chunks(texts):
-        for word in pretokens.split(parts)[0]:
-            seen.setdefault(word, len(seen))
-    by_bucket: list[list[str]] = [[] for _ in range(buckets)]
-    for word in seen:
-        by_bucket[zlib.crc32(word.encode()) % buckets].append(word)
-    for words in by_bucket:
-        words.sort()
-    return texts, seen, by_bucket
-
-
-def _distinct_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            _, _, by_bucket = _bucketed(rows.as_py(), buckets)
-            full = [b for b in range(buckets) if by_bucket[b]]
-            if full:
-                yield pa.RecordBatch.from_pydict({"block": [block] * len(full), "bucket": full, "entry": [_pack_words(by_bucket[b]) for b in full]}, _ENTRY)
+    found, counts = [np.zeros(0, np.int64)], np.zeros(len(texts), np.int64)
+    for owners, parts in pretokens.chunks(texts):
+        words, number, firsts, odd = pretokens.split(parts)
+        own = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))[number]
+        pieces = [np.array([seen.setdefault(parts[k], len(seen))]) if k in odd else own[firsts[k] : firsts[k + 1]] for k in range(len(parts))] if odd else [own]
+        found += pieces
+        np.add.at(counts, owners, [len(x) for x in pieces] if odd else np.diff(firsts))
+    return list(seen), np.concatenate(found), counts
+
+
+def _by_bucket(words: list[str], buckets: int) -> list[list[str]]:
+    """Each bucket's words in order."""
+    out: list[list[str]] = [[] for _ in range(buckets)]
+    for word in words:
+        out[zlib.crc32(word.encode()) % buckets].append(word)
+    for own in out:
+        own.sort()
+    return out
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch], block_bytes: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    for block, _, texts in _blocks(batches, block_bytes):
+        by_bucket = _by_bucket(_numbered(texts)[0], buckets)
+        full = [b for b in range(buckets) if by_bucket[b]]
+        if full:
+            yield pa.RecordBatch.from_pydict({"block": [block] * len(full), "bucket": full, "entry": [_pack_words(by_bucket[b]) for b in full]}, _ENTRY)
+        free_arrow()
+
+
+def _positions(batches: Iterator[pa.RecordBatch], block_bytes: int, buckets: int, id_type: pa.DataType | None) -> Iterator[pa.RecordBatch]:
+    for block, ids, texts in _blocks(batches, block_bytes):
+        words, numbers, counts = _numbered(texts)
+        index = {w: i for i, w in enumerate(words)}
+        place = np.empty(len(words), np.int64)
+        place[np.fromiter(map(index.__getitem__, chain.from_iterable(_by_bucket(words, buckets))), np.int64, len(words))] = np.arange(len(words))
+        columns = [pa.array([block], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([counts.tolist()], pa.list_(pa.int32())), pa.array([_pack_numbers(place[numbers])], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "counts", "positions"])
+        free_arrow()
 
 
 def _encode_words(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
-    """All occurrences of a word's entry reach this partition: it is encoded once and then found in the cache."""
-    encoder = pretokens.WordEncoder(ranks, cache=2_000_000)
+    """All entries with a word reach this task: it is encoded once. What is kept grows with the distinct words of its buckets only."""
+    encoder = pretokens.WordEncoder(ranks, cache=None)
     for batch in batches:
         entries = []
         for entry in batch.column(2):
@@ -134,90 +144,103 @@ def _encode_words(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(entries, pa.binary())], schema=_ENTRY)
 
 
-def _reassemble(key, packed: pa.Table, replies: pa.Table, ranks: str, buckets: int, finish: Finish | None) -> pa.Table:
+def _reassemble(key, blocks: pa.Table, replies: pa.Table) -> pa.Table:
     """Put the ids of each word where the word stands in the block's texts."""
-    reply = dict(zip(replies.column("bucket").to_pylist(), replies.column("entry"), strict=True))
-    tables = []
-    for rows in packed.column("rows"):
-        rows = rows.as_py()
-        own_texts, seen, by_bucket = _bucketed(rows, buckets)
-        lengths, order, flat = [np.zeros(0, np.uint32)], [], [np.zeros(0, np.uint32)]
-        for b, words in enumerate(by_bucket):
-            if words:
-                order.extend(map(seen.__getitem__, words))
-                counts, ids = _unpack_numbers(reply[b].as_py())
-                lengths.append(counts)
-                flat.append(ids)
-        del by_bucket
-        place = np.empty(len(order), np.int64)
-        place[np.array(order, np.int64)] = np.arange(len(order))
-        lengths, flat = np.concatenate(lengths).astype(np.int64), np.concatenate(flat)
-        parts: list[list[np.ndarray]] = [[] for _ in own_texts]
-        for numbers, chunk in pretokens.chunks(own_texts):
-            words, number, firsts, odd = pretokens.split(chunk)
-            at = place[np.fromiter(map(seen.__getitem__, words), np.int64, len(words))]
-            values, before = pretokens.expand(flat, lengths, at[number])
-            cuts = before[firsts].tolist()
-            for k, i in enumerate(numbers):
-                parts[i].append(np.array(pretokens.load_encoding(ranks).encode_ordinary(chunk[k]), np.uint32) if k in odd else values[cuts[k] : cuts[k + 1]])
-        encoded = [x[0] if len(x) == 1 else np.concatenate(x) if x else np.zeros(0, np.uint32) for x in parts]
-        source = _from_bytes(rows).column(0)
-        if finish:
-            tables.append(finish(source, encoded))
-            continue
-        offsets = np.zeros(len(encoded) + 1, np.int32)
-        np.cumsum([len(x) for x in encoded], out=offsets[1:])
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(encoded).astype(np.int32)))
-        tables.append(pa.table([source, lists], names=["id", "ids"]))
-    return pa.concat_tables(tables)
-
-
-def encode(
-    docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, finish: Finish | None = None, schema: str = "ids array<int>"
-) -> DataFrame:
+    parts = [_unpack_numbers(e.as_py()) for e in replies.sort_by("bucket").column("entry")]
+    lengths = np.concatenate([np.zeros(0, np.uint32), *(p[0] for p in parts)]).astype(np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint32), *(p[1] for p in parts)]).astype(np.int32)
+    del parts
+    numbers = _unpack_numbers(blocks.column("positions")[0].as_py())[0].astype(np.int64)
+    values, before = pretokens.expand(flat, lengths, numbers)
+    counts = np.array(blocks.column("counts")[0].as_py(), np.int64)
+    offsets = before[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+    return pa.table([blocks.column("ids").combine_chunks().flatten(), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "ids"])
+
+
+def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, stored: bool = False) -> DataFrame:
     """(`id_col`, ids array<int>) for every row of `docs`. `ranks` is the path of a tiktoken rank file on every machine.
 
-    `finish` turns a block's ids and token arrays into a table whose first column is the id and whose other columns
-    `schema` describes, in the task that made them: then the token ids need not leave it.
+    Rows are read twice, once for words and once for positions, and must come in the same order: `docs` is written to the checkpoint
+    folder first, unless it is `stored`, that is, read from files through narrow steps only.
     """
     n = shuffle_partitions(docs.sparkSession)
+    id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    packed = rows.mapInArrow(partial(_pack, block_bytes=block_bytes), "block long, rows binary").repartition(n, "block")
-    words = packed.mapInArrow(partial(_distinct_words, buckets=n), "block long, bucket int, entry binary")
+    rows = rows if stored else materialise(rows)
+    arrow_type = _arrow_type(rows, id_col)
+    words = rows.mapInArrow(partial(_distinct_words, block_bytes=block_bytes, buckets=n), "block long, bucket int, entry binary")
     replies = words.repartition(n, "bucket").mapInArrow(partial(_encode_words, ranks=ranks), "block long, bucket int, entry binary")
-    id_type = docs.schema[id_col].dataType.simpleString()
-    joined = packed.groupBy("block").cogroup(replies.groupBy("block"))
-    out = joined.applyInArrow(lambda k, a, b: _reassemble(k, a, b, ranks, n, finish), f"id {id_type}, {schema}")
+    blocks = rows.mapInArrow(partial(_positions, block_bytes=block_bytes, buckets=n, id_type=arrow_type), f"block long, ids array<{id_type}>, counts array<int>, positions binary")
+    out = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_reassemble, f"id {id_type}, ids array<int>")
     return out.withColumnRenamed("id", id_col)
 
 
-class TokenBytes:
-    """The token-byte table of a rank file, for whole arrays of ids."""
-
-    def __init__(self, ranks: str):
-        by_rank = {i: b for b, i in pretokens.load_ranks(ranks).items()}
-        table = [by_rank.get(i, b"") for i in range(max(by_rank) + 1)]
-        self.lengths = np.fromiter(map(len, table), np.int64, len(table))
-        self.flat = np.frombuffer(b"".join(table), np.uint8)
+def token_bytes(spark, ranks: str) -> DataFrame:
+    """The token-byte table (token int, bytes binary) of a rank file."""
+    return spark.createDataFrame([(i, bytearray(b)) for b, i in pretokens.load_ranks(ranks).items()], "token int, bytes binary")
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return pretokens.expand(self.flat, self.lengths, ids)[0].tobytes() if len(ids) else b""
-
-
-@lru_cache(maxsize=2)
-def token_bytes(ranks: str) -> TokenBytes:
-    return TokenBytes(ranks)
 
+def _distinct_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For some documents at a time a row for each distinct id, in order, then one row with the documents' ids, counts and positions."""
+    for batch in batches:
+        counts = pc.list_value_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, lo = np.cumsum(counts), 0
+        while lo < len(counts):
+            hi = max(int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + DECODE_IDS, side="right")), lo + 1)
+            part = batch.slice(lo, hi - lo)
+            tokens, places = np.unique(part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64), return_inverse=True)
+            id_type = part.column(0).type
+            for token, ids, own, at in ((tokens, None, None, None), (None, part.column(0).to_pylist(), counts[lo:hi], places.ravel())):
+                n = 1 if token is None else len(token)
+                if n:
+                    columns = [pa.nulls(1, pa.int32()) if token is None else pa.array(token, pa.int32())]
+                    columns += [pa.nulls(n, pa.list_(t)) if x is None else pa.array([x], pa.list_(t)) for x, t in ((ids, id_type), (own, pa.int32()), (at, pa.int32()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["token", "ids", "counts", "places"])
+            lo = hi
+        free_arrow()
+
+
+def _put_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tokens, data = [], []
+
+    def documents(row: pa.RecordBatch) -> pa.RecordBatch:
+        ids, counts, places = (row.column(name).flatten() for name in ("ids", "counts", "places"))
+        known = np.concatenate([np.zeros(0, np.int64), *tokens])
+        lengths = np.array([len(x) for x in data], np.int64)
+        places = places.to_numpy().astype(np.int64)
+        bytes_, before = pretokens.expand(np.frombuffer(b"".join(data), np.uint8), lengths, places)
+        offsets = np.concatenate([[0], np.cumsum(counts.to_numpy())])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(known[places], pa.int32()))
+        decoded = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(before[offsets].astype(np.int32)), pa.py_buffer(bytes_)])
+        return pa.RecordBatch.from_arrays([ids, lists, decoded], names=["id", "ids", "decoded"])
 
-def _decode(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
-    table = token_bytes(ranks)
     for batch in batches:
-        decoded = [table.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(decoded, pa.binary())], ["id", "ids", "decoded"])
+        last = batch.column("token").is_null().to_numpy(zero_copy_only=False)
+        lo = 0
+        for hi in [*np.flatnonzero(last).tolist(), batch.num_rows]:
+            own = batch.slice(lo, hi - lo)
+            tokens.append(own.column("token").to_numpy(zero_copy_only=False).astype(np.int64))
+            found = own.column("bytes").to_pylist()
+            if None in found:
+                raise ValueError("an id is not in the token-byte table")
+            data += found
+            if hi < batch.num_rows:
+                yield documents(batch.slice(hi, 1))
+                tokens, data = [], []
+            lo = hi + 1
+    free_arrow()
 
 
 def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id") -> DataFrame:
-    """Add `decoded` (binary) to (`id_col`, ids): each id is looked up in the token-byte table, which has one row a rank."""
+    """(`id_col`, ids, decoded binary) for every row of `encoded`: each id joined with its bytes, by position."""
+    spark = encoded.sparkSession
     id_type = encoded.schema[id_col].dataType.simpleString()
-    out = encoded.select(id_col, "ids").mapInArrow(partial(_decode, ranks=ranks), f"id {id_type}, ids array<int>, decoded binary")
+    rows = encoded.select(F.col(id_col), "ids").mapInArrow(_distinct_ids, f"token int, ids array<{id_type}>, counts array<int>, places array<int>")
+    # the table's side is broadcast (a row a rank), so rows are neither moved nor reordered
+    joined = rows.join(F.broadcast(token_bytes(spark, ranks)), "token", "left").select("token", "ids", "counts", "places", "bytes")
+    out = joined.mapInArrow(_put_back, f"id {id_type}, ids array<int>, decoded binary")
     return out.withColumnRenamed("id", id_col)
+
+
+def _arrow_type(df: DataFrame, name: str) -> pa.DataType:
+    return df.sparkSession.createDataFrame([], df.select(name).schema).toArrow().schema.field(0).type
