@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_arrow() -> None:
+    """Give memory that Arrow holds for later back to the machine: a Python worker lives on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens
-from .common import materialise, number_within
+from .common import free_arrow, materialise, number_within
 
 
 def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, list[int]]], dict[int, int]]:
@@ -118,8 +118,8 @@ def _places(patterns: list[tuple[int, list[int]]]) -> dict[int, np.ndarray]:
 def _cut(batches: Iterator[pa.RecordBatch], ranks: str, capacity: int, end_id: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder = pretokens.WordEncoder(ranks)
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            part = batch.slice(at, 1024)
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
             source, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, ids in enumerate(encoder.encode([t or "" for t in part.column(1).to_pylist()])):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -131,10 +131,12 @@ def _cut(batches: Iterator[pa.RecordBatch], ranks: str, capacity: int, end_id: i
                     start.append(cuts[k])
                     length.append(len(own))
                     crc.append(zlib.crc32(own.tobytes()))
-                    kept.append(own.astype(np.int32))
+                    if keep_ids:
+                        kept.append(own.astype(np.int32))
             columns = [part.column(0).take(pa.array(source, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             names = ["id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.list_(pa.int32()))] * keep_ids, names + ["ids"] * keep_ids)
+        free_arrow()
 
 
 def pieces(docs: DataFrame, ranks: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import free_arrow, held_out
 
 DEPTH = 3
 #: Bytes that are scored at a time; a longer text is scored in parts.
@@ -177,6 +177,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model, text_at: int, kept: int)
                 bits.append(float(-logs[i, best[i]] / np.log(2) / len(texts[i])) if known else None)
         names = [*batch.schema.names[:kept], "lang_pred", "score", "bits"]
         yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], names=names)
+        free_arrow()
 
 
 def predict(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "text") -> DataFrame:

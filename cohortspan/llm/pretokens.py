@@ -19,7 +19,7 @@ LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 1, 2, 3, 0, 9
 #: The code points with Unicode's White_Space property.
 WHITE_SPACE = (*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: Characters that are handled at a time; longer texts are cut where a match starts in any case.
-CHUNK = 1_000_000
+CHUNK = 250_000
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _state: dict = {}
@@ -141,6 +141,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def token_lengths(path: str) -> np.ndarray:
+    """How many bytes the token of each rank has."""
+    ranks = load_ranks(path)
+    out = np.zeros(max(ranks.values()) + 1, np.int64)
+    out[list(ranks.values())] = list(map(len, ranks))
+    return out
+
+
 def load_encoding(path: str):
     """The tiktoken encoding of a rank file, without special tokens; one for each process."""
     if ("encoding", path) not in _state:
@@ -152,20 +160,22 @@ def load_encoding(path: str):
 
 
 class WordEncoder:
-    """Token ids of whole texts. Words met before come from a cache of at most `cache` words."""
+    """Token ids of whole texts. Words of up to 64 characters met before come from a cache of at most `cache` of them (None: all)."""
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, cache: int | None = 100_000):
         self.encoding, self.cache, self.known = load_encoding(path), cache, {}
 
     def words(self, words: list[str]) -> list[list[int]]:
-        if len(self.known) > self.cache:
+        if self.cache is not None and len(self.known) > self.cache:
             self.known.clear()
         known, encode = self.known, self.encoding.encode_ordinary
         out = []
         for w in words:
             ids = known.get(w)
             if ids is None:
-                ids = known[w] = encode(w)
+                ids = encode(w)
+                if self.cache is None or len(w) <= 64:
+                    known[w] = ids
             out.append(ids)
         return out
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import free_arrow, held_out
 from .pretokens import _powers
 
 BUCKETS = 1 << 17
@@ -122,6 +122,7 @@ def _score(batches: Iterator[pa.RecordBatch], model, text_at: int, kept: int) ->
             logit = values[0] + (values[1:][own].mean() if len(own) else 0.0)
             out.append(1 / (1 + np.exp(-logit)))
         yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(out, pa.float64())], names=[*batch.schema.names[:kept], "score"])
+        free_arrow()
 
 
 def score(docs: DataFrame, model: np.ndarray, keep: list[str], text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .common import materialise
+from .common import free_arrow, materialise
 
 #: Rows up to which a table of keys is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -60,8 +60,10 @@ def fingerprints_of(texts: list[str], width: int = 3) -> np.ndarray:
 
 def _fingerprint(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints_of(texts, width).view(np.int64))], ["id", "fp"])
+        slices = (batch.column(1).slice(at, 256).to_pylist() for at in range(0, batch.num_rows, 256))
+        fps = [fingerprints_of([t or "" for t in texts], width).view(np.int64) for texts in slices]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(fps) if fps else [], pa.int64())], ["id", "fp"])
+        free_arrow()
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
