@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import has_all, stable_id
+from ..functions.columns import has_all, literal_sequence, stable_id
 from .components import saved
 from .intervals import length_compatible, sv_match
 from .kernels import difflib_ratio, greedy_clusters, transitive_clusters
@@ -263,3 +263,52 @@ def plan_rescues(events: DataFrame, flank: int = 50_000, min_flank: int = 20_000
     rows = events.withColumns({"seed_start": start, "seed_end": end, "left_flank": F.col("query_position_0") - start, "right_flank": end - F.col("query_position_0") - F.col("svlen")})
     status = F.when(F.col("source_contig").isNull(), "NO_MATCHING_SOURCE").when(F.col("path").isNull(), "MISSING_ASSEMBLY_PATH").when(~F.col("reads_ready"), "WAITING_FOR_HIFI").when(F.least("left_flank", "right_flank") < min_flank, "SOURCE_NEAR_CONTIG_END").otherwise("READY")
     return rows.withColumn("plan_status", status)
+
+
+def normalize_catalog(sources: list[tuple[str, DataFrame, dict[str, str]]]) -> DataFrame:
+    """GR-7: catalogues of two kinds in one schema, with an id of its own for every row but the first of each id.
+
+    A source is (kind, rows, facts). Kind `provisional`: row, event_id, coordinate_system, chromosome, position_0, end_0, svtype, svlen,
+    alternate_allele, graph_segment, segment_offset_0, carrier_samples, discovery_methods, confidence, graph_representation_status.
+    Kind `vcf`: row and the columns of `read_vcf`; every alternate allele is a row. `row` (long) orders a source's rows; facts may name
+    coordinate_system, source_graph, source_sample, discovery_method, graph_membership_status.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    parts = []
+    for number, (kind, df, facts) in enumerate(sources):
+        if kind == "provisional":
+            inserted = F.when((F.col("svtype") == "INS") & literal_sequence(F.col("alternate_allele")), F.upper("alternate_allele")).otherwise(F.lit(""))
+            rows = df.select(
+                "row", F.lit(1).alias("alt"), F.upper(text("coordinate_system")).alias("_frame"), text("coordinate_system").alias("_spelled"), text("chromosome").alias("_chrom"), text("position_0").alias("_start"), text("end_0").alias("_end"),
+                text("graph_segment").alias("graph_node"), text("segment_offset_0").alias("graph_offset_0"), text("svtype").alias("svtype"), text("svlen").alias("svlen"), inserted.alias("inserted_sequence"), text("event_id").alias("source_event_id"), F.lit(True).alias("_named"),
+                text("carrier_samples").alias("source_sample"), text("discovery_methods").alias("discovery_method"), F.coalesce("confidence", F.lit("unresolved")).alias("breakpoint_confidence"), F.coalesce("graph_representation_status", F.lit("unknown")).alias("graph_membership_status"), F.lit("not_insertion").alias("_else"),
+            )
+        elif kind == "vcf":
+            one = df.select("*", F.posexplode("alts").alias("_k", "_alt")).withColumn("_type", F.coalesce(F.col("info")["SVTYPE"], F.when(F.length("_alt") > F.length("ref"), "INS").otherwise("DEL")))
+            shown = F.when(F.col("_alt").startswith(F.col("ref")), F.substring("_alt", F.length("ref") + 1, F.length("_alt"))).otherwise(F.col("_alt"))
+            inserted = F.when((F.col("_type") == "INS") & literal_sequence(shown), F.upper(shown)).otherwise(F.lit(""))
+            end = F.coalesce(F.col("info")["END"].cast("bigint"), F.col("pos0") + 1 + F.greatest(F.length("ref"), F.lit(1)))
+            length = F.split(F.coalesce(F.col("info")["SVLEN"], F.abs(F.length("_alt") - F.length("ref")).cast("string")), ",")[0]
+            name = F.when(F.col("id") != ".", F.col("id")).otherwise(F.concat(F.lit("record_"), F.col("row").cast("string"), F.lit("_ALT"), (F.col("_k") + 1).cast("string")))
+            frame = facts.get("coordinate_system", "unprojected").upper()
+            rows = one.select(
+                "row", (F.col("_k") + 1).alias("alt"), F.lit(frame).alias("_frame"), F.lit(frame).alias("_spelled"), F.col("chromosome").alias("_chrom"), F.col("pos0").cast("string").alias("_start"), end.cast("string").alias("_end"),
+                F.lit("").alias("graph_node"), F.lit("").alias("graph_offset_0"), F.col("_type").alias("svtype"), length.alias("svlen"), inserted.alias("inserted_sequence"), name.alias("source_event_id"), F.lit(False).alias("_named"),
+                F.lit(facts.get("source_sample", "")).alias("source_sample"), F.lit(facts.get("discovery_method", "VCF")).alias("discovery_method"), F.col("filter").alias("breakpoint_confidence"), F.lit(facts.get("graph_membership_status", "unknown")).alias("graph_membership_status"), F.lit("symbolic").alias("_else"),
+            )
+        else:
+            raise ValueError(f"unknown kind of catalogue {kind!r}")
+        parts.append(rows.withColumns({"_source": F.lit(number), "source_graph": F.lit(facts.get("source_graph", ""))}))
+    rows = reduce(DataFrame.unionByName, parts)
+    own = stable_id("SV_", "sha256", 16, "\0", *(F.col(c) for c in ("_spelled", "_chrom", "_start", "_end", "svtype", "svlen", "inserted_sequence")))
+    rows = rows.withColumn("_id", F.when(F.col("_named") & (F.col("source_event_id") != ""), F.col("source_event_id")).otherwise(own))
+    nth = F.row_number().over(Window.partitionBy("_id").orderBy("_source", "row", "alt"))
+    again = stable_id("SV_", "sha256", 16, "\0", F.col("_id"), F.col("source_graph"), F.col("source_event_id"))
+    at = lambda c, *names: F.when(F.col("_frame").isin(*names), F.col(c)).otherwise(F.lit(""))
+    placed = {f"{name.lower()}_{part}": at(c, *names) for name, names in (("CHM13", ("CHM13",)), ("GRCh38", ("GRCH38", "HG38"))) for part, c in (("chrom", "_chrom"), ("start_0", "_start"), ("end_0", "_end"))}
+    known = F.col("inserted_sequence") != ""
+    return rows.select(
+        F.when(nth == 1, F.col("_id")).otherwise(again).alias("stable_event_id"), *(c.alias(n) for n, c in placed.items()), "graph_node", "graph_offset_0", "svtype", "svlen", "inserted_sequence", F.when(known, F.sha2("inserted_sequence", 256)).otherwise("").alias("inserted_sequence_sha256"),
+        "source_graph", "source_sample", "discovery_method", "breakpoint_confidence", F.when(known, "sequence_resolved").otherwise(F.concat(F.lit("sequence_unavailable_or_"), F.col("_else"))).alias("sequence_confidence"), "graph_membership_status",
+        F.when(F.col("_frame").isin("CHM13", "GRCH38", "HG38"), "projected").otherwise("unprojected_preserved").alias("projection_status"), "source_event_id",
+    )

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """`df` written to the shared checkpoint folder: computed once, lineage cut. A folder of our own is set only where none is."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder. Where none is set, one machine alone gets a folder of its own; a cluster is an error."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """`df` written to the shared checkpoint folder: computed once, lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

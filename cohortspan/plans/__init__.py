@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def all_queries() -> tuple[dict, dict]:
     """Queries and SQL by name."""
-    from . import queries_assembly, queries_catalog, queries_cohort, queries_review  # noqa: F401  they register themselves
+    from . import queries_assembly, queries_catalog, queries_cohort, queries_inputs, queries_review  # noqa: F401  they register themselves
     from .registry import ORACLES, QUERIES
 
     return QUERIES, ORACLES

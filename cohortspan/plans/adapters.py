@@ -1,6 +1,6 @@
 """Operator inputs derived from the supplied tables by integer arithmetic, as SQL that Spark and DuckDB both read.
 
-`{d}` stands for integer division, `{name}` for a table. Spark gets a DataFrame from `frame`, the oracle a common table expression
+`{d}` stands for integer division, `{all}` for what makes DuckDB replace all matches, `{name}` for a table. Spark gets a DataFrame from `frame`, the oracle a common table expression
 from `cte`.
 """
 
@@ -120,22 +120,39 @@ ADAPTERS = {
         SELECT 'f'||CAST(n AS STRING) AS query_id, 'chr'||CAST(1 + (n + CASE WHEN a % 6 = 0 THEN 1 ELSE 0 END) % 5 AS STRING) AS chromosome, 2200 AS qlen, a % 150 AS qstart, 2200 - a % 130 AS qend,
           (n*9973) % 2000000 + a % 6000 - 3000 AS tstart, (n*9973) % 2000000 + a % 6000 - 800 AS tend, (a*7) % 256 AS mapq
         FROM (SELECT l_orderkey*7 + l_linenumber AS a, l_partkey AS n FROM {lineitem})""",
+    "variants": """
+        SELECT *, COALESCE('SVTYPE='||info_svtype||';', '')||COALESCE('SVLEN='||info_svlen||';', '')||COALESCE('END='||info_end||';', '')||'PRECISE' AS info FROM (
+          SELECT l_orderkey AS o, CAST(l_linenumber AS BIGINT) AS n, l_partkey AS p, l_suppkey AS s, 'chr'||CAST(1 + l_partkey % 5 AS STRING) AS chromosome, 1 + (l_partkey*31 + l_linenumber) % 100000 AS pos,
+            CASE WHEN l_orderkey % 3 = 0 THEN '.' ELSE 'v'||CAST(l_orderkey AS STRING)||'_'||CAST(l_linenumber AS STRING) END AS id, CASE WHEN l_partkey % 4 = 1 THEN 'ACGTACGT' ELSE 'A' END AS ref,
+            CASE l_partkey % 4 WHEN 0 THEN 'ACGTTGCA' WHEN 1 THEN 'A' WHEN 2 THEN CASE l_linenumber % 3 WHEN 0 THEN '<INS>' WHEN 1 THEN '<DEL>' ELSE '<DUP:TANDEM>' END ELSE 'A[chr2:321[' END AS alt,
+            CASE WHEN l_suppkey % 2 = 0 THEN 'PASS' ELSE 'LowQual' END AS filter, CASE l_orderkey % 4 WHEN 0 THEN 'INS' WHEN 1 THEN 'del' END AS info_svtype,
+            CASE l_orderkey % 4 WHEN 0 THEN '-'||CAST(50 + l_partkey % 900 AS STRING) WHEN 3 THEN CAST(50 + l_partkey % 900 AS STRING)||',7' END AS info_svlen,
+            CASE WHEN l_orderkey % 4 = 1 THEN CAST(61 + (l_partkey*31 + l_linenumber) % 100000 + l_partkey % 40 AS STRING) END AS info_end,
+            ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) + l_orderkey * 1000 AS row
+          FROM {lineitem})""",
+    "taxa": """
+        SELECT 'f'||CAST(p_partkey {d} 100 AS STRING) AS report, p_partkey % 100 AS line, (p_partkey % 100) % 5 AS depth, p_partkey AS taxid, CASE p_partkey % 7 WHEN 0 THEN 'bacteria' WHEN 3 THEN 'virus' END AS own, p_size AS clade FROM {part}""",
+    "edits": """
+        SELECT l_orderkey AS read_id, r AS step, '>n'||CAST((l_orderkey + r) % 30 AS STRING) AS node, l_partkey % 5 <> 0 AS exact, 5 + l_suppkey % 20 AS length, r = 1 OR l_partkey % 3 <> 0 AS new_node
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS r FROM {lineitem})""",
+    "bases": """
+        SELECT doc_id AS contig, regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ', 'AACACGGTACGTANGTACGTACGTACAACACGGTACGTANGTACGTACGTACN'), '[^ACGTN]', ''{all}) AS seq FROM {documents} WHERE text IS NOT NULL""",
 }
 
 
 def _tables(text: str) -> set[str]:
-    return set(re.findall(r"\{(\w\w+)\}", text))
+    return set(re.findall(r"\{(\w\w+)\}", text)) - {"all"}
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = ADAPTERS[name]
-    return spark.sql(text.replace("{d}", "div"), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _tables(text)})
+    return spark.sql(text.replace("{d}", "div").replace("{all}", ""), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _tables(text)})
 
 
 def cte(*names: str) -> str:
     """WITH clause for DuckDB."""
     parts = []
     for name in names:
-        text = ADAPTERS[name].replace("{d}", "//")
+        text = ADAPTERS[name].replace("{d}", "//").replace("{all}", ", 'g'")
         parts.append(f"{name} AS ({text.format(**{t: t for t in _tables(text)})})")
     return "WITH RECURSIVE " + ", ".join(parts)

@@ -91,29 +91,21 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumns({"length": F.length("seq").cast("bigint"), "n_count": (F.length("seq") - F.length(F.translate("seq", "Nn", ""))).cast("bigint")})
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-7: name, seq, qual, idx. Records are four lines; one file is one task, since a line's role follows from its number."""
-
-    def parse(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for file, content in zip(pdf["path"], pdf["content"], strict=True):
-                import gzip
-
-                text = (gzip.decompress(content) if file.endswith(".gz") else content).decode()
-                lines = text.splitlines()
-                if len(lines) % 4:
-                    raise ValueError(f"truncated FASTQ record in {file}")
-                out = []
-                for i in range(0, len(lines), 4):
-                    head, seq, plus, qual = lines[i : i + 4]
-                    if head[:1] != "@" or plus[:1] != "+" or len(seq) != len(qual):
-                        raise ValueError(f"bad FASTQ record {i // 4} in {file}")
-                    out.append((file, i // 4, head[1:], seq, qual))
-                yield pd.DataFrame(out, columns=["file", "idx", "name", "seq", "qual"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "file string, idx long, name string, seq string, qual string")
+def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """SRC-7: file, idx, name, seq, qual. A record is four lines, of which any may start with `@`: a line's role follows from its number.
+
+    Lines are read by split, so a large file is many tasks. A split's lines are numbered from where the counts of the file's splits before
+    it end (one small row a split), and each record's lines meet in one row. A gzipped file is one split.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("m"))
+    splits = lines.groupBy("file", "split").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
+    numbered = lines.join(splits.withColumn("before", F.coalesce(before, F.lit(0))), ["file", "split"]).withColumn("i", F.col("m") - F.col("first") + F.col("before"))
+    line = lambda k: F.max(F.when(F.col("i") % 4 == k, F.col("value")))
+    rows = numbered.groupBy("file", F.floor(F.col("i") / 4).alias("idx")).agg(line(0).alias("head"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual"))
+    bad = F.when(F.col("plus").isNull() | F.col("qual").isNull() | F.col("seq").isNull(), "truncated FASTQ record in ").when(~F.col("head").startswith("@") | ~F.col("plus").startswith("+") | (F.length("seq") != F.length("qual")), "bad FASTQ record in ")
+    checked = F.when(bad.isNotNull(), F.raise_error(F.concat(bad, F.col("file")))).otherwise(F.substring("head", 2, 1 << 30))
+    return rows.select("file", "idx", checked.alias("name"), "seq", "qual")
 
 
 def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
