@@ -34,7 +34,7 @@ from .common import free_arrow, materialise, shuffle_partitions
 #: UTF-8 bytes of text in a block, about: the memory that one block takes in a task follows from it.
 BLOCK_BYTES = 8_000_000
 #: Ids of the documents that are decoded together, about.
-DECODE_IDS = 500_000
+DECODE_IDS = 200_000
 _ENTRY = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("entry", pa.binary())])
 
 
@@ -157,12 +157,7 @@ def _reassemble(key, blocks: pa.Table, replies: pa.Table) -> pa.Table:
     return pa.table([blocks.column("ids").combine_chunks().flatten(), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "ids"])
 
 
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, stored: bool = False) -> DataFrame:
-    """(`id_col`, ids array<int>) for every row of `docs`. `ranks` is the path of a tiktoken rank file on every machine.
-
-    Rows are read twice, once for words and once for positions, and must come in the same order: `docs` is written to the checkpoint
-    folder first, unless it is `stored`, that is, read from files through narrow steps only.
-    """
+def _blocks_and_replies(docs: DataFrame, ranks: str, id_col: str, text_col: str, block_bytes: int, stored: bool):
     n = shuffle_partitions(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
@@ -171,8 +166,17 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
     words = rows.mapInArrow(partial(_distinct_words, block_bytes=block_bytes, buckets=n), "block long, bucket int, entry binary")
     replies = words.repartition(n, "bucket").mapInArrow(partial(_encode_words, ranks=ranks), "block long, bucket int, entry binary")
     blocks = rows.mapInArrow(partial(_positions, block_bytes=block_bytes, buckets=n, id_type=arrow_type), f"block long, ids array<{id_type}>, counts array<int>, positions binary")
-    out = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_reassemble, f"id {id_type}, ids array<int>")
-    return out.withColumnRenamed("id", id_col)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")), id_type
+
+
+def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, stored: bool = False) -> DataFrame:
+    """(`id_col`, ids array<int>) for every row of `docs`. `ranks` is the path of a tiktoken rank file on every machine.
+
+    Rows are read twice, once for words and once for positions, and must come in the same order: `docs` is written to the checkpoint
+    folder first, unless it is `stored`, that is, read from files through narrow steps only.
+    """
+    met, id_type = _blocks_and_replies(docs, ranks, id_col, text_col, block_bytes, stored)
+    return met.applyInArrow(_reassemble, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def token_bytes(spark, ranks: str) -> DataFrame:
@@ -200,7 +204,7 @@ def _distinct_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         free_arrow()
 
 
-def _put_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _put_back(batches: Iterator[pa.RecordBatch], packed: bool) -> Iterator[pa.RecordBatch]:
     tokens, data = [], []
 
     def documents(row: pa.RecordBatch) -> pa.RecordBatch:
@@ -210,7 +214,11 @@ def _put_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = places.to_numpy().astype(np.int64)
         bytes_, before = pretokens.expand(np.frombuffer(b"".join(data), np.uint8), lengths, places)
         offsets = np.concatenate([[0], np.cumsum(counts.to_numpy())])
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(known[places], pa.int32()))
+        values = known[places]
+        if packed:
+            lists = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(values.astype("<u4"))])
+        else:
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
         decoded = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(before[offsets].astype(np.int32)), pa.py_buffer(bytes_)])
         return pa.RecordBatch.from_arrays([ids, lists, decoded], names=["id", "ids", "decoded"])
 
@@ -231,16 +239,36 @@ def _put_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     free_arrow()
 
 
-def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id") -> DataFrame:
-    """(`id_col`, ids, decoded binary) for every row of `encoded`: each id joined with its bytes, by position."""
-    spark = encoded.sparkSession
-    id_type = encoded.schema[id_col].dataType.simpleString()
-    rows = encoded.select(F.col(id_col), "ids").mapInArrow(_distinct_ids, f"token int, ids array<{id_type}>, counts array<int>, places array<int>")
+def _with_bytes(grouped: DataFrame, ranks: str, id_col: str, id_type: str, packed: bool) -> DataFrame:
     # the table's side is broadcast (a row a rank), so rows are neither moved nor reordered
-    joined = rows.join(F.broadcast(token_bytes(spark, ranks)), "token", "left").select("token", "ids", "counts", "places", "bytes")
-    out = joined.mapInArrow(_put_back, f"id {id_type}, ids array<int>, decoded binary")
+    joined = grouped.join(F.broadcast(token_bytes(grouped.sparkSession, ranks)), "token", "left").select("token", "ids", "counts", "places", "bytes")
+    out = joined.mapInArrow(partial(_put_back, packed=packed), f"id {id_type}, ids {'binary' if packed else 'array<int>'}, decoded binary")
     return out.withColumnRenamed("id", id_col)
 
 
+def _grouped_schema(id_type: str) -> str:
+    return f"token int, ids array<{id_type}>, counts array<int>, places array<int>"
+
+
+def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", packed: bool = False) -> DataFrame:
+    """(`id_col`, ids, decoded binary) for every row of `encoded`: each id joined with its bytes, by position.
+
+    With `packed`, ids come back as little-endian unsigned 32-bit numbers in a row (binary).
+    """
+    id_type = encoded.schema[id_col].dataType.simpleString()
+    grouped = encoded.select(F.col(id_col), "ids").mapInArrow(_distinct_ids, _grouped_schema(id_type))
+    return _with_bytes(grouped, ranks, id_col, id_type, packed)
+
+
+def round_trip(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, stored: bool = False, packed: bool = False) -> DataFrame:
+    """`decode(encode(docs))`, with the ids grouped for decoding in the task that puts them together."""
+    met, id_type = _blocks_and_replies(docs, ranks, id_col, text_col, block_bytes, stored)
+
+    def both(key, blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(_distinct_ids(_reassemble(key, blocks, replies).combine_chunks().to_batches())))
+
+    return _with_bytes(met.applyInArrow(both, _grouped_schema(id_type)), ranks, id_col, id_type, packed)
+
+
 def _arrow_type(df: DataFrame, name: str) -> pa.DataType:
     return df.sparkSession.createDataFrame([], df.select(name).schema).toArrow().schema.field(0).type

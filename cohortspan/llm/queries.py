@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,18 +26,9 @@ def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned_partitions.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
-def _ids_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """sha256 of the ids as little-endian unsigned 32-bit numbers in place of the ids."""
-    for batch in batches:
-        digests = [hashlib.sha256(x.values.to_numpy().astype("<u4").tobytes()).hexdigest() for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x.values) for x in batch.column(1)], pa.int64()), pa.array(digests, pa.string()), batch.column(2)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = bpe_codec.decode(bpe_codec.encode(docs, RANKS, stored=True), RANKS)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return found.select("doc_id", "ids", F.sha2("decoded", 256)).mapInArrow(_ids_digest, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    found = bpe_codec.round_trip(table(spark, sf_dir, "documents"), RANKS, stored=True, packed=True)
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
