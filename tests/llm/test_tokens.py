@@ -39,6 +39,12 @@ def test_codec_round_trip(docs, rows):
     assert Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in encoded) == Counter((d, tuple(ids(t)), (t or "").encode()) for d, t in rows)
 
 
+def test_codec_in_one_pass(docs, rows, empty):
+    got = bpe_codec.round_trip(docs, RANKS, block_bytes=4000, packed=True).collect()
+    assert Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got) == Counter((d, np.array(ids(t), "<u4").tobytes(), (t or "").encode()) for d, t in rows)
+    assert bpe_codec.round_trip(empty, RANKS).count() == 0
+
+
 def test_codec_round_trip_of_shuffled_rows(docs, rows):
     """Rows that come out of a shuffle, in no fixed order: they are written once, so words and positions agree."""
     shuffled = docs.repartition(7).filter(F.rand() >= 0)
