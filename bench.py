@@ -1,7 +1,8 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]: one JSON line with wall seconds.
 
 The first query runs once more before the others, so that classes are loaded. Results go to Spark's noop sink, so every
-column is computed and nothing is collected.
+column is computed and nothing is collected. The same SQL in DuckDB is timed beside it, where the library is there and a query ends within
+DUCKDB_SECONDS (null otherwise); BENCH_DUCKDB=0 leaves that out.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import json
 import os
 import sys
 import tempfile
+import threading
 import time
 
 from pyspark.sql import SparkSession
@@ -23,6 +25,35 @@ HEADLINE = (
 )
 
 
+DUCKDB_SECONDS = 10
+
+
+def duckdb_seconds(sf_dir: str, names: tuple[str, ...], threads: str) -> dict[str, float | None]:
+    try:
+        import duckdb
+    except ImportError:
+        return {}
+    con, out, oracles = duckdb.connect(), {}, all_queries()[1]
+    con.execute(f"set threads = {int(threads)}")
+    for f in sorted(os.listdir(sf_dir)):
+        if f.endswith(".parquet"):
+            con.execute(f"create view {f.removesuffix('.parquet')} as select * from '{sf_dir}/{f}'")
+    for name in names:
+        if name not in oracles:
+            continue
+        stop = threading.Timer(DUCKDB_SECONDS, con.interrupt)
+        stop.start()
+        began = time.time()
+        try:
+            con.execute(oracles[name]).fetch_arrow_table()
+            out[name] = round(time.time() - began, 3)
+        except duckdb.Error:
+            out[name] = None
+        finally:
+            stop.cancel()
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,8 +77,9 @@ def main() -> None:
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - began, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
-    print(json.dumps({"metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir).removeprefix("sf")}))
     spark.stop()
+    beside = {} if os.environ.get("BENCH_DUCKDB") == "0" else duckdb_seconds(sf_dir, HEADLINE, cpus)
+    print(json.dumps({"metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir).removeprefix("sf"), "duckdb": beside}))
 
 
 if __name__ == "__main__":

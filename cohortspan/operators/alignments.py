@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cigar_bases, join_reasons, parse_cigar
-from .intervals import merge_intervals, union_length
+from .intervals import merge_intervals, union_length, union_lengths
 
 EVENT = "array<struct<kind:string,operation:string,length:bigint,svlen:bigint,query_position:bigint,target_position:bigint,members:int,left_anchor:bigint,right_anchor:bigint>>"
 
@@ -18,9 +18,13 @@ def identity(matches: Column, block: Column) -> Column:
     return F.when(block > 0, matches / block).otherwise(F.lit(0.0))
 
 
+def accepted(min_mapq: int, min_identity: float, min_length: int) -> Column:
+    return (F.col("mapq") >= min_mapq) & (identity(F.col("matches"), F.col("block")) >= min_identity) & (F.col("block") >= min_length)
+
+
 def filter_alignments(df: DataFrame, min_mapq: int = 0, min_identity: float = 0.0, min_length: int = 0, primary: bool = False) -> DataFrame:
     """FLT-6: mapq, matches / block (0 for an empty block), block length, and primary only if asked."""
-    keep = (F.col("mapq") >= min_mapq) & (identity(F.col("matches"), F.col("block")) >= min_identity) & (F.col("block") >= min_length)
+    keep = accepted(min_mapq, min_identity, min_length)
     return df.filter(keep & ~F.col("is_secondary") if primary else keep)
 
 
@@ -119,7 +123,7 @@ def alignment_summary(paf: DataFrame, totals: DataFrame, min_mapq: int = 5) -> D
     kept = paf.filter(F.col("mapq") >= min_mapq)
     sums = kept.groupBy("assembly_id", "reference").agg(F.count(F.lit(1)).alias("alignments"), F.sum("matches").alias("m"), F.sum("block").alias("b"))
     covered = union_length(kept, ["assembly_id", "reference", "contig"], "qstart", "qend").groupBy("assembly_id", "reference").agg(F.sum("covered_bp").alias("covered_bp"))
-    joined = sums.join(covered, ["assembly_id", "reference"]).join(F.broadcast(totals), "assembly_id")
+    joined = sums.join(covered, ["assembly_id", "reference"]).join(totals, "assembly_id")
     return joined.select("assembly_id", "reference", "alignments", "covered_bp", (100.0 * F.col("covered_bp") / F.col("total_bp")).alias("query_percent"), (100.0 * F.col("m") / F.col("b")).alias("identity_percent"))
 
 
@@ -127,9 +131,10 @@ def callable_metrics(aln: DataFrame, totals: DataFrame, min_length: int = 5000,
     """AGG-13: share of each assembly in the union of primary alignments, and of those that pass the limits."""
     primary = aln.filter(~F.col("is_secondary"))
     keys = ["assembly_id", "contig"]
-    any_ = union_length(primary, keys, "qstart", "qend", "primary_bp").groupBy("assembly_id").agg(F.sum("primary_bp").alias("primary_bp"))
-    good = union_length(filter_alignments(primary, min_mapq, min_identity, min_length), keys, "qstart", "qend", "callable_bp").groupBy("assembly_id").agg(F.sum("callable_bp").alias("callable_bp"))
-    joined = totals.join(any_, "assembly_id", "left").join(good, "assembly_id", "left").fillna(0, ["primary_bp", "callable_bp"])
+    good = F.coalesce(accepted(min_mapq, min_identity, min_length), F.lit(False))
+    covered = union_lengths(primary, keys, {"primary_bp": F.lit(True), "callable_bp": good}, "qstart", "qend")
+    sums = covered.groupBy("assembly_id").agg(F.sum("primary_bp").alias("primary_bp"), F.sum("callable_bp").alias("callable_bp"))
+    joined = totals.join(sums, "assembly_id", "left").fillna(0, ["primary_bp", "callable_bp"])
     total = F.greatest("total_bp", F.lit(1))
     return joined.select("assembly_id", "primary_bp", "callable_bp", (F.col("primary_bp") / total).alias("primary_fraction"), (F.col("callable_bp") / total).alias("callable_fraction"))
 
@@ -157,7 +162,7 @@ def mapping_metrics_input(aln: DataFrame, totals: DataFrame, keys: list[str]) ->
         F.sum(F.when(mapped, F.greatest(F.col("qend") - F.col("qstart"), F.lit(0)))).alias("a"),
         F.sum(F.when(mapped, F.greatest("qstart", F.lit(0)) + F.greatest(F.col("qlen") - F.col("qend"), F.lit(0)))).alias("c"),
     )
-    j = agg.join(F.broadcast(totals), keys)
+    j = agg.join(totals, keys)
     n = F.col("input_reads")
     return j.select(
         *keys, F.col("primary").alias("primary_mapped_reads"), _share(F.col("primary"), n).alias("mapped_read_fraction"), _share(F.col("q0"), n).alias("mapq_0_fraction"), _share(F.col("q5"), n).alias("mapq_ge_5_fraction"),
@@ -176,7 +181,7 @@ def mapping_metrics_primary(aln: DataFrame, totals: DataFrame, keys: list[str])
         F.percentile(F.when(mapped, F.col("mapq")), 0.5).alias("median_mapq"),
         F.avg(F.when(mapped & (F.col("qlen") > 0), (F.col("qend") - F.col("qstart")) / F.col("qlen"))).alias("mean_query_fraction"),
     )
-    j = agg.join(F.broadcast(totals), keys)
+    j = agg.join(totals, keys)
     return j.select(
         *keys, F.col("primary").alias("primary_alignments"), F.greatest(F.col("input_reads") - F.col("primary"), F.lit(0)).alias("unmapped_reads"), "secondary", _share(F.col("q0"), F.col("primary")).alias("mapq0_fraction"),
         _share(F.col("q20"), F.col("primary")).alias("mapq20_fraction"), "median_mapq", "mean_query_fraction",

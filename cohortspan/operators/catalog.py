@@ -116,7 +116,7 @@ def catalog_rows(clustered: DataFrame) -> DataFrame:
     own = Window.partitionBy("frame", "chromosome")
     before = rows.groupBy("frame", "chromosome").agg(F.count(F.lit(1)).alias("_n"))
     before = before.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("frame", "chromosome").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    numbered = rows.withColumn("_own", F.row_number().over(own.orderBy("first"))).join(F.broadcast(before), ["frame", "chromosome"]).withColumn("ordinal", F.col("_own") + F.col("_before"))
+    numbered = rows.withColumn("_own", F.row_number().over(own.orderBy("first"))).join(before, ["frame", "chromosome"]).withColumn("ordinal", F.col("_own") + F.col("_before"))
     return numbered.select(
         stable_id("PSV_", "sha1", 16, "|", F.col("frame"), F.col("chromosome"), F.col("r.position_0"), F.col("r.svtype"), F.col("r.svlen"), F.col("ordinal")).alias("event_id"),
         "ordinal", "frame", "chromosome", "r.position_0", "r.svtype", "r.svlen", "carrier_assemblies", "carrier_samples", "carrier_assembly_count", "independent_sample_count", "graph_member_control_count",

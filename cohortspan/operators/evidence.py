@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_edge, fragment_name, path_edges, path_tokens
 from .intervals import merge_intervals
+from .kernels import PanelScan
 
 
 def qualified(min_mapq: int) -> Column:
@@ -22,7 +23,7 @@ def edge_hits(aln: DataFrame, targets: DataFrame, min_mapq: int = 5) -> DataFram
 
 def node_interval_hits(aln: DataFrame, intervals: DataFrame) -> DataFrame:
     """JN-18: aligned node pieces that overlap target intervals. Aligned: fragment, node_id, start, end_; intervals: node_id, allele, t_start, t_end."""
-    joined = aln.join(F.broadcast(intervals), "node_id").filter((F.col("start") < F.col("t_end")) & (F.col("t_start") < F.col("end_")))
+    joined = aln.join(intervals, "node_id").filter((F.col("start") < F.col("t_end")) & (F.col("t_start") < F.col("end_")))
     return joined.select("fragment", "allele", "node_id", F.greatest("start", "t_start").alias("start"), F.least("end_", "t_end").alias("end_"))
 
 
@@ -110,7 +111,7 @@ def path_support(gaf: DataFrame, targets: DataFrame, min_mapq: int = 5) -> DataF
     """AGG-50: paths over left, right and reference node pairs in any direction. Targets: target, left_pair, right_pair, reference_pair as sorted `a|b`."""
     tokens = F.transform(path_tokens(F.col("path")), lambda t: F.substring(t, 2, 1 << 30))
     pairs = F.transform(F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))), lambda t, i: F.array_join(F.array_sort(F.array(t, F.get(tokens, i + 1))), "|"))
-    rows = gaf.filter(qualified(min_mapq)).withColumn("_pairs", pairs).join(F.broadcast(targets), "target")
+    rows = gaf.filter(qualified(min_mapq)).withColumn("_pairs", pairs).join(targets, "target")
     has = lambda c: F.count_if(F.array_contains("_pairs", F.col(c)))
     return rows.groupBy("sample_id", "target").agg(has("left_pair").alias("left"), has("right_pair").alias("right"), has("reference_pair").alias("reference"))
 
@@ -173,28 +174,31 @@ def validate_concordance(panel: DataFrame, people: DataFrame, adjudication: Data
     return one.selectExpr("validation_set", "stack(2, 'all_resolved', n, a, b, n - a, 'nonreference_union', n, c, d, n - a) AS (scope, attempted, evaluable, concordant, no_call)")
 
 
+#: Rows up to which a panel of k-mers goes to every task; a larger one is joined.
+PANEL_ROWS = 1_000_000
+
+
 def count_kmers(reads: DataFrame, panel: DataFrame, k: int, keys: list[str]) -> DataFrame:
-    """AGG-41: occurrences of panel k-mers. The panel is broadcast to Arrow tasks that scan reads, so k-mers are never exploded. Panel: kmer, panel_group; a bounded list of loci."""
-    import pandas as pd
+    """AGG-41: occurrences of panel k-mers. Panel: kmer, panel_group.
 
-    groups: dict[str, list[str]] = {}
-    for r in panel.distinct().collect():
-        groups.setdefault(r["kmer"], []).append(r["panel_group"])
-    shared = reads.sparkSession.sparkContext.broadcast(groups)
+    A panel of up to PANEL_ROWS goes to Arrow tasks that scan reads, so k-mers are never exploded; a larger one is joined with them.
+    """
+    wanted = panel.select("kmer", "panel_group").filter(F.length("kmer") == k).distinct()
+    if wanted.limit(PANEL_ROWS + 1).count() > PANEL_ROWS:
+        starts = F.sequence(F.lit(1), F.length("seq") - k + 1)
+        each = reads.filter(F.length("seq") >= k).select(*keys, F.explode(F.transform(starts, lambda i: F.substring(F.col("seq"), i, F.lit(k)))).alias("kmer"))
+        return each.join(wanted, "kmer").groupBy(*keys, "panel_group").agg(F.count(F.lit(1)).alias("hits"))
+    rows = wanted.orderBy("kmer", "panel_group").collect()
+    shared = reads.sparkSession.sparkContext.broadcast(([r["kmer"] for r in rows], [r["panel_group"] for r in rows]))
     types = {f.name: f.dataType.simpleString() for f in reads.schema}
 
     def run(batches):
-        known = shared.value
+        kmers_, groups = shared.value
+        scan = PanelScan(kmers_, groups, k)
         for pdf in batches:
-            out = []
-            for row in pdf[[*keys, "seq"]].itertuples(index=False):
-                seq = row[-1] or ""
-                counts: dict[str, int] = {}
-                for i in range(len(seq) - k + 1):
-                    for g in known.get(seq[i : i + k], ()):
-                        counts[g] = counts.get(g, 0) + 1
-                out += [(*row[:-1], g, n) for g, n in counts.items()]
-            yield pd.DataFrame(out, columns=[*keys, "panel_group", "n"])
+            row, group, n = scan.count(pdf["seq"].fillna("").tolist())
+            out = pdf[keys].iloc[row].reset_index(drop=True)
+            yield out.assign(panel_group=group, n=n)
 
     schema = ", ".join(f"{c} {types[c]}" for c in keys) + ", panel_group string, n long"
     return reads.select(*keys, "seq").mapInPandas(run, schema).groupBy(*keys, "panel_group").agg(F.sum("n").alias("hits"))

@@ -29,12 +29,23 @@ def graph_overview(segments: DataFrame, degree: DataFrame) -> DataFrame:
     with_degree = segments.join(degree.select("segment_id", "degree"), "segment_id")
     ref, ln = F.col("sr") == 0, F.col("ln")
     metrics = {
-        "segments": F.count(F.lit(1)), "bp": F.sum("ln"), "reference_bp": F.sum(F.when(ref, ln).otherwise(0)), "nonreference_bp": F.sum(F.when(~ref, ln).otherwise(0)), "mean_length": F.avg("ln"), "median_length": F.median("ln"),
-        **{f"length_q{q}": F.percentile("ln", q / 100) for q in (0, 10, 25, 75, 90, 99, 100)},
+        "segments": F.count(F.lit(1)), "bp": F.sum("ln"), "reference_bp": F.sum(F.when(ref, ln).otherwise(0)), "nonreference_bp": F.sum(F.when(~ref, ln).otherwise(0)), "mean_length": F.avg("ln"),
         "mean_degree": F.avg("degree"), "max_degree": F.max("degree"), "hubs": F.count_if(F.col("degree") >= 4),
         "lt_50": F.count_if(ln < 50), "50_1000": F.count_if((ln >= 50) & (ln < 1000)), "1000_10000": F.count_if((ln >= 1000) & (ln < 10000)), "gt_10kb": F.count_if(ln > 10000), "gt_100kb": F.count_if(ln > 100000),
     }
-    one = with_degree.agg(*(c.cast("double").alias(n) for n, c in metrics.items()))
+    # quantiles from running counts over the histogram of lengths, which has a row a length
+    sizes = with_degree.groupBy("ln").agg(F.count(F.lit(1)).alias("n"))
+    run = sizes.withColumns({"upto": F.sum("n").over(Window.orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n").over(Window.partitionBy())})
+
+    def quantile(share: float) -> Column:
+        place = (F.col("all") - 1) * share
+        below, above = (F.min(F.when(F.col("upto") > f(place), F.col("ln"))).cast("double") for f in (F.floor, F.ceil))
+        part = F.max(place - F.floor(place))
+        return below + (above - below) * part
+
+    shares = {"median_length": 0.5, **{f"length_q{q}": q / 100 for q in (0, 10, 25, 75, 90, 99, 100)}}
+    one = with_degree.agg(*(c.cast("double").alias(n) for n, c in metrics.items())).crossJoin(run.agg(*(quantile(x).alias(n) for n, x in shares.items())))  # one row each
+    metrics |= shares
     rows = one.select(F.explode(F.create_map(*[x for n in metrics for x in (F.lit(n), F.col(f"`{n}`"))])).alias("metric", "value"))
     total = n50(segments.withColumn("_k", F.lit(1)), ["_k"], "ln").select(F.lit("n50").alias("metric"), F.col("n50").cast("double").alias("value"))
     return rows.unionByName(total)
@@ -147,7 +158,7 @@ def dense_ids(nodes: DataFrame) -> DataFrame:
     own = F.row_number().over(Window.partitionBy("chunk").orderBy(F.length("node_id"), "node_id"))
     counts = nodes.groupBy("chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return nodes.withColumn("_own", own).join(F.broadcast(before), "chunk").select("chunk", "node_id", (F.col("_own") + F.col("_before")).alias("dense_id"))
+    return nodes.withColumn("_own", own).join(before, "chunk").select("chunk", "node_id", (F.col("_own") + F.col("_before")).alias("dense_id"))
 
 
 def check_tiling(segments: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -195,7 +206,7 @@ def verify_walks(walks: DataFrame, segments: DataFrame, links: DataFrame) -> Dat
 
 def rename_sources(segments: DataFrame, source_map: DataFrame) -> DataFrame:
     """SCL-35: source names through a map old_name, new_name; names without an entry are an error when read."""
-    joined = segments.join(F.broadcast(source_map), F.col("sn") == F.col("old_name"), "left")
+    joined = segments.join(source_map, F.col("sn") == F.col("old_name"), "left")
     return joined.withColumn("sn", F.when(F.col("new_name").isNotNull(), F.col("new_name")).when(F.col("sr") == 0, F.col("sn")).otherwise(F.raise_error(F.concat(F.lit("no source name for "), F.col("sn"))))).drop("old_name", "new_name")
 
 

@@ -21,9 +21,26 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: s
     return marked.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min("_s").alias(start), F.max("_e").alias(end)).drop("_island")
 
 
+def union_lengths(df: DataFrame, keys: list[str], sets: dict[str, Column], start: str = "start", end: str = "end_", largest: dict[str, str] | None = None) -> DataFrame:
+    """Bases covered at least once by each set of rows, for each key; `largest` (name: set) adds the longest merged interval of a set.
+
+    One shuffle and one sort serve all sets: a row adds what reaches beyond the farthest end before it.
+    """
+    rows = df.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), *(c.alias(f"_in_{n}") for n, c in sets.items()))
+    order = Window.partitionBy(*keys).orderBy("_s", "_e")
+    inside, to = (lambda n: F.col(f"_in_{n}")), (lambda n: F.col(f"_to_{n}"))
+    rows = rows.withColumns({f"_to_{n}": F.max(F.when(inside(n), F.col("_e"))).over(order.rowsBetween(Window.unboundedPreceding, -1)) for n in sets})
+    aggs = [F.sum(F.when(inside(n), F.greatest(F.col("_e") - F.greatest("_s", F.coalesce(to(n), F.col("_s"))), F.lit(0))).otherwise(0)).alias(n) for n in sets]
+    for name, n in (largest or {}).items():
+        opens = F.when(inside(n) & (to(n).isNull() | (F.col("_s") > to(n))), F.col("_s"))
+        rows = rows.withColumn(f"_from_{n}", F.last(opens, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        aggs.append(F.max(F.when(inside(n), F.greatest(F.col("_e"), F.coalesce(to(n), F.col("_e"))) - F.col(f"_from_{n}"))).alias(name))
+    return rows.groupBy(*keys).agg(*aggs)
+
+
 def union_length(df: DataFrame, keys: list[str], start: str = "start", end: str = "end_", name: str = "covered_bp") -> DataFrame:
     """Bases covered at least once by each key."""
-    return merge_intervals(df, keys, start, end).groupBy(*keys).agg(F.sum(F.col(end) - F.col(start)).alias(name))
+    return union_lengths(df, keys, {name: F.lit(True)}, start, end)
 
 
 def bins(start: Column, end: Column, width: int) -> Column:
@@ -44,10 +61,10 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], a_start: str, a_en
 
 
 def intersection_length(a: DataFrame, b: DataFrame, keys: list[str], start: str = "start", end: str = "end_", name: str = "shared_bp") -> DataFrame:
-    """AGG-5: bases covered by both sets, for keys that have any."""
-    right = merge_intervals(b, keys, start, end).withColumnsRenamed({start: "_bs", end: "_be"})
-    pairs = overlap_join(merge_intervals(a, keys, start, end), right, keys, start, end, "_bs", "_be", 50_000)
-    return pairs.groupBy(*keys).agg(F.sum(F.least(end, "_be") - F.greatest(start, "_bs")).alias(name))
+    """AGG-5: bases covered by both sets, for keys that have any: what both unions hold beyond the union of all."""
+    rows = a.select(*keys, start, end, F.lit(True).alias("_a")).unionByName(b.select(*keys, start, end, F.lit(False).alias("_a")))
+    sums = union_lengths(rows, keys, {"_one": F.col("_a"), "_other": ~F.col("_a"), "_all": F.lit(True)}, start, end)
+    return sums.select(*keys, (F.col("_one") + F.col("_other") - F.col("_all")).alias(name)).filter(F.col(name) > 0)
 
 
 def complement_intervals(df: DataFrame, lengths: DataFrame, keys: list[str], start: str = "start", end: str = "end_", length: str = "length") -> DataFrame:

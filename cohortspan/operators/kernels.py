@@ -90,13 +90,13 @@ def bridges(edges: list[tuple[int, int]]) -> list[int]:
     return sorted(out)
 
 
-def sign_flip(differences: np.ndarray, permutations: int, seed: int) -> tuple[float, bool]:
-    """Two-sided p-value of a mean difference under sign flips, and whether all flips were listed (up to 16 pairs)."""
-    d = differences[differences != 0]
-    if not len(d):
-        return 1.0, True
+def sign_flip(differences: np.ndarray, permutations: int, seed: int) -> tuple[float | None, bool]:
+    """Two-sided p-value of a mean difference under sign flips (None without pairs), and whether all flips were listed: up to 16 pairs, zeros among them."""
+    if not len(differences):
+        return None, True
+    d = differences[differences != 0]  # a zero is the same under both signs
     observed = abs(d.sum()) - 1e-12
-    if len(d) <= 16:
+    if len(differences) <= 16:
         signs = 1 - 2 * ((np.arange(1 << len(d))[:, None] >> np.arange(len(d))) & 1)
         return float((np.abs(signs @ d) >= observed).mean()), True
     rng, extreme = np.random.default_rng(seed), 0
@@ -180,3 +180,45 @@ def firth(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[np.ndarray,
 def blake2b_unit(seed: str, name: str) -> float:
     """A number in [0, 1) fixed by seed and name."""
     return int.from_bytes(hashlib.blake2b(f"{seed}\0{name}".encode(), digest_size=8).digest(), "big") / 2**64
+
+
+class PanelScan:
+    """How often k-mers of each panel group occur in texts: windows are compared with the sorted panel by a rolling number, equal ones letter by letter."""
+
+    def __init__(self, kmers: list[str], groups: list[str], k: int):
+        self.k = k
+        kinds, which = np.unique(np.array(kmers, object).astype(str), return_inverse=True) if kmers else (np.zeros(0, str), np.zeros(0, np.int64))
+        self.groups = sorted(set(groups))
+        codes = np.array([self.groups.index(g) for g in groups], np.int64)
+        self.of = [codes[which == i] for i in range(len(kinds))]
+        letters = np.array([[ord(c) for c in x] for x in kinds], np.uint64).reshape(len(kinds), k)
+        number = self._number(letters.T)
+        order = np.argsort(number, kind="stable")
+        self.number, self.kind, self.letters = number[order], order, letters[order]
+
+    @staticmethod
+    def _number(columns) -> np.ndarray:
+        out = None
+        for c in columns:
+            out = c.astype(np.uint64) if out is None else out * np.uint64(0x100000001B3) + c
+        return out
+
+    def count(self, texts: list[str], chunk: int = 2_000_000) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """(text, group, occurrences) for each group that a text holds."""
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for i, text in enumerate(texts):
+            for lo in range(0, max(len(text) - self.k + 1, 0), chunk) if len(self.number) else ():
+                code = np.frombuffer(text[lo : lo + chunk + self.k - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+                m = len(code) - self.k + 1
+                number = self._number(code[j : j + m] for j in range(self.k))
+                at = np.searchsorted(self.number, number)
+                at[at == len(self.number)] = 0
+                hit = np.flatnonzero(self.number[at] == number)
+                hit = hit[(code[hit[:, None] + np.arange(self.k)] == self.letters[at[hit]]).all(axis=1)] if len(hit) else hit
+                groups = np.concatenate([self.of[self.kind[x]] for x in at[hit]]) if len(hit) else np.zeros(0, np.int64)
+                found.append((np.full(len(groups), i), groups))
+        if not found:
+            return np.zeros(0, np.int64), [], np.zeros(0, np.int64)
+        row, group = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        both, n = np.unique(row * max(len(self.groups), 1) + group, return_counts=True)
+        return both // max(len(self.groups), 1), [self.groups[g] for g in both % max(len(self.groups), 1)], n

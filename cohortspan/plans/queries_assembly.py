@@ -232,7 +232,7 @@ def _bad(m: str, op: str, limit: float) -> str:
 
 def _reasons(kind: str) -> str:
     parts = []
-    for m, op, n in qc.FULL_CHECKS:
+    for m, op, n in qc.limits_on():
         cond = _bad(m, op, FAIL[n]) if kind == "fail" else f"NOT ({_bad(m, op, FAIL[n])}) AND {_bad(m, op, WARN[n])}"
         limit = FAIL[n] if kind == "fail" else WARN[n]
         parts.append(f"CASE WHEN {cond} THEN '{m}{op}{limit:g} (observed ' || printf('%.3f', CAST({m} AS DOUBLE)) || ')' END")

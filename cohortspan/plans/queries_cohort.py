@@ -308,19 +308,17 @@ def _(t):
     return cohort.inclusion_stats(t.people.withColumn("kept_haplotypes", F.col("person") % 3), "phenotype")
 
 
-ALIASES = "al AS (SELECT 'lab' AS ns, 'x' || (person % 500) AS a, person_id FROM people WHERE person < 600)"
-# Every person has an alias; the list above ends at person 600.
-ALL_ALIASES = ALIASES.removesuffix(" WHERE person < 600)") + ")"
+ALIASES = "al AS (SELECT 'lab' AS ns, 'x' || (person % 500) AS a, person_id FROM people)"
 
 
 @query("jn_14_identity", f"+ {ALIASES}, o AS (SELECT ns, a, COUNT(DISTINCT person_id) AS n, MIN(person_id) AS p FROM al GROUP BY 1, 2), r AS (SELECT person, 'x' || (person % 700) AS a FROM people) SELECT person, CASE WHEN n = 1 THEN p END AS person_id, CASE WHEN n IS NULL THEN 'UNRESOLVED' WHEN n > 1 THEN 'CONFLICT' ELSE 'RESOLVED' END AS identity_status FROM r LEFT JOIN o USING (a)", ("people",))
 def _(t):
-    aliases = t.people.filter("person < 600").select(F.lit("lab").alias("namespace"), F.concat(F.lit("x"), (F.col("person") % 500).cast("string")).alias("alias"), "person_id")
+    aliases = t.people.select(F.lit("lab").alias("namespace"), F.concat(F.lit("x"), (F.col("person") % 500).cast("string")).alias("alias"), "person_id")
     reads = t.people.select("person", F.lit("lab").alias("namespace"), F.concat(F.lit("x"), (F.col("person") % 700).cast("string")).alias("alias"))
     return cohort.resolve_identity(reads, aliases).select("person", "person_id", "identity_status")
 
 
-@query("jn_14_identity_whole", f"+ {ALL_ALIASES}, o AS (SELECT ns, a, COUNT(DISTINCT person_id) AS n, MIN(person_id) AS p FROM al GROUP BY 1, 2), r AS (SELECT person, 'x' || (person % 700) AS a FROM people) SELECT person, CASE WHEN n = 1 THEN p END AS person_id, CASE WHEN n IS NULL THEN 'UNRESOLVED' WHEN n > 1 THEN 'CONFLICT' ELSE 'RESOLVED' END AS identity_status FROM r LEFT JOIN o USING (a)", ("people",))
+@query("jn_14_identity_whole", f"+ {ALIASES}, o AS (SELECT ns, a, COUNT(DISTINCT person_id) AS n, MIN(person_id) AS p FROM al GROUP BY 1, 2), r AS (SELECT person, 'x' || (person % 700) AS a FROM people) SELECT person, CASE WHEN n = 1 THEN p END AS person_id, CASE WHEN n IS NULL THEN 'UNRESOLVED' WHEN n > 1 THEN 'CONFLICT' ELSE 'RESOLVED' END AS identity_status FROM r LEFT JOIN o USING (a)", ("people",))
 def _(t):
     aliases = t.people.select(F.lit("lab").alias("namespace"), F.concat(F.lit("x"), (F.col("person") % 500).cast("string")).alias("alias"), "person_id")
     reads = t.people.select("person", F.lit("lab").alias("namespace"), F.concat(F.lit("x"), (F.col("person") % 700).cast("string")).alias("alias"))
@@ -450,9 +448,9 @@ def _(t):
     return t.sequences.select("contig", C.reverse_complement(F.col("seq")).alias("rc"))
 
 
-@query("scl_16_mask_bases", "+ s AS (SELECT contig, upper(translate(substr(seq, 1, 2000), 'Nß', 'RS')) AS q FROM sequences) SELECT contig, translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN') AS seq, CAST(length(q) - length(translate(q, 'RYSWKMBDHV', '')) AS BIGINT) AS masked, CAST(0 AS BIGINT) AS \"lower\", regexp_full_match(translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN'), '[ACGTN]*') AS ok FROM s", ("sequences",))
+@query("scl_16_mask_bases", "+ s AS (SELECT contig, upper(translate(seq, 'Nß', 'RS')) AS q FROM sequences) SELECT contig, translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN') AS seq, CAST(length(q) - length(translate(q, 'RYSWKMBDHV', '')) AS BIGINT) AS masked, CAST(0 AS BIGINT) AS \"lower\", regexp_full_match(translate(q, 'RYSWKMBDHV', 'NNNNNNNNNN'), '[ACGTN]*') AS ok FROM s", ("sequences",))
 def _(t):
-    q = F.translate(F.substring("seq", 1, 2000), "Nß", "RS")
+    q = F.translate("seq", "Nß", "RS")
     return t.sequences.select("contig", C.mask_bases(q).alias("m")).select("contig", "m.seq", "m.masked", F.lit(0).cast("long").alias("lower"), "m.ok")
 
 
@@ -485,9 +483,9 @@ def _(t):
     return evidence.count_kmers(t.sequences, panel(t), 5, ["contig"])
 
 
-@query("scl_32_distinct_kmers", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, substr(seq, 1, 500) AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))
+@query("scl_32_distinct_kmers", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, seq AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))
 def _(t):
-    return evidence.kmers(t.sequences.select(F.col("contig").alias("name"), F.substring("seq", 1, 500).alias("seq")), 7).groupBy("name").agg(F.count(F.lit(1)).alias("kmers"))
+    return evidence.kmers(t.sequences.select(F.col("contig").alias("name"), "seq"), 7).groupBy("name").agg(F.count(F.lit(1)).alias("kmers"))
 
 
 @query("scl_32_distinct_kmers_whole", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, seq AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))

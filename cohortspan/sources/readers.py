@@ -123,7 +123,7 @@ def read_sample_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     body = _fields(rows.filter(~F.col("value").startswith("#") & (F.trim("value") != "")))
     f = F.col("f")
     sites = body.select("file", f[0].alias("chromosome"), (f[1].cast("bigint") - 1).alias("pos0"), f[2].alias("id"), f[3].alias("ref"), f[4].alias("alt"), f[6].alias("filter"), info_to_map(f[7]).alias("info"), format_to_map(f[8], f[9]).alias("call"))
-    return sites.join(F.broadcast(header), "file")
+    return sites.join(header, "file")
 
 
 def inventory_sample_vcfs(spark: SparkSession, sources: dict[str, str]) -> DataFrame:

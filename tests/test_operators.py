@@ -92,15 +92,18 @@ def test_statistics_kernels():
     d = np.array([1.0, 2.0, 3.0])
     want = np.mean([abs(np.dot(s, d)) >= 6 - 1e-9 for s in itertools.product([-1, 1], repeat=3)])
     assert kernels.sign_flip(d, 10, 1) == (want, True)
+    assert kernels.sign_flip(np.zeros(0), 10, 1) == (None, True)
+    assert kernels.sign_flip(np.zeros(3), 10, 1) == (1.0, True)
+    assert not kernels.sign_flip(np.array([0.0, *range(1, 17)]), 10, 1)[1]  # 17 pairs, one of them zero
     x = np.column_stack([np.ones(8), [0, 0, 0, 0, 1, 1, 1, 1]])
     beta, _ = kernels.firth(x, np.array([0, 0, 0, 0, 1, 1, 1, 1.0]))
     assert np.isfinite(beta).all() and beta[1] == pytest.approx(2 * np.log(9), abs=1e-4)
 
 
 def test_threshold_boundaries_and_samples(spark):
-    limits = {n: v for n, v in zip((c[2] for c in qc.SEQUENCE_CHECKS), (90, 110, 40, 1.0), strict=True)}
+    limits = {n: v for n, v in zip((c[2] for c in qc.limits_on("total_length_bp", "contig_n50_bp", "n_percent")), (90, 110, 40, 1.0), strict=True)}
     df = spark.createDataFrame([("S1", "hap1", 90, 40, 1.0), ("S1", "hap2", 89, 40, 1.0), ("S2", "hap1", 100, 50, 0.5)], "sample string, haplotype string, total_length_bp long, contig_n50_bp long, n_percent double")
-    done = qc.classify_thresholds(df, limits, limits, qc.SEQUENCE_CHECKS)
+    done = qc.classify_thresholds(df, limits, limits, qc.limits_on("total_length_bp", "contig_n50_bp", "n_percent"))
     assert [r[0] for r in done.select("assembly_status").collect()] == ["PASS", "FAIL", "PASS"]
     assert "total_length_bp>=90 (observed 89.000)" in [r[0] for r in done.select("fail_reasons").collect()]
     got = {r["sample"]: (r.sample_status, r.reasons) for r in qc.sample_decisions(done).collect()}
@@ -241,3 +244,33 @@ def test_crosswalk_agrees(spark):
     again = checks.check_crosswalk(contigs.unionByName(contigs.limit(1)), manifest)
     assert {r.check for r in again.collect()} == {"contig_count", "total_bases", "query_name", "original_name", "panel_name"}
     assert checks.check_crosswalk(contigs.limit(0), manifest.limit(0)).count() == 0
+
+
+def test_panel_scan_against_plain_counts():
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("ACGTN"), rng.integers(0, 200))) for _ in range(60)] + ["", "AC", "é" * 10]
+    panel = [("ACG", "p"), ("NTA", "p"), ("ACG", "q"), ("GGT", "q"), ("ééé", "r")]
+    row, group, n = kernels.PanelScan([k for k, _ in panel], [g for _, g in panel], 3).count(texts, chunk=17)
+    want = {}
+    for i, t in enumerate(texts):
+        for k, g in panel:
+            c = sum(t[j : j + 3] == k for j in range(len(t) - 2))
+            if c:
+                want[i, g] = want.get((i, g), 0) + c
+    assert dict(zip(zip(row.tolist(), group, strict=True), n.tolist(), strict=True)) == want
+    assert kernels.PanelScan([], [], 3).count(texts)[1] == []
+
+
+def test_one_pass_unions_against_bases(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(k), int(s), int(s + n), bool(f)) for k, s, n, f in zip(rng.integers(0, 3, 90), rng.integers(0, 300, 90), rng.integers(0, 25, 90), rng.random(90) < 0.5, strict=True)]
+    df = spark.createDataFrame(rows, "k int, start int, end_ int, f boolean")
+    got = intervals.union_lengths(df, ["k"], {"yes": F.col("f"), "no": ~F.col("f"), "all": F.lit(True)}, largest={"longest": "yes"}).collect()
+    for r in got:
+        base = {n: {b for k, s, e, f in rows if k == r.k and keep(f) for b in range(s, e)} for n, keep in (("yes", lambda f: f), ("no", lambda f: not f), ("all", lambda f: True))}
+        assert (r.yes, r.no, r.all) == tuple(len(base[n]) for n in ("yes", "no", "all"))
+        runs, at = [0], None
+        for b in sorted(base["yes"]):
+            runs.append(runs[-1] + 1 if b - 1 == at else 1)
+            at = b
+        assert r.longest == max(runs)
