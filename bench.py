@@ -45,7 +45,7 @@ def duckdb_seconds(sf_dir: str, names: tuple[str, ...], threads: str) -> dict[st
         stop.start()
         began = time.time()
         try:
-            con.execute(oracles[name]).fetch_arrow_table()
+            con.execute(oracles[name]).fetchnumpy()
             out[name] = round(time.time() - began, 3)
         except duckdb.Error:
             out[name] = None
