@@ -118,8 +118,8 @@ def _places(patterns: list[tuple[int, list[int]]]) -> dict[int, np.ndarray]:
 def _cut(batches: Iterator[pa.RecordBatch], ranks: str, capacity: int, end_id: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder = pretokens.WordEncoder(ranks)
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
             source, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, ids in enumerate(encoder.encode([t or "" for t in part.column(1).to_pylist()])):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")

@@ -19,7 +19,7 @@ LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 1, 2, 3, 0, 9
 #: The code points with Unicode's White_Space property.
 WHITE_SPACE = (*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: Characters that are handled at a time; longer texts are cut where a match starts in any case.
-CHUNK = 250_000
+CHUNK = 500_000
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _state: dict = {}
@@ -162,7 +162,7 @@ def load_encoding(path: str):
 class WordEncoder:
     """Token ids of whole texts. Words of up to 64 characters met before come from a cache of at most `cache` of them (None: all)."""
 
-    def __init__(self, path: str, cache: int | None = 100_000):
+    def __init__(self, path: str, cache: int | None = 300_000):
         self.encoding, self.cache, self.known = load_encoding(path), cache, {}
 
     def words(self, words: list[str]) -> list[list[int]]:

@@ -50,8 +50,8 @@ def allot(token_ends: np.ndarray, section_starts: np.ndarray, rule: str) -> tupl
 def _count(batches: Iterator[pa.RecordBatch], ranks: str, rule: str, sections: Callable[[str], list[int]]) -> Iterator[pa.RecordBatch]:
     encoder, lengths = pretokens.WordEncoder(ranks), pretokens.token_lengths(ranks)
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
             texts = [t or "" for t in part.column(1).to_pylist()]
             source, out = [], [[] for _ in range(6)]
             for i, (text, ids) in enumerate(zip(texts, encoder.encode(texts), strict=True)):
