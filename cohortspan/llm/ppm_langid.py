@@ -3,7 +3,8 @@
 For each language a tree of byte contexts up to three bytes deep holds how often each byte followed (statistics are frozen
 after learning). A byte's probability is its share in the deepest context that saw it; each shallower step first pays
 that context's escape probability (method C: distinct followers / (occurrences + distinct followers)), down to a
-uniform byte. A text's language is the one whose tree codes it in the fewest bits.
+uniform byte. A text's language is the one whose tree codes it in the fewest bits. Whether it is any learned language at all is
+told by the bits themselves (`plausible`): the share of the best language is near 1 for a foreign text too.
 
 Since statistics are frozen, the cost of a byte depends on the three bytes before it and itself. Each level of the trees keeps its
 grams (a context and the byte after it) of all languages as one sorted array with exact costs beside it; a text's grams
@@ -28,7 +29,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free_arrow, held_out
@@ -36,6 +37,8 @@ from .common import free_arrow, held_out
 DEPTH = 3
 #: Bytes that are scored at a time; a longer text is scored in parts.
 WINDOW = 250_000
+#: Bits that a text may cost beyond its plain bytes, see `plausible`.
+SLACK = 512.0
 #: The trees that this Python worker built last, by model.
 _built: dict = {}
 
@@ -193,6 +196,13 @@ def predict(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "tex
     return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score", "bits")
 
 
+def plausible(text_col: str = "text") -> Column:
+    """Whether the text of a row of `predict` may be of its language: the tree of the best language codes it in at most SLACK
+    bits more than its plain bytes take. A tree that does worse has seen nothing like the text: another script, an
+    unknown language, noise. Short texts pass, they show too little. Null for `und`."""
+    return (F.col("bits") - 8) * F.octet_length(F.col(text_col).cast("string")) <= SLACK
+
+
 class _Shared:
     """A broadcast value with a key for what a worker builds from it."""
 

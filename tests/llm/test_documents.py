@@ -90,6 +90,23 @@ def test_language_rows(spark, docs, empty):
     assert {r.lang_pred for r in ppm_langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_texts_of_no_learned_language(spark):
+    """Foreign scripts and noise are coded worse than plain bytes; documents of a learned language and short texts pass."""
+    rng = np.random.default_rng(11)
+    words = {"en": "the cat sat on a mat and the dog ran home".split(), "de": "der hund und die katze liefen nach hause".split()}
+    learned = [(i, " ".join(rng.choice(words[lang], 40)), lang) for i, lang in enumerate(["en", "de"] * 20)]
+    sample = spark.createDataFrame(learned, "doc_id long, text string, lang string")
+    noise = "".join(chr(c) for c in rng.integers(0x410, 0x450, 600))
+    texts = ["the dog sat home " * 30, "die katze und der hund " * 30, noise, noise[:9], "zq%7#" * 200, None, "", "cat"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = ppm_langid.predict(df, ppm_langid.learn(sample), ["doc_id", "text"]).withColumn("ok", ppm_langid.plausible())
+    assert [r.ok for r in got.orderBy("doc_id").collect()] == [True, True, False, True, False, None, None, True]
+    plain = ppm_langid.Trees(ppm_langid.learn(sample))
+    for r in got.filter("bits is not null").collect():
+        cost = -plain.costs([r.text.encode()])[0, plain.langs.index(r.lang_pred)] / np.log(2)
+        assert r.bits * len(r.text.encode()) == pytest.approx(cost) and r.ok == (cost <= 8 * len(r.text.encode()) + ppm_langid.SLACK)
+
+
 def test_quality(spark, docs, empty):
     rng = np.random.default_rng(1)
     good, bad = "clear careful useful text about plants and rivers".split(), "buy!! now$$ click### win%%% cheap***".split()
