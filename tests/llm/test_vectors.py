@@ -1,10 +1,11 @@
 """Both vector searches against brute force."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortspan.llm import ball_tree, learned_partitions, vectors
+from cohortspan.llm import ball_tree, learned_partitions, queries, vectors
 
 
 @pytest.fixture(scope="module")
@@ -106,3 +107,15 @@ def test_empty(table):
         assert search(df.limit(0), F.col("id") == 0).count() == 0
         assert search(df, F.lit(False)).count() == 0
         assert search(df.filter("vec_id = 1"), F.col("id") == 1).count() == 0
+
+
+def test_exact_query_equals_its_sql(table, tmp_path, spark):
+    """On all kinds of rows, those that take no part and repeated ones among them."""
+    df, _ = table
+    df.union(spark.createDataFrame([(40, [0.25] * 12, "again"), (60, [], "")], df.schema)).coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    sql = con.execute(queries.oracle_sql()["op1_ball_tree"])
+    columns, want = [c[0] for c in sql.description], sql.fetchall()
+    got = queries.op1_ball_tree(spark, str(tmp_path))
+    assert got.columns == columns and sorted(map(tuple, got.collect())) == sorted(want) and want
