@@ -15,16 +15,13 @@ from cohortspan.llm import packing, pii, ppm_langid, quality, simhash
 from cohortspan.llm.common import ensure_checkpoint_dir, held_out
 from cohortspan.llm.queries import RANKS, table
 
-#: A language is accepted if its share of the likelihood of all learned languages is at least this, and its tree does not code
-#: the text worse than plain bytes.
-LANGUAGE_SHARE = 0.5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter go, and those that the best tree codes worse than plain bytes. A text that two learned languages
+    fit alike is in one of them and stays, whatever the share of the better one."""
     model = ppm_langid.learn(docs.filter(~held_out(F.col("doc_id"))))
     found = ppm_langid.predict(docs, model, docs.columns)
-    known = (F.col("lang_pred") != "und") & (F.col("score") >= LANGUAGE_SHARE) & ppm_langid.plausible()
-    return found.filter(known).select(docs.columns)
+    return found.filter((F.col("lang_pred") != "und") & ppm_langid.plausible()).select(docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
