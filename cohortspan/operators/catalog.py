@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import has_all, literal_sequence, stable_id
 from .components import saved
 from .intervals import length_compatible, sv_match
-from .kernels import difflib_ratio, greedy_clusters, transitive_clusters
+from .kernels import OpenHeads, difflib_ratio, transitive_clusters
 
 ORDER = ("position_0", "svtype", "svlen", "evidence_id")
 
@@ -55,23 +57,35 @@ def by_block(blocks: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
 def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float = 0.7) -> DataFrame:
     """WIN-3: evidence with `cluster_head`: the evidence_id of the first row of its cluster.
 
-    Rows in order of position, type, length and id join the newest open cluster whose first row is compatible. Blocks
-    cut at gaps wider than `distance` are independent, so each is one small group for the kernel.
+    Rows in order of position, length and id join the newest open cluster of their type whose first row is compatible.
+    Blocks of one type cut at gaps wider than `distance` are independent and go to any task. A task reads its sorted blocks as a
+    stream and holds the open heads only, so a dense chromosome costs time but no memory. Rows without a frame,
+    chromosome, type, position or length are clusters of their own.
     """
-    keys = ["frame", "chromosome"]
-    blocks = gap_blocks(evidence, keys, "position_0", distance)
-    columns, has_sequence = evidence.columns, "alternate_sequence" in evidence.columns
-
-    def run(pdf: pd.DataFrame, spans: list[tuple[int, int]]) -> pd.DataFrame:
-        pdf = pdf.sort_values([*keys, "block", *ORDER], kind="stable").reset_index(drop=True)
-        position, svtype, svlen = pdf["position_0"].tolist(), pdf["svtype"].tolist(), pdf["svlen"].tolist()
-        sequence = pdf["alternate_sequence"].fillna("").tolist() if has_sequence else [""] * len(pdf)
-        heads = [a + h for a, b in spans for h in greedy_clusters(position[a:b], svtype[a:b], svlen[a:b], sequence[a:b], distance, similarity)]
-        pdf["cluster_head"] = pdf["evidence_id"].to_numpy()[heads]
-        return pdf[[*columns, "cluster_head"]]
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in evidence.schema) + ", cluster_head string"
-    return by_block(blocks, keys, run, schema)
+    keys = ["frame", "chromosome", "svtype"]
+    placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, "position_0", "svlen"]])
+    own = [*keys, "block"]
+    columns, n = evidence.columns, len(evidence.columns)
+    order = ["position_0", "svlen", "evidence_id", *(["alternate_sequence"] if "alternate_sequence" in columns else [])]
+    blocks = gap_blocks(evidence.filter(placed), keys, "position_0", distance).select(*columns, "block")
+    tasks = int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stream = blocks.repartition(tasks, *own).sortWithinPartitions(*own, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, heads = None, None
+        for batch in batches:
+            read = lambda c, batch=batch: batch.column(c).to_pylist()
+            sequence = read(order[3]) if len(order) > 3 else [""] * batch.num_rows
+            found = []
+            for key, position, length, bases, name in zip(zip(*map(read, own), strict=True), *map(read, order[:2]), sequence, read(order[2]), strict=True):
+                if heads is None or key != current:
+                    current, heads = key, OpenHeads(distance, similarity)
+                found.append(heads.head(position, length, bases, name))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(found, pa.string())], names=[*columns, "cluster_head"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in evidence.schema) + ", cluster_head string"
+    alone = evidence.filter(~placed).withColumn("cluster_head", F.col("evidence_id").cast("string"))
+    return stream.mapInArrow(run, schema).unionByName(alone)
 
 
 def _join_set(col: Column) -> Column:

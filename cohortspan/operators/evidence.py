@@ -14,11 +14,16 @@ def qualified(min_mapq: int) -> Column:
     return F.col("mapq").between(min_mapq, 254) & ~F.col("is_secondary") & (F.col("path") != "*") & (F.col("block") > 0)
 
 
-def edge_hits(aln: DataFrame, targets: DataFrame, min_mapq: int = 5) -> DataFrame:
-    """JN-18: (keys of both, fragment, allele, feature): traversals of target edges in either direction. Targets: target, allele, feature, edge."""
-    rows = aln.filter(qualified(min_mapq)).select("sample_id", "target", fragment_name(F.col("read_name")).alias("fragment"), F.explode(path_edges(path_tokens(F.col("path")))).alias("_edge"))
+def edge_traversals(aln: DataFrame, targets: DataFrame, min_mapq: int = 5, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each traversal of a target edge in either direction, with the columns `keep` of its alignment. Targets: target, allele, feature, edge."""
+    rows = aln.filter(qualified(min_mapq)).select("sample_id", "target", *keep, fragment_name(F.col("read_name")).alias("fragment"), F.explode(path_edges(path_tokens(F.col("path")))).alias("_edge"))
     wanted = targets.select("target", "allele", "feature", canonical_edge(F.col("edge")).alias("_edge")).distinct()
-    return rows.withColumn("_edge", canonical_edge(F.col("_edge"))).join(wanted, ["target", "_edge"]).select("sample_id", "target", "fragment", "allele", "feature").distinct()
+    return rows.withColumn("_edge", canonical_edge(F.col("_edge"))).join(wanted, ["target", "_edge"]).select("sample_id", "target", "fragment", "allele", "feature", *keep)
+
+
+def edge_hits(aln: DataFrame, targets: DataFrame, min_mapq: int = 5) -> DataFrame:
+    """JN-18: (keys of both, fragment, allele, feature): the different `edge_traversals`."""
+    return edge_traversals(aln, targets, min_mapq).distinct()
 
 
 def node_interval_hits(aln: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -98,20 +98,25 @@ def distance(l_start: Column, l_end: Column, f_start: Column, f_end: Column) ->
     return F.greatest(f_start - l_end, l_start - f_end, F.lit(0))
 
 
-def nearest_join(loci: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
+def nearest_join(loci: DataFrame, features: DataFrame, keys: list[str], width: int = 100_000) -> DataFrame:
     """JN-6: the nearest features of each locus, all ties kept, with their distance.
 
     The two candidate distances (the feature that starts next, the greatest end before) come from one sorted pass over
-    both tables; a second join on the distance then finds every feature at that distance. Loci: locus_id, locus_start,
+    both tables, cut in ranges of `width` bases; what lies before and after a range is carried in a table of one row a range.
+    A second join on the distance then finds every feature at that distance. Loci: locus_id, locus_start,
     locus_end; features: start, end_.
     """
     marks = features.select(*keys, F.col("start").alias("_at"), F.lit(0).alias("_kind"), "start", "end_", F.lit(None).cast("string").alias("locus_id"), F.lit(None).cast("long").alias("locus_start"), F.lit(None).cast("long").alias("locus_end"))
     asks = loci.select(*keys, F.col("locus_end").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end_"), "locus_id", "locus_start", "locus_end")
-    both = marks.unionByName(asks)
-    up = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = marks.unionByName(asks).withColumn("_range", F.floor(F.col("_at") / width))
+    edge = Window.partitionBy(*keys).orderBy("_range")
+    ranges = both.groupBy(*keys, "_range").agg(F.max("end_").alias("_far"), F.min("start").alias("_near"))
+    ranges = ranges.select(*keys, "_range", F.max("_far").over(edge.rowsBetween(Window.unboundedPreceding, -1)).alias("_far"), F.min("_near").over(edge.rowsBetween(1, Window.unboundedFollowing)).alias("_near"))
+    up = Window.partitionBy(*keys, "_range").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     # the rows after, read backwards: a frame that ends at the last row would be summed anew for each row
-    down = Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumns({"_end": F.max("end_").over(up), "_next": F.min("start").over(down)}).filter("_kind = 1")
+    down = Window.partitionBy(*keys, "_range").orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumns({"_end": F.max("end_").over(up), "_next": F.min("start").over(down)}).filter("_kind = 1").join(ranges, [*keys, "_range"])
+    found = found.withColumns({"_end": F.greatest("_end", "_far"), "_next": F.least("_next", "_near")})
     before = F.greatest(F.col("locus_start") - F.col("_end"), F.lit(0))
     found = found.select(*keys, "locus_id", "locus_start", "locus_end", F.least(before, F.col("_next") - F.col("locus_end")).alias("distance")).filter("distance is not null")
     # features at exactly that distance: those that touch, end there or start there

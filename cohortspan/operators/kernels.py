@@ -9,22 +9,23 @@ from math import lgamma, log
 import numpy as np
 
 
-def greedy_clusters(position: list[int], svtype: list[str], length: list[int], sequence: list[str], distance: int, similarity: float) -> list[int]:
-    """The index of each row's cluster head. Rows come in order; the newest open head that fits wins."""
-    heads: list[int] = []
-    out = []
-    for i, here in enumerate(position):
-        heads = [h for h in heads if here - position[h] <= distance]
-        for h in reversed(heads):
-            small, large = sorted((length[i], length[h]))
-            fits = svtype[h] == svtype[i] and (small == 0 or small / large >= similarity)
-            if fits and not (sequence[i] and sequence[h] and sequence[i] != sequence[h]):
-                out.append(h)
-                break
-        else:
-            heads.append(i)
-            out.append(i)
-    return out
+class OpenHeads:
+    """Cluster heads of one key while its rows pass in order: only heads at most `distance` behind the current row are held."""
+
+    def __init__(self, distance: int, similarity: float):
+        self.distance, self.similarity = distance, similarity
+        self.heads: list[tuple] = []
+
+    def head(self, position: int, length: int, sequence: str, name: str) -> str:
+        """The name of the newest open head that fits the row; its own name, if none does and it becomes a head."""
+        self.heads = [h for h in self.heads if position - h[0] <= self.distance]
+        for _, its_length, its_sequence, its_name in reversed(self.heads):
+            small, large = sorted((length, its_length))
+            alike = small == 0 or small / large >= self.similarity
+            if alike and not (sequence and its_sequence and sequence != its_sequence):
+                return its_name
+        self.heads.append((position, length, sequence, name))
+        return name
 
 
 def difflib_ratio(a: str, b: str) -> float:

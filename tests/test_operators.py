@@ -44,16 +44,53 @@ def test_intervals_abut_and_properties(spark):
     assert rows(rest.filter("k = 'z'"), "start", "end_") == [(0, 5)]
 
 
-@pytest.mark.parametrize("parts", [1, 7])
-def test_clusters_do_not_depend_on_partitions(spark, parts):
+def plain_greedy(data, distance, similarity):
+    """Head of each id, by comparing every row with all heads before it."""
+    heads, out = [], {}
+    for frame, chromosome, position, kind, length, name, bases in sorted(data, key=lambda r: (r[2], r[3], r[4], r[5])):
+        for h in reversed(heads):
+            near = h[:2] == (frame, chromosome) and h[3] == kind and position - h[2] <= distance
+            sizes = sorted((length, h[4]))
+            if near and (sizes[0] == 0 or sizes[0] / sizes[1] >= similarity) and (not bases or not h[6] or bases == h[6]):
+                out[name] = h[5]
+                break
+        else:
+            heads.append((frame, chromosome, position, kind, length, name, bases))
+            out[name] = name
+    return out
+
+
+@pytest.mark.parametrize(("parts", "span"), [(1, 40_000), (7, 40_000), (5, 4_000)])
+def test_clusters_against_brute_force(spark, parts, span):
+    """Sparse and dense rows, the dense ones without any gap, on any partitions; rows that lack a field stay by themselves."""
     random.seed(1)
-    data = [("REF", "chr1", random.randrange(40_000), random.choice(["INS", "DEL"]), random.randrange(50, 300), f"e{i}") for i in range(300)]
-    order = sorted(data, key=lambda r: (r[2], r[3], r[4], r[5]))
-    heads = kernels.greedy_clusters([r[2] for r in order], [r[3] for r in order], [r[4] for r in order], [""] * len(order), 500, 0.7)
-    want = {order[i][5]: order[h][5] for i, h in enumerate(heads)}
+    data = [("REF", random.choice(["chr1", "chr2"]), random.randrange(span), random.choice(["INS", "DEL"]), random.randrange(50, 300), f"e{i}", random.choice([None, "", "ACGT", "AC"])) for i in range(600)]
+    want = plain_greedy(data, 500, 0.7)
+    lacking = [(None, "chr1", 5, "INS", 60, "n0", ""), ("REF", None, 5, "INS", 60, "n1", ""), ("REF", "chr1", None, "INS", 60, "n2", ""), ("REF", "chr1", 5, None, 60, "n3", ""), ("REF", "chr1", 5, "INS", None, "n4", "")]
+    data += lacking
     random.shuffle(data)
-    df = spark.createDataFrame(data, "frame string, chromosome string, position_0 long, svtype string, svlen long, evidence_id string").repartition(parts)
-    assert {r.evidence_id: r.cluster_head for r in catalog.cluster_evidence(df).collect()} == want
+    schema = "frame string, chromosome string, position_0 long, svtype string, svlen long, evidence_id string, alternate_sequence string"
+    df = spark.createDataFrame(data, schema).repartition(parts)
+    got = catalog.cluster_evidence(df)
+    assert got.columns == [*df.columns, "cluster_head"]
+    assert {r.evidence_id: r.cluster_head for r in got.collect()} == want | {r[5]: r[5] for r in lacking}
+    assert catalog.cluster_evidence(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("width", [7, 100, 100_000])
+def test_nearest_against_brute_force(spark, width):
+    """All ties, over ranges with neither loci nor features between them."""
+    random.seed(9)
+    loci = [(f"l{i}", c, s, s + random.choice([0, 1, 30])) for i in range(80) for c, s in [(random.choice("ab"), random.randrange(3000))]]
+    features = [(f"f{i}", c, s, s + random.randrange(1, 60)) for i in range(40) for c, s in [(random.choice("ac"), random.choice([random.randrange(300), 2500 + random.randrange(300)]))]]
+    want = []
+    for name, c, lo, hi in loci:
+        away = [(max(s - hi, lo - e, 0), f) for f, k, s, e in features if k == c]
+        want += [(name, f, d) for d, f in away if d == min(away)[0]]
+    a = spark.createDataFrame(loci, "locus_id string, chromosome string, locus_start long, locus_end long")
+    b = spark.createDataFrame(features, "feature_id string, chromosome string, start long, end_ long")
+    got = intervals.nearest_join(a, b, ["chromosome"], width)
+    assert rows(got, "locus_id", "feature_id", "distance") == sorted(want)
 
 
 def test_components_on_a_long_chain(spark):
