@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,6 +29,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that writes a table as Parquet to a folder in the shared checkpoint folder and reads it again: lineage cut, columns
+    and rows pruned when read. The folder goes at the end; what is returned by then must be materialised."""
+    ensure_checkpoint_dir(spark)
+    jvm, folder = spark._jvm, f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/scratch-{uuid.uuid4().hex}"
+    number = count()
+
+    def keep(df: DataFrame) -> DataFrame:
+        own = f"{folder}/{next(number)}"
+        df.write.parquet(own)
+        return spark.read.schema(df.schema).parquet(own)
+
+    try:
+        yield keep
+    finally:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_arrow() -> None:
     """Give memory that Arrow holds for later back to the machine: a Python worker lives on from stage to stage."""
     pa.default_memory_pool().release_unused()

@@ -1,4 +1,4 @@
-"""Queries of the ten operators, as registered by the entry module: each turns an operator's output into digest columns."""
+"""Queries of the operators, as registered by the entry module: each turns an operator's output into digest columns."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ball_tree, bpe_codec, learned_partitions, packing, pii, ppm_langid, quality, sharding, simhash, token_counts
+from . import ball_tree, bpe_codec, collocations, learned_partitions, packing, pii, ppm_langid, quality, sharding, simhash, spelling, token_counts
 from .common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,8 +64,16 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_bloom_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op12_fm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ball_tree, op2_learned_partitions, op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op7_disclosure_pii, op8_subword_quality, op9_ball_simhash, op10_vector_sharding)}
+    return {f.__name__: f for f in (op1_ball_tree, op2_learned_partitions, op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op7_disclosure_pii, op8_subword_quality, op9_ball_simhash, op10_vector_sharding, op11_bloom_spelling, op12_fm_collocations)}
 
 
 #: All pairs of query and candidate rows; sums of these integers stay below 2^53, so the double inner product is exact.
