@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ball_tree, bpe_codec, collocations, learned_partitions, packing, pii, ppm_langid, quality, sharding, simhash, spelling, token_counts
+from . import ball_tree, bpe_codec, collocations, html_crf, learned_partitions, packing, pii, ppm_langid, quality, sharding, simhash, spelling, token_counts
 from .common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -72,8 +72,13 @@ def op12_fm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op13_crf_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.learn(pages), ["page_id", "url"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ball_tree, op2_learned_partitions, op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op7_disclosure_pii, op8_subword_quality, op9_ball_simhash, op10_vector_sharding, op11_bloom_spelling, op12_fm_collocations)}
+    return {f.__name__: f for f in (op1_ball_tree, op2_learned_partitions, op3_bpe_codec, op4_ppm_language, op5_best_fit_packing, op6_section_tokens, op7_disclosure_pii, op8_subword_quality, op9_ball_simhash, op10_vector_sharding, op11_bloom_spelling, op12_fm_collocations, op13_crf_extraction)}
 
 
 #: All pairs of query and candidate rows; sums of these integers stay below 2^53, so the double inner product is exact.
