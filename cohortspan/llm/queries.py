@@ -95,6 +95,53 @@ SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <
 """
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: CRC-32 bit by bit over the UTF-8 bytes; near words meet on what is left when a code point is taken out.
+OP11_SQL = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS named, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(flatten(list_transform(string_split(named, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)),
+    lambda crc, byte: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)), 4294967295::BIGINT), 4294967295) AS h FROM runs),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+without AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM without a JOIN without b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM without a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM without a JOIN words b ON a.rest = b.word),
+best AS (SELECT p.word, count(*) AS n_near, arg_min(p.near, (-w.n, p.near)) AS near, max(w.n) AS near_n FROM pairs p JOIN words w ON w.word = p.near GROUP BY 1),
+found AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form, CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word),
+walk AS (SELECT word, word AS at FROM found UNION ALL SELECT walk.word, found.form FROM walk JOIN found ON found.word = walk.at WHERE found.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.at AS root FROM walk JOIN found ON found.word = walk.at WHERE found.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM found f JOIN ends e ON e.word = f.word
+"""
+
+#: All phrases of up to five words, the literal rule of containment, integers of 128 bits.
+OP12_SQL = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words WHERE len(ws) > 0),
+grams AS (SELECT lang, list_slice(ws, i, i + k - 1) AS p FROM starts, range(1, 6) t(k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, p, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(p) = 1 GROUP BY 1),
+candidates AS (SELECT lang, p, a FROM f WHERE len(p) > 1 AND a >= 100),
+inside AS (SELECT lang, list_slice(p, i, j) AS q, max(a) AS a FROM (SELECT lang, p, a, i, unnest(range(i + 1, len(p) + 1)) AS j FROM (SELECT *, unnest(range(1, len(p))) AS i FROM candidates)) WHERE j - i + 1 < len(p) GROUP BY ALL),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN inside i ON i.lang = c.lang AND i.q = c.p WHERE coalesce(i.a, 0) < c.a),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, l.a AS l, r.a AS r, t.n, ((1000::HUGEINT * c.a * t.n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang JOIN f l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, c.k) JOIN f r ON r.lang = c.lang AND r.p = list_slice(c.p, c.k + 1, len(c.p))),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """SQL where it can express an operator: exact search. Token ids, hashes, trained models and placement have none."""
-    return {"op1_ball_tree": OP1_SQL}
+    """SQL where it can express an operator: exact search, spelling variants, collocations. Token ids, fingerprints, trained models and placement have none."""
+    return {"op1_ball_tree": OP1_SQL, "op11_bloom_spelling": OP11_SQL, "op12_fm_collocations": OP12_SQL}
