@@ -9,8 +9,8 @@ they independent, so many common texts would have a probability of at most exp(-
 n(term) / N)) (Hoeffding), which must not exceed `alpha` over the number of pairs of an entity and a word of the corpus (Bonferroni).
 A rare word in the one text of an entity meets it once, which chance explains in all but small vocabularies.
 
-Results for special cases: a null or empty text has no spans; repeated rows are kept; rows that share an id share
-the terms found for it, and rows without an id get base spans only; ties between spans go by kind; an empty table gives an
+Results for special cases: a null or empty text has no spans; repeated rows are kept; rows with one text
+have the same spans, whatever their ids, which are not read; ties between spans go by kind; an empty table gives an
 empty result; other columns stay as they are.
 """
 
@@ -38,20 +38,84 @@ _SPAN = "array<struct<start:int,ord:int,kind:string,end:int,value:string>>"
 BROADCAST_ROWS = 50_000
 
 
+def _let(value: Column, use) -> Column:
+    """`use` of the value, which is worked out once however often it is used: what a lambda takes from outside is evaluated at every element."""
+    return F.transform(F.array(value), use)[0]
+
+
+#: Elements of a block, see `_prefix` and `_replaced`.
+_BLOCK = 256
+
+
+def _blocks(every: Column) -> Column:
+    """0, 1, ... for each block of a non-empty array."""
+    return F.sequence(F.lit(0), ((F.size(every) - 1) / _BLOCK).cast("int"))
+
+
+def _prefix(values: Column, op) -> Column:
+    """For each number of an array, `op` (sum or greatest, from 0 on) over it and those before it.
+
+    A fold would copy all its results at each step; here blocks are put together first, then what lies before each block, then each
+    number with those before it in its block.
+    """
+    fold = lambda part: F.aggregate(part, F.lit(0), op)
+
+    def each(every: Column, before: Column) -> Column:
+        own = lambda i: F.slice(every, (i - i % _BLOCK + 1).cast("int"), i % _BLOCK + 1)
+        return F.transform(every, lambda x, i: op(F.get(before, (i / _BLOCK).cast("int")), fold(own(i))))
+
+    def whole(every: Column) -> Column:
+        blocks = F.transform(_blocks(every), lambda i: fold(F.slice(every, (i * _BLOCK + 1).cast("int"), _BLOCK)))
+        before = lambda done: F.transform(done, lambda x, i: fold(F.slice(done, 1, i)))
+        return _let(blocks, lambda done: _let(before(done), lambda b: each(every, b)))
+
+    return _let(values, lambda every: F.when(F.size(every) > 0, whole(every)).otherwise(F.array().cast("array<int>")))
+
+
 def matches(text: Column, pattern: Column, kind: str, order: int) -> Column:
     """Leftmost non-overlapping matches as spans in code points."""
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, pattern, -1)
+    # the last part of the text, after all matches, has no match beside it
+    pairs = F.filter(F.arrays_zip(F.split(text, pattern, -1).alias("before"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("value")), lambda p: p["value"].isNotNull())
+
+    def spans(every: Column) -> Column:
+        ends = _prefix(F.transform(every, lambda p: F.char_length(p["before"]) + F.char_length(p["value"])), lambda a, b: a + b)
+        one = lambda x: F.struct((x["end"] - F.char_length(x["pair"]["value"])).alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["pair"]["value"].alias("value"))
+        return F.transform(F.arrays_zip(every.alias("pair"), ends.alias("end")), one).cast(_SPAN)
+
+    return F.when(F.rlike(text, pattern), _let(pairs, spans)).otherwise(F.array().cast(_SPAN))
 
-    def add(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.char_length(pair["before"])
-        end = start + F.char_length(pair["value"])
-        one = F.struct(start.alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(one)).alias("spans"))
 
-    pairs = F.transform(found, lambda value, i: F.struct(F.get(between, i).alias("before"), value.alias("value")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
-    return F.when(F.rlike(text, pattern), F.aggregate(pairs, zero, add, lambda s: s["spans"])).otherwise(F.array().cast(_SPAN))
+def _replaced(text: Column, spans: Column, shown) -> Column:
+    """The text with `shown(span)` in place of each span. Of spans that overlap the first is shown and all are taken out.
+
+    The text is taken apart for a block of spans at a time, so it is not read from its start for each.
+    """
+
+    def cuts_of(every: Column) -> Column:
+        reached = _prefix(F.transform(every, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+
+        def cut(x: Column, i: Column, ends: Column) -> Column:
+            at = F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+            return F.struct(F.greatest(x["start"], at).alias("start"), F.get(ends, i).alias("end"), F.when(x["start"] >= at, shown(x)).otherwise("").alias("shown"))
+
+        return _let(reached, lambda ends: F.transform(every, lambda x, i: cut(x, i, ends)))
+
+    def put(cuts: Column) -> Column:
+        ended = lambda i: F.when(i > 0, F.get(cuts, (i - 1).cast("int"))["end"]).otherwise(0)
+        last = F.size(cuts)
+
+        def block(i: Column) -> Column:
+            own, start = F.slice(cuts, (i * _BLOCK + 1).cast("int"), _BLOCK), ended(i * _BLOCK)
+            length = ended(F.least((i + 1) * _BLOCK, last)) - start
+            whole = F.struct(own.alias("own"), start.alias("start"), F.substring(text, start + 1, length).alias("part"))
+            gap = lambda w, c, at: F.substring(w["part"], at - w["start"] + 1, c["start"] - at)
+            each = lambda w: F.transform(w["own"], lambda c, k: F.concat(gap(w, c, F.when(k > 0, F.get(w["own"], k - 1)["end"]).otherwise(w["start"])), c["shown"]))
+            return _let(whole, lambda w: F.array_join(each(w), ""))
+
+        parts = F.transform(_blocks(cuts), block)
+        return F.concat(F.array_join(parts, ""), F.substring(text, ended(last) + 1, F.char_length(text)))
+
+    return F.when(F.size(spans) > 0, _let(_let(spans, cuts_of), put)).otherwise(text)
 
 
 def _digits(value: Column) -> Column:
@@ -93,17 +157,6 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], value)
 
 
-def _outside(text: Column, spans: Column) -> Column:
-    """The text without the spans."""
-
-    def cut(state: Column, s: Column) -> Column:
-        out = F.concat_ws(" ", state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, zero, cut, lambda s: F.concat_ws(" ", s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
-
-
 def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
 
@@ -157,39 +210,39 @@ def revealing_terms(docs: DataFrame, mentions: DataFrame, generalise: float, rem
     return found.select("entity", "term", reveals(remove).alias("gone"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = 0.9, remove: float = 0.97, alpha: float = 0.05) -> DataFrame:
+def find(docs: DataFrame, text_col: str = "text", generalise: float = 0.9, remove: float = 0.97, alpha: float = 0.05) -> DataFrame:
     """`docs` with `pii_base` and `pii_spans` (arrays of spans) and `pii_text`, the text with all spans replaced or taken out."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.md5(text.cast("binary")).alias("hash")).withColumn("base", base_spans(F.col("text")))
+    rows = docs.select(text.alias("text"), F.md5(text.cast("binary")).alias("hash")).withColumn("base", base_spans(F.col("text")))
     entities = F.array_distinct(F.transform("base", _entity))
-    terms = _terms(F.lower(_outside(F.col("text"), F.col("base"))))
-    mentions = materialise(rows.filter(F.size("base") > 0).select("id", "hash", entities.alias("entities"), terms.alias("terms")))
+    terms = _terms(F.lower(_replaced(F.col("text"), F.col("base"), lambda s: F.lit(" "))))
+    mentions = materialise(rows.filter(F.size("base") > 0).select("hash", entities.alias("entities"), terms.alias("terms")))
     revealing = materialise(revealing_terms(rows, mentions, generalise, remove, alpha))
     marked = docs.withColumn("pii_base", base_spans(text))
     n_revealing = revealing.count()
     if n_revealing == 0:
         marked = marked.withColumn("_soft", F.lit(None).cast("array<string>")).withColumn("_hard", F.lit(None).cast("array<string>"))
     else:
-        holders = mentions.select("id", F.explode("entities").alias("entity"))
+        # by text: rows with one text have the same terms, whatever their ids
+        holders = mentions.select("hash", F.explode("entities").alias("entity")).distinct()
         held = holders.join(F.broadcast(revealing) if n_revealing <= BROADCAST_ROWS else revealing, "entity")
-        held = held.groupBy(F.col("id").alias("_id")).agg(F.collect_set(F.when(~F.col("gone"), F.col("term"))).alias("_soft"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_hard"))
-        held = materialise(held.filter("_id is not null"))
-        marked = marked.join(F.broadcast(held) if held.count() <= BROADCAST_ROWS else held, F.col(id_col) == F.col("_id"), "left").drop("_id")
+        held = held.groupBy(F.col("hash").alias("_hash")).agg(F.collect_set(F.when(~F.col("gone"), F.col("term"))).alias("_soft"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_hard"))
+        held = materialise(held)
+        marked = marked.join(F.broadcast(held) if held.count() <= BROADCAST_ROWS else held, F.md5(text.cast("binary")) == F.col("_hash"), "left").drop("_hash")
 
     def term_spans(column: str, kind: str, order: int) -> Column:
         longest_first = F.array_sort(F.col(column), lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
         pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{Nd}])(?:"), F.array_join(longest_first, "|"), F.lit(r")(?![\p{L}\p{Nd}])"))
-        found = F.filter(matches(text, pattern, kind, order), lambda t: ~F.exists("pii_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+        found = _let(F.col("_masked"), lambda m: matches(m, pattern, kind, order))
         return F.when(F.size(column) > 0, found).otherwise(F.array().cast(_SPAN))
 
-    marked = marked.withColumn("pii_spans", F.array_sort(F.concat("pii_base", term_spans("_soft", "term", 4), term_spans("_hard", "removed", 5)))).drop("_soft", "_hard")
-
-    def replace(state: Column, s: Column) -> Column:
-        shown = F.when(s["kind"] == "removed", "").otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-        fresh = s["start"] >= state["at"]
-        out = F.when(fresh, F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), shown)).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
+    if n_revealing:
+        # terms are sought beside base spans, whose places hold as many line ends instead
+        masked = _replaced(text, F.col("pii_base"), lambda s: F.repeat(F.lit("\n"), s["end"] - s["start"]))
+        marked = marked.withColumn("_masked", F.when(F.coalesce(F.size("_soft"), F.lit(0)) + F.coalesce(F.size("_hard"), F.lit(0)) > 0, masked))
+    else:
+        marked = marked.withColumn("_masked", F.lit(None).cast("string"))
+    marked = marked.withColumn("pii_spans", F.array_sort(F.concat("pii_base", term_spans("_soft", "term", 4), term_spans("_hard", "removed", 5)))).drop("_soft", "_hard", "_masked")
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    tail = F.aggregate("pii_spans", zero, replace, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
-    return marked.withColumn("pii_text", F.when(F.col(text_col).isNotNull(), F.when(F.size("pii_spans") > 0, tail).otherwise(text)))
+    shown = _replaced(text, F.col("pii_spans"), lambda s: F.when(s["kind"] == "removed", "").otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))))
+    return marked.withColumn("pii_text", F.when(F.col(text_col).isNotNull(), shown))

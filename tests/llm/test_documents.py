@@ -1,8 +1,10 @@
 """Language ID, quality, SimHash, personal data and sharding on small documents, against brute force."""
 
 import hashlib
+import math
 import pickle
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from cohortspan.llm import pii, ppm_langid, quality, sharding, simhash
 from cohortspan.llm.common import number_within
 
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+
 
 def learned(texts):
     """A model of the texts of each language, and the plain trees: how often each byte followed each context."""
@@ -342,6 +346,69 @@ def test_disclosing_terms_of_whole_texts(spark):
     assert [r.pii_text for r in every.orderBy("doc_id").collect()] == [f"text {i} <EMAIL>" for i in range(4)]
 
 
+def test_many_matches_in_one_text(spark):
+    n = 50_000
+    text = " ".join(f"word{i} u{i}@corp.example 10.0.{i % 250}.{i % 256}" for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, "none")], "doc_id long, text string").repartition(1).cache()
+    df.count()
+    start = time.time()
+    got = {r.doc_id: r.s for r in df.select("doc_id", pii.base_spans(F.col("text")).alias("s")).collect()}
+    took = time.time() - start
+    assert [(s.kind, s.value) for s in got[1][:4]] == [("email", "u0@corp.example"), ("ip", "10.0.0.0"), ("email", "u1@corp.example"), ("ip", "10.0.1.1")]
+    assert len(got[1]) == 2 * n and all(text[s.start : s.end] == s.value for s in got[1]) and got[2] == [] and took < 60
+    start = time.time()
+    found = {r.doc_id: r.pii_text for r in pii.find(df).select("doc_id", "pii_text").collect()}
+    assert found == {1: " ".join(f"word{i} <EMAIL> <IP>" for i in range(n)), 2: "none"} and time.time() - start < 120
+
+
+def test_ids_do_not_matter(spark):
+    data = [f"Filler {i} text write to our {'harbour' if i % 2 else 'zanzibar'} office at bob{i % 2}@corp.example today {'abcdefghij'[i] * 3} ok" for i in range(8)] + [f"plain the office text {i} our today write ok" for i in range(200)]
+    texts = lambda ids: sorted(r.pii_text for r in pii.find(spark.createDataFrame([(i, t) for i, t in zip(ids, data)], "doc_id long, text string")).collect())
+    own = texts(range(208))
+    assert sum("harbour" in t for t in own) == 0 and texts([None] * 208) == own and texts([7] * 208) == own
+
+
+def brute_terms(texts, generalise, remove, alpha):
+    """The docstring's rule over distinct texts, by plain counting."""
+    distinct = sorted(set(texts))
+    entities, words = [], []
+    for t in distinct:
+        spans = [x.split(":") for x in plain_spans(t).split(",") if x]
+        entities.append({f"{k}:{t[int(a) : int(b)].lower()}" for k, a, b in spans})
+        rest, at = "", 0
+        for _, a, b in spans:
+            rest, at = rest + t[at : int(a)] + " ", max(at, int(b))
+        words.append(set(re.findall(r"[^\W\d_][^\W_]{2,}", (rest + t[at:]).lower())))
+    every = len(distinct)
+    n_entity, n_word = Counter(e for es in entities for e in es), Counter(w for ws in words for w in ws)
+    n_both = Counter((e, w) for es, ws in zip(entities, words) for e in es for w in ws)
+    needed = math.log(len(n_entity) * len(n_word) / alpha)
+    out = set()
+    for (e, w), both in n_both.items():
+        gain, whole = math.log(both * every / (n_entity[e] * n_word[w])), math.log(every / n_entity[e])
+        nats = both * gain + ((n_entity[e] - both) * (math.log(1 - both / n_entity[e]) - math.log(1 - n_word[w] / every)) if both < n_entity[e] else 0)
+        if gain >= generalise * whole and nats >= needed:
+            out.add((e, w, gain >= remove * whole))
+    return out
+
+
+@pytest.mark.parametrize("generalise,remove", [(0.9, 0.97), (0.5, 0.9), (1.0, 1.0)])
+def test_terms_against_plain_counts(spark, generalise, remove):
+    rng = np.random.default_rng(12)
+    names = ["harbour", "station", "library", "market"]
+    texts = []
+    for i in range(400):
+        k = int(rng.integers(4))
+        shown = names[k] if rng.random() < (1.0, 0.95, 0.8, 0.6)[k] else names[(k + 1) % 4]
+        value = f" at user{k}@corp.example" if rng.random() < 0.15 else ""
+        texts.append(f"text {i} about {shown if value or rng.random() < 0.02 else 'nothing'} and {rng.choice(WORDS)}{value}")
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("hash", F.md5("text")).withColumn("base", pii.base_spans(F.col("text")))
+    mentions = rows.filter(F.size("base") > 0).select("hash", F.array_distinct(F.transform("base", pii._entity)).alias("entities"), pii._terms(F.lower(pii._replaced(F.col("text"), F.col("base"), lambda s: F.lit(" ")))).alias("terms"))
+    got = {tuple(r) for r in pii.revealing_terms(rows, mentions, generalise, remove, 0.05).collect()}
+    expected = brute_terms(texts, generalise, remove, 0.05)
+    assert got == expected and (got or generalise == 1.0)
+
+
 def test_shards(spark, docs, rows, empty):
     got = sharding.shard(docs).collect()
     want = Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in rows)
