@@ -243,4 +243,4 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, shard_rows: in
 def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64) -> DataFrame:
     """`top_k` over components floor(scale * x): rows for which `is_query` (of column id) holds ask, all rows are candidates."""
     rows = materialise(vectors.usable(df, id_col, vec_col).select("id", quantise(F.col("vec"), scale).alias("vec")))
-    return top_k(rows, rows.filter(is_query), k)
+    return vectors.by_length(rows, lambda own: top_k(own, own.filter(is_query), k))

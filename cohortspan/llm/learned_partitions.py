@@ -140,12 +140,18 @@ def _unit(vec: pd.Series) -> np.ndarray:
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = _level(x)
     return x / np.sqrt((x**2).sum(axis=1, keepdims=True))
 
 
+def _level(x: np.ndarray) -> np.ndarray:
+    """Each row divided by a power of two, so that its largest component is from a half to one: no bit is lost, and squares stay in range."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True))[1])
+
+
 def cosine(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Cosines in double precision. Each row is summed alike, so equal vectors get equal scores wherever they stand."""
+    query, rows = _level(query), _level(rows)
     return (rows * query).sum(axis=1) / (np.sqrt((rows**2).sum(axis=1)) * np.sqrt((query**2).sum()))
 
 
@@ -245,4 +251,4 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float
 def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", recall: float = 0.95) -> DataFrame:
     """`nearest` over a table: rows for which `is_query` (of column id) holds ask, all rows are candidates."""
     rows = materialise(vectors.usable(df, id_col, vec_col, nonzero=True))
-    return nearest(rows, rows.filter(is_query), k, recall)
+    return vectors.by_length(rows, lambda own: nearest(own, own.filter(is_query), k, recall))

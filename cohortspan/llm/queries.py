@@ -86,10 +86,9 @@ OP1_SQL = """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vec, row_number() OVER () AS nth FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
-same_length AS (SELECT * FROM usable WHERE len(vec) = (SELECT len(vec) FROM usable GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1)),
 scored AS (
   SELECT q.nth, q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
-  FROM same_length q JOIN same_length c ON q.nth <> c.nth WHERE q.vec_id % 20 = 0),
+  FROM usable q JOIN usable c ON q.nth <> c.nth AND len(q.vec) = len(c.vec) WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY nth ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 20
 """

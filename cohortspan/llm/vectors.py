@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,16 +21,24 @@ QUERY_ROWS = 100_000
 def usable(df: DataFrame, id_col: str, vec_col: str, nonzero: bool = False) -> DataFrame:
     """(id long, vec array<double>) of the rows that take part; rows that share an id each take part.
 
-    Left out: null ids, vectors that are null, empty, or hold null or non-finite components (or only zeros with `nonzero`), and, since
-    nothing measures them against the others, vectors whose length is not the most frequent one (the longer on a tie).
+    Left out: null ids, vectors that are null, empty, or hold null or non-finite components (or only zeros with `nonzero`).
     """
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0)).filter(F.forall("vec", finite))
-    if nonzero:
-        rows = rows.filter(F.exists("vec", lambda x: x != 0))
-    common = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.filter(F.size("vec") == (common["n"] if common else 0))
+    return rows.filter(F.exists("vec", lambda x: x != 0)) if nonzero else rows
+
+
+def by_length(rows: DataFrame, search: Callable[[DataFrame], DataFrame], most: int = 16) -> DataFrame:
+    """`search` of the vectors of each length by themselves: nothing measures vectors of two lengths against each other.
+
+    A table has one length, or a few; more than `most` are an error, not left out.
+    """
+    lengths = sorted(r["n"] for r in rows.select(F.size("vec").alias("n")).distinct().limit(most + 1).collect())
+    if len(lengths) > most:
+        raise ValueError(f"vectors of more than {most} lengths")
+    found = [search(rows.filter(F.size("vec") == n) if len(lengths) > 1 else rows) for n in lengths or [0]]
+    return reduce(DataFrame.union, found)
 
 
 def thin_copies(rows: DataFrame, copies: int) -> DataFrame:

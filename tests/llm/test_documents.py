@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -438,20 +439,31 @@ def test_shards_of_rows_that_are_alike(spark):
 
 
 def test_placing_against_plain_dot_products():
-    """Largest first; among shards with room for the bytes the one with the highest dot product, ties to the lower number."""
+    """Largest first; among shards with room for the bytes the one with the highest dot product, ties to the lower number. Exact fractions."""
     rng = np.random.default_rng(7)
-    for n, shards in ((0, 3), (1, 3), (40, 4), (60, 7)):
-        cells = rng.integers(0, 9, (n, 3)).astype(float)
-        total = cells.sum(axis=0)
-        need = [[c / max(t, 1) * shards for c, t in zip(row, total)] for row in cells.tolist()]
-        room, want = [[1.0] * 3 for _ in range(shards)], [0] * n
+    for n, shards, tasks in ((0, 3, 1), (1, 3, 1), (40, 4, 1), (60, 7, 3), (200, 24, 2)):
+        items = [tuple(map(int, x)) for x in rng.integers(0, 9, (n, 3))]
+        total = [max(sum(x), 1) for x in zip(*items)] if n else [1, 1, 1]
+        need = [[Fraction(c * shards * tasks, t) for c, t in zip(row, total)] for row in items]
+        room, want = [[Fraction(1)] * 3 for _ in range(shards)], [0] * n
         for i in sorted(range(n), key=lambda i: -max(need[i])):
             fit = [s for s in range(shards) if room[s][0] >= need[i][0]]
             dot = lambda s: sum(a * b for a, b in zip(room[s], need[i]))
-            want[i] = max(fit, key=lambda s: (round(dot(s), 12), -s)) if fit else max(range(shards), key=lambda s: (round(room[s][0], 12), -s))
+            want[i] = max(fit, key=lambda s: (dot(s), -s)) if fit else max(range(shards), key=lambda s: (room[s][0], -s))
             room[want[i]] = [a - b for a, b in zip(room[want[i]], need[i])]
-        got = sharding.place(cells, shards)
-        assert len(got) == n and (got == want).mean() >= 0.9 if n else not len(got)  # rounding may turn a tie
+        left = [list(total) for _ in range(shards)]
+        assert sharding.place(items, left, total, tasks) == want
+        assert [[Fraction(x, t) for x, t in zip(r, total)] for r in left] == room
+
+
+def test_shards_placed_by_many_tasks(spark, monkeypatch):
+    """The same balance where groups are dealt to several tasks, and no group but the largest in two shards."""
+    monkeypatch.setattr(sharding, "TASK_GROUPS", 400)
+    df = spark.range(4000).selectExpr("id doc_id", "concat('text ', id % 3500, repeat(' w', int(id % 40)), repeat('x', int(id * id % 300))) text")
+    got = sharding.shard(df).groupBy("shard").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    sizes, rows = [r.b for r in got], [r.n for r in got]
+    assert len(got) == 24 and max(sizes) <= 1.03 * min(sizes) and max(rows) <= 1.2 * min(rows)
+    assert sharding.shard(df).groupBy("text_crc32").agg(F.count_distinct("shard").alias("n")).filter("n > 1").count() == 0
 
 
 def test_numbers_have_no_gaps(spark):

@@ -101,6 +101,31 @@ def test_two_levels_of_parts(spark, monkeypatch):
     assert len(got) == 300 and len(want & {(r.query_id, r.vec_id) for r in got}) / 300 >= 0.9
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 5e-324, 1.7e308])
+def test_cosines_of_extreme_vectors(spark, size):
+    rng = np.random.default_rng(6)
+    x = rng.integers(-4, 5, (60, 6)).astype(float)
+    x[:, 0] = 1
+    scaled = [(v * min(size, 4e307) if size > 1 else v * size).tolist() if i % 2 else v.tolist() for i, v in enumerate(x)]
+    df = spark.createDataFrame(list(enumerate(scaled)), "vec_id long, embedding array<double>")
+    got = learned_partitions.search(df, F.col("id") % 2 == 1, recall=1.0).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert len(got) == 5 * 30 and all(abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-12 for r in got)
+    assert all(r.score >= np.sort(np.delete(unit @ unit[r.query_id], r.query_id))[-5] - 1e-12 for r in got)
+
+
+def test_vectors_of_several_lengths(spark):
+    rows = [(i, [float(i % 7), 1.0, float(i % 5)][: 2 + i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for search, k in ((ball_tree.search, 20), (learned_partitions.search, 5)):
+        got = search(df, F.col("id") % 10 < 2, k=k).collect()
+        assert all(r.query_id % 2 == r.vec_id % 2 for r in got) and {r.query_id for r in got} == {i for i in range(60) if i % 10 < 2}
+        assert len(got) == 12 * k
+    many = spark.createDataFrame([(i, [1.0] * (1 + i)) for i in range(20)], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="lengths"):
+        ball_tree.search(many, F.col("id") == 1)
+
+
 def test_empty(table):
     df, _ = table
     for search in (ball_tree.search, learned_partitions.search):
