@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,87 +56,152 @@ def by_block(blocks: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
     return blocks.withColumn("_bucket", F.pmod(F.xxhash64(*own), F.lit(buckets))).groupBy("_bucket").applyInPandas(each, schema)
 
 
-def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float = 0.7) -> DataFrame:
+_KEYS = ["frame", "chromosome", "svtype"]
+_ORDER = [*_KEYS, "position_0", "svlen", "evidence_id"]
+
+
+def _walk(batches: Iterator[pa.RecordBatch], entered, distance: int, similarity: float, emit: bool) -> Iterator[pa.RecordBatch]:
+    """Clusters one range of the sorted rows, entered with the heads that are open before it.
+
+    With `emit`, rows with their heads; else one row that tells where the range starts and which heads are open behind it.
+    """
+    part = TaskContext.get().partitionId()
+    key, heads, first, last = None, None, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = []
+        for *own, position, length, name, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != own:
+                if first is None:
+                    first = [own, position]
+                    heads = OpenHeads(distance, similarity, entered.value.get(part, ()))
+                else:
+                    heads = OpenHeads(distance, similarity)
+                key = own
+            found.append(heads.head(position, length, digest, name))
+            last = position
+        if emit:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, "cluster_head"])
+    if not emit:
+        state = json.dumps([first, key, last, [h for h in heads.heads if last - h[0] <= distance] if heads else []])
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([state], pa.string())], names=["part", "state"])
+
+
+def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float = 0.7, parts: int | None = None) -> DataFrame:
     """WIN-3: evidence with `cluster_head`: the evidence_id of the first row of its cluster.
 
-    Rows in order of position, length and id join the newest open cluster of their type whose first row is compatible.
-    Blocks of one type cut at gaps wider than `distance` are independent and go to any task. A task reads its sorted blocks as a
-    stream and holds the open heads only, so a dense chromosome costs time but no memory. Rows without a frame,
-    chromosome, type, position or length are clusters of their own.
+    Rows in order of position, length and id join the newest open cluster of their type whose first row is compatible. The rows are sorted
+    into `parts` ranges of about the same number of rows, wherever they lie: a dense chromosome or a single position is many ranges.
+    All ranges are clustered at once as if no head were open before them; what is open behind each is handed to the next one, and
+    ranges that were entered with something else are clustered again, until none changes. Every range has then been entered with
+    what really is open there, since the first one is; few are ever repeated, because what is open is soon the same whatever was before.
+    The driver holds the open heads at the borders only, sequences as digests. Rows without a frame, chromosome, type,
+    position, length or id are clusters of their own.
     """
-    keys = ["frame", "chromosome", "svtype"]
-    placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, "position_0", "svlen"]])
-    own = [*keys, "block"]
-    columns, n = evidence.columns, len(evidence.columns)
-    order = ["position_0", "svlen", "evidence_id", *(["alternate_sequence"] if "alternate_sequence" in columns else [])]
-    blocks = gap_blocks(evidence.filter(placed), keys, "position_0", distance).select(*columns, "block")
-    tasks = int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stream = blocks.repartition(tasks, *own).sortWithinPartitions(*own, *order)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, heads = None, None
-        for batch in batches:
-            read = lambda c, batch=batch: batch.column(c).to_pylist()
-            sequence = read(order[3]) if len(order) > 3 else [""] * batch.num_rows
-            found = []
-            for key, position, length, bases, name in zip(zip(*map(read, own), strict=True), *map(read, order[:2]), sequence, read(order[2]), strict=True):
-                if heads is None or key != current:
-                    current, heads = key, OpenHeads(distance, similarity)
-                found.append(heads.head(position, length, bases, name))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(found, pa.string())], names=[*columns, "cluster_head"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in evidence.schema) + ", cluster_head string"
+    placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _ORDER])
+    digest = F.when(F.col("alternate_sequence") != "", F.md5("alternate_sequence")).otherwise("") if "alternate_sequence" in evidence.columns else F.lit("")
+    rows = evidence.withColumn("_digest", F.coalesce(digest, F.lit("")))
+    order = [*_ORDER, "_digest"]
+    parts = parts or int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = saved(rows.filter(placed).select(order).repartitionByRange(parts, *order).sortWithinPartitions(*order))
+    context = evidence.sparkSession.sparkContext
+
+    def behind(entered: dict, which: list[int] | None) -> dict:
+        own = ranges if which is None else ranges.filter(F.spark_partition_id().isin(which))
+        shared = context.broadcast(entered)
+        run = lambda it: _walk(it, shared, distance, similarity, False)
+        return {r["part"]: json.loads(r["state"]) for r in own.mapInArrow(run, "part int, state string").collect() if which is None or r["part"] in which}
+
+    entered: dict[int, list] = {}
+    left = behind(entered, None)
+    while True:
+        changed, open_, key = [], [], None
+        for part in sorted(left):
+            first, last_key, last, heads = left[part]
+            if first is None:
+                continue  # a range without rows hands on what it gets
+            wanted = [h for h in open_ if first[1] - h[0] <= distance] if key == first[0] else []
+            if wanted != entered.get(part, []):
+                entered[part] = wanted
+                changed.append(part)
+            open_, key = heads, last_key
+        if not changed:
+            break
+        left |= behind(entered, changed)
+    shared = context.broadcast(entered)
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranges.schema)
+    heads = ranges.mapInArrow(lambda it: _walk(it, shared, distance, similarity, True), f"{types}, cluster_head string").dropDuplicates(order)
     alone = evidence.filter(~placed).withColumn("cluster_head", F.col("evidence_id").cast("string"))
-    return stream.mapInArrow(run, schema).unionByName(alone)
+    return rows.filter(placed).join(heads, order).select(*evidence.columns, "cluster_head").unionByName(alone)
+
+
+def number_all(df: DataFrame, order: list, name: str) -> DataFrame:
+    """`df` with `name`: 1, 2, ... over the whole table in this order.
+
+    Rows are sorted into ranges; a range starts where the counts of those before it end, and a row's place in its range comes from its id there.
+    """
+    ranged = saved(df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order))
+    placed = ranged.withColumns({"_part": F.spark_partition_id(), "_nth": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row a range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.join(F.broadcast(counts.select("_part", before.alias("_before"))), "_part").withColumn(name, F.col("_before") + F.col("_nth") + 1).drop("_part", "_nth", "_before")
 
 
 def _join_set(col: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.collect_set(col), lambda x: x != "")), ";")
 
 
+#: Columns of evidence rows that a catalogue shows and that a source may lack.
+_OPTIONAL = {"sex_chromosome_status": "string", "end_0": "bigint", "alternate_sequence": "string", "graph_segment": "string", "segment_offset_0": "bigint", "haplotype": "string"}
+
+
 def catalog_rows(clustered: DataFrame) -> DataFrame:
     """AGG-24 with WIN-4: one row for each cluster that has graph evidence from an assembly outside the graph; ids hold the cluster's ordinal.
 
-    The ordinal counts clusters in the order of their first rows. It comes from per-chromosome counts, so no window spans
-    the table.
+    The representative is the surest, then longest, then first row of that evidence. Lists are sets in order, joined by `;`: each (cluster,
+    list, value) is one row before it is gathered, so a cluster's repeated values are gone before they meet, and what is gathered is
+    what is shown. The ordinal counts clusters in the order of their first rows, over ranges (`number_all`). Null and
+    empty values are in no list.
     """
+    cluster = ["frame", "chromosome", "cluster_head"]
+    clustered = clustered.withColumns({c: F.lit(None).cast(t) for c, t in _OPTIONAL.items() if c not in clustered.columns})
     graph = F.col("discovery_method") == "graph_residual"
     found, control, linear = graph & ~F.col("graph_member"), graph & F.col("graph_member"), ~graph
-    best = F.struct((~F.col("confidence_tier").isin("HIGH_CONFIDENCE", "CALLER_PASS")).alias("weak"), (-F.col("svlen")).alias("neg"), F.col("evidence_id"))
-    when = F.when
-    rows = clustered.groupBy("frame", "chromosome", "cluster_head").agg(
-        F.min_by(F.struct("position_0", "svtype", "svlen"), when(found, best)).alias("r"),
+    shown = ["position_0", "end_0", "svtype", "svlen", "alternate_sequence", "graph_segment", "segment_offset_0"]
+    best = F.struct((~F.col("confidence_tier").isin("HIGH_CONFIDENCE", "CALLER_PASS")).alias("weak"), (-F.col("svlen")).alias("neg"), F.col("evidence_id"), *(F.col(c) for c in shown))
+    rows = clustered.groupBy(*cluster).agg(
+        F.min(F.when(found, best)).alias("r"),
         F.min(F.struct("position_0", "svtype", "svlen", "evidence_id")).alias("first"),
-        _join_set(when(found, F.col("assembly_id"))).alias("carrier_assemblies"),
-        _join_set(when(found, F.col("sample_id"))).alias("carrier_samples"),
-        F.size(F.collect_set(when(found, F.col("assembly_id")))).cast("long").alias("carrier_assembly_count"),
-        F.size(F.collect_set(when(found, F.col("sample_id")))).cast("long").alias("independent_sample_count"),
-        F.size(F.collect_set(when(control, F.col("assembly_id")))).cast("long").alias("graph_member_control_count"),
-        F.size(F.collect_set(when(linear, F.col("sample_id")))).cast("long").alias("linear_supporting_sample_count"),
-        _join_set(F.col("discovery_method")).alias("discovery_methods"),
-        _join_set(F.col("caller")).alias("caller_support"),
-        F.collect_set(when(found & (F.col("qc_tier") != ""), F.col("qc_tier"))).alias("tiers"),
-        F.max(found.cast("int")).alias("any_found"), F.max(control.cast("int")).alias("any_control"),
-        F.max((found & (F.col("confidence_tier") == "HIGH_CONFIDENCE")).cast("int")).alias("high"),
-        F.max((linear & (F.col("confidence_tier") == "CALLER_PASS")).cast("int")).alias("passed"),
+        F.bool_or(control).alias("controlled"), F.bool_or(found & (F.col("confidence_tier") == "HIGH_CONFIDENCE")).alias("high"), F.bool_or(linear & (F.col("confidence_tier") == "CALLER_PASS")).alias("passed"),
         F.count(F.lit(1)).alias("evidence_count"),
-    ).filter("any_found = 1")
-    poor = (F.size("tiers") > 0) & (F.size(F.array_except("tiers", F.array(F.lit("fragmented_rescue"), F.lit("not_recommended")))) == 0)
-    confidence = (
-        F.when((F.col("any_control") == 1) | poor, "UNCERTAIN")
-        .when((F.col("high") == 1) & ((F.col("passed") == 1) | (F.col("independent_sample_count") >= 2)), "HIGH")
-        .when(F.col("high") == 1, "MEDIUM")
-        .otherwise("UNCERTAIN")
-    )
-    validation = F.when(F.col("any_control") == 1, "GRAPH_MEMBER_CONTROL_OVERLAP").when(poor, "PENDING_HIFI").when(F.col("passed") == 1, "LINEAR_CALLER_SUPPORTED").otherwise("ASSEMBLY_ONLY_REVIEW")
-    own = Window.partitionBy("frame", "chromosome")
-    before = rows.groupBy("frame", "chromosome").agg(F.count(F.lit(1)).alias("_n"))
-    before = before.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("frame", "chromosome").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    numbered = rows.withColumn("_own", F.row_number().over(own.orderBy("first"))).join(before, ["frame", "chromosome"]).withColumn("ordinal", F.col("_own") + F.col("_before"))
+    ).filter("r is not null")
+    sample, assembly = F.col("sample_id"), F.col("assembly_id")
+    carrier = F.when((sample != "") & (F.col("haplotype") != ""), F.concat_ws(":", sample, "haplotype"))
+    lists = {
+        "carrier_assemblies": F.when(found, assembly), "carrier_haplotypes": F.when(found, carrier), "carrier_samples": F.when(found, sample), "graph_member_control_assemblies": F.when(control, assembly),
+        "linear_supporting_samples": F.when(linear, sample), "discovery_methods": F.col("discovery_method"), "caller_support": F.col("caller"), "assembly_qc_tiers": F.when(found, F.col("qc_tier")),
+        "sex_chromosome_status": F.col("sex_chromosome_status"), "evidence_ids": F.col("evidence_id"),
+    }
+    each = F.filter(F.array(*(F.struct(F.lit(i).alias("list"), c.cast("string").alias("value")) for i, c in enumerate(lists.values()))), lambda x: x["value"] != "")
+    values = clustered.select(*cluster, F.inline(each)).distinct().groupBy(*cluster).agg(F.collect_list(F.struct("list", "value")).alias("values"))
+    joined = rows.join(values, cluster)
+    own = lambda i: F.array_sort(F.transform(F.filter("values", lambda x: x["list"] == i), lambda x: x["value"]))
+    joined = joined.withColumns({f"_{name}": own(i) for i, name in enumerate(lists)}).drop("values")
+    numbered = number_all(joined, ["frame", "chromosome", "first"], "ordinal")
+    samples, tiers = F.size("_carrier_samples"), F.col("_assembly_qc_tiers")
+    poor = (F.size(tiers) > 0) & (F.size(F.array_except(tiers, F.array(F.lit("fragmented_rescue"), F.lit("not_recommended")))) == 0)
+    confidence = F.when(F.col("controlled") | poor, "UNCERTAIN").when(F.col("high") & (F.col("passed") | (samples >= 2)), "HIGH").when(F.col("high"), "MEDIUM").otherwise("UNCERTAIN")
+    validation = F.when(F.col("controlled"), "GRAPH_MEMBER_CONTROL_OVERLAP").when(poor, "PENDING_HIFI").when(F.col("passed"), "LINEAR_CALLER_SUPPORTED").otherwise("ASSEMBLY_ONLY_REVIEW")
+    text = lambda name: F.array_join(f"_{name}", ";").alias(name)
+    size = lambda name, alias: F.size(f"_{name}").cast("long").alias(alias)
+    optional = lambda name: F.coalesce(F.col(f"r.{name}").cast("string"), F.lit(""))
     return numbered.select(
         stable_id("PSV_", "sha1", 16, "|", F.col("frame"), F.col("chromosome"), F.col("r.position_0"), F.col("r.svtype"), F.col("r.svlen"), F.col("ordinal")).alias("event_id"),
-        "ordinal", "frame", "chromosome", "r.position_0", "r.svtype", "r.svlen", "carrier_assemblies", "carrier_samples", "carrier_assembly_count", "independent_sample_count", "graph_member_control_count",
-        "linear_supporting_sample_count", "discovery_methods", "caller_support", F.array_join(F.array_sort("tiers"), ";").alias("assembly_qc_tiers"), confidence.alias("confidence"), validation.alias("validation_status"), "evidence_count",
+        "ordinal", "frame", F.col("frame").alias("coordinate_system"), "chromosome", text("sex_chromosome_status"), "r.position_0", "r.end_0", "r.svtype", "r.svlen", F.lit("").alias("reference_allele"), optional("alternate_sequence").alias("alternate_allele"),
+        optional("graph_segment").alias("graph_segment"), "r.segment_offset_0", text("carrier_assemblies"), text("carrier_haplotypes"), text("carrier_samples"), size("carrier_assemblies", "carrier_assembly_count"), size("carrier_samples", "independent_sample_count"),
+        text("graph_member_control_assemblies"), size("graph_member_control_assemblies", "graph_member_control_count"), text("linear_supporting_samples"), size("linear_supporting_samples", "linear_supporting_sample_count"), text("discovery_methods"), text("caller_support"),
+        text("assembly_qc_tiers"), F.lit("RESIDUAL_TO_FROZEN_GRAPH").alias("graph_representation_status"), validation.alias("validation_status"), confidence.alias("confidence"), text("evidence_ids"), "evidence_count",
     )
 
 

@@ -12,17 +12,18 @@ import numpy as np
 class OpenHeads:
     """Cluster heads of one key while its rows pass in order: only heads at most `distance` behind the current row are held."""
 
-    def __init__(self, distance: int, similarity: float):
+    def __init__(self, distance: int, similarity: float, heads: list[tuple] = ()):
         self.distance, self.similarity = distance, similarity
-        self.heads: list[tuple] = []
+        self.heads: list[tuple] = [tuple(h) for h in heads]
+        self.at: int | None = None
 
     def head(self, position: int, length: int, sequence: str, name: str) -> str:
         """The name of the newest open head that fits the row; its own name, if none does and it becomes a head."""
-        self.heads = [h for h in self.heads if position - h[0] <= self.distance]
+        if position != self.at:
+            self.at, self.heads = position, [h for h in self.heads if position - h[0] <= self.distance]
         for _, its_length, its_sequence, its_name in reversed(self.heads):
-            small, large = sorted((length, its_length))
-            alike = small == 0 or small / large >= self.similarity
-            if alike and not (sequence and its_sequence and sequence != its_sequence):
+            small, large = (length, its_length) if length < its_length else (its_length, length)
+            if (small == 0 or small / large >= self.similarity) and not (sequence and its_sequence and sequence != its_sequence):
                 return its_name
         self.heads.append((position, length, sequence, name))
         return name

@@ -139,6 +139,13 @@ ADAPTERS = {
         SELECT doc_id AS contig, regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ', 'AACACGGTACGTANGTACGTACGTACAACACGGTACGTANGTACGTACGTACN'), '[^ACGTN]', ''{all}) AS seq FROM {documents} WHERE text IS NOT NULL""",
 }
 
+# The same evidence with what a catalogue row shows of it; insertions with a sequence meet only their like.
+ADAPTERS["catalog_evidence"] = f"""
+        SELECT e.*, position_0 + CASE WHEN svtype = 'INS' THEN 1 ELSE svlen END AS end_0, CASE WHEN svtype = 'INS' AND svlen % 4 <> 0 THEN CASE WHEN svlen % 2 = 0 THEN 'ACGTACGT' ELSE 'TTGACA' END ELSE '' END AS alternate_sequence,
+          CASE WHEN chromosome = 'chr5' THEN CASE WHEN svlen % 2 = 0 THEN 'XY' ELSE 'X' END ELSE '' END AS sex_chromosome_status, CASE WHEN discovery_method = 'graph_residual' THEN 's'||CAST(position_0 % 97 AS STRING) ELSE '' END AS graph_segment,
+          CASE WHEN discovery_method = 'graph_residual' THEN position_0 % 1000 END AS segment_offset_0
+        FROM ({ADAPTERS["evidence"]}) e"""
+
 
 def _tables(text: str) -> set[str]:
     return set(re.findall(r"\{(\w\w+)\}", text)) - {"all"}

@@ -53,13 +53,60 @@ ROWS = (
 )
 
 
+# The whole catalogue row over evidence with sequences: the walk also holds them, and lists are gathered as sets in order.
+_FOUND, _CONTROL, _LINEAR = "discovery_method = 'graph_residual' AND NOT graph_member", "discovery_method = 'graph_residual' AND graph_member", "discovery_method <> 'graph_residual'"
+
+
+def _list(name: str, value: str, where: str = "true") -> str:
+    return f"COALESCE(string_agg(DISTINCT {value}, ';' ORDER BY {value}) FILTER ({where} AND {value} <> ''), '') AS {name}"
+
+
+WHOLE = (
+    ORDERED.replace("FROM evidence ", "FROM catalog_evidence ")
+    .replace("svlen, evidence_id, ROW_NUMBER()", "svlen, evidence_id, alternate_sequence AS q, ROW_NUMBER()")
+    .replace("'id': evidence_id}", "'id': evidence_id, 'q': q}")
+    .replace("'id': n.evidence_id}", "'id': n.evidence_id, 'q': n.q}")
+    .replace(">= 0.7))", ">= 0.7) AND (h.q = '' OR n.q = '' OR h.q = n.q))")
+    + f""", g AS (SELECT frame, chromosome, cluster_head, MIN({{'p': position_0, 't': svtype, 'l': svlen, 'i': evidence_id}}) AS first,
+      arg_min({{'p': position_0, 'e': end_0, 't': svtype, 'l': svlen, 'q': alternate_sequence, 's': graph_segment, 'o': segment_offset_0}}, {{'w': confidence_tier NOT IN ('HIGH_CONFIDENCE', 'CALLER_PASS'), 'n': -svlen, 'i': evidence_id}}) FILTER ({_FOUND}) AS rep,
+      {_list("carrier_assemblies", "assembly_id", _FOUND)}, {_list("carrier_haplotypes", "(sample_id || ':' || haplotype)", _FOUND)}, {_list("carrier_samples", "sample_id", _FOUND)},
+      {_list("graph_member_control_assemblies", "assembly_id", _CONTROL)}, {_list("linear_supporting_samples", "sample_id", _LINEAR)}, {_list("discovery_methods", "discovery_method")}, {_list("caller_support", "caller")},
+      {_list("assembly_qc_tiers", "qc_tier", _FOUND)}, {_list("sex_chromosome_status", "sex_chromosome_status")}, {_list("evidence_ids", "evidence_id")},
+      COUNT(DISTINCT assembly_id) FILTER ({_FOUND}) AS carrier_assembly_count, COUNT(DISTINCT sample_id) FILTER ({_FOUND}) AS independent_sample_count, COUNT(DISTINCT assembly_id) FILTER ({_CONTROL}) AS graph_member_control_count,
+      COUNT(DISTINCT sample_id) FILTER ({_LINEAR}) AS linear_supporting_sample_count, COUNT(*) FILTER ({_FOUND}) AS nf, COUNT(*) FILTER ({_CONTROL}) AS nc, COUNT(*) FILTER ({_FOUND} AND confidence_tier = 'HIGH_CONFIDENCE') AS hi,
+      COUNT(*) FILTER ({_LINEAR} AND confidence_tier = 'CALLER_PASS') AS ps, COUNT(*) FILTER ({_FOUND} AND qc_tier <> '') AS nt, COUNT(*) FILTER ({_FOUND} AND qc_tier = 'primary') AS np, COUNT(*) AS evidence_count
+      FROM cl GROUP BY 1, 2, 3),
+    k AS (SELECT *, ROW_NUMBER() OVER (ORDER BY frame, chromosome, first) AS ordinal, nt > 0 AND np = 0 AS poor FROM g WHERE nf > 0),
+    whole AS (SELECT 'PSV_' || substr(sha1(frame || '|' || chromosome || '|' || rep.p || '|' || rep.t || '|' || rep.l || '|' || ordinal), 1, 16) AS event_id, ordinal, frame AS coordinate_system, chromosome, sex_chromosome_status, rep.p AS position_0, rep.e AS end_0, rep.t AS svtype, rep.l AS svlen,
+      '' AS reference_allele, rep.q AS alternate_allele, rep.s AS graph_segment, rep.o AS segment_offset_0, carrier_assemblies, carrier_haplotypes, carrier_samples, carrier_assembly_count, independent_sample_count, graph_member_control_assemblies, graph_member_control_count,
+      linear_supporting_samples, linear_supporting_sample_count, discovery_methods, caller_support, assembly_qc_tiers, 'RESIDUAL_TO_FROZEN_GRAPH' AS graph_representation_status,
+      CASE WHEN nc > 0 THEN 'GRAPH_MEMBER_CONTROL_OVERLAP' WHEN poor THEN 'PENDING_HIFI' WHEN ps > 0 THEN 'LINEAR_CALLER_SUPPORTED' ELSE 'ASSEMBLY_ONLY_REVIEW' END AS validation_status,
+      CASE WHEN nc > 0 OR poor THEN 'UNCERTAIN' WHEN hi > 0 AND (ps > 0 OR independent_sample_count >= 2) THEN 'HIGH' WHEN hi > 0 THEN 'MEDIUM' ELSE 'UNCERTAIN' END AS confidence, evidence_ids, evidence_count FROM k)"""
+)
+
+
+def whole_catalog(t: Tables) -> DataFrame:
+    return catalog.catalog_rows(catalog.cluster_evidence(t.catalog_evidence)).drop("frame")
+
+
+@query("agg_24_catalog_rows", f"+ {WHOLE} SELECT * FROM whole", ("catalog_evidence",))
+def _(t):
+    return whole_catalog(t)
+
+
 @query(
-    "agg_24_catalog_rows",
-    f"+ {ROWS} SELECT event_id, ordinal, frame, chromosome, rep.p AS position_0, rep.t AS svtype, rep.l AS svlen, carrier_samples, carrier_assembly_count, independent_sample_count, graph_member_control_count, linear_supporting_sample_count, discovery_methods, confidence, validation_status, evidence_count FROM cat",
-    ("evidence",),
+    "gr_7_chained_catalog",
+    f"""+ {WHOLE}, d AS (SELECT *, coordinate_system = 'GRAPH' AS g, CASE WHEN svtype = 'INS' AND regexp_full_match(alternate_allele, '[ACGTN]+') THEN alternate_allele ELSE '' END AS ins FROM whole)
+    SELECT event_id AS stable_event_id, CASE WHEN g THEN '' ELSE chromosome END AS chm13_chrom, CASE WHEN g THEN '' ELSE CAST(position_0 AS STRING) END AS chm13_start_0, CASE WHEN g THEN '' ELSE CAST(end_0 AS STRING) END AS chm13_end_0, graph_segment AS graph_node, COALESCE(CAST(segment_offset_0 AS STRING), '') AS graph_offset_0,
+      svtype, CAST(svlen AS STRING) AS svlen, ins AS inserted_sequence, carrier_samples AS source_sample, discovery_methods AS discovery_method, confidence AS breakpoint_confidence, CASE WHEN ins <> '' THEN 'sequence_resolved' ELSE 'sequence_unavailable_or_not_insertion' END AS sequence_confidence,
+      graph_representation_status AS graph_membership_status, CASE WHEN g THEN 'unprojected_preserved' ELSE 'projected' END AS projection_status, event_id AS source_event_id FROM d""",
+    ("catalog_evidence",),
 )
 def _(t):
-    return catalog.catalog_rows(clustered(t)).drop("carrier_assemblies", "caller_support", "assembly_qc_tiers")
+    """Evidence clustered, catalogued and normalised in one chain: what the catalogue writes is what the next step reads."""
+    rows = whole_catalog(t).withColumnRenamed("ordinal", "row").withColumn("coordinate_system", F.when(F.col("coordinate_system") == "REF", "CHM13").otherwise(F.col("coordinate_system")))
+    got = catalog.normalize_catalog([("provisional", rows, {})])
+    return got.drop("grch38_chrom", "grch38_start_0", "grch38_end_0", "inserted_sequence_sha256", "source_graph")
 
 
 @query("win_4_catalog_ordinals", f"+ {ROWS} SELECT frame, chromosome, MIN(ordinal) AS first_ordinal, MAX(ordinal) AS last_ordinal, COUNT(*) AS events FROM cat GROUP BY 1, 2", ("evidence",))

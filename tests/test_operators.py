@@ -60,8 +60,8 @@ def plain_greedy(data, distance, similarity):
     return out
 
 
-@pytest.mark.parametrize(("parts", "span"), [(1, 40_000), (7, 40_000), (5, 4_000)])
-def test_clusters_against_brute_force(spark, parts, span):
+@pytest.mark.parametrize(("parts", "span", "ranges"), [(1, 40_000, 4), (7, 40_000, 25), (5, 4_000, 60), (3, 300, 40), (3, 1, 7)])
+def test_clusters_against_brute_force(spark, parts, span, ranges):
     """Sparse and dense rows, the dense ones without any gap, on any partitions; rows that lack a field stay by themselves."""
     random.seed(1)
     data = [("REF", random.choice(["chr1", "chr2"]), random.randrange(span), random.choice(["INS", "DEL"]), random.randrange(50, 300), f"e{i}", random.choice([None, "", "ACGT", "AC"])) for i in range(600)]
@@ -71,10 +71,35 @@ def test_clusters_against_brute_force(spark, parts, span):
     random.shuffle(data)
     schema = "frame string, chromosome string, position_0 long, svtype string, svlen long, evidence_id string, alternate_sequence string"
     df = spark.createDataFrame(data, schema).repartition(parts)
-    got = catalog.cluster_evidence(df)
+    got = catalog.cluster_evidence(df, parts=ranges)
     assert got.columns == [*df.columns, "cluster_head"]
     assert {r.evidence_id: r.cluster_head for r in got.collect()} == want | {r[5]: r[5] for r in lacking}
     assert catalog.cluster_evidence(df.limit(0)).collect() == []
+    twice = catalog.cluster_evidence(df.union(df), parts=ranges).groupBy("evidence_id").agg(F.count_distinct("cluster_head").alias("n"), F.max("cluster_head").alias("h"), F.count(F.lit(1)).alias("k")).collect()
+    assert all((r.n, r.k) == (1, 2) for r in twice) and {r.evidence_id: r.h for r in twice} == want | {r[5]: r[5] for r in lacking}
+
+
+def test_a_dense_position_is_many_ranges(spark):
+    """All rows in one place of one chromosome: no range holds more than a few times its share."""
+    from pyspark.sql import DataFrame
+
+    seen = []
+    keep = catalog.saved
+
+    def watched(df: DataFrame) -> DataFrame:
+        out = keep(df)
+        seen.append(sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()))
+        return out
+
+    df = spark.range(4000).selectExpr("'REF' frame", "'chr1' chromosome", "id div 2000 position_0", "'DEL' svtype", "50 + id % 900 svlen", "'e' || id evidence_id")
+    catalog.saved = watched
+    try:
+        assert catalog.cluster_evidence(df, parts=16).count() == 4000
+    finally:
+        catalog.saved = keep
+    assert len(seen[0]) >= 12 and seen[0][-1] <= 3 * 4000 / 16
+    numbers = catalog.number_all(df, ["position_0", "svlen", "evidence_id"], "n")
+    assert [r.n for r in numbers.orderBy("position_0", "svlen", "evidence_id").collect()] == list(range(1, 4001))
 
 
 @pytest.mark.parametrize("width", [7, 100, 100_000])
