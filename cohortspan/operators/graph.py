@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flip_token, path_tokens, reverse_complement
-from .components import components
-from .kernels import bridges
+from .components import components, saved
+from .kernels import contract
 from .qc import n50
 
 
@@ -168,25 +168,124 @@ def check_tiling(segments: DataFrame, lengths: DataFrame) -> DataFrame:
     return lengths.join(g, "name", "left").select("name", F.coalesce("breaks", F.lit(0)).alias("breaks"), (F.coalesce("breaks", F.lit(1)) == 0).alias("contiguous"), F.coalesce(F.col("_end") == F.col("length"), F.lit(False)).alias("complete"))
 
 
-def find_bridges(links: DataFrame) -> DataFrame:
-    """GR-5, first part: links whose removal splits their component. A component is one task, so cut chromosomes first where they are too long."""
-    named = components(links, "left_id", "right_id").withColumnsRenamed({"node": "left_id", "root": "component"})
-    rows = links.join(named, "left_id")
+#: Links that one task takes when bridges are sought, about.
+TASK_LINKS = 200_000
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["left_id", "right_id"]).reset_index(drop=True)
-        number = {x: i for i, x in enumerate(pd.unique(pd.concat([pdf["left_id"], pdf["right_id"]])))}
-        return pdf.loc[bridges([(number[a], number[b]) for a, b in zip(pdf["left_id"], pdf["right_id"], strict=True)]), ["component", "left_id", "right_id"]]
 
-    return rows.groupBy("component").applyInPandas(run, "component string, left_id string, right_id string")
+def physical_links(links: DataFrame) -> DataFrame:
+    """Distinct links between node ends: left_id, left_end, right_id, right_end (`left` or `right`), the smaller end first. A link and its reverse are one.
 
+    Links: left_id, right_id and left_forward, right_forward (forward where a column is missing).
+    """
+    forward = lambda c: F.col(c) if c in links.columns else F.lit(True)
+    a = F.struct(F.col("left_id").alias("id"), F.when(forward("left_forward"), "right").otherwise("left").alias("end"))
+    b = F.struct(F.col("right_id").alias("id"), F.when(forward("right_forward"), "left").otherwise("right").alias("end"))
+    ends = links.filter("left_id is not null and right_id is not null").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    return ends.select(F.col("a.id").alias("left_id"), F.col("a.end").alias("left_end"), F.col("b.id").alias("right_id"), F.col("b.end").alias("right_end"))
+
+
+def find_bridges(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
+    """GR-5, first part: the physical links whose removal splits their component; parallel links and links of a node with itself are none.
 
-def partition_graph(segments: DataFrame, links: DataFrame, accepted: DataFrame, max_bp: int) -> DataFrame:
-    """GR-5, second part: components left after the accepted cut links are taken out, with bases and status."""
-    rest = links.join(accepted.select("left_id", "right_id"), ["left_id", "right_id"], "left_anti")
+    Links are sorted by node name into ranges of about `task_links`. A range settles what it can by itself and hands on a few edges
+    in place of the rest (`kernels.contract`): as many as it has nodes with links elsewhere, at most twice. What ranges hand on is
+    cut into at most half as many ranges, until one is left. Names that follow the chromosomes, as graph builders give them,
+    have few nodes with links elsewhere; names at random shrink a graph only to two edges a node, and the last task takes that many.
+    """
+    spark = links.sparkSession
+    whole = saved(physical_links(links))
+    ids = F.concat_ws("|", "left_id", "left_end", "right_id", "right_end")
+    edges = whole.filter("left_id <> right_id").select(ids.alias("edge"), F.col("left_id").alias("a"), F.col("right_id").alias("b"))
+    place = F.substring_index("a", "\0", 1)  # nodes that stand for several are named after their first
+    parts, steps = 1 << 30, []
+    while parts > 1:
+        edges = saved(edges)
+        parts = min(-(-edges.count() // task_links), parts // 2) or 1
+        if parts > 1:
+            ranged = saved(edges.repartitionByRange(parts, F.length(place), place)).withColumn("part", F.spark_partition_id())
+            ends = ranged.select("part", F.explode(F.array("a", "b")).alias("node")).distinct()
+            shared = saved(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node"))
+            for c in ("a", "b"):
+                ranged = ranged.join(shared.select(F.col("node").alias(c), F.lit(True).alias(f"{c}_shared")), c, "left")
+        else:
+            ranged = edges.withColumns({"part": F.lit(0), "a_shared": F.lit(None).cast("boolean"), "b_shared": F.lit(None).cast("boolean")})
+        step = len(steps)
+
+        def run(pdf: pd.DataFrame, step: int = step) -> pd.DataFrame:
+            pdf = pdf.sort_values("edge")
+            shared = set(pdf.loc[pdf["a_shared"].notna(), "a"]) | set(pdf.loc[pdf["b_shared"].notna(), "b"])
+            sure, rest = contract(list(zip(pdf["edge"], pdf["a"], pdf["b"], strict=True)), shared, f"{step}.{pdf['part'].iloc[0]}")
+            rows = [(x, None, None, None) for x in sure] + [(own, e, a, b) for e, a, b, inside in rest for own in inside or [None]]
+            return pd.DataFrame(rows, columns=["edge", "into", "a", "b"])
+
+        steps.append(saved(ranged.groupBy("part").applyInPandas(lambda pdf: run(pdf), "edge string, into string, a string, b string")))
+        edges = steps[-1].filter("into is not null").select(F.col("into").alias("edge"), "a", "b").distinct()
+    found = spark.createDataFrame([], "edge string")
+    for rows in reversed(steps):
+        own = rows.filter("edge is not null")
+        found = own.filter("into is null").select("edge").union(own.join(found.select(F.col("edge").alias("into")), "into", "left_semi").select("edge"))
+    return whole.withColumn("edge", ids).join(found, "edge", "left_semi").drop("edge")
+
+
+def choose_cuts(backbone: DataFrame, links: DataFrame, bridges: DataFrame, chunk_bp: int, slack_bp: int) -> tuple[DataFrame, DataFrame]:
+    """GR-5, second part: where to cut. (boundaries, cut links) for a backbone of rows reference, start, end_, segment_id that tile each reference.
+
+    Every multiple of `chunk_bp` inside a reference is a target. Candidates are borders of neighbouring segments whose forward link is a bridge; the nearest
+    one (the left one on a tie) is taken if it is at most `slack_bp` away. Candidates are first reduced to the outermost ones
+    between two targets, so what is ordered has a row a target. A border without its link is an error when read.
+    """
+    after = backbone.select("reference", F.col("start").alias("at"), F.col("segment_id").alias("right"))
+    borders = backbone.select("reference", F.col("end_").alias("at"), F.col("segment_id").alias("left")).join(after, ["reference", "at"])
+    key = lambda a, b: F.least(F.struct(a.alias("id"), F.lit("right").alias("end")), F.struct(b.alias("id"), F.lit("left").alias("end")))
+    other = lambda a, b: F.greatest(F.struct(a.alias("id"), F.lit("right").alias("end")), F.struct(b.alias("id"), F.lit("left").alias("end")))
+    a, b = key(F.col("left"), F.col("right")), other(F.col("left"), F.col("right"))
+    ends = ["left_id", "left_end", "right_id", "right_end"]
+    borders = borders.select("reference", "at", a["id"].alias("left_id"), a["end"].alias("left_end"), b["id"].alias("right_id"), b["end"].alias("right_end"))
+    known = physical_links(links).withColumn("_known", F.lit(True)).join(bridges.select(*ends).withColumn("_bridge", F.lit(True)), ends, "left")
+    checked = borders.join(known, ends, "left").withColumn("_bridge", F.when(F.col("_known").isNull(), F.raise_error(F.concat(F.lit("no forward link at "), "reference", F.lit(":"), F.col("at").cast("string")))).otherwise(F.col("_bridge")))
+    candidates = saved(checked.filter("_bridge").select("reference", "at", *ends))
+    slot = F.floor(F.col("at") / chunk_bp)  # a candidate on a target is right of it
+    outermost = candidates.groupBy("reference", slot.alias("slot")).agg(F.min("at").alias("_lo"), F.max("at").alias("_hi"))
+    lengths = backbone.groupBy("reference").agg(F.max("end_").alias("_length"))
+    slots = lengths.select("reference", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_length") - 1) / chunk_bp))).alias("slot")).join(outermost, ["reference", "slot"], "left")
+    order = Window.partitionBy("reference").orderBy("slot")
+    left = F.max("_hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    right = F.min("_lo").over(order.rowsBetween(0, Window.unboundedFollowing))
+    target = F.col("slot") * chunk_bp
+    placed = slots.withColumns({"target": target, "_l": left, "_r": right}).filter("slot > 0")
+    nearest = F.when(F.col("_r").isNull() | (F.col("target") - F.col("_l") <= F.col("_r") - F.col("target")), F.col("_l")).otherwise(F.col("_r"))
+    boundaries = placed.withColumn("nearest_safe", nearest).withColumn("distance", F.abs(F.col("nearest_safe") - F.col("target")))
+    near = F.coalesce(F.col("distance") <= slack_bp, F.lit(False))
+    boundaries = saved(boundaries.select("reference", "target", "nearest_safe", "distance", near.alias("selected"), F.when(near, "bridge").otherwise("no_bridge_within_slack").alias("reason")))
+    chosen = boundaries.filter("selected").select("reference", F.col("nearest_safe").alias("at")).distinct()
+    return boundaries, candidates.join(chosen, ["reference", "at"]).select(*ends)
+
+
+def partition_graph(segments: DataFrame, links: DataFrame, backbone: DataFrame, cuts: DataFrame, max_bp: int, max_span: int) -> DataFrame:
+    """GR-5, third part: what is left after the cuts: chunk (its smallest segment), reference, start, end_, max_reference_span, seed_bp, nodes, status.
+
+    The status names all limits that a chunk breaks (multiple_references, reference_span_limit, seed_bases_limit) or is PASS.
+    """
+    ends = ["left_id", "left_end", "right_id", "right_end"]
+    rest = physical_links(links).join(cuts.select(*ends), ends, "left_anti")
     named = components(rest, "left_id", "right_id").withColumnsRenamed({"node": "segment_id", "root": "chunk"})
-    rows = segments.join(named, "segment_id", "left").withColumn("chunk", F.coalesce("chunk", "segment_id"))
-    return rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("segments"), F.sum("ln").alias("bp")).withColumn("status", F.when(F.col("bp") > max_bp, "OVERSIZED").otherwise("PASS"))
+    owned = segments.select("segment_id", "ln").join(named, "segment_id", "left").withColumn("chunk", F.coalesce("chunk", "segment_id"))
+    rows = owned.join(backbone.select("segment_id", "reference", "start", "end_"), "segment_id", "left")
+    each = rows.groupBy("chunk", "reference").agg(F.sum("ln").alias("_bp"), F.count(F.lit(1)).alias("_n"), F.min("start").alias("_s"), F.max("end_").alias("_e"))
+    span = F.coalesce(F.max(F.col("_e") - F.col("_s")), F.lit(0)).cast("long")
+    found = each.groupBy("chunk").agg(
+        F.array_join(F.array_sort(F.collect_set("reference")), ";").alias("_refs"), F.count("reference").alias("_many"), F.coalesce(F.min("_s"), F.lit(0)).cast("long").alias("start"), F.coalesce(F.max("_e"), F.lit(0)).cast("long").alias("end_"),
+        span.alias("max_reference_span"), F.sum("_bp").cast("long").alias("seed_bp"), F.sum("_n").cast("long").alias("nodes"),
+    )
+    broken = F.concat_ws(",", F.when(F.col("_many") > 1, "multiple_references"), F.when(F.col("max_reference_span") > max_span, "reference_span_limit"), F.when(F.col("seed_bp") > max_bp, "seed_bases_limit"))
+    return found.select("chunk", F.when(F.col("_refs") == "", ".").otherwise(F.col("_refs")).alias("reference"), "start", "end_", "max_reference_span", "seed_bp", "nodes", F.when(broken == "", "PASS").otherwise(broken).alias("status"))
+
+
+def partition_report(chunks: DataFrame, bridges: DataFrame, cuts: DataFrame) -> DataFrame:
+    """GR-5, one row: whether the partition is feasible, and its counts. Nothing may be built on one that is not."""
+    own = chunks.agg(F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("status") != "PASS").alias("problems"), F.count_if(F.col("reference") == ".").alias("off_reference_chunks"), F.max("max_reference_span").alias("largest_reference_span"), F.max("seed_bp").alias("largest_seed_bp"))
+    counted = own.crossJoin(bridges.agg(F.count(F.lit(1)).alias("bridges"))).crossJoin(cuts.agg(F.count(F.lit(1)).alias("cuts")))  # three rows of one
+    return counted.withColumn("feasible", F.col("problems") == 0)
 
 
 def verify_walks(walks: DataFrame, segments: DataFrame, links: DataFrame) -> DataFrame:

@@ -92,6 +92,69 @@ def bridges(edges: list[tuple[int, int]]) -> list[int]:
     return sorted(out)
 
 
+def contract(edges: list[tuple[str, str, str]], shared: set[str], mark: str) -> tuple[list[str], list[tuple[str, str, str, list[str]]]]:
+    """A part of a graph cut down to what the rest needs to know. Edges: (id, a, b); `shared`: nodes that also have edges elsewhere.
+
+    Gives the ids that are bridges of the whole graph whatever the rest holds, and the edges that take this part's place: (id, a, b, ids of the
+    edges that are bridges if it is one). An edge on a cycle here is none, and its cycle keeps its shared nodes together by
+    double edges. A branch without shared nodes hangs on a bridge. A path between other nodes is one edge.
+    """
+    number: dict[str, int] = {}
+    ends = [tuple(number.setdefault(x, len(number)) for x in (a, b)) for _, a, b in edges]
+    apart = set(bridges(ends))
+    parent = list(range(len(number)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, (a, b) in enumerate(ends):
+        if i not in apart:
+            parent[root(a)] = root(b)
+    held: dict[int, list[str]] = {}
+    for name, i in number.items():
+        if name in shared:
+            held.setdefault(root(i), []).append(name)
+    out = []
+    for names in held.values():
+        out += [(f"{names[0]}\0{mark}:{x}:{k}", names[0], x, []) for x in names[1:] for k in (0, 1)]
+    first: dict[int, str] = {}
+    for name, i in number.items():
+        first[root(i)] = min(first.get(root(i), name), name)
+    around: dict[int, dict[int, int]] = {}  # of the trees that are left: class -> edge -> class
+    for i in apart:
+        a, b = (root(x) for x in ends[i])
+        around.setdefault(a, {})[i] = b
+        around.setdefault(b, {})[i] = a
+    sure, loose = [], [c for c, e in around.items() if len(e) == 1 and c not in held]
+    while loose:
+        c = loose.pop()
+        if len(around[c]) != 1:
+            continue
+        ((i, other),) = around.pop(c).items()
+        sure.append(edges[i][0])
+        del around[other][i]
+        if len(around[other]) == 1 and other not in held:
+            loose.append(other)
+    kept = {c for c, e in around.items() if e and (c in held or len(e) > 2)}
+    name = lambda c: held[c][0] if c in held else f"{first[c]}\0{mark}"
+    done: set[int] = set()
+    for c in kept:
+        for i, other in around[c].items():
+            if i in done:
+                continue
+            path, via, at = [i], i, other
+            while at not in kept:
+                via, at = next((e, o) for e, o in around[at].items() if e != via)
+                path.append(via)
+            done |= {path[0], path[-1]}
+            ids = [edges[k][0] for k in path]
+            out.append((min(ids), name(c), name(at), ids))
+    return sure, out
+
+
 def sign_flip(differences: np.ndarray, permutations: int, seed: int) -> tuple[float | None, bool]:
     """Two-sided p-value of a mean difference under sign flips (None without pairs), and whether all flips were listed: up to 16 pairs, zeros among them."""
     if not len(differences):

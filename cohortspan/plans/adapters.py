@@ -60,6 +60,18 @@ ADAPTERS = {
         FROM (SELECT p_partkey AS a, p_partkey + 1 AS b FROM {part} WHERE p_partkey % 25 <> 0
               UNION ALL SELECT p_partkey, p_partkey + 7 FROM {part} WHERE p_partkey % 5 = 0 AND (p_partkey - 1) {d} 25 = (p_partkey + 6) {d} 25)
         WHERE b <= (SELECT MAX(p_partkey) FROM {part})""",
+    "backbone_nodes": """
+        SELECT 's'||CAST(n AS STRING) AS segment_id, n, ln, CASE WHEN n % 3 <> 0 THEN 'c'||CAST(g AS STRING) END AS reference, CASE WHEN n % 3 <> 0 THEN CAST(before AS BIGINT) - ln END AS start, CASE WHEN n % 3 <> 0 THEN CAST(before AS BIGINT) END AS end_
+        FROM (SELECT n, ln, g, SUM(CASE WHEN n % 3 <> 0 THEN ln ELSE 0 END) OVER (PARTITION BY g ORDER BY n) AS before FROM (SELECT p_partkey AS n, 1 + (p_partkey*37) % 9000 AS ln, p_partkey {d} 60 AS g FROM {part}))""",
+    "backbone_links": """
+        SELECT 's'||CAST(CASE WHEN back THEN b ELSE a END AS STRING) AS left_id, NOT back AS left_forward, 's'||CAST(CASE WHEN back THEN a ELSE b END AS STRING) AS right_id, NOT back AS right_forward
+        FROM (SELECT a, b, false AS back FROM (
+                SELECT p_partkey AS a, p_partkey + CASE WHEN p_partkey % 3 = 1 THEN 1 ELSE 2 END AS b FROM {part} WHERE p_partkey % 3 <> 0
+                UNION ALL SELECT p_partkey - 1, p_partkey FROM {part} WHERE p_partkey % 6 = 0 OR p_partkey % 5 = 0 AND p_partkey % 3 = 0
+                UNION ALL SELECT p_partkey, p_partkey + 1 FROM {part} WHERE p_partkey % 6 = 0 AND p_partkey % 4 <> 0
+                UNION ALL SELECT p_partkey, p_partkey + 9 FROM {part} WHERE p_partkey % 30 = 1) x
+              UNION ALL SELECT p_partkey, p_partkey + 1, true FROM {part} WHERE p_partkey % 30 = 1) y
+        WHERE a > 0 AND a {d} 60 = b {d} 60 AND b <= (SELECT MAX(p_partkey) FROM {part})""",
     "gaf": """
         SELECT 'r'||CAST(event_id {d} 2 AS STRING)||'/'||CAST(1 + event_id % 2 AS STRING) AS read_name, '>s'||CAST(1 + user_id % 20 AS STRING)||'>s'||CAST(2 + user_id % 20 AS STRING)||(CASE WHEN event_id % 7 < 3 THEN '>' ELSE '<' END)||'s'||CAST(3 + (user_id + event_id % 3) % 20 AS STRING) AS path,
           (event_id*7) % 256 AS mapq, 'g'||CAST((event_id {d} 2) % 4 AS STRING) AS target, 'S'||CAST(user_id % 20 AS STRING) AS sample_id, event_id,

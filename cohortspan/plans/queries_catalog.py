@@ -395,14 +395,61 @@ def _(t):
     return graph.locate_on_path(events, t.segments).select("event_id", "segment", "segment_offset")
 
 
-@query("gr_5_bridges")
+# A link is a bridge if its right end can't be reached from its left end without it.
+BRIDGES = """phys AS (SELECT DISTINCT CASE WHEN a < b THEN a ELSE b END AS x, CASE WHEN a < b THEN b ELSE a END AS y FROM (SELECT {'id': left_id, 'e': CASE WHEN left_forward THEN 'right' ELSE 'left' END} AS a, {'id': right_id, 'e': CASE WHEN right_forward THEN 'left' ELSE 'right' END} AS b FROM backbone_links)),
+    e AS (SELECT x.id AS left_id, x.e AS left_end, y.id AS right_id, y.e AS right_end, ROW_NUMBER() OVER (ORDER BY x, y) AS eid FROM phys),
+    und AS (SELECT eid, left_id AS a, right_id AS b FROM e UNION ALL SELECT eid, right_id, left_id FROM e),
+    reach AS (SELECT eid, left_id AS node FROM e UNION SELECT r.eid, u.b FROM reach r JOIN und u ON u.a = r.node AND u.eid <> r.eid),
+    bridge AS (SELECT * FROM e WHERE left_id <> right_id AND NOT EXISTS (SELECT 1 FROM reach r WHERE r.eid = e.eid AND r.node = e.right_id))"""
+CUTS = (
+    BRIDGES
+    + """, refs AS (SELECT reference, start, end_, segment_id, LEAD(segment_id) OVER (PARTITION BY reference ORDER BY start) AS next FROM backbone_nodes WHERE reference IS NOT NULL),
+    cand AS (SELECT r.reference, r.end_ AS at, b.eid FROM refs r JOIN bridge b ON {'l': b.left_id, 'le': b.left_end, 'r': b.right_id, 're': b.right_end} IN ({'l': r.segment_id, 'le': 'right', 'r': r.next, 're': 'left'}, {'l': r.next, 'le': 'left', 'r': r.segment_id, 're': 'right'})),
+    targets AS (SELECT reference, unnest(range(30000, len, 30000)) AS target FROM (SELECT reference, MAX(end_) AS len FROM refs GROUP BY 1)),
+    bounds AS (SELECT t.reference, t.target, c.at AS nearest_safe, abs(c.at - t.target) AS distance, COALESCE(abs(c.at - t.target) <= 4000, false) AS selected, c.eid FROM targets t LEFT JOIN cand c ON c.reference = t.reference QUALIFY ROW_NUMBER() OVER (PARTITION BY t.reference, t.target ORDER BY abs(c.at - t.target), c.at) = 1),
+    cut AS (SELECT DISTINCT eid FROM bounds WHERE selected)"""
+)
+CHUNKS = (
+    CUTS
+    + """, hold AS (SELECT segment_id AS node, segment_id AS other FROM backbone_nodes UNION SELECT h.node, u.b FROM hold h JOIN und u ON u.a = h.other WHERE u.eid NOT IN (SELECT eid FROM cut)),
+    own AS (SELECT node AS segment_id, MIN(other) AS chunk FROM hold GROUP BY 1),
+    per AS (SELECT chunk, reference, SUM(ln) AS bp, COUNT(*) AS n, MIN(start) AS s, MAX(end_) AS t FROM backbone_nodes JOIN own USING (segment_id) GROUP BY 1, 2),
+    sums AS (SELECT chunk, COALESCE(string_agg(reference, ';' ORDER BY reference), '.') AS reference, COUNT(reference) AS many, COALESCE(MIN(s), 0) AS start, COALESCE(MAX(t), 0) AS end_, COALESCE(MAX(t - s), 0) AS max_reference_span, CAST(SUM(bp) AS BIGINT) AS seed_bp, CAST(SUM(n) AS BIGINT) AS nodes FROM per GROUP BY 1),
+    chunks AS (SELECT chunk, reference, start, end_, max_reference_span, seed_bp, nodes, CASE WHEN many <= 1 AND max_reference_span <= 50000 AND seed_bp <= 60000 THEN 'PASS' ELSE concat_ws(',', CASE WHEN many > 1 THEN 'multiple_references' END, CASE WHEN max_reference_span > 50000 THEN 'reference_span_limit' END, CASE WHEN seed_bp > 60000 THEN 'seed_bases_limit' END) END AS status FROM sums)"""
+)
+_BACKBONE = ("backbone_nodes", "backbone_links")
+
+
+def cut_graph(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    links, backbone = t.backbone_links, t.backbone_nodes.filter("reference is not null")
+    bridges = graph.find_bridges(links)
+    boundaries, cuts = graph.choose_cuts(backbone, links, bridges, 30_000, 4_000)
+    return bridges, boundaries, cuts, graph.partition_graph(t.backbone_nodes, links, backbone, cuts, 60_000, 50_000)
+
+
+@query("gr_5_bridges", f"+ {BRIDGES} SELECT left_id, left_end, right_id, right_end FROM bridge", _BACKBONE)
+def _(t):
+    return graph.find_bridges(t.backbone_links)
+
+
+@query("gr_5_boundaries", f"+ {CUTS} SELECT reference, target, nearest_safe, distance, selected, CASE WHEN selected THEN 'bridge' ELSE 'no_bridge_within_slack' END AS reason FROM bounds", _BACKBONE)
 def _(t):
-    return graph.find_bridges(t.links).select("left_id", "right_id")
+    return cut_graph(t)[1]
 
 
-@query("gr_5_partition", None)
+@query("gr_5_partition", f"+ {CHUNKS} SELECT * FROM chunks", _BACKBONE)
+def _(t):
+    return cut_graph(t)[3]
+
+
+@query(
+    "gr_5_report",
+    f"+ {CHUNKS} SELECT COUNT(*) AS chunks, COUNT(*) FILTER (status <> 'PASS') AS problems, COUNT(*) FILTER (reference = '.') AS off_reference_chunks, MAX(max_reference_span) AS largest_reference_span, MAX(seed_bp) AS largest_seed_bp, (SELECT COUNT(*) FROM bridge) AS bridges, (SELECT COUNT(*) FROM cut) AS cuts, COUNT(*) FILTER (status <> 'PASS') = 0 AS feasible FROM chunks",
+    _BACKBONE,
+)
 def _(t):
-    return graph.partition_graph(t.segments, t.links, graph.find_bridges(t.links), 20_000)
+    bridges, _, cuts, chunks = cut_graph(t)
+    return graph.partition_report(chunks, bridges, cuts)
 
 
 @query("agg_44_compare_builds", "+ a AS (SELECT sn, CAST(SUM(ln) AS BIGINT) AS v FROM segments WHERE sr <= 1 GROUP BY 1), b AS (SELECT sn, CAST(SUM(ln) AS BIGINT) AS v FROM segments WHERE sr >= 1 GROUP BY 1) SELECT COALESCE(a.sn, b.sn) AS sn, COALESCE(a.v, -1) AS left_value, COALESCE(b.v, -1) AS right_value, COALESCE(b.v - a.v, 0) AS difference, ROUND(b.v / CAST(a.v AS DOUBLE), 6) AS ratio FROM a FULL JOIN b ON a.sn = b.sn", ("segments",))

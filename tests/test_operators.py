@@ -60,6 +60,39 @@ def plain_greedy(data, distance, similarity):
     return out
 
 
+@pytest.mark.parametrize("task_links", [5, 40, 10_000])
+def test_bridges_of_random_graphs(spark, task_links):
+    """A range at a time, with parallel links, loops, reverse readings, long paths and names without any order, against the plain search."""
+    rng = random.Random(task_links)
+    edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(110)] + [(200 + i, 201 + i) for i in range(60)] + [(300 + i, 300 + (i + 1) % 25) for i in range(25)] + [(230, 310), (5, 200), (7, 7), (400, 401), (400, 401)]
+    names = rng.sample(range(1000), 500)
+    rows = [(f"n{names[a]}", f"n{names[b]}", rng.random() < 0.7, rng.random() < 0.7) for a, b in edges]
+    rows += [(b, a, not y, not x) for a, b, x, y in rows[:30]]
+    links = spark.createDataFrame(rows, "left_id string, right_id string, left_forward boolean, right_forward boolean")
+    plain = sorted({tuple(sorted([(a, "right" if x else "left"), (b, "left" if y else "right")])) for a, b, x, y in rows})
+    number = {}
+    ends = [(number.setdefault(a[0], len(number)), number.setdefault(b[0], len(number))) for a, b in plain]
+    want = {(*plain[i][0], *plain[i][1]) for i in kernels.bridges(ends) if ends[i][0] != ends[i][1]}
+    got = [tuple(r) for r in graph.find_bridges(links, task_links).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    assert graph.find_bridges(links.limit(0)).collect() == []
+
+
+def test_infeasible_partitions_say_why(spark):
+    segments = spark.createDataFrame([("s1", 4), ("s2", 10), ("s3", 6), ("x", 7)], "segment_id string, ln long")
+    backbone = spark.createDataFrame([("c", 0, 4, "s1"), ("c", 4, 14, "s2"), ("d", 0, 6, "s3")], "reference string, start long, end_ long, segment_id string")
+    links = spark.createDataFrame([("s1", "s2"), ("s2", "s3")], "left_id string, right_id string")
+    bridges = graph.find_bridges(links)
+    boundaries, cuts = graph.choose_cuts(backbone, links, bridges, 5, 1)
+    assert sorted(map(tuple, boundaries.collect())) == [("c", 5, 4, 1, True, "bridge"), ("c", 10, 4, 6, False, "no_bridge_within_slack"), ("d", 5, None, None, False, "no_bridge_within_slack")]
+    chunks = graph.partition_graph(segments, links, backbone, cuts, 9, 8)
+    assert sorted(map(tuple, chunks.collect())) == [("s1", "c", 0, 4, 4, 4, 1, "PASS"), ("s2", "c;d", 0, 14, 10, 16, 2, "multiple_references,reference_span_limit,seed_bases_limit"), ("x", ".", 0, 0, 0, 7, 1, "PASS")]
+    report = graph.partition_report(chunks, bridges, cuts).first()
+    assert (report.feasible, report.problems, report.chunks, report.bridges, report.cuts, report.off_reference_chunks) == (False, 1, 3, 2, 1, 1)
+    with pytest.raises(Exception, match="no forward link"):
+        graph.choose_cuts(backbone, links.filter("left_id = 's2'"), bridges, 5, 1)
+
+
 @pytest.mark.parametrize(("parts", "span", "ranges"), [(1, 40_000, 4), (7, 40_000, 25), (5, 4_000, 60), (3, 300, 40), (3, 1, 7)])
 def test_clusters_against_brute_force(spark, parts, span, ranges):
     """Sparse and dense rows, the dense ones without any gap, on any partitions; rows that lack a field stay by themselves."""
