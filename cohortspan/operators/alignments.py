@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cigar_bases, join_reasons, parse_cigar
 from .intervals import merge_intervals, union_length, union_lengths
 
-EVENT = "array<struct<kind:string,operation:string,length:bigint,svlen:bigint,query_position:bigint,target_position:bigint,members:int,left_anchor:bigint,right_anchor:bigint>>"
+EVENT = "kind string, operation string, length bigint, svlen bigint, query_position bigint, target_position bigint, members int, left_anchor bigint, right_anchor bigint"
 
 
 def identity(matches: Column, block: Column) -> Column:
@@ -28,61 +30,98 @@ def filter_alignments(df: DataFrame, min_mapq: int = 0, min_identity: float = 0.
     return df.filter(keep & ~F.col("is_secondary") if primary else keep)
 
 
-_TOKEN = re.compile(r"([0-9]+)([MIDNSHP=X])")
-
-
-def _events(cigar: str, query: int, target: int, raw_min: int, gap: int, cluster_min: int) -> list[dict]:
-    """Events of one CIGAR in one pass; most have a few operations, so plain integers beat arrays."""
-    aligned = 0
-    indels = []  # operation, length, query and target before it, aligned bases before it
-    for n, op in _TOKEN.findall(cigar):
-        n = int(n)
-        if op in "ID":
-            indels.append((op, n, query, target, aligned))
-        if op in "M=X":
-            query += n
-            target += n
-            aligned += n
-        elif op in "IS":
-            query += n
-        elif op in "DN":
-            target += n
-
-    def event(kind: str, first: tuple, last: tuple, op: str, size: int, signed: int, members: int) -> dict:
-        return {
-            "kind": kind, "operation": op, "length": size, "svlen": signed, "query_position": first[2], "target_position": first[3],
-            "members": members, "left_anchor": first[4], "right_anchor": aligned - last[4],
-        }
-
-    out = [event("atomic", x, x, x[0], x[1], x[1] if x[0] == "I" else -x[1], 1) for x in indels if x[1] >= raw_min]
-    run: list[tuple] = []
-    for x in [*indels, None]:
-        if x and run:
-            last = run[-1]
-            away_q = x[2] - last[2] - (last[1] if last[0] == "I" else 0)
-            away_t = x[3] - last[3] - (last[1] if last[0] == "D" else 0)
-        if x and (not run or max(away_q, away_t) <= gap):
-            run.append(x)
-            continue
-        if len(run) > 1 and sum(r[1] for r in run) >= cluster_min:
-            ins, del_ = sum(r[1] for r in run if r[0] == "I"), sum(r[1] for r in run if r[0] == "D")
-            out.append(event("cluster", run[0], run[-1], "I" if not del_ else "D" if not ins else "ID", ins + del_, ins - del_, len(run)))
-        run = [x]
-    return out
-
-
-def cigar_events(df: DataFrame, raw_min_size: int = 30, cluster_gap: int = 50, cluster_min: int = 50) -> DataFrame:
+#: Bytes of CIGARs that are taken apart at a time.
+_CIGAR_BYTES = 1 << 24
+
+
+def _operations(cigars: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, operation (as a byte) and length of all operations of some CIGARs, in order; what is no operation is passed over."""
+    cigars = cigars.cast(pa.large_binary())
+    offsets = np.frombuffer(cigars.buffers()[1], np.int64)[cigars.offset : cigars.offset + len(cigars) + 1]
+    data = cigars.buffers()[2]
+    text = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    digit = text - np.uint8(48) < 10
+    ends = np.flatnonzero(~digit)
+    row = np.searchsorted(offsets, ends, "right") - 1
+    begins = np.maximum(np.concatenate([[-1], ends[:-1]]) + 1, offsets[row]) if len(ends) else ends
+    width = ends - begins
+    real = (width > 0) & np.isin(text[ends], np.frombuffer(b"MIDNSHP=X", np.uint8))
+    if (width[real] > 18).any():
+        raise ValueError("a CIGAR length has more than 18 digits")
+    ends, begins, row, width = ends[real], begins[real], row[real], width[real]
+    length = np.zeros(len(ends), np.int64)
+    for k in range(int(width.max()) if len(width) else 0):  # as many steps as the longest number has digits
+        own = k < width
+        length[own] = length[own] * 10 + (text[begins[own] + k] - np.uint8(48))
+    return row, text[ends], length
+
+
+def _event_rows(cigars: pa.Array, query: np.ndarray, target: np.ndarray, raw_min: int, gap: int, cluster_min: int) -> tuple[np.ndarray, list[pa.Array]]:
+    """The row and the columns of EVENT of every event, found for all rows at once by sums along one flat array of operations."""
+    row, op, n = _operations(cigars)
+    is_ = lambda letters: np.isin(op, np.frombuffer(letters, np.uint8))
+    aligned_n = np.where(is_(b"M=X"), n, 0)
+
+    def before(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What lies before each operation in its row, and the sum of each row."""
+        sums = np.concatenate([[0], np.cumsum(steps)])
+        first = np.searchsorted(row, np.arange(len(cigars) + 1))
+        return sums[:-1] - sums[first[row]], sums[first[1:]] - sums[first[:-1]]
+
+    in_query, in_target = before(np.where(is_(b"IS"), n, aligned_n))[0], before(np.where(is_(b"DN"), n, aligned_n))[0]
+    aligned, whole = before(aligned_n)
+    at = np.flatnonzero(is_(b"ID"))
+    row, n, left, ins = row[at], n[at], aligned[at], op[at] == ord("I")
+    q, t, right = query[row] + in_query[at], target[row] + in_target[at], whole[row] - left
+
+    atom = n >= raw_min
+    away = np.maximum(q[1:] - q[:-1] - np.where(ins, n, 0)[:-1], t[1:] - t[:-1] - np.where(ins, 0, n)[:-1])
+    starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (away > gap)])) if len(at) else at
+    lasts = np.concatenate([starts[1:], [len(at)]]) - 1 if len(at) else at
+    inserted = np.add.reduceat(np.where(ins, n, 0), starts) if len(at) else n
+    deleted = np.add.reduceat(np.where(ins, 0, n), starts) if len(at) else n
+    run = (lasts > starts) & (inserted + deleted >= cluster_min)
+    first, last, inserted, deleted = starts[run], lasts[run], inserted[run], deleted[run]
+
+    names = np.array(["I", "D", "ID"], object)
+    both = lambda a, b: pa.array(np.concatenate([a, b]).astype(np.int64))
+    kind = pa.array(["atomic"] * int(atom.sum()) + ["cluster"] * len(first), pa.string())
+    operation = pa.array(names[np.concatenate([np.where(ins[atom], 0, 1), np.where(deleted == 0, 0, np.where(inserted == 0, 1, 2))])], pa.string())
+    columns = [
+        kind, operation, both(n[atom], inserted + deleted), both(np.where(ins, n, -n)[atom], inserted - deleted), both(q[atom], q[first]), both(t[atom], t[first]),
+        pa.array(np.concatenate([np.ones(int(atom.sum()), np.int32), (last - first + 1).astype(np.int32)])), both(left[atom], left[first]), both(right[atom], right[last]),
+    ]
+    return np.concatenate([row[atom], row[first]]), columns
+
+
+def cigar_events(df: DataFrame, raw_min_size: int = 30, cluster_gap: int = 50, cluster_min: int = 50, keep: list[str] | None = None) -> DataFrame:
     """SCL-7: one row for each indel of at least `raw_min_size` and each run of indels at most `cluster_gap` apart with `cluster_min` bases in sum.
 
-    Runs come in addition to their atoms; atoms below `raw_min_size` count in runs. The input has cigar, qstart and tstart; a
-    CIGAR of any length stays in its row, so nothing is shuffled.
+    Runs come in addition to their atoms; atoms below `raw_min_size` count in runs. The input has cigar, qstart and tstart; the columns
+    `keep` (all without it) go along. A CIGAR of any length stays in its row, so nothing is shuffled; rows go through Arrow, and
+    the operations of some MB of CIGARs are one flat array. A row that lacks its CIGAR or a start has no events.
     """
-
-    @F.pandas_udf(EVENT)
-    def events(cigar: pd.Series, query: pd.Series, target: pd.Series) -> pd.Series:
-        return pd.Series([_events(c, int(q), int(t), raw_min_size, cluster_gap, cluster_min) if c else [] for c, q, t in zip(cigar, query, target, strict=True)], dtype=object)
-
-    return df.withColumn("_e", F.explode(events("cigar", "qstart", "tstart"))).select(*df.columns, "_e.*")
+    keep = df.columns if keep is None else keep
+    rows = df.filter("cigar is not null and qstart is not null and tstart is not null")
+    rows = rows.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.col("cigar").alias("_cigar"), F.col("qstart").cast("long").alias("_q"), F.col("tstart").cast("long").alias("_t"))
+    kept = len(keep)
+    names = [f"_{i}" for i in range(kept)] + [c.split()[0] for c in EVENT.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(kept)), 0).to_numpy(zero_copy_only=False))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + _CIGAR_BYTES, "right")), lo + 1)
+                part = batch.slice(lo, hi - lo)
+                row, columns = _event_rows(part.column(kept), part.column(kept + 1).to_numpy(), part.column(kept + 2).to_numpy(), raw_min_size, cluster_gap, cluster_min)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(row)) for i in range(kept)), *columns], names=names)
+                lo = hi
+
+    types = "".join(f"_{i} {df.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
+    found = rows.mapInArrow(run, types + EVENT)
+    return found.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), *names[kept:])
 
 
 def tier_events(df: DataFrame, min_sv_size: int = 50, min_alignment: int = 5000, min_identity: float = 0.9, min_mapq: int = 20, min_anchor: int = 1000) -> DataFrame:

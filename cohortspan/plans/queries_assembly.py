@@ -379,12 +379,12 @@ def _(t):
 
 
 def events(t: Tables) -> DataFrame:
-    return A.cigar_events(t.cigars)
+    return A.cigar_events(t.cigars, keep=[c for c in t.cigars.columns if c not in ("cigar", "qstart", "tstart")])
 
 
 @query("scl_7_cigar_events", EVENTS + " SELECT aln_id, kind, operation, length, svlen, query_position, target_position, members, left_anchor, right_anchor FROM ev", ("cigars",))
 def _(t):
-    return events(t).select("aln_id", "kind", "operation", "length", "svlen", "query_position", "target_position", "members", "left_anchor", "right_anchor")
+    return A.cigar_events(t.cigars, keep=["aln_id"]).select("aln_id", "kind", "operation", "length", "svlen", "query_position", "target_position", "members", "left_anchor", "right_anchor")
 
 
 TIERED = (

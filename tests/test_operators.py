@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -28,6 +29,46 @@ def test_cigar_event_literals(spark):
     }
 
 
+def plain_events(cigar, query, target, raw_min, gap, cluster_min):
+    """One CIGAR, operation by operation."""
+    aligned, indels, out = 0, [], []
+    for n, op in re.findall("([0-9]+)([MIDNSHP=X])", cigar):
+        n = int(n)
+        if op in "ID":
+            indels.append((op, n, query, target, aligned))
+        query, target, aligned = query + n * (op in "M=XIS"), target + n * (op in "M=XDN"), aligned + n * (op in "M=X")
+    out += [("atomic", op, n, n if op == "I" else -n, q, t, 1, a, aligned - a) for op, n, q, t, a in indels if n >= raw_min]
+    runs = []
+    for x in indels:
+        if runs:
+            op, n, q, t, _ = runs[-1][-1]
+            if max(x[2] - q - n * (op == "I"), x[3] - t - n * (op == "D")) <= gap:
+                runs[-1].append(x)
+                continue
+        runs.append([x])
+    for r in runs:
+        ins, del_ = (sum(n for op, n, *_ in r if op == k) for k in "ID")
+        if len(r) > 1 and ins + del_ >= cluster_min:
+            out.append(("cluster", "I" if not del_ else "D" if not ins else "ID", ins + del_, ins - del_, r[0][2], r[0][3], len(r), r[0][4], aligned - r[-1][4]))
+    return out
+
+
+def test_cigar_events_against_plain_reading(spark, monkeypatch):
+    """Random CIGARs with every operation, clips, null and odd texts, among them one of 200,000 operations; in one piece and in small ones."""
+    rng = random.Random(3)
+    cigars = ["".join(f"{rng.choice([1, 5, 12, 30, 55, 400])}{rng.choice('MMM=XIIDDNSHP')}" for _ in range(rng.randrange(25))) for _ in range(400)]
+    cigars += ["", "*", "12", "M", "5M3", "7Z30I10M", "é9I", "0I5M", "".join(f"{1 + i % 60}{'MID='[i % 4]}" for i in range(200_000))]
+    data = [(i, c, i * 7, i * 3) for i, c in enumerate(cigars)] + [(-1, None, 1, 1), (-2, "99I", None, 1)]
+    df = spark.createDataFrame(data, "id long, cigar string, qstart long, tstart long").withColumn("kind", F.lit("own"))
+    want = sorted((i, *e) for i, c, q, t in data if c is not None and q is not None for e in plain_events(c, q, t, 30, 50, 50))
+    for size in (1 << 24, 100):
+        monkeypatch.setattr(A, "_CIGAR_BYTES", size)
+        got = A.cigar_events(df, keep=["id"])
+        assert got.columns == ["id", "kind", "operation", "length", "svlen", "query_position", "target_position", "members", "left_anchor", "right_anchor"]
+        assert sorted(map(tuple, got.collect())) == want
+    assert A.cigar_events(df.limit(0)).collect() == [] and A.cigar_events(df).columns[:5] == df.columns
+
+
 def test_intervals_abut_and_properties(spark):
     random.seed(5)
     data = [("k", s, s + random.randrange(1, 30)) for s in (random.randrange(300) for _ in range(60))]
