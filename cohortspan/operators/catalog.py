@@ -3,59 +3,24 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import has_all, literal_sequence, stable_id
-from .components import saved
+from .components import components, saved
 from .intervals import length_compatible, sv_match
-from .kernels import OpenHeads, difflib_ratio, transitive_clusters
+from .kernels import OpenHeads
 
 ORDER = ("position_0", "svtype", "svlen", "evidence_id")
 
 
-def gap_blocks(df: DataFrame, keys: list[str], position: str, distance: int) -> DataFrame:
-    """Rows with `block`: runs of rows of a key whose positions are at most `distance` apart. No cluster spans two blocks.
-
-    The gap test needs only the row before, so positions are cut into ranges of many distances; ranges without a gap at their
-    border are joined by carrying their last position over a table of one row for each range.
-    """
-    width = 2000 * distance
-    ranged = df.withColumn("_range", F.floor(F.col(position) / width))
-    own = Window.partitionBy(*keys, "_range").orderBy(position)
-    inner = F.when(F.col(position) - F.lag(position).over(own) > distance, 1).otherwise(0)
-    cut = ranged.withColumn("_new", inner)
-    cut = cut.withColumn("_cuts", F.sum("_new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = ranged.groupBy(*keys, "_range").agg(F.min(position).alias("_lo"), F.max(position).alias("_hi"))
-    edge = Window.partitionBy(*keys).orderBy("_range")
-    fresh = F.when(F.col("_lo") - F.lag("_hi").over(edge) <= distance, 0).otherwise(1)
-    starts = cut.groupBy(*keys, "_range").agg(F.max("_cuts").alias("_n"))
-    table = edges.join(starts, [*keys, "_range"]).withColumn("_step", fresh)
-    # blocks before this range's first row
-    table = table.withColumn("_base", F.sum(F.col("_step")).over(edge.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(F.sum("_n").over(edge.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return cut.join(table.select(*keys, "_range", "_base"), [*keys, "_range"]).withColumn("block", F.col("_base") + F.col("_cuts")).drop("_range", "_new", "_cuts", "_base")
-
-
-def by_block(blocks: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
-    """Apply `run` to the rows of every block. Blocks are small and many, so a task takes a bucket of them, never a part of one."""
-    buckets = 4 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = [*keys, "block"]
-
-    def each(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(own, kind="stable").reset_index(drop=True)
-        change = (pdf[own] != pdf[own].shift()).any(axis=1).to_numpy()
-        starts = change.nonzero()[0].tolist() + [len(pdf)]
-        return run(pdf, list(zip(starts[:-1], starts[1:], strict=True)))
-
-    return blocks.withColumn("_bucket", F.pmod(F.xxhash64(*own), F.lit(buckets))).groupBy("_bucket").applyInPandas(each, schema)
-
-
 _KEYS = ["frame", "chromosome", "svtype"]
 _ORDER = [*_KEYS, "position_0", "svlen", "evidence_id"]
 
@@ -278,22 +243,83 @@ def account_evidence(catalog: DataFrame, evidence: DataFrame) -> DataFrame:
     return joined.withColumn("account", F.when(F.col("n") > 1, "CONFLICT").when(F.col("n") == 1, "COVERED").otherwise("UNMAPPED")).drop("n")
 
 
+def _alike(batches: Iterator[pa.RecordBatch], at_least: float) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sequences match well enough, read in the order (or orders) in which their rows stand."""
+
+    def fits(a: str, b: str) -> bool:
+        matcher = SequenceMatcher(None, a, b)
+        return matcher.real_quick_ratio() >= at_least and matcher.quick_ratio() >= at_least and matcher.ratio() >= at_least
+
+    for batch in batches:
+        columns = (c.to_pylist() for c in batch.columns[2:])
+        keep = [x == y or forth and fits(x, y) or back and fits(y, x) for x, y, forth, back in zip(*columns, strict=True)]
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def transitive_links(nodes: DataFrame, distance: int, length_sim: float, seq_sim: float) -> DataFrame:
+    """Edges (a, b) that connect all nodes (id, chromosome, svtype, position_0, len, seq, min_id, max_id) which chains of like pairs connect.
+
+    Lengths are cut into bands inside which all are alike, positions into bins inside which all are near. Nodes without a sequence are alike
+    wherever place and length are: those of a bin and band hang on one of them, and two bins or bands meet in their nearest
+    rows, so a dense place costs edges in proportion to its positions, not pairs of rows. Only nodes with a sequence are compared
+    by pairs, those whose lengths allow the wanted share of matches.
+    """
+    width = max(distance, 1)
+    if length_sim <= 0:
+        band = F.lit(0)
+    elif length_sim >= 1:
+        band = F.col("len")
+    else:
+        band = F.when(F.col("len") > 0, F.floor(F.log("len") / -math.log(length_sim))).otherwise(-2)
+    where = ["chromosome", "svtype"]
+    placed = nodes.withColumns({"band": band.cast("long"), "bin": F.floor(F.col("position_0") / width)})
+    plain = placed.filter("seq = ''")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= distance
+    around = lambda c, by: F.explode(F.transform(F.array(*(F.lit(i) for i in by)), lambda i: F.col(c) + i))
+    # nodes without a sequence at one position and in one band: one group, named after its smallest node
+    spots = saved(plain.groupBy(*where, "band", "bin", "position_0").agg(F.min("id").alias("spot"), F.min("len").alias("short"), F.max("len").alias("long")))
+    own = plain.join(spots.select(*where, "band", "position_0", "spot"), [*where, "band", "position_0"]).select(F.col("id").alias("a"), F.col("spot").alias("b"))
+    first, last = F.min(F.struct("position_0", "spot")).alias("first"), F.max(F.struct("position_0", "spot")).alias("last")
+    cells = saved(spots.groupBy(*where, "band", "bin").agg(first, last))
+    in_cell = spots.join(cells, [*where, "band", "bin"]).select(F.col("spot").alias("a"), F.col("first.spot").alias("b"))
+    after = cells.select(*where, "band", (F.col("bin") - 1).alias("bin"), F.col("first").alias("next"))
+    along = cells.join(after, [*where, "band", "bin"]).filter(near("last.position_0", "next.position_0")).select(F.col("last.spot").alias("a"), F.col("next.spot").alias("b"))
+    upper = spots.select(*where, (F.col("band") - 1).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("position_0").alias("_p"), F.col("spot").alias("b"), F.col("short").alias("_short"))
+    across = spots.join(upper, [*where, "band", "bin"]).filter(near("position_0", "_p") & (F.col("long") / F.col("_short") >= length_sim)).select(F.col("spot").alias("a"), "b")
+    edges = own.union(in_cell).union(along).union(across)
+    told = placed.filter("seq <> ''")
+    ratio = lambda a, b: F.when(F.greatest(a, b) > 0, F.least(a, b) / F.greatest(a, b)).otherwise(1.0) >= length_sim
+    wide = told.select(*where, around("band", (-1, 0, 1)).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("position_0").alias("_p"), F.col("len").alias("_len"), F.col("id").alias("a"), "seq", F.col("min_id").alias("_min"), F.col("max_id").alias("_max"))
+    like_spot = F.when(F.col("long") < F.col("_len"), ratio(F.col("long"), F.col("_len"))).when(F.col("short") > F.col("_len"), ratio(F.col("short"), F.col("_len"))).otherwise(True)
+    mixed = spots.join(wide.drop("seq", "_min", "_max"), [*where, "band", "bin"]).filter(near("position_0", "_p") & like_spot).select("a", F.col("spot").alias("b"))
+    pairs = told.join(wide.withColumnRenamed("seq", "_seq"), [*where, "band", "bin"]).filter((F.col("id") > F.col("a")) & near("position_0", "_p") & ratio(F.col("len"), F.col("_len")))
+    sizes = F.length("seq") + F.length("_seq")
+    pairs = pairs.filter(2 * F.least(F.length("seq"), F.length("_seq")) / sizes >= seq_sim)
+    before = lambda p, ids, q, others: (F.col(p) > F.col(q)) | ((F.col(p) == F.col(q)) & (F.col(ids) > F.col(others)))
+    forth, back = before("position_0", "max_id", "_p", "_min"), before("_p", "_max", "position_0", "min_id")
+    compared = pairs.select(F.col("id").alias("a"), F.col("a").alias("b"), "seq", "_seq", forth.alias("forth"), back.alias("back"))
+    alike = compared.mapInArrow(lambda it: _alike(it, seq_sim), "a long, b long")
+    return edges.union(mixed).union(alike)
+
+
 def cluster_transitive(catalog: DataFrame, distance: int = 500, length_sim: float = 0.7, seq_sim: float = 0.8) -> DataFrame:
-    """GR-3: (event_id, cluster_id): pairs alike in place, length and sequence, chained; rows without an anchor keep an empty cluster id."""
-    anchored = catalog.filter("chromosome is not null and position_0 is not null and svlen is not null")
-    blocks = gap_blocks(anchored, ["chromosome", "svtype"], "position_0", distance)
-    has_sequence = "alternate_sequence" in catalog.columns
-
-    def run(pdf: pd.DataFrame, spans: list[tuple[int, int]]) -> pd.DataFrame:
-        pdf = pdf.sort_values(["chromosome", "svtype", "block", "position_0", "event_id"], kind="stable").reset_index(drop=True)
-        position, svlen = pdf["position_0"].tolist(), pdf["svlen"].tolist()
-        sequence = pdf["alternate_sequence"].fillna("").tolist() if has_sequence else [""] * len(pdf)
-        roots = [a + r for a, b in spans for r in transitive_clusters(position[a:b], svlen[a:b], sequence[a:b], distance, length_sim, seq_sim, difflib_ratio)]
-        return pd.DataFrame({"event_id": pdf["event_id"], "root": pdf["event_id"].to_numpy()[roots]})
-
-    found = by_block(blocks, ["chromosome", "svtype"], run, "event_id string, root string")
-    named = found.select("event_id", F.concat(F.lit("SVC_"), F.substring(F.sha2("root", 256), 1, 12)).alias("cluster_id"))
-    return named.unionByName(catalog.join(anchored.select("event_id"), "event_id", "left_anti").select("event_id", F.lit("").alias("cluster_id")))
+    """GR-3: (event_id, cluster_id): pairs alike in place, length and sequence, chained. The id comes from the cluster's last row in order of position and event_id.
+
+    Rows that agree in place, length and sequence are one node; nodes are linked by `transitive_links` and put together by `components`. Rows without
+    an anchor keep an empty cluster id.
+    """
+    anchored = F.col("chromosome").isNotNull() & F.col("svtype").isNotNull() & F.col("position_0").isNotNull() & F.col("svlen").isNotNull()
+    sequence = F.coalesce(F.col("alternate_sequence"), F.lit("")) if "alternate_sequence" in catalog.columns else F.lit("")
+    rows = catalog.filter(anchored).select("event_id", "chromosome", "svtype", "position_0", F.abs("svlen").alias("len"), sequence.alias("seq"))
+    at = ["chromosome", "svtype", "position_0", "len", "seq"]
+    nodes = saved(rows.groupBy(*at).agg(F.min("event_id").alias("min_id"), F.max("event_id").alias("max_id"))).withColumn("id", F.monotonically_increasing_id())
+    nodes = saved(nodes)
+    roots = components(transitive_links(nodes, distance, length_sim, seq_sim))
+    named = nodes.join(roots, nodes["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id"))
+    last = named.groupBy("root").agg(F.max(F.struct("position_0", "max_id")).alias("_last"))
+    named = named.join(last, "root").select(*at, F.concat(F.lit("SVC_"), F.substring(F.sha2(F.col("_last.max_id").cast("string"), 256), 1, 12)).alias("cluster_id"))
+    found = rows.join(named, at).select("event_id", "cluster_id")
+    return found.unionByName(catalog.filter(~anchored).select("event_id", F.lit("").alias("cluster_id")))
 
 
 def exclude_contigs(df: DataFrame, default: str, per_source: dict[str, str] | None = None, source: str = "caller") -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from difflib import SequenceMatcher
 from math import lgamma, log
 
 import numpy as np
@@ -29,34 +28,6 @@ class OpenHeads:
         return name
 
 
-def difflib_ratio(a: str, b: str) -> float:
-    return 1.0 if a == b else SequenceMatcher(None, a, b).ratio()
-
-
-def transitive_clusters(position: list[int], length: list[int], sequence: list[str], distance: int, length_sim: float, seq_sim: float, ratio) -> list[int]:
-    """The index of each row's root, which is the last row of its component."""
-    parent = list(range(len(position)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    first = 0
-    for i, here in enumerate(position):
-        while here - position[first] > distance:
-            first += 1
-        for j in range(first, i):
-            small, large = sorted((abs(length[i]), abs(length[j])))
-            if (small / large if large else 1.0) < length_sim or root(i) == root(j):
-                continue
-            if sequence[i] and sequence[j] and ratio(sequence[i], sequence[j]) < seq_sim:
-                continue
-            parent[root(j)] = root(i)
-    return [root(i) for i in range(len(position))]
-
-
 def bridges(edges: list[tuple[int, int]]) -> list[int]:
     """Indices of edges whose removal splits the graph, by an iterative low-link search; parallel edges are no bridges."""
     around: dict[int, list[tuple[int, int]]] = {}

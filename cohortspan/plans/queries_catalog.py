@@ -235,9 +235,18 @@ def _(t):
     return checks.compare_sets(t.evidence.filter("caller = 'caller0'"), t.evidence.filter("graph_member"), "assembly_id")
 
 
-@query("gr_3_transitive_clusters")
+@query(
+    "gr_3_transitive_clusters",
+    """+ r AS (SELECT evidence_id, chromosome, svtype, position_0 AS p, svlen AS l, alternate_sequence AS q, position_0 // 500 AS bin FROM catalog_evidence),
+    w AS (SELECT *, unnest([bin - 1, bin, bin + 1]) AS near_bin FROM r),
+    link AS (SELECT a.evidence_id AS a, b.evidence_id AS b FROM r a JOIN w b ON a.chromosome = b.chromosome AND a.svtype = b.svtype AND a.bin = b.near_bin AND abs(a.p - b.p) <= 500
+      AND CASE WHEN greatest(a.l, b.l) = 0 THEN 1 ELSE least(a.l, b.l) / CAST(greatest(a.l, b.l) AS DOUBLE) END >= 0.7 AND (a.q = '' OR b.q = '' OR a.q = b.q)),
+    reach AS (SELECT evidence_id AS a, evidence_id AS b FROM r UNION SELECT x.a, k.b FROM reach x JOIN link k ON k.a = x.b)
+    SELECT x.a AS event_id, 'SVC_' || substr(sha256(arg_max(x.b, {'p': r.p, 'i': x.b})), 1, 12) AS cluster_id FROM reach x JOIN r ON r.evidence_id = x.b GROUP BY x.a""",
+    ("catalog_evidence",),
+)
 def _(t):
-    return catalog.cluster_transitive(t.evidence.withColumnRenamed("evidence_id", "event_id"))
+    return catalog.cluster_transitive(t.catalog_evidence.withColumnRenamed("evidence_id", "event_id"))
 
 
 @query(

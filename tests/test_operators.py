@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+from difflib import SequenceMatcher
 
 import numpy as np
 import pytest
@@ -101,6 +102,48 @@ def plain_greedy(data, distance, similarity):
     return out
 
 
+def plain_chains(data, distance, length_sim, seq_sim):
+    """The last row of each row's cluster: every pair compared, the later row's sequence first."""
+    rows_ = sorted(data, key=lambda r: (r[2], r[0]))
+    parent = list(range(len(rows_)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (_, chromosome, place, kind, length, bases) in enumerate(rows_):
+        for j, (_, c, p, k, n, b) in enumerate(rows_[:i]):
+            small, large = sorted((abs(length), abs(n)))
+            if (c, k) == (chromosome, kind) and place - p <= distance and (small / large if large else 1.0) >= length_sim:
+                if not (bases and b) or bases == b or SequenceMatcher(None, bases, b).ratio() >= seq_sim:
+                    parent[root(j)] = root(i)
+    return {r[0]: "SVC_" + hashlib.sha256(rows_[root(i)][0].encode()).hexdigest()[:12] for i, r in enumerate(rows_)}
+
+
+@pytest.mark.parametrize(("span", "distance", "length_sim", "seq_sim"), [(60_000, 500, 0.7, 0.8), (2_000, 20, 0.7, 0.8), (300, 0, 0.9, 0.5), (5_000, 60, 1.0, 0.9)])
+def test_transitive_clusters_against_all_pairs(spark, span, distance, length_sim, seq_sim):
+    rng = random.Random(span)
+    bases = ["".join(rng.choice("ACGT") for _ in range(rng.randrange(5, 30))) for _ in range(4)]
+
+    def changed(s):
+        at = rng.randrange(len(s))
+        return s[:at] + rng.choice(["", "A", "GG"]) + s[at + rng.randrange(3) :]
+
+    data = [(f"e{i}", rng.choice(["c1", "c2"]), rng.randrange(span), rng.choice(["INS", "DEL"]), rng.choice([0, 7, 10, 11, 50, -50, 70, 100, rng.randrange(1, 900)]), rng.choice(["", "", changed(rng.choice(bases)), changed(changed(rng.choice(bases)))])) for i in range(350)]
+    want = plain_chains(data, distance, length_sim, seq_sim)
+    rest = [("n1", None, 5, "INS", 50, ""), ("n2", "c1", None, "INS", 50, ""), ("n3", "c1", 5, "INS", None, None)]
+    schema = "event_id string, chromosome string, position_0 long, svtype string, svlen long, alternate_sequence string"
+    df = spark.createDataFrame(data + rest, schema).repartition(3).withColumns({"id": F.lit(1), "len": F.lit("x"), "a": F.lit(2)})
+    got = {r.event_id: r.cluster_id for r in catalog.cluster_transitive(df, distance, length_sim, seq_sim).collect()}
+    assert got == want | {"n1": "", "n2": "", "n3": ""}
+    if distance == 500:
+        bare = [(*r[:5], "") for r in data]
+        got = catalog.cluster_transitive(df.drop("alternate_sequence").limit(400)).collect()
+        assert {r.event_id: r.cluster_id for r in got if r.cluster_id} == plain_chains(bare, 500, 0.7, 0.8)
+        assert catalog.cluster_transitive(df.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("task_links", [5, 40, 10_000])
 def test_bridges_of_random_graphs(spark, task_links):
     """A range at a time, with parallel links, loops, reverse readings, long paths and names without any order, against the plain search."""
