@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import join_reasons
+from .components import saved
 from .kernels import blake2b_unit
 
 
@@ -80,14 +81,36 @@ def depth_bins(samples: DataFrame, depth: str = "depth", key: str = "sample_id")
     return samples.withColumn("depth_bin", F.when(3 * rank < n, "low").when(3 * rank < 2 * n, "medium").otherwise("high"))
 
 
-def hash_sample(df: DataFrame, name: str, seed: str, fraction: float) -> DataFrame:
-    """SMP-1: rows whose hash of seed and name, as a number in [0, 1), is below `fraction`: the same names at any partitioning."""
+def hash_sample(df: DataFrame, name: str, seed: str, fraction) -> DataFrame:
+    """SMP-1: rows whose hash of seed and name, as a number in [0, 1), is below `fraction` (a number or a column): the same names at any partitioning. Rows without a name go."""
 
     @F.pandas_udf("double")
     def unit(names: pd.Series) -> pd.Series:
         return pd.Series([blake2b_unit(seed, n) for n in names], dtype=float)
 
-    return df.filter(unit(name) < fraction)
+    return df.filter(F.col(name).isNotNull()).filter(unit(F.col(name).cast("string")) < fraction)
+
+
+def coverage_sample(reads: DataFrame, keys: list[str], name: str, length: str, seed: str, coverage: float | None, genome_size: int) -> tuple[DataFrame, DataFrame]:
+    """SMP-1 by coverage: (selected reads, one report row for each of `keys`).
+
+    The fraction is what `coverage` times `genome_size` bases are of all bases, at most 1; without a coverage all reads are taken. A
+    group's total comes first, then its reads are taken by `hash_sample`, so nothing is gathered. Bases are
+    at most as many as asked for only on average. A name that occurs twice, a group without bases and one of which nothing is taken show in the report's `problem`.
+    """
+    if coverage is not None and coverage <= 0:
+        raise ValueError("a coverage is positive")
+    size = F.coalesce(F.col(length), F.lit(0))
+    totals = reads.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_reads"), F.sum(size).cast("long").alias("total_bases"))
+    asked = F.col("total_bases") if coverage is None else F.lit(round(coverage * genome_size)).cast("long")
+    totals = saved(totals.withColumn("requested_bases", asked).withColumn("sampling_fraction", F.when(F.col("total_bases") > 0, F.least(F.lit(1.0), F.col("requested_bases") / F.col("total_bases"))).otherwise(0.0)))
+    joined = reads.join(totals.select(*keys, F.col("sampling_fraction").alias("_fraction")), keys)
+    chosen = hash_sample(joined, name, seed, F.col("_fraction")).drop("_fraction")
+    taken = chosen.groupBy(*keys).agg(F.count(F.lit(1)).alias("selected_reads"), F.sum(size).cast("long").alias("selected_bases"))
+    twice = reads.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").groupBy(*keys).agg(F.count(F.lit(1)).alias("_twice"))
+    report = totals.join(taken, keys, "left").join(twice, keys, "left").fillna({"selected_reads": 0, "selected_bases": 0})
+    problem = F.when(F.col("_twice") > 0, "duplicate read names").when(F.col("total_bases") == 0, "no bases").when(F.col("selected_reads") == 0, "no reads selected").otherwise("")
+    return chosen, report.withColumn("problem", problem).drop("_twice")
 
 
 def affine_sample(df: DataFrame, index: str, total: int, k: int, multiplier: int, offset: int) -> DataFrame:

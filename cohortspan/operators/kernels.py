@@ -182,35 +182,67 @@ def clopper_pearson(k: int, n: int, level: float = 0.95) -> tuple[float, float]:
     return lower, upper
 
 
-def firth(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, float] | None:
-    """Firth's penalised logistic regression: coefficients and penalised log likelihood; None for a rank-deficient design."""
-    beta = np.zeros(x.shape[1])
+class Firth:
+    """Firth's penalised logistic regression of y on the columns of x: the log likelihood and half the log determinant of the information."""
 
-    def state(b: np.ndarray):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        info = x.T @ (x * (p * (1 - p))[:, None])
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.x, self.y = x, y
+
+    def _state(self, b: np.ndarray):
+        p = 1 / (1 + np.exp(-np.clip(self.x @ b, -30, 30)))
+        info = self.x.T @ (self.x * (p * (1 - p))[:, None])
         sign, logdet = np.linalg.slogdet(info)
-        return p, info, (float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum()) + logdet / 2 if sign > 0 else -np.inf)
-
-    if np.linalg.matrix_rank(x) < x.shape[1]:
-        return None
-    p, info, now = state(beta)
-    for _ in range(rounds):
-        inverse = np.linalg.inv(info)
-        w = p * (1 - p)
-        hat = np.einsum("ij,jk,ik->i", x, inverse, x) * w
-        step = inverse @ (x.T @ (y - p + hat * (0.5 - p)))
-        scale = min(1.0, 5 / max(np.abs(step).max(), 1e-12))
-        for _ in range(25):
-            p, info, new = state(beta + scale * step)
-            if new >= now - 1e-12:
+        return p, info, (float((self.y * np.log(p) + (1 - self.y) * np.log(1 - p)).sum()) + logdet / 2 if sign > 0 else -np.inf)
+
+    def full_rank(self) -> bool:
+        return bool(np.linalg.matrix_rank(self.x) == self.x.shape[1])
+
+    def fit(self, held: int | None = None, at: float = 0.0, start: np.ndarray | None = None, rounds: int = 100) -> tuple[np.ndarray, float]:
+        """Coefficients and penalised log likelihood at its maximum; with `held` that coefficient stays at `at`, while the information is still that of all."""
+        beta = np.zeros(self.x.shape[1]) if start is None else start.copy()
+        free = np.array([i for i in range(len(beta)) if i != held], int)
+        if held is not None:
+            beta[held] = at
+        p, info, now = self._state(beta)
+        for _ in range(rounds if len(free) else 0):
+            w = p * (1 - p)
+            hat = np.einsum("ij,jk,ik->i", self.x, np.linalg.inv(info), self.x) * w
+            score = self.x.T @ (self.y - p + hat * (0.5 - p))
+            step = np.zeros(len(beta))
+            step[free] = np.linalg.solve(info[np.ix_(free, free)], score[free])
+            scale = min(1.0, 5 / max(np.abs(step).max(), 1e-12))
+            for _ in range(25):
+                p, info, new = self._state(beta + scale * step)
+                if new >= now - 1e-12:
+                    break
+                scale /= 2
+            beta, now = beta + scale * step, new
+            if np.abs(scale * step).max() < 1e-10:
                 break
-            scale /= 2
-        beta = beta + scale * step
-        if np.abs(scale * step).max() < 1e-8:
-            break
-        now = new
-    return beta, now
+        return beta, now
+
+    def interval(self, j: int, beta: np.ndarray, best: float, level: float = 3.841458820694124) -> tuple[float | None, float | None]:
+        """Where the profile of coefficient `j` has lost `level` / 2: each end by doubled steps, then by halving. None for an end beyond 50."""
+        spread = float(np.sqrt(np.linalg.inv(self._state(beta)[1])[j, j]))
+
+        def lost(at: float) -> float:
+            return 2 * (best - self.fit(j, at, beta)[1]) - level
+
+        ends = []
+        for sign in (-1, 1):
+            inner, step = float(beta[j]), spread
+            while abs(inner + sign * step) < 50 and lost(inner + sign * step) < 0:
+                inner, step = inner + sign * step, 2 * step
+            outer = inner + sign * step
+            if abs(outer) >= 50 and lost(sign * 50.0) < 0:
+                ends.append(None)
+                continue
+            outer = max(min(outer, 50.0), -50.0)
+            while abs(outer - inner) > 1e-10:
+                middle = (inner + outer) / 2
+                inner, outer = (middle, outer) if lost(middle) < 0 else (inner, middle)
+            ends.append((inner + outer) / 2)
+        return ends[0], ends[1]
 
 
 def blake2b_unit(seed: str, name: str) -> float:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .kernels import clopper_pearson, firth, fisher_two_sided
+from .kernels import Firth, clopper_pearson, fisher_two_sided
 
 
 def bh_adjust(df: DataFrame, p: str, family: list[str]) -> DataFrame:
@@ -56,14 +56,18 @@ def carrier_counts(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def firth_tests(rows: DataFrame, key: str, outcome: str, predictor: str, covariates: list[str], min_carriers: int = 3) -> DataFrame:
-    """ST-6: one penalised logistic regression for each value of `key` (a group has one row a person): coefficient, likelihood-ratio p, status."""
+    """ST-6: one penalised logistic regression for each value of `key` (a group has one row a person): coefficient, odds ratio with its 95 % profile interval, p, status.
+
+    p and interval come from the same profile: the penalised likelihood with the predictor's coefficient held, at zero for p. An end of the
+    interval that lies beyond a coefficient of 50 is null.
+    """
     from math import erfc, sqrt
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         name = pdf[key].iloc[0]
         pdf = pdf.dropna(subset=[outcome, predictor, *covariates])
         y, carrier = pdf[outcome].to_numpy(float), pdf[predictor].to_numpy(float)
-        base = {"n": len(pdf), "beta": None, "p_value": None}
+        base = {"n": len(pdf), "beta": None, "odds_ratio": None, "ci_low": None, "ci_high": None, "p_value": None}
 
         def out(status: str, reason: str = "", **more) -> pd.DataFrame:
             return pd.DataFrame([{key: name, **base, **more, "status": status, "reason": reason}])
@@ -73,15 +77,17 @@ def firth_tests(rows: DataFrame, key: str, outcome: str, predictor: str, covaria
         if min(carrier.sum(), (1 - carrier).sum()) < min_carriers:
             return out("SKIPPED", "sparse carriers")
         rest = np.column_stack([np.ones(len(pdf)), *(pdf[c].to_numpy(float) for c in covariates)])
-        full = firth(np.column_stack([rest, carrier]), y)
-        null = firth(rest, y)
-        if full is None or null is None:
+        model = Firth(np.column_stack([rest, carrier]), y)
+        if not model.full_rank() or len(pdf) <= model.x.shape[1]:
             return out("SKIPPED", "rank-deficient design")
-        chi = max(0.0, 2 * (full[1] - null[1]))
-        return out("ESTIMATED", beta=float(full[0][-1]), p_value=erfc(sqrt(chi / 2)))
+        beta, best = model.fit()
+        chi = max(0.0, 2 * (best - model.fit(len(beta) - 1, 0.0)[1]))
+        low, high = model.interval(len(beta) - 1, beta, best)
+        raised = lambda b: None if b is None else float(np.exp(b))
+        return out("ESTIMATED", beta=float(beta[-1]), odds_ratio=raised(beta[-1]), ci_low=raised(low), ci_high=raised(high), p_value=erfc(sqrt(chi / 2)))
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key, outcome, predictor, *covariates).groupBy(key).applyInPandas(run, f"{key} {kind}, n long, beta double, p_value double, status string, reason string")
+    return rows.select(key, outcome, predictor, *covariates).groupBy(key).applyInPandas(run, f"{key} {kind}, n long, beta double, odds_ratio double, ci_low double, ci_high double, p_value double, status string, reason string")
 
 
 def binary_scores(df: DataFrame, keys: list[str], label: str, score: str) -> DataFrame:

@@ -254,6 +254,18 @@ def _(t):
     return compare.sign_flip_tests(contrasts(t), ["metric", "left_target"])
 
 
+@query(
+    "st_1_exact_sign_flip",
+    f"""+ {CONTRASTS}, g AS (SELECT metric, left_target, CAST(substr(sample_id, 2) AS BIGINT) % 2 AS half, COALESCE(list(difference) FILTER (difference <> 0), []) AS d, COUNT(difference) AS pairs FROM co GROUP BY 1, 2, 3),
+    s AS (SELECT *, abs(list_sum(list_transform(d, lambda x, i: CASE WHEN (m >> (i - 1)) & 1 = 1 THEN -x ELSE x END))) AS flipped, abs(list_sum(d)) AS seen FROM (SELECT *, unnest(range(CAST(1 << len(d) AS BIGINT))) AS m FROM g))
+    SELECT metric, left_target, half, pairs, CASE WHEN pairs > 0 THEN ROUND(AVG(CASE WHEN COALESCE(flipped, 0) >= COALESCE(seen, 0) - 1e-12 THEN 1.0 ELSE 0.0 END), 6) END AS p_value, true AS exact FROM s GROUP BY 1, 2, 3, 4""",
+    ("gaf",),
+)
+def _(t):
+    halves = contrasts(t).withColumn("half", F.substring("sample_id", 2, 9).cast("long") % 2)
+    return compare.sign_flip_tests(halves, ["metric", "left_target", "half"])
+
+
 @query(
     "win_7_depth_bins",
     "+ s AS (SELECT sample_id, COUNT(*) AS depth FROM gaf GROUP BY 1), r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY depth, sample_id) - 1 AS k, COUNT(*) OVER () AS n FROM s) SELECT sample_id, depth, CASE WHEN 3 * k < n THEN 'low' WHEN 3 * k < 2 * n THEN 'medium' ELSE 'high' END AS depth_bin FROM r",
@@ -399,6 +411,17 @@ def _(t):
     return cohort.hash_sample(t.gaf, "read_name", "7", 0.1).select("read_name")
 
 
+@query(
+    "smp_1_coverage_report",
+    """+ r AS (SELECT DISTINCT sample_id, read_name, qlen FROM gaf), s AS (SELECT sample_id, COUNT(*) AS total_reads, CAST(SUM(qlen) AS BIGINT) AS total_bases FROM r GROUP BY 1)
+    SELECT sample_id, total_reads, total_bases, 3000 AS requested_bases, ROUND(least(1.0, 3000 / CAST(total_bases AS DOUBLE)), 6) AS sampling_fraction FROM s""",
+    ("gaf",),
+)
+def _(t):
+    reads = t.gaf.select("sample_id", "read_name", "qlen").distinct()
+    return cohort.coverage_sample(reads, ["sample_id"], "read_name", "qlen", "7", 1.5, 2000)[1].select("sample_id", "total_reads", "total_bases", "requested_bases", "sampling_fraction")
+
+
 TABLE = "tb AS (SELECT batch, COUNT(*) FILTER (carrier = 1 AND affected = 1) AS a, COUNT(*) FILTER (carrier = 1 AND affected = 0) AS b, COUNT(*) FILTER (carrier = 0 AND affected = 1) AS c, COUNT(*) FILTER (carrier = 0 AND affected = 0) AS d FROM people GROUP BY 1)"
 
 
@@ -423,6 +446,17 @@ def _(t):
     return stats.firth_tests(t.people.withColumn("deep", (F.col("depth") > 30).cast("int")), "batch", "affected", "carrier", ["deep"])
 
 
+@query(
+    "st_6_saturated_firth",
+    f"""+ {TABLE}, e AS (SELECT *, a + b >= 3 AND c + d >= 3 AND a + c > 0 AND b + d > 0 AND a + b + c + d > 2 AS ok, ln((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5))) AS beta FROM tb)
+    SELECT batch, a + b + c + d AS n, CASE WHEN ok THEN ROUND(beta, 6) END AS beta, CASE WHEN ok THEN ROUND(exp(beta), 6) END AS odds_ratio, CASE WHEN ok THEN 'ESTIMATED' ELSE 'SKIPPED' END AS status FROM e""",
+    ("people",),
+)
+def _(t):
+    """Without covariates the model is saturated: Firth's estimate is the log odds ratio with a half added to each cell."""
+    return stats.firth_tests(t.people, "batch", "affected", "carrier", []).select("batch", "n", "beta", "odds_ratio", "status")
+
+
 @query(
     "st_9_binary_scores",
     """+ s AS (SELECT batch, affected AS y, CAST(1 + (depth * 7 + person) % 98 AS DOUBLE) / 100 AS p FROM people), k AS (SELECT *, AVG(r) OVER (PARTITION BY batch, p) AS rk FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY batch ORDER BY p) AS r FROM s)),

@@ -275,7 +275,7 @@ def test_statistics_kernels():
     assert kernels.sign_flip(np.zeros(3), 10, 1) == (1.0, True)
     assert not kernels.sign_flip(np.array([0.0, *range(1, 17)]), 10, 1)[1]  # 17 pairs, one of them zero
     x = np.column_stack([np.ones(8), [0, 0, 0, 0, 1, 1, 1, 1]])
-    beta, _ = kernels.firth(x, np.array([0, 0, 0, 0, 1, 1, 1, 1.0]))
+    beta, _ = kernels.Firth(x, np.array([0, 0, 0, 0, 1, 1, 1, 1.0])).fit()
     assert np.isfinite(beta).all() and beta[1] == pytest.approx(2 * np.log(9), abs=1e-4)
 
 
@@ -327,6 +327,47 @@ def test_molecule_support_and_lock(spark):
     assert sorted(r.carrier_state for r in evidence.apply_measurement_lock(ev, lock).collect()) == ["ALT_SUPPORTED", "NOT_LOCKED", "NO_CALL", "REF_SUPPORTED"]
 
 
+@pytest.mark.parametrize("cells", [(1, 9, 6, 14), (5, 5, 5, 5), (0, 8, 7, 9), (12, 3, 2, 20)])
+def test_firth_profiles_against_a_plain_search(cells):
+    """In a saturated model the penalised likelihood falls apart into cells with a half added, so a profile is a search along one line."""
+    a, b, c, d = cells  # carriers with and without the outcome, others with and without it
+    y = np.array([1.0] * a + [0.0] * b + [1.0] * c + [0.0] * d)
+    carrier = np.array([1.0] * (a + b) + [0.0] * (c + d))
+    model = kernels.Firth(np.column_stack([np.ones(len(y)), carrier]), y)
+    beta, best = model.fit()
+    assert beta[1] == pytest.approx(np.log((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5))), abs=1e-7)
+
+    def profile(at):
+        lines = np.linspace(-12, 12, 400_001)
+        p0, p1 = 1 / (1 + np.exp(-lines)), 1 / (1 + np.exp(-lines - at))
+        return ((c + 0.5) * np.log(p0) + (d + 0.5) * np.log(1 - p0) + (a + 0.5) * np.log(p1) + (b + 0.5) * np.log(1 - p1)).max()
+
+    assert 2 * (best - model.fit(1, 0.0)[1]) == pytest.approx(2 * (profile(beta[1]) - profile(0)), abs=1e-6)
+    for end in model.interval(1, beta, best):
+        assert 2 * (profile(beta[1]) - profile(end)) == pytest.approx(3.841458820694124, abs=1e-5)
+
+
+def test_firth_intervals_hold_the_estimate(spark):
+    rng = random.Random(2)
+    data = [(f"g{g}", int(rng.random() < 0.4), int(rng.random() < 0.5), rng.random()) for g in range(4) for _ in range(30)] + [("gap", 1, 1, None)]
+    for r in stats.firth_tests(spark.createDataFrame(data, "k string, y int, c int, z double"), "k", "y", "c", ["z"]).collect():
+        assert r.status == "SKIPPED" or r.ci_low < r.odds_ratio < r.ci_high and (r.p_value < 0.05) == (not r.ci_low < 1 < r.ci_high)
+
+
+def test_coverage_sample(spark):
+    reads = spark.createDataFrame([("s1", f"r{i}", 100) for i in range(3000)] + [("s2", f"r{i}", 10) for i in range(50)] + [("s3", "x", 5), ("s3", "x", 5), ("s4", "z", 0), ("s5", None, 9)], "k string, name string, n long")
+    chosen, report = cohort.coverage_sample(reads, ["k"], "name", "n", "7", 3.0, 10_000)
+    by = {r.k: r for r in report.collect()}
+    assert (by["s1"].total_bases, by["s1"].requested_bases, by["s1"].sampling_fraction) == (300_000, 30_000, 0.1) and 200 < by["s1"].selected_reads < 400 and by["s1"].selected_bases == 100 * by["s1"].selected_reads
+    assert (by["s2"].sampling_fraction, by["s2"].selected_reads) == (1.0, 50)
+    assert {k: by[k].problem for k in ("s1", "s2", "s3", "s4", "s5")} == {"s1": "", "s2": "", "s3": "duplicate read names", "s4": "no bases", "s5": "no reads selected"}
+    names = {r.name for r in chosen.filter("k = 's1'").collect()}
+    assert names == {f"r{i}" for i in range(3000) if kernels.blake2b_unit("7", f"r{i}") < 0.1}
+    assert cohort.coverage_sample(reads, ["k"], "name", "n", "7", None, 1)[0].count() == 3000 + 50 + 2
+    with pytest.raises(ValueError, match="positive"):
+        cohort.coverage_sample(reads, ["k"], "name", "n", "7", 0, 1)
+
+
 def test_firth_statuses(spark):
     data = [("a", i % 2, int(i > 4), 1.0 * (i % 3)) for i in range(10)] + [("b", 1, i % 2, 1.0) for i in range(6)]
     got = {r.k: r.status for r in stats.firth_tests(spark.createDataFrame(data, "k string, y int, c int, z double"), "k", "y", "c", ["z"]).collect()}
