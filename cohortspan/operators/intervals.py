@@ -12,30 +12,82 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: str = "end_", gap: int = 0) -> DataFrame:
-    """AGG-4: (keys, start, end_) of merged intervals. Intervals that abut merge; so do those at most `gap` apart. Empty ones stay."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.when(F.col(start) <= before + F.lit(gap), 0).otherwise(1).alias("_new"))
-    island = F.sum("_new").over(Window.partitionBy(*keys).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min("_s").alias(start), F.max("_e").alias(end)).drop("_island")
+#: Bases of a bin inside which intervals are put in order; a key's bins go to as many tasks as it has.
+UNION_BASES = 1 << 20
 
 
-def union_lengths(df: DataFrame, keys: list[str], sets: dict[str, Column], start: str = "start", end: str = "end_", largest: dict[str, str] | None = None) -> DataFrame:
+def _cut(df: DataFrame, start: Column, end: Column, width: int) -> DataFrame:
+    """Rows with `_bin`, `_s` and `_e`: each interval cut at the borders of the bins that it touches. A row without a start or end stays one row."""
+    first, last = F.floor(start / width), F.floor(F.greatest(end - 1, start) / width)
+    cut = df.withColumns({"_start": start, "_end": end, "_bin": F.explode_outer(F.sequence(first, last))})
+    inside = lambda c: F.least(F.greatest(F.col(c), F.col("_bin") * width), (F.col("_bin") + 1) * width)
+    return cut.withColumns({"_s": F.when(F.col("_bin").isNull(), F.col("_start")).otherwise(inside("_start")), "_e": F.when(F.col("_bin").isNull() | (F.col("_end") < F.col("_start")), F.col("_end")).otherwise(inside("_end"))}).drop("_start", "_end")
+
+
+def _islands(df: DataFrame, keys: list[str], gap: int) -> DataFrame:
+    """(keys, _s, _e, ...) of rows with `_s` and `_e`, merged where they overlap, abut or lie at most `gap` apart."""
+    order = Window.partitionBy(*keys).orderBy("_s", "_e")
+    before = F.max("_e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = df.select(*keys, "_s", "_e", F.when(F.col("_s") <= before + F.lit(gap), 0).otherwise(1).alias("_new"))
+    island = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
+
+
+def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: str = "end_", gap: int = 0, width: int = UNION_BASES) -> DataFrame:
+    """AGG-4: (keys, start, end_) of merged intervals. Intervals that abut merge; so do those at most `gap` apart. Empty ones stay.
+
+    Intervals are merged in bins of `width` bases first. Only the first and last one of a bin can go on in another bin: these are
+    merged again, two rows a bin at most, so a long key with many intervals is many tasks.
+    """
+    width = max(width, gap + 1)
+    cut = _cut(df.select(*keys, start, end), F.col(start), F.col(end), width)
+    own = _islands(cut, [*keys, "_bin"], gap)
+    of_bin = Window.partitionBy(*keys, "_bin")
+    placed = own.withColumns({"_first": F.min("_island").over(of_bin), "_last": F.max("_island").over(of_bin)})
+    at_border = F.col("_island").isin(F.col("_first"), F.col("_last"))
+    joined = _islands(placed.filter(at_border).select(*keys, "_s", "_e"), keys, gap)
+    columns = [*keys, F.col("_s").alias(start), F.col("_e").alias(end)]
+    return joined.select(columns).unionByName(placed.filter(~at_border).select(columns))
+
+
+def union_lengths(df: DataFrame, keys: list[str], sets: dict[str, Column], start: str = "start", end: str = "end_", largest: dict[str, str] | None = None, width: int = UNION_BASES) -> DataFrame:
     """Bases covered at least once by each set of rows, for each key; `largest` (name: set) adds the longest merged interval of a set.
 
-    One shuffle and one sort serve all sets: a row adds what reaches beyond the farthest end before it.
+    One shuffle and one sort serve all sets: a row adds what reaches beyond the farthest end before it. Intervals are cut at the borders
+    of bins of `width` bases, so a key is many tasks and its bins' lengths are summed. Of the merged intervals of a bin those
+    at its borders may go on: they are told apart, and merged again over the bins, two rows a bin and set at most.
     """
-    rows = df.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), *(c.alias(f"_in_{n}") for n, c in sets.items()))
-    order = Window.partitionBy(*keys).orderBy("_s", "_e")
+    largest = largest or {}
+    rows = _cut(df.select(*keys, start, end, *(c.alias(f"_in_{n}") for n, c in sets.items())), F.col(start), F.col(end), width)
+    order = Window.partitionBy(*keys, "_bin").orderBy("_s", "_e")
     inside, to = (lambda n: F.col(f"_in_{n}")), (lambda n: F.col(f"_to_{n}"))
     rows = rows.withColumns({f"_to_{n}": F.max(F.when(inside(n), F.col("_e"))).over(order.rowsBetween(Window.unboundedPreceding, -1)) for n in sets})
     aggs = [F.sum(F.when(inside(n), F.greatest(F.col("_e") - F.greatest("_s", F.coalesce(to(n), F.col("_s"))), F.lit(0))).otherwise(0)).alias(n) for n in sets]
-    for name, n in (largest or {}).items():
+    for n in set(largest.values()):
         opens = F.when(inside(n) & (to(n).isNull() | (F.col("_s") > to(n))), F.col("_s"))
         rows = rows.withColumn(f"_from_{n}", F.last(opens, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        aggs.append(F.max(F.when(inside(n), F.greatest(F.col("_e"), F.coalesce(to(n), F.col("_e"))) - F.col(f"_from_{n}"))).alias(name))
-    return rows.groupBy(*keys).agg(*aggs)
+        begun, reach = F.col(f"_from_{n}"), F.greatest(F.col("_e"), F.coalesce(to(n), F.col("_e")))
+        first, last = F.max(F.when(inside(n), F.struct((-begun).alias("s"), reach.alias("e")))), F.max(F.when(inside(n), F.struct(begun.alias("s"), reach.alias("e"))))
+        aggs += [F.max(F.when(inside(n), reach - begun)).alias(f"_long_{n}"), first.alias(f"_first_{n}"), last.alias(f"_last_{n}")]
+    binned = rows.groupBy(*keys, "_bin").agg(*aggs)
+
+    def border(n: str) -> Column:
+        """The first and last merged interval of each bin, in order."""
+        both = F.array(F.struct((-F.col(f"_first_{n}.s")).alias("s"), F.col(f"_first_{n}.e").alias("e")), F.struct(F.col(f"_last_{n}.s").alias("s"), F.col(f"_last_{n}.e").alias("e")))
+        return F.array_sort(F.flatten(F.collect_list(F.when(F.col(f"_first_{n}").isNotNull(), both))))
+
+    def longest(n: str) -> Column:
+        def step(done: Column, x: Column) -> Column:
+            goes_on = x["s"] <= done["e"]
+            s, e = F.when(goes_on, done["s"]).otherwise(x["s"]), F.when(goes_on, F.greatest(done["e"], x["e"])).otherwise(x["e"])
+            return F.struct(s.alias("s"), e.alias("e"), F.greatest(done["best"], e - s).alias("best"))
+
+        none = F.lit(None).cast("long")
+        return F.aggregate(f"_border_{n}", F.struct(none.alias("s"), none.alias("e"), F.col(f"_long_{n}").cast("long").alias("best")), step, lambda done: done["best"])
+
+    asked = set(largest.values())
+    sums = binned.groupBy(*keys).agg(*(F.sum(n).alias(n) for n in sets), *(F.max(f"_long_{n}").alias(f"_long_{n}") for n in asked), *(border(n).alias(f"_border_{n}") for n in asked))
+    return sums.select(*keys, *sets, *(longest(n).alias(name) for name, n in largest.items()))
 
 
 def union_length(df: DataFrame, keys: list[str], start: str = "start", end: str = "end_", name: str = "covered_bp") -> DataFrame:

@@ -86,6 +86,32 @@ def test_intervals_abut_and_properties(spark):
     assert rows(rest.filter("k = 'z'"), "start", "end_") == [(0, 5)]
 
 
+@pytest.mark.parametrize("width", [1, 7, 64, 1 << 20])
+@pytest.mark.parametrize("gap", [0, 5])
+def test_unions_in_bins_of_any_width(spark, width, gap):
+    """Merged intervals, lengths of two sets and the longest block against plain sweeps, with empty, abutting, nested and very long intervals."""
+    rng = random.Random(width + gap)
+    data = [(rng.choice("ab"), s, s + rng.choice([0, 0, 1, 3, 20, 150]), rng.random() < 0.5) for s in (rng.randrange(900) for _ in range(150))] + [("b", 100, 700, True), ("c", 5, 5, True)]
+    df = spark.createDataFrame(data, "k string, start long, end_ long, one boolean")
+
+    def plain(rows_, gap):
+        out = []
+        for s, e in sorted(rows_):
+            if out and s <= out[-1][1] + gap:
+                out[-1][1] = max(out[-1][1], e)
+            else:
+                out.append([s, e])
+        return out
+
+    want = sorted((k, s, e) for k in "abc" for s, e in plain([r[1:3] for r in data if r[0] == k], gap))
+    assert rows(intervals.merge_intervals(df, ["k"], gap=gap, width=width), "k", "start", "end_") == want
+    got = {r.k: r for r in intervals.union_lengths(df, ["k"], {"n": F.col("one"), "every": F.lit(True)}, largest={"longest": "n", "whole": "every"}, width=width).collect()}
+    for k in "abc":
+        some, every = (plain([r[1:3] for r in data if r[0] == k and (r[3] or all_)], 0) for all_ in (False, True))
+        assert (got[k].n, got[k].every) == (sum(e - s for s, e in some), sum(e - s for s, e in every))
+        assert (got[k].longest, got[k].whole) == (max((e - s for s, e in some), default=None), max(e - s for s, e in every))
+
+
 def plain_greedy(data, distance, similarity):
     """Head of each id, by comparing every row with all heads before it."""
     heads, out = [], {}
