@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import join_reasons
-from .components import saved
+from .components import running_totals, saved
 from .kernels import blake2b_unit
 
 
@@ -59,10 +59,23 @@ def descriptive_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def depth_quartiles(cells: DataFrame, depth: str) -> Column:
+    """The quartile of a row's depth by its lowest rank, as text. Ranks come from running counts over ranges of depths; four borders are all that rows then need."""
+    sizes = cells.groupBy(depth).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_totals(sizes, [F.col(depth).asc_nulls_first()], {"_upto": "_n"})
+    quartile = F.ceil(4 * (F.col("_upto") - F.col("_n") + 1) / F.lit(cells.count()))
+    borders = ranked.groupBy(quartile.alias("q")).agg(F.max(depth).alias("top"), F.bool_or(F.col(depth).isNull()).alias("missing")).orderBy(F.desc("q")).collect()
+    found = F.lit(None).cast("string")
+    for r in borders:
+        if r["top"] is not None:
+            found = F.when(F.col(depth) <= F.lit(r["top"]), str(r["q"])).otherwise(found)
+    without = next((str(r["q"]) for r in borders if r["missing"]), None)
+    return F.when(F.col(depth).isNull(), F.lit(without)).otherwise(found)
+
+
 def missingness(cells: DataFrame, value: str, strata: list[str], depth: str) -> DataFrame:
-    """AGG-38: share of missing values in each stratum and in each quartile of depth (by lowest rank)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    rows = cells.withColumn("_rank", F.rank().over(Window.orderBy(depth))).withColumn("depth_quartile", F.ceil(4 * F.col("_rank") / n).cast("string"))
+    """AGG-38: share of missing values in each stratum and in each quartile of depth (by lowest rank, cells without a depth first)."""
+    rows = cells.withColumn("depth_quartile", depth_quartiles(cells, depth))
     sets = [*strata, "depth_quartile"]
     flat = rows.select(F.col(value).isNull().cast("int").alias("m"), F.explode(F.array(*(F.struct(F.lit(s).alias("stratum"), F.col(s).cast("string").alias("level")) for s in sets))).alias("s"))
     return flat.groupBy("s.stratum", "s.level").agg(F.count(F.lit(1)).alias("cells"), F.sum("m").alias("missing"), F.avg("m").alias("missing_fraction"))

@@ -1,11 +1,11 @@
-"""Connected components of an edge table by star contraction."""
+"""What several operators share beyond column expressions: stored tables, running totals over ranges, connected components."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,20 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def running_totals(df: DataFrame, order: list, totals: dict[str, str]) -> DataFrame:
+    """`df` with a running sum for each of `totals` (name: column) up to and including each row, over the whole table in this order.
+
+    Rows are sorted into ranges; each range sums by itself and starts where the sums of those before it end. No two rows may tie.
+    """
+    ranged = saved(df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)).withColumn("_part", F.spark_partition_id())
+    sums = ranged.groupBy("_part").agg(*(F.sum(c).alias(f"_sum_{name}") for name, c in totals.items()))  # a row a range
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_part", *(F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_from_{name}") for name in totals))
+    own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranged.withColumns({name: F.sum(c).over(own) for name, c in totals.items()}).join(F.broadcast(starts), "_part")
+    return summed.withColumns({name: F.col(name) + F.col(f"_from_{name}") for name in totals}).drop("_part", *(f"_from_{name}" for name in totals))
+
+
 def _mark(df: DataFrame) -> tuple:
     return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 

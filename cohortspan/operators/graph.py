@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import flip_token, path_tokens, reverse_complement
 from .components import components, saved
 from .kernels import contract
-from .qc import n50
 
 
 def rank_tally(segments: DataFrame, links: DataFrame) -> DataFrame:
@@ -35,7 +34,12 @@ def graph_overview(segments: DataFrame, degree: DataFrame) -> DataFrame:
     }
     # quantiles from running counts over the histogram of lengths, which has a row a length
     sizes = with_degree.groupBy("ln").agg(F.count(F.lit(1)).alias("n"))
-    run = sizes.withColumns({"upto": F.sum("n").over(Window.orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n").over(Window.partitionBy())})
+    order = Window.orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
+    run = sizes.withColumns({"upto": F.sum("n").over(order), "all": F.sum("n").over(Window.partitionBy())})
+    # N50: the longest length such that segments of at least it hold half of all bases
+    bases = segments.filter("ln > 0").groupBy("ln").agg(F.sum("ln").alias("bp"))
+    longer = bases.withColumns({"more": F.sum("bp").over(Window.orderBy(F.desc("ln")).rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("bp").over(Window.partitionBy())})
+    n50 = longer.agg(F.max(F.when(2 * F.col("more") >= F.col("all"), F.col("ln"))).cast("double").alias("n50"))
 
     def quantile(share: float) -> Column:
         place = (F.col("all") - 1) * share
@@ -44,11 +48,9 @@ def graph_overview(segments: DataFrame, degree: DataFrame) -> DataFrame:
         return below + (above - below) * part
 
     shares = {"median_length": 0.5, **{f"length_q{q}": q / 100 for q in (0, 10, 25, 75, 90, 99, 100)}}
-    one = with_degree.agg(*(c.cast("double").alias(n) for n, c in metrics.items())).crossJoin(run.agg(*(quantile(x).alias(n) for n, x in shares.items())))  # one row each
-    metrics |= shares
-    rows = one.select(F.explode(F.create_map(*[x for n in metrics for x in (F.lit(n), F.col(f"`{n}`"))])).alias("metric", "value"))
-    total = n50(segments.withColumn("_k", F.lit(1)), ["_k"], "ln").select(F.lit("n50").alias("metric"), F.col("n50").cast("double").alias("value"))
-    return rows.unionByName(total)
+    one = with_degree.agg(*(c.cast("double").alias(n) for n, c in metrics.items())).crossJoin(run.agg(*(quantile(x).alias(n) for n, x in shares.items()))).crossJoin(n50)  # one row each
+    metrics |= shares | {"n50": 0.5}
+    return one.select(F.explode(F.create_map(*[x for n in metrics for x in (F.lit(n), F.col(f"`{n}`"))])).alias("metric", "value"))
 
 
 def rank_conflicts(segments: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortspan.functions import columns as C
 from cohortspan.operators import alignments as A
 from cohortspan.operators import alleles, annotate, calls, catalog, checks, cohort, evidence, graph, intervals, kernels, qc, stats
-from cohortspan.operators.components import components
+from cohortspan.operators.components import components, running_totals
 
 
 def rows(df, *cols):
@@ -412,6 +412,17 @@ def test_affine_sample_has_exact_size(spark):
     assert got.count() == 137 and got.select("sample_place").distinct().count() == 137
 
 
+def test_depth_quartiles_by_plain_ranks(spark):
+    rng = random.Random(4)
+    depth = [rng.choice([None, rng.randrange(12), rng.randrange(400)]) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(depth)), "i long, d long").repartition(5)
+    got = {r.i: r.q for r in df.withColumn("q", cohort.depth_quartiles(df, "d")).collect()}
+    key = lambda d: (d is not None, d or 0)
+    assert got == {i: str(-(-4 * (1 + sum(key(x) < key(d) for x in depth)) // 300)) for i, d in enumerate(depth)}
+    totals = {r.d: r.t for r in running_totals(df.filter("d is not null").groupBy("d").agg(F.count(F.lit(1)).alias("n")), ["d"], {"t": "n"}).collect()}
+    assert totals == {d: sum(x is not None and x <= d for x in depth) for d in depth if d is not None}
+
+
 def test_guards(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(ValueError, match="twice"):
