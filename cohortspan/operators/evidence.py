@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_edge, fragment_name, path_edges, path_tokens
 from .intervals import merge_intervals
-from .kernels import PanelScan
+from .kernels import PanelScan, pack_kmers, unpack_kmers
 
 
 def qualified(min_mapq: int) -> Column:
@@ -213,3 +217,56 @@ def kmers(df: DataFrame, k: int = 31) -> DataFrame:
     """SCL-32: distinct k-mers of ACGT only, for short windows. Rows: name, seq."""
     rows = df.filter(F.length("seq") >= k).select("name", F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substring(F.col("seq"), i, F.lit(k)))).alias("kmer"))
     return rows.filter(F.col("kmer").rlike(r"^[ACGT]+\z")).distinct()
+
+
+#: Bases of a text that are packed at a time, and about as many of one name that a task takes.
+KMER_BASES = 1 << 22
+
+
+def distinct_kmers(df: DataFrame, k: int = 31, m: int = 11) -> DataFrame:
+    """SCL-32: (name, kmers): how many different k-mers of ACGT the rows of each name hold. Rows: name, seq (of any length).
+
+    A k-mer is never a row. Texts are cut into runs of k-mers that share a part by their minimiser, two bits a base, and runs are what is shuffled, by
+    name and part: at most some twelfths of a byte for each k-mer more than the bases. A task unpacks one part of a name at a time into
+    64-bit numbers and counts different ones. Names have as many parts as the longest needs for about KMER_BASES each. k is
+    at most 31. Rows without a name or text have no k-mers.
+    """
+    if not 1 <= k <= 31:
+        raise ValueError("k is from 1 to 31")
+    m = min(m, k)
+    rows = df.select("name", "seq").filter("name is not null and seq is not null")
+    most = rows.groupBy("name").agg(F.sum(F.length("seq")).alias("n")).agg(F.max("n")).first()[0] or 0
+    parts = 1 << min((most // KMER_BASES).bit_length(), 14)
+    kind, step = df.schema["name"].dataType.simpleString(), KMER_BASES
+    name_type = df.select("name").limit(0).toArrow().schema.field(0).type
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                for at in range(0, len(text), step):  # pieces share k - 1 bases
+                    found = pack_kmers(text[at : at + step + k - 1], k, m, parts)
+                    if found:
+                        names = batch.column(0).take(pa.array([i] * len(found)))
+                        yield pa.RecordBatch.from_arrays([names, pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], names=["name", "part", "runs"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def close() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], name_type), pa.array([len(np.unique(np.concatenate(held)))], pa.int64())], names=["name", "kmers"])
+
+        for batch in batches:
+            for name, part, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (name, part) != key:
+                    if held:
+                        yield close()
+                    key, held = (name, part), []
+                held.append(unpack_kmers(runs, k))
+                if len(held) > 64:
+                    held = [np.unique(np.concatenate(held))]
+        if held:
+            yield close()
+
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = rows.mapInArrow(pack, f"name {kind}, part int, runs binary").repartition(tasks, "name", "part").sortWithinPartitions("name", "part")
+    return packed.mapInArrow(count, f"name {kind}, kmers long").groupBy("name").agg(F.sum("kmers").alias("kmers"))

@@ -290,3 +290,55 @@ class PanelScan:
         row, group = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
         both, n = np.unique(row * max(len(self.groups), 1) + group, return_counts=True)
         return both // max(len(self.groups), 1), [self.groups[g] for g in both % max(len(self.groups), 1)], n
+
+
+_BASES = np.full(256, 4, np.uint8)
+_BASES[list(b"ACGT")] = range(4)
+
+
+def pack_kmers(text: str, k: int, m: int, parts: int) -> list[tuple[int, bytes]]:
+    """The k-mers of ACGT in a text, dealt to `parts` by their minimiser (the m-mer of the least hash), as (part, packed runs).
+
+    k-mers that follow each other in one part are one run of bases, two bits each. Equal k-mers have equal minimisers, so they are in one part.
+    """
+    code = _BASES[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
+    n = len(code) - k + 1
+    if n <= 0:
+        return []
+    bad = np.concatenate([[0], np.cumsum(code == 4)])
+    good = bad[k:] == bad[:-k]
+    part = np.zeros(n, np.int64)
+    if parts > 1:
+        short = np.zeros(len(code) - m + 1, np.uint64)
+        for i in range(m):
+            short = short * np.uint64(4) + code[i : i + len(short)]
+        mixed = (short + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        least = np.lib.stride_tricks.sliding_window_view(mixed, k - m + 1).min(axis=1)
+        part = (least * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)).astype(np.int64) % parts
+    part = np.where(good, part, -1)
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    ends = np.concatenate([starts[1:], [n]])
+    own = part[starts]
+    starts, ends, own = starts[own >= 0], ends[own >= 0], own[own >= 0]
+    out = []
+    for p in np.unique(own):
+        s, length = starts[own == p], (ends - starts)[own == p] + k - 1
+        place = np.repeat(s - np.cumsum(length) + length, length) + np.arange(length.sum())
+        bits = np.unpackbits(code[place][:, None], axis=1)[:, 6:]
+        out.append((int(p), np.array([len(length), *length], "<u4").tobytes() + np.packbits(bits.ravel()).tobytes()))
+    return out
+
+
+def unpack_kmers(packed: bytes, k: int) -> np.ndarray:
+    """The k-mers of packed runs as numbers, repeats included. k is at most 31."""
+    runs = int(np.frombuffer(packed[:4], "<u4")[0])
+    length = np.frombuffer(packed[4 : 4 + 4 * runs], "<u4").astype(np.int64)
+    bits = np.unpackbits(np.frombuffer(packed[4 + 4 * runs :], np.uint8))[: 2 * length.sum()].reshape(-1, 2)
+    code = (bits[:, 0] * 2 + bits[:, 1]).astype(np.int64)
+    whole = np.zeros(max(len(code) - k + 1, 0), np.int64)
+    for i in range(k):
+        whole = whole * 4 + code[i : i + len(whole)]
+    first = np.cumsum(length) - length
+    n = length - k + 1
+    return whole[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]

@@ -519,7 +519,7 @@ def _(t):
 
 @query("scl_32_distinct_kmers", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, seq AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))
 def _(t):
-    return evidence.kmers(t.sequences.select(F.col("contig").alias("name"), "seq"), 7).groupBy("name").agg(F.count(F.lit(1)).alias("kmers"))
+    return evidence.distinct_kmers(t.sequences.select(F.col("contig").alias("name"), "seq"), 7)
 
 
 @query("scl_32_distinct_kmers_whole", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, seq AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))

@@ -423,6 +423,33 @@ def test_depth_quartiles_by_plain_ranks(spark):
     assert totals == {d: sum(x is not None and x <= d for x in depth) for d in depth if d is not None}
 
 
+@pytest.mark.parametrize("piece", [50, 700, 1 << 22])
+@pytest.mark.parametrize("k", [1, 7, 31])
+def test_distinct_kmers(spark, monkeypatch, k, piece):
+    """Against sets, for names of several rows, odd letters, short and null texts, in pieces and parts of any size."""
+    monkeypatch.setattr(evidence, "KMER_BASES", piece)
+    rng = random.Random(k)
+    data = [(i % 5, "".join(rng.choice("ACGTACGTACGTACGTN-aé") if rng.random() < 0.05 else rng.choice("ACGT") for _ in range(rng.choice([0, 3, 40, 900])))) for i in range(30)]
+    data += [(0, data[0][1]), (7, "A" * 500), (8, None), (None, "ACGT"), (9, "N" * 50)]
+    want = {}
+    for name, text in data:
+        if name is not None and text:
+            own = {text[i : i + k] for i in range(len(text) - k + 1)}
+            want.setdefault(name, set()).update(x for x in own if set(x) <= set("ACGT"))
+    got = evidence.distinct_kmers(spark.createDataFrame(data, "name long, seq string").repartition(4), k).collect()
+    assert {r.name: r.kmers for r in got} == {n: len(x) for n, x in want.items() if x}
+    assert evidence.distinct_kmers(spark.createDataFrame([], "name long, seq string"), k).collect() == []
+
+
+def test_kmers_are_shuffled_in_less_than_twice_their_bases():
+    rng = np.random.default_rng(0)
+    text = "".join(rng.choice(list("ACGT"), 200_000))
+    for parts in (1, 16, 1024):
+        packed = kernels.pack_kmers(text, 31, 11, parts)
+        assert sum(len(b) for _, b in packed) < (0.3 if parts == 1 else 1.6) * len(text)
+        assert sum(len(kernels.unpack_kmers(b, 31)) for _, b in packed) == len(text) - 30
+
+
 def test_guards(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(ValueError, match="twice"):
