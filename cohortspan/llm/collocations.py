@@ -277,20 +277,23 @@ def frequent_phrases(docs: DataFrame, keep: Callable[[DataFrame], DataFrame], te
     """(lang, phrase, k, n, total): all words and phrases of up to `max_words` words with at least `min_count` occurrences; total counts the language's words. `keep` stores a table, see `scratch`."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     shards = keep(rows.mapInArrow(partial(_cut_shards, shard_words=shard_words), _SHARD_TYPES))
-    counted = shards.filter("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counted = keep(counted.select("lang", "word", "n"))
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    words = keep(counted.filter(F.col("n") >= min_count))
+    # a shard has one row for each of its words and pairs, so those of one word or pair are at most as many as there are shards; they are
+    # shuffled once, to be counted and, where frequent, kept
+    every = lambda *key: F.sum("n").over(Window.partitionBy(*key))
+    held = shards.filter("word is not null").select("lang", "shard", "word", "id", "n")
+    totals = held.groupBy("lang").agg(F.sum("n").alias("total"))
+    held = keep(held.withColumn("n", every("lang", "word")).filter(F.col("n") >= min_count))
+    words = keep(held.select("lang", "word", "n").distinct())
     words = keep(number_within(words.withColumn("_all", F.lit(0)), "_all", "wid").select("lang", "word", "n", F.col("wid").cast("int")))
 
-    own = shards.filter("word is not null").select("lang", "shard", "word", "id").join(words.select("lang", "word", "wid"), ["lang", "word"])
-    texts = shards.filter("ids is not null").select(F.col("lang").alias("lang"), F.col("shard").alias("shard"), "ids")
-    paired = keep(own.groupBy("lang", "shard").cogroup(texts.groupBy("lang", "shard")).applyInArrow(_only_shards(_pairs, _PAIR_TYPES), _PAIR_TYPES))
-    pairs = keep(paired.filter("pair is not null").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count))
+    own = held.select("lang", "shard", "word", "id").join(words.select("lang", "word", "wid"), ["lang", "word"]).select("shard", "word", "id", "wid")
+    texts = shards.filter("ids is not null").select(F.col("shard").alias("shard"), "lang", "ids")
+    paired = keep(own.groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(_only_shards(_pairs, _PAIR_TYPES), _PAIR_TYPES))
+    near = keep(paired.filter("pair is not null").select("shard", "pair", "n").withColumn("n", every("pair")).filter(F.col("n") >= min_count))
+    pairs = near.select("pair", "n").distinct()
 
-    near = paired.filter("pair is not null").select("lang", "shard", "pair").join(pairs.select("pair"), "pair", "left_semi")
-    texts = paired.filter("ids is not null").select(F.col("lang").alias("lang"), F.col("shard").alias("shard"), "words", "wids", "ids")
-    longer = near.groupBy("lang", "shard").cogroup(texts.groupBy("lang", "shard")).applyInArrow(_only_shards(partial(_longer, longest=max_words), _PHRASE_TYPES), _PHRASE_TYPES)
+    texts = paired.filter("ids is not null").select(F.col("shard").alias("shard"), "lang", "words", "wids", "ids")
+    longer = near.select("shard", "pair").groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(_only_shards(partial(_longer, longest=max_words), _PHRASE_TYPES), _PHRASE_TYPES)
     longer = longer.groupBy("lang", "phrase").agg(F.first("k").alias("k"), F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
     second = words.select(F.col("wid").alias("_b"), F.col("word").alias("_after"))
