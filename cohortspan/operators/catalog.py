@@ -25,31 +25,41 @@ _KEYS = ["frame", "chromosome", "svtype"]
 _ORDER = [*_KEYS, "position_0", "svlen", "evidence_id"]
 
 
-def _walk(batches: Iterator[pa.RecordBatch], entered, distance: int, similarity: float, emit: bool) -> Iterator[pa.RecordBatch]:
+def _walk(batches: Iterator[pa.RecordBatch], entered, distance: int, similarity: float, emit: bool, before: dict | None = None) -> Iterator[pa.RecordBatch]:
     """Clusters one range of the sorted rows, entered with the heads that are open before it.
 
-    With `emit`, rows with their heads; else one row that tells where the range starts and which heads are open behind it.
+    With `emit`, rows with their heads; else one row that tells where the range starts and which heads are open behind it. With `before`, the heads
+    it was entered with the last time, it is read only until the same heads are open either way; then what is behind it stays (a null state).
     """
     part = TaskContext.get().partitionId()
-    key, heads, first, last = None, None, None, None
+    key, heads, first, last, old, same = None, None, None, None, None, False
     for batch in batches:
-        if not batch.num_rows:
+        if not batch.num_rows or same:
             continue
         found = []
         for *own, position, length, name, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if key != own:
                 if first is None:
                     first = [own, position]
-                    heads = OpenHeads(distance, similarity, entered.value.get(part, ()))
+                    heads = OpenHeads(distance, similarity, entered.get(part, ()))
+                    old = OpenHeads(distance, similarity, before.get(part, ())) if before is not None else None
+                elif old is not None:
+                    same = True
+                    break
                 else:
                     heads = OpenHeads(distance, similarity)
                 key = own
             found.append(heads.head(position, length, digest, name))
             last = position
+            if old is not None:
+                old.head(position, length, digest, name)
+                if old.heads == heads.heads:
+                    same = True
+                    break
         if emit:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, "cluster_head"])
     if not emit:
-        state = json.dumps([first, key, last, [h for h in heads.heads if last - h[0] <= distance] if heads else []])
+        state = None if same else json.dumps([first, key, last, [h for h in heads.heads if last - h[0] <= distance] if heads else []])
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([state], pa.string())], names=["part", "state"])
 
 
@@ -59,7 +69,7 @@ def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float
     Rows in order of position, length and id join the newest open cluster of their type whose first row is compatible. The rows are sorted
     into `parts` ranges of about the same number of rows, wherever they lie: a dense chromosome or a single position is many ranges.
     All ranges are clustered at once as if no head were open before them; what is open behind each is handed to the next one, and
-    ranges that were entered with something else are clustered again, until none changes. Every range has then been entered with
+    ranges that were entered with something else are read again, until the same heads are open as before, and so on until none changes. Every range has then been entered with
     what really is open there, since the first one is; few are ever repeated, because what is open is soon the same whatever was before.
     The driver holds the open heads at the borders only, sequences as digests. Rows without a frame, chromosome, type,
     position, length or id are clusters of their own.
@@ -72,31 +82,33 @@ def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float
     ranges = saved(rows.filter(placed).select(order).repartitionByRange(parts, *order).sortWithinPartitions(*order))
     context = evidence.sparkSession.sparkContext
 
-    def behind(entered: dict, which: list[int] | None) -> dict:
+    def behind(entered: dict, before: dict | None, which: list[int] | None) -> dict:
         own = ranges if which is None else ranges.filter(F.spark_partition_id().isin(which))
-        shared = context.broadcast(entered)
-        run = lambda it: _walk(it, shared, distance, similarity, False)
-        return {r["part"]: json.loads(r["state"]) for r in own.mapInArrow(run, "part int, state string").collect() if which is None or r["part"] in which}
+        shared = context.broadcast((entered, before))
+        run = lambda it: _walk(it, shared.value[0], distance, similarity, False, shared.value[1])
+        rows_ = own.mapInArrow(run, "part int, state string").filter("state is not null").collect()  # a row a range
+        return {r["part"]: json.loads(r["state"]) for r in rows_ if which is None or r["part"] in which}
 
     entered: dict[int, list] = {}
-    left = behind(entered, None)
+    left = behind(entered, None, None)
     while True:
-        changed, open_, key = [], [], None
+        changed, open_, key, before = [], [], None, {}
         for part in sorted(left):
-            first, last_key, last, heads = left[part]
+            first, last_key, _, heads = left[part]
             if first is None:
                 continue  # a range without rows hands on what it gets
             wanted = [h for h in open_ if first[1] - h[0] <= distance] if key == first[0] else []
             if wanted != entered.get(part, []):
+                before[part] = entered.get(part, [])
                 entered[part] = wanted
                 changed.append(part)
             open_, key = heads, last_key
         if not changed:
             break
-        left |= behind(entered, changed)
+        left |= behind(entered, before, changed)
     shared = context.broadcast(entered)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranges.schema)
-    heads = ranges.mapInArrow(lambda it: _walk(it, shared, distance, similarity, True), f"{types}, cluster_head string").dropDuplicates(order)
+    heads = ranges.mapInArrow(lambda it: _walk(it, shared.value, distance, similarity, True), f"{types}, cluster_head string").dropDuplicates(order)
     alone = evidence.filter(~placed).withColumn("cluster_head", F.col("evidence_id").cast("string"))
     return rows.filter(placed).join(heads, order).select(*evidence.columns, "cluster_head").unionByName(alone)
 
