@@ -558,3 +558,84 @@ def test_one_pass_unions_against_bases(spark):
             runs.append(runs[-1] + 1 if b - 1 == at else 1)
             at = b
         assert r.longest == max(runs)
+
+
+def test_catalogue_rows_are_shuffled_once(spark):
+    """Before the ordinals, evidence rows move once, by cluster, and a row is never multiplied by its lists; rows without a chromosome stay."""
+    data = [("REF", "chr1", 5, "INS", 60, f"e{i}", "h0", f"S{i % 3}", f"S{i % 3}.hap1", "graph_residual", "graph", False, "REVIEW", "primary") for i in range(30)]
+    data += [("REF", None, 5, "INS", 60, "n1", "n1", "S1", "S1.hap1", "graph_residual", "graph", False, "REVIEW", "primary")]
+    df = spark.createDataFrame(data, "frame string, chromosome string, position_0 long, svtype string, svlen long, evidence_id string, cluster_head string, sample_id string, assembly_id string, discovery_method string, caller string, graph_member boolean, confidence_tier string, qc_tier string")
+    plans, keep = [], catalog.saved
+    catalog.saved = lambda d: plans.append(d._jdf.queryExecution().sparkPlan().toString()) or keep(d)
+    try:
+        got = catalog.catalog_rows(df).orderBy("ordinal").collect()
+    finally:
+        catalog.saved = keep
+    assert [(r.chromosome, r.evidence_count, r.carrier_samples) for r in got] == [(None, 1, "S1"), ("chr1", 30, "S0;S1;S2")]
+    assert got[1].evidence_ids == ";".join(sorted(f"e{i}" for i in range(30)))
+    assert "Generate" not in plans[0] and "Join" not in plans[0]
+
+
+@pytest.mark.parametrize("width", [3, 50, 100_000])
+def test_bubbles_against_brute_force(spark, width):
+    """Repeated bubble ids and events, negative places, rows without a place; pairs are made for repeated events only."""
+    from cohortspan.operators import compare
+
+    rng = random.Random(width)
+    plans = [(f"e{i % 70}" if i % 9 == 0 else f"u{i}", rng.choice("abc"), rng.choice([None, *range(0, 300, 7)])) for i in range(150)] + [("z", None, 5)]
+    bubbles = [(f"b{i % 50}", rng.choice("ab"), s, s + rng.randrange(60)) for i in range(80) for s in [rng.randrange(-20, 280)]] + [("x", "a", None, 40), (None, "a", 3, 4)]
+    near = {}
+    for e, c, p in plans:
+        near.setdefault(e, set()).update(b for b, k, s, t in bubbles if b and p is not None and k == c and any(x is not None and abs(p - x) <= 12 for x in (s, t)))
+    a = spark.createDataFrame(plans, "event_id string, chromosome string, position_0 long")
+    b = spark.createDataFrame(bubbles, "bubble_id string, chromosome string, start long, end_ long")
+    got = compare.bubble_match(a, b, 12, width)
+    assert rows(got, "event_id", "bubbles") == sorted((e, len(near[e])) for e, _, _ in plans)
+    assert "_open" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(("width", "most"), [(10, 2), (64, 5), (5_000, 4096)])
+def test_annotation_context_against_brute_force(spark, width, most):
+    """Loci over several bins, bins of several rows, repeated ids; (locus, feature) pairs are never grouped."""
+    from cohortspan.operators import annotate
+
+    rng = random.Random(most)
+    loci = [(f"l{i}", rng.choice(["c1", "c2", None]), s, s + rng.choice([0, 1, 9, 80])) for i in range(120) for s in [rng.randrange(600)]] + [("l0", "c1", 30, 60)]
+    features = [(f"f{i % 90}", rng.choice(["c1", "c2"]), s, s + rng.randrange(0, 90), rng.choice(["gene", "exon", "repeat", "tss"])) for i in range(140) for s in [rng.randrange(600)]]
+    hit = {}
+    for name, c, lo, hi in loci:
+        for f, k, s, e, kind in features:
+            if k == c and lo < e and s < hi:
+                hit.setdefault((name, kind), set()).add(f)
+    shown = lambda name, kind: ";".join(sorted(hit.get((name, kind), ()))) or "NO_OVERLAP"
+    want = [(n, shown(n, "gene"), shown(n, "exon"), "EXONIC" if (n, "exon") in hit else "GENIC" if (n, "gene") in hit else "INTERGENIC") for n, *_ in loci]
+    a = spark.createDataFrame(loci, "locus_id string, chromosome string, locus_start long, locus_end long")
+    b = spark.createDataFrame(features, "feature_id string, chromosome string, start long, end_ long, feature_type string")
+    assert rows(annotate.annotation_context(a, b, ["gene", "exon"], width, most), "locus_id", "gene", "exon", "gene_context") == sorted(want)
+
+
+def test_bed_context_meets_a_label_once(spark):
+    """A thousand intervals of a label around a point are one; padding is cut at zero."""
+    points = spark.createDataFrame([("p", "c1", 500), ("q", "c1", 0), ("r", "c1", 9_000), ("s", "c2", 5)], "locus_id string, chromosome string, position_0 long")
+    beds = spark.range(1000).selectExpr("'c1' chromosome", "400 + id % 90 start", "450 + id % 90 end_", "'x' label").union(spark.sql("select 'c1', 0L, 0L, 'none'")).union(spark.sql("select 'c1', 1L, 2L, 'y'"))
+    pairs, keep = [], intervals.overlap_join
+    intervals.overlap_join = lambda *a, **k: pairs.append(keep(*a, **k)) or pairs[-1]
+    try:
+        got = intervals.bed_context(points, beds, 300)
+    finally:
+        intervals.overlap_join = keep
+    assert rows(got, "locus_id", "context") == [("p", "x"), ("q", "y"), ("r", "NO_OVERLAP"), ("s", "CONTIG_NOT_IN_BED")]
+    assert pairs[0].count() == 2
+
+
+def test_affine_sample_sql_finds_any_inverse():
+    """The SQL's inverse of the multiplier, where it lies beyond 200,000."""
+    import duckdb
+
+    from cohortspan.plans import all_queries
+
+    con = duckdb.connect()
+    con.execute("create view events as select i as event_id, i as user_id from range(600000) r(i)")
+    got = con.execute(all_queries()[1]["smp_2_affine_sample"]).fetchall()
+    inverse = pow(7919, -1, 600_000)
+    assert inverse > 200_000 and sorted(got) == sorted((i, (i - 12345) * inverse % 600_000) for i in range(600_000) if (i - 12345) * inverse % 600_000 < 500)
