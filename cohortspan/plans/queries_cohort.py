@@ -388,7 +388,8 @@ def _(t):
 
 @query(
     "smp_2_affine_sample",
-    """+ n AS (SELECT COUNT(*) AS n FROM gaf) SELECT event_id, CAST((((CAST(event_id AS HUGEINT) - 12345) * inv) % n + n) % n AS BIGINT) AS sample_place FROM gaf, n, (SELECT i AS inv FROM range(1, 200000) r(i), n WHERE (CAST(i AS HUGEINT) * 7919) % n = 1 LIMIT 1) WHERE (((CAST(event_id AS HUGEINT) - 12345) * inv) % n + n) % n < 500""",
+    """+ n AS (SELECT COUNT(*) AS n FROM gaf), euclid AS (SELECT CAST(n AS HUGEINT) AS r0, CAST(7919 AS HUGEINT) % n AS r1, CAST(0 AS HUGEINT) AS t0, CAST(1 AS HUGEINT) AS t1 FROM n UNION ALL SELECT r1, r0 % r1, t1, t0 - (r0 // r1) * t1 FROM euclid WHERE r1 > 0),
+    i AS (SELECT (t0 % n + n) % n AS inv FROM euclid, n WHERE r1 = 0 AND r0 = 1) SELECT event_id, CAST((((CAST(event_id AS HUGEINT) - 12345) * inv) % n + n) % n AS BIGINT) AS sample_place FROM gaf, n, i WHERE (((CAST(event_id AS HUGEINT) - 12345) * inv) % n + n) % n < 500""",
     ("gaf",),
 )
 def _(t):
@@ -524,7 +525,7 @@ def _(t):
 
 @query("scl_32_distinct_kmers_whole", "+ k AS (SELECT contig, unnest(list_transform(range(1, length(q) - 5), lambda i: substr(q, i, 7))) AS k FROM (SELECT contig, seq AS q FROM sequences) WHERE length(q) >= 7) SELECT contig AS name, COUNT(DISTINCT k) AS kmers FROM k WHERE regexp_full_match(k, '[ACGT]+') GROUP BY 1", ("sequences",))
 def _(t):
-    return evidence.kmers(t.sequences.select(F.col("contig").alias("name"), "seq"), 7).groupBy("name").agg(F.count(F.lit(1)).alias("kmers"))
+    return evidence.distinct_kmers(t.sequences.select(F.col("contig").alias("name"), "seq"), 7)
 
 
 @query(
