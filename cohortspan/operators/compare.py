@@ -6,10 +6,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_truth_name
+from .intervals import _islands
 from .kernels import sign_flip
 
 
@@ -101,10 +102,29 @@ def coverage_summary(cov: DataFrame, keys: list[str]) -> DataFrame:
     return cov.groupBy(*keys).agg((F.sum("covered") / F.sum("length")).alias("breadth"), (F.sum(F.col("depth") * F.col("length")) / F.sum("length")).alias("mean_depth"))
 
 
-def bubble_match(plans: DataFrame, bubbles: DataFrame, distance: int = 500) -> DataFrame:
-    """JN-11: bubbles whose nearer end is at most `distance` from a plan, counted. Two band joins, one for each end. Plans: event_id, chromosome, position_0; bubbles: bubble_id, chromosome, start, end_."""
-    ends = bubbles.select("bubble_id", "chromosome", F.explode(F.array("start", "end_")).alias("_at"))
-    left = plans.select("event_id", "chromosome", "position_0", F.floor(F.col("position_0") / distance).alias("_bin"))
-    right = ends.withColumn("_bin", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col("_at") / distance) + i)))
-    pairs = left.join(right, ["chromosome", "_bin"]).filter(F.abs(F.col("position_0") - F.col("_at")) <= distance).select("event_id", "bubble_id").distinct()
-    return plans.select("event_id").join(pairs.groupBy("event_id").agg(F.count(F.lit(1)).alias("bubbles")), "event_id", "left").fillna(0, ["bubbles"])
+def bubble_match(plans: DataFrame, bubbles: DataFrame, distance: int = 500, width: int = 100_000) -> DataFrame:
+    """JN-11: bubbles whose nearer end is at most `distance` from a plan, counted. Plans: event_id, chromosome, position_0; bubbles: bubble_id, chromosome, start, end_.
+
+    A bubble is near the positions around its ends; merged for each bubble, these spans open and close, and a plan counts those open at its position:
+    a running sum over the positions of a bin of `width` bases, which starts at the sum of the bins before. No pair is made. Only where an event has
+    several plans are their bubbles paired and told apart.
+    """
+    spans = bubbles.select("bubble_id", "chromosome", F.explode(F.array("start", "end_")).alias("_at")).select("bubble_id", "chromosome", (F.col("_at") - distance).alias("_s"), (F.col("_at") + distance + 1).alias("_e"))
+    spans = _islands(spans.filter("_s is not null"), ["chromosome", "bubble_id"], 0).filter("chromosome is not null and bubble_id is not null")
+    steps = spans.select("chromosome", F.inline(F.array(F.struct(F.col("_s").alias("_at"), F.lit(1).alias("_step")), F.struct(F.col("_e").alias("_at"), F.lit(-1).alias("_step")))))
+    steps = steps.groupBy("chromosome", "_at").agg(F.sum("_step").alias("_step"))
+    often = F.count(F.lit(1)).over(Window.partitionBy("event_id")) > 1
+    own = plans.select("event_id", "chromosome", "position_0", often.alias("_often"))
+    asked = own.filter("not _often").select("chromosome", F.col("position_0").alias("_at"), F.lit(None).cast("long").alias("_step"), "event_id", F.lit(1).alias("_asked"))
+    both = steps.select("chromosome", "_at", "_step", F.lit(None).cast(plans.schema["event_id"].dataType).alias("event_id"), F.lit(0).alias("_asked")).unionByName(asked).withColumn("_bin", F.floor(F.col("_at") / width))
+    before = Window.partitionBy("chromosome").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = both.groupBy("chromosome", "_bin").agg(F.sum("_step").alias("_sum")).select("chromosome", "_bin", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_open"))
+    to = Window.partitionBy("chromosome", "_bin").orderBy("_at", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col("chromosome").eqNullSafe(F.col("_c")) & F.col("_bin").eqNullSafe(F.col("_b"))
+    counted = both.withColumn("_inside", F.coalesce(F.sum("_step").over(to), F.lit(0))).filter("_asked = 1").join(bins.select(F.col("chromosome").alias("_c"), F.col("_bin").alias("_b"), "_open"), same, "left")
+    found = counted.select("event_id", F.when(F.col("chromosome").isNull() | F.col("_at").isNull(), 0).otherwise(F.col("_inside") + F.col("_open")).alias("bubbles"))
+    many = own.filter("_often")
+    left = many.select("event_id", "chromosome", "position_0", F.floor(F.col("position_0") / distance).alias("_bin"))
+    right = spans.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_s") / distance), F.floor((F.col("_e") - 1) / distance))))
+    pairs = left.join(right, ["chromosome", "_bin"]).filter((F.col("position_0") >= F.col("_s")) & (F.col("position_0") < F.col("_e"))).select("event_id", "bubble_id").distinct()
+    return found.unionByName(many.select("event_id").join(pairs.groupBy("event_id").agg(F.count(F.lit(1)).alias("bubbles")), "event_id", "left").fillna(0, ["bubbles"]))
