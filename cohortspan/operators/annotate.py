@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import bins
 
-def annotation_context(loci: DataFrame, hits: DataFrame, types: list[str]) -> DataFrame:
-    """AGG-40: per locus the ids of overlapped features by type (NO_OVERLAP without any) and its gene context. Loci: locus_id; hits: locus_id, feature_type, feature_id."""
-    ids = lambda t: F.array_join(F.array_sort(F.collect_set(F.when(F.col("feature_type") == t, F.col("feature_id")))), ";")
-    g = hits.groupBy("locus_id").agg(*(ids(t).alias(t) for t in types))
-    rows = loci.select("locus_id").join(g, "locus_id", "left")
-    rows = rows.withColumns({t: F.when(F.coalesce(F.col(t), F.lit("")) == "", "NO_OVERLAP").otherwise(F.col(t)) for t in types})
+
+#: Features of a bin that one row holds while loci meet them; a denser bin is several rows.
+ROW_FEATURES = 4096
+
+
+def annotation_context(loci: DataFrame, features: DataFrame, types: list[str], width: int = 5_000, most: int = ROW_FEATURES) -> DataFrame:
+    """AGG-40: per locus the ids of overlapped features by type (NO_OVERLAP without any) and its gene context.
+
+    Loci: locus_id, chromosome, locus_start, locus_end; features: chromosome, start, end_, feature_type, feature_id. A bin's features stand in order of
+    their ids in rows of at most `most`; a locus takes its own from them, so (locus, feature) is never a row and never shuffled. Loci that touch several bins
+    or a bin of several rows put their shares together.
+    """
+    inside = features.filter(F.col("feature_type").isin(types) & F.col("feature_id").isNotNull()).withColumn("_bin", bins(F.col("start"), F.col("end_"), width))
+    nth = F.row_number().over(Window.partitionBy("chromosome", "_bin").orderBy("feature_id", "start", "end_"))
+    numbered = inside.select("chromosome", "_bin", "feature_type", F.struct("feature_id", "start", "end_").alias("_f"), F.floor((nth - 1) / most).alias("_row"))
+    of_type = lambda t: F.array_sort(F.collect_list(F.when(F.col("feature_type") == t, F.col("_f"))))
+    rows = numbered.groupBy("chromosome", "_bin", "_row").agg(*(of_type(t).alias(f"_of_{t}") for t in types)).withColumn("_last", F.max("_row").over(Window.partitionBy("chromosome", "_bin")))
+    repeated = F.count(F.lit(1)).over(Window.partitionBy("locus_id")) > 1
+    own = loci.select("locus_id", "chromosome", "locus_start", "locus_end", repeated.alias("_again"))
+    first, last = F.floor(F.col("locus_start") / width), F.floor(F.greatest(F.col("locus_end") - 1, "locus_start") / width)
+    asked = own.withColumns({"_bin": F.explode_outer(F.sequence(first, last)), "_several": F.col("_again") | (first < last)})
+    overlaps = lambda f: (f["start"] < F.col("locus_end")) & (f["end_"] > F.col("locus_start"))
+    ids = lambda t: F.coalesce(F.array_distinct(F.transform(F.filter(f"_of_{t}", overlaps), lambda f: f["feature_id"])), F.array().cast("array<string>"))
+    met = asked.join(rows, ["chromosome", "_bin"], "left").select("locus_id", (F.col("_several") | (F.coalesce("_last", F.lit(0)) > 0)).alias("_several"), *(ids(t).alias(t) for t in types))
+    joined = met.filter("_several").groupBy("locus_id").agg(*(F.array_sort(F.array_distinct(F.flatten(F.collect_list(t)))).alias(t) for t in types))
+    again = loci.select(F.col("locus_id").alias("_id")).join(joined, F.col("_id").eqNullSafe(F.col("locus_id"))).select("locus_id", *types)
+    found = met.filter("not _several").select("locus_id", *types).unionByName(again)
+    found = found.select("locus_id", *(F.when(F.array_join(t, ";") == "", "NO_OVERLAP").otherwise(F.array_join(t, ";")).alias(t) for t in types))
     context = F.lit("INTERGENIC")
     for label, t in (("GENIC", "gene"), ("EXONIC", "exon")):
         if t in types:
             context = F.when(F.col(t) != "NO_OVERLAP", label).otherwise(context)
-    return rows.withColumn("gene_context", context)
+    return found.withColumn("gene_context", context)
 
 
 def annotation_queries(loci: DataFrame, flank: int) -> DataFrame:

@@ -526,8 +526,7 @@ def _(t):
     ("evidence", "features"),
 )
 def _(t):
-    hits = intervals.overlap_join(loci(t), t.features, ["chromosome"], "locus_start", "locus_end", "start", "end_")
-    return annotate.annotation_context(loci(t), hits, ["gene", "exon", "repeat"])
+    return annotate.annotation_context(loci(t), t.features, ["gene", "exon", "repeat"])
 
 
 @query(
