@@ -251,26 +251,24 @@ def account_evidence(catalog: DataFrame, evidence: DataFrame) -> DataFrame:
     return joined.withColumn("account", F.when(F.col("n") > 1, "CONFLICT").when(F.col("n") == 1, "COVERED").otherwise("UNMAPPED")).drop("n")
 
 
-def _alike(batches: Iterator[pa.RecordBatch], at_least: float) -> Iterator[pa.RecordBatch]:
-    """The pairs whose sequences match well enough, read in the order (or orders) in which their rows stand."""
-
-    def fits(a: str, b: str) -> bool:
-        matcher = SequenceMatcher(None, a, b)
-        return matcher.real_quick_ratio() >= at_least and matcher.quick_ratio() >= at_least and matcher.ratio() >= at_least
-
+def _fits(batches: Iterator[pa.RecordBatch], at_least: float) -> Iterator[pa.RecordBatch]:
+    """The names of the pairs of sequences of which the first, read against the second, matches well enough."""
     for batch in batches:
-        columns = (c.to_pylist() for c in batch.columns[2:])
-        keep = [x == y or forth and fits(x, y) or back and fits(y, x) for x, y, forth, back in zip(*columns, strict=True)]
-        yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        keep = []
+        for x, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+            matcher = SequenceMatcher(None, x, y)
+            keep.append(matcher.real_quick_ratio() >= at_least and matcher.quick_ratio() >= at_least and matcher.ratio() >= at_least)
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["q", "_q"]).filter(pa.array(keep, pa.bool_()))
 
 
 def transitive_links(nodes: DataFrame, distance: int, length_sim: float, seq_sim: float) -> DataFrame:
     """Edges (a, b) that connect all nodes (id, chromosome, svtype, position_0, len, seq, min_id, max_id) which chains of like pairs connect.
 
-    Lengths are cut into bands inside which all are alike, positions into bins inside which all are near. Nodes without a sequence are alike
-    wherever place and length are: those of a bin and band hang on one of them, and two bins or bands meet in their nearest
-    rows, so a dense place costs edges in proportion to its positions, not pairs of rows. Only nodes with a sequence are compared
-    by pairs, those whose lengths allow the wanted share of matches.
+    Lengths are cut into bands inside which all are alike, positions into bins inside which all are near. Nodes of one sequence, or without one, are alike
+    wherever place and length are: those of a cell (sequence, bin and band) hang on one of them. Two cells meet in the rows of their rims: the rows that no other
+    of the cell beats both in place and in length, so a dense cell has few. A node without a sequence is like any other: its cells meet all cells by their rims.
+    Different sequences are compared once for each pair of them that meets; only nodes of two sequences that are alike are compared by pairs, of
+    which one edge for each node and cell is kept. So edges grow with the nodes, not with pairs of them.
     """
     width = max(distance, 1)
     if length_sim <= 0:
@@ -280,34 +278,39 @@ def transitive_links(nodes: DataFrame, distance: int, length_sim: float, seq_sim
     else:
         band = F.when(F.col("len") > 0, F.floor(F.log("len") / -math.log(length_sim))).otherwise(-2)
     where = ["chromosome", "svtype"]
-    placed = nodes.withColumns({"band": band.cast("long"), "bin": F.floor(F.col("position_0") / width)})
-    plain = placed.filter("seq = ''")
-    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= distance
+    cell = [*where, "q", "band", "bin"]
+    own = F.when(F.length("seq") <= 64, F.col("seq")).otherwise(F.concat(F.lit("#"), F.sha2("seq", 256)))  # stands for the sequence
+    named = nodes.withColumn("q", own)
+    placed = named.withColumns({"n": F.length("seq"), "band": band.cast("long"), "bin": F.floor(F.col("position_0") / width)}).drop("seq")
     around = lambda c, by: F.explode(F.transform(F.array(*(F.lit(i) for i in by)), lambda i: F.col(c) + i))
-    # nodes without a sequence at one position and in one band: one group, named after its smallest node
-    spots = saved(plain.groupBy(*where, "band", "bin", "position_0").agg(F.min("id").alias("spot"), F.min("len").alias("short"), F.max("len").alias("long")))
-    own = plain.join(spots.select(*where, "band", "position_0", "spot"), [*where, "band", "position_0"]).select(F.col("id").alias("a"), F.col("spot").alias("b"))
-    first, last = F.min(F.struct("position_0", "spot")).alias("first"), F.max(F.struct("position_0", "spot")).alias("last")
-    cells = saved(spots.groupBy(*where, "band", "bin").agg(first, last))
-    in_cell = spots.join(cells, [*where, "band", "bin"]).select(F.col("spot").alias("a"), F.col("first.spot").alias("b"))
-    after = cells.select(*where, "band", (F.col("bin") - 1).alias("bin"), F.col("first").alias("next"))
-    along = cells.join(after, [*where, "band", "bin"]).filter(near("last.position_0", "next.position_0")).select(F.col("last.spot").alias("a"), F.col("next.spot").alias("b"))
-    upper = spots.select(*where, (F.col("band") - 1).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("position_0").alias("_p"), F.col("spot").alias("b"), F.col("short").alias("_short"))
-    across = spots.join(upper, [*where, "band", "bin"]).filter(near("position_0", "_p") & (F.col("long") / F.col("_short") >= length_sim)).select(F.col("spot").alias("a"), "b")
-    edges = own.union(in_cell).union(along).union(across)
-    told = placed.filter("seq <> ''")
-    ratio = lambda a, b: F.when(F.greatest(a, b) > 0, F.least(a, b) / F.greatest(a, b)).otherwise(1.0) >= length_sim
-    wide = told.select(*where, around("band", (-1, 0, 1)).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("position_0").alias("_p"), F.col("len").alias("_len"), F.col("id").alias("a"), "seq", F.col("min_id").alias("_min"), F.col("max_id").alias("_max"))
-    like_spot = F.when(F.col("long") < F.col("_len"), ratio(F.col("long"), F.col("_len"))).when(F.col("short") > F.col("_len"), ratio(F.col("short"), F.col("_len"))).otherwise(True)
-    mixed = spots.join(wide.drop("seq", "_min", "_max"), [*where, "band", "bin"]).filter(near("position_0", "_p") & like_spot).select("a", F.col("spot").alias("b"))
-    pairs = told.join(wide.withColumnRenamed("seq", "_seq"), [*where, "band", "bin"]).filter((F.col("id") > F.col("a")) & near("position_0", "_p") & ratio(F.col("len"), F.col("_len")))
-    sizes = F.length("seq") + F.length("_seq")
-    pairs = pairs.filter(2 * F.least(F.length("seq"), F.length("_seq")) / sizes >= seq_sim)
-    before = lambda p, ids, q, others: (F.col(p) > F.col(q)) | ((F.col(p) == F.col(q)) & (F.col(ids) > F.col(others)))
-    forth, back = before("position_0", "max_id", "_p", "_min"), before("_p", "_max", "position_0", "min_id")
-    compared = pairs.select(F.col("id").alias("a"), F.col("a").alias("b"), "seq", "_seq", forth.alias("forth"), back.alias("back"))
-    alike = compared.mapInArrow(lambda it: _alike(it, seq_sim), "a long, b long")
-    return edges.union(mixed).union(alike)
+    ratio = F.when(F.greatest("len", "_len") > 0, F.least("len", "_len") / F.greatest("len", "_len")).otherwise(1.0)
+    like = (F.abs(F.col("position_0") - F.col("_p")) <= distance) & (ratio >= length_sim)
+    # the rim: rows that no row as near to the cell's left or right border beats in length, or in shortness
+    rim = F.lit(False)
+    for place in (F.col("position_0"), -F.col("position_0")):
+        for size in (-F.col("len"), F.col("len")):
+            best = F.min(size).over(Window.partitionBy(*cell).orderBy(place, size).rowsBetween(Window.unboundedPreceding, -1))
+            rim = rim | best.isNull() | (size < best)
+    hung = placed.withColumns({"root": F.min("id").over(Window.partitionBy(*cell)), "rim": rim})
+    in_cell = hung.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    rims = hung.filter("rim").select(*cell, "position_0", "len", F.col("root").alias("a"))
+    far = rims.select(*where, around("band", (0, 1)).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("q").alias("_q"), F.col("position_0").alias("_p"), F.col("len").alias("_len"), F.col("a").alias("b"))
+    free = (F.col("q") == F.col("_q")) | (F.col("q") == "") | (F.col("_q") == "")
+    across = rims.join(far, [*where, "band", "bin"]).filter((F.col("a") != F.col("b")) & free & like).groupBy(*where, "band", "bin", "a", "b").agg(F.lit(True).alias("_")).select("a", "b")
+    # different sequences: those whose cells meet, compared once in each order
+    told = placed.filter("q <> ''")
+    beside = lambda *columns: told.select(*where, around("band", (-1, 0, 1)).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("q").alias("_q"), *columns)
+    able = (F.col("q") != F.col("_q")) & (2 * F.least("n", "_n") / (F.col("n") + F.col("_n")) >= seq_sim)
+    met = saved(told.select(*cell, "n").distinct().join(beside(F.col("n").alias("_n")).distinct(), [*where, "band", "bin"]).filter(able).select(*cell, "_q"))
+    texts = named.filter("q <> ''").groupBy("q").agg(F.first("seq").alias("seq"))
+    two = met.select("q", "_q").distinct().join(texts, "q").join(texts.select(F.col("q").alias("_q"), F.col("seq").alias("_seq")), "_q").select("q", "_q", "seq", "_seq")
+    fit = two.mapInArrow(lambda it: _fits(it, seq_sim), "q string, _q string")
+    # the later row is read against the earlier one; a pair stands here in both orders
+    later = (F.col("position_0") > F.col("_p")) | ((F.col("position_0") == F.col("_p")) & (F.col("max_id") > F.col("_min")))
+    others = beside(F.col("band").alias("_band"), F.col("bin").alias("_bin"), F.col("position_0").alias("_p"), F.col("len").alias("_len"), F.col("id").alias("b"), F.col("min_id").alias("_min"))
+    pairs = told.join(met.join(fit, ["q", "_q"]), cell).join(others, [*where, "band", "bin", "_q"]).filter(later & like)
+    alike = pairs.groupBy(*where, "band", "bin", "_q", "id", "_band", "_bin").agg(F.min("b").alias("b")).select(F.col("id").alias("a"), "b")
+    return in_cell.union(across).union(alike)
 
 
 def cluster_transitive(catalog: DataFrame, distance: int = 500, length_sim: float = 0.7, seq_sim: float = 0.8) -> DataFrame:

@@ -639,3 +639,11 @@ def test_affine_sample_sql_finds_any_inverse():
     got = con.execute(all_queries()[1]["smp_2_affine_sample"]).fetchall()
     inverse = pow(7919, -1, 600_000)
     assert inverse > 200_000 and sorted(got) == sorted((i, (i - 12345) * inverse % 600_000) for i in range(600_000) if (i - 12345) * inverse % 600_000 < 500)
+
+
+def test_transitive_edges_grow_with_the_nodes(spark):
+    """A dense place with and without sequences: a few edges for each node, not one for each pair."""
+    nodes = spark.range(3000).selectExpr("id", "'c' chromosome", "'INS' svtype", "id % 500 position_0", "100 + id div 500 * 7 len", "element_at(array('', 'ACGTACGT', 'ACGTACGA'), int(1 + id % 3)) seq", "'e' || id min_id", "'e' || id max_id")
+    edges = catalog.transitive_links(nodes, 500, 0.7, 0.8)
+    assert edges.count() < 4 * 3000
+    assert components(edges).select("root").distinct().count() == 1
