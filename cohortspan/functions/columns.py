@@ -79,9 +79,11 @@ def canonical_reference_path(col: Column, sample: str) -> Column:
 
 def tags_to_map(tags: Column) -> Column:
     """SCL-5: TAG:TYPE:VALUE strings as a map; a value may hold `:`, the last of several equal tags counts."""
-    entries = F.transform(F.filter(tags, lambda t: t.rlike("^[^:]+:[^:]+:")), lambda t: F.struct(F.split(t, ":", 3)[0].alias("k"), F.split(t, ":", 3)[2].alias("v")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["k"] == e["k"]))
-    return F.map_from_entries(last)
+    parts = F.filter(F.transform(tags, lambda t: F.split(t, ":", 3)), lambda p: (F.size(p) == 3) & (p[0] != "") & (p[1] != ""))
+    last = lambda all_: F.filter(all_, lambda p, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda later: later[0] == p[0]))
+    # a lambda's variable holds the split tags, so that they are split once a row and not once for each tag
+    kept = F.transform(F.array(parts), lambda all_: F.transform(last(all_), lambda p: F.struct(p[0].alias("k"), p[2].alias("v"))))[0]
+    return F.map_from_entries(kept)
 
 
 def info_to_map(col: Column) -> Column:

@@ -647,3 +647,10 @@ def test_transitive_edges_grow_with_the_nodes(spark):
     edges = catalog.transitive_links(nodes, 500, 0.7, 0.8)
     assert edges.count() < 4 * 3000
     assert components(edges).select("root").distinct().count() == 1
+
+
+def test_tags_are_split_once_a_row(spark):
+    tags = F.array(F.lit("a:i:1"), F.lit("b:Z:x:y"), F.lit(None).cast("string"), F.lit(":i:3"), F.lit("c::4"), F.lit("d:i"), F.lit("a:i:2"), F.lit("e:Z:"))
+    df = spark.range(1).select(C.tags_to_map(tags).alias("m"), C.tags_to_map(F.lit(None).cast("array<string>")).alias("none"))
+    assert df._jdf.queryExecution().analyzed().toString().count("split(") == 2  # one for each call
+    assert df.first().asDict() == {"m": {"b": "x:y", "a": "2", "e": ""}, "none": None}
