@@ -368,12 +368,27 @@ def compatible(a: Column, b: Column, similarity: float = 0.7) -> Column:
 
 def multiset_delta(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """SET-3: records that one version has more often than the other, with their other columns: change NEW or MISSING."""
+    if set(old.columns) == set(new.columns) == set(keys):
+        return _surplus(old, new, keys)
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     a, b = old.withColumn("_nth", nth), new.withColumn("_nth", nth)
     on = [*keys, "_nth"]
     return b.join(a, on, "left_anti").withColumn("change", F.lit("NEW")).unionByName(a.join(b, on, "left_anti").withColumn("change", F.lit("MISSING"))).drop("_nth")
 
 
+#: Rows that one step of `_surplus` makes of a count.
+_REPEATS = 1 << 16
+
+
+def _surplus(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """`multiset_delta` of records that are nothing but their key: equal ones are counted, not ordered, and what one version has more is made of the difference."""
+    counts = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_new")).join(old.groupBy(*keys).agg(F.count(F.lit(1)).alias("_old")), keys, "full")
+    more = F.coalesce("_new", F.lit(0)) - F.coalesce("_old", F.lit(0))
+    spread = counts.withColumn("_more", more).filter("_more <> 0").withColumn("_from", F.explode(F.sequence(F.lit(1), F.abs("_more"), F.lit(_REPEATS))))
+    each = F.explode(F.sequence("_from", F.least(F.abs("_more"), F.col("_from") + _REPEATS - 1)))
+    return spread.select(*keys, F.when(F.col("_more") > 0, "NEW").otherwise("MISSING").alias("change"), each.alias("_nth")).drop("_nth")
+
+
 def plan_rescues(events: DataFrame, flank: int = 50_000, min_flank: int = 20_000) -> DataFrame:
     """FLT-22: seed interval of an event on its source contig, clipped, with status by precedence. Rows: source_contig, contig_length, path, reads_ready, query_position_0, svlen."""
     start = F.greatest(F.col("query_position_0") - flank, F.lit(0))
