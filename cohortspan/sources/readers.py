@@ -31,6 +31,19 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).filter(F.trim("value") != "")
 
 
+def reports(spark: SparkSession, path: str | list[str], packed: bool = False) -> DataFrame:
+    """(file, value): the text of each of many small files.
+
+    A file of its own costs about the same whatever is in it, so a large number of them is better kept `packed`: text files that hold one after
+    the other, each behind a line `==> name <==`, as `tail -n +1` prints them. Then `file` is that name. No line of a report may start with `==> `.
+    """
+    if not packed:
+        return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    rows = spark.read.option("lineSep", "\n==> ").text(path).filter(F.trim("value") != "").select(F.regexp_replace("value", "^==> ", "").alias("v"))
+    name = F.when(F.col("v").rlike(r"^[^\n]* <==(\n|$)"), F.substring_index("v", " <==", 1)).otherwise(F.raise_error(F.lit("packed report without a name")))
+    return rows.withColumn("file", name).select("file", F.expr("substr(v, length(file) + 6)").alias("value"))
+
+
 def _fields(df: DataFrame) -> DataFrame:
     return df.withColumn("f", F.split(F.col("value"), "\t"))
 
@@ -116,31 +129,46 @@ def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(checked.alias("chromosome"), (f[1].cast("bigint") - 1).alias("pos0"), f[2].alias("id"), f[3].alias("ref"), F.split(f[4], ",").alias("alts"), f[5].alias("qual"), f[6].alias("filter"), info_to_map(f[7]).alias("info"))
 
 
-def read_sample_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """SRC-9: rows of one-sample files with the header's sample name and the FORMAT map; exactly 10 columns."""
-    rows = spark.read.text(path).withColumn("file", F.input_file_name())
-    header = rows.filter(F.col("value").startswith("#CHROM")).select("file", F.split("value", "\t").alias("h")).select("file", F.when(F.size("h") == 10, F.col("h")[9]).otherwise(F.raise_error(F.lit("not a one-sample VCF"))).alias("sample"))
+def read_sample_vcf(spark: SparkSession, path: str | list[str], packed: bool = False) -> DataFrame:
+    """SRC-9: rows of one-sample files with the header's sample name and the FORMAT map; exactly 10 columns. Small files may be `packed` (see `reports`)."""
+    if packed:
+        rows = reports(spark, path, True).select("file", F.explode(F.split("value", "\n")).alias("value"), _vcf_header())
+    else:
+        rows = spark.read.text(path).withColumn("file", F.input_file_name())
+    sample = F.when(F.size("h") == 10, F.col("h")[9]).otherwise(F.raise_error(F.lit("not a one-sample VCF")))
     body = _fields(rows.filter(~F.col("value").startswith("#") & (F.trim("value") != "")))
     f = F.col("f")
-    sites = body.select("file", f[0].alias("chromosome"), (f[1].cast("bigint") - 1).alias("pos0"), f[2].alias("id"), f[3].alias("ref"), f[4].alias("alt"), f[6].alias("filter"), info_to_map(f[7]).alias("info"), format_to_map(f[8], f[9]).alias("call"))
-    return sites.join(header, "file")
+    site = [f[0].alias("chromosome"), (f[1].cast("bigint") - 1).alias("pos0"), f[2].alias("id"), f[3].alias("ref"), f[4].alias("alt"), f[6].alias("filter"), info_to_map(f[7]).alias("info"), format_to_map(f[8], f[9]).alias("call")]
+    if packed:  # a report's header lies where its rows are; one without a header has no rows, as in the join below
+        return body.filter("h is not null").select("file", *site, sample.alias("sample"))
+    header = rows.filter(F.col("value").startswith("#CHROM")).select("file", F.split("value", "\t").alias("h")).select("file", sample.alias("sample"))
+    return body.select("file", *site).join(header, "file")
+
+
+def _vcf_header() -> Column:
+    """The header's fields of a whole VCF in `value`, as `h`; null without one."""
+    line = F.regexp_extract("value", r"(?m)^#CHROM[^\n]*", 0)
+    return F.when(line != "", F.split(line, "\t")).alias("h")
 
 
-def inventory_sample_vcfs(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
-    """SRC-22: files, distinct samples and repeated files of each source, from header lines only."""
+def inventory_sample_vcfs(spark: SparkSession, sources: dict[str, str], packed: bool = False) -> DataFrame:
+    """SRC-22: files, distinct samples and repeated files of each source, from header lines only. Small files may be `packed` (see `reports`)."""
     parts = []
     for name, path in sources.items():
-        rows = spark.read.text(path).filter(F.col("value").startswith("#CHROM")).select(F.lit(name).alias("source"), F.input_file_name().alias("file"), F.get(F.split("value", "\t"), F.lit(9)).alias("sample"))
-        parts.append(rows)
+        if packed:
+            heads = reports(spark, path, True).select("file", _vcf_header()).filter("h is not null")
+        else:
+            heads = spark.read.text(path).filter(F.col("value").startswith("#CHROM")).select(F.input_file_name().alias("file"), F.split("value", "\t").alias("h"))
+        parts.append(heads.select(F.lit(name).alias("source"), "file", F.get("h", F.lit(9)).alias("sample")))
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)
     return out.groupBy("source").agg(F.count(F.lit(1)).alias("files"), F.count_distinct("sample").alias("samples")).withColumn("repeated_files", F.col("files") - F.col("samples"))
 
 
-def read_taxon_report(spark: SparkSession, path: str) -> DataFrame:
+def read_taxon_report(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
     """SRC-10: percent, clade, direct, rank, taxid, name and depth (two leading blanks a level), from reports of 6 or 8 columns. `line` keeps the order."""
-    rows = _fields(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), "\n")).alias("line", "value")))
+    rows = _fields(reports(spark, path, packed).select("file", F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), "\n")).alias("line", "value")))
     wide = F.size("f") == 8
     at = lambda i: F.get("f", F.when(wide, i + 2).otherwise(i))
     name = F.when(F.size("f").isin(6, 8), at(5)).otherwise(F.raise_error(F.lit("taxon report with other than 6 or 8 columns")))
@@ -211,18 +239,18 @@ def read_seq_stats(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col(df.columns[0]).alias("file"), number("num_seqs").alias("contig_count"), number("sum_len").alias("total_length_bp"), number("N50", "N50_num").alias("contig_n50_bp"), number("max_len").alias("largest_bp"), number("GC(%)", "GC").alias("gc_percent"), number("sum_n").alias("n_bases"))
 
 
-def read_completeness(spark: SparkSession, path: str) -> DataFrame:
+def read_completeness(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
     """SRC-15: one row a file: percents of complete, duplicated, fragmented and missing genes."""
-    text = spark.read.text(path, wholetext=True)
+    text = reports(spark, path, packed)
     part = lambda k: F.regexp_extract("value", rf"(?m)^#?\s*{k}:\s*([0-9.]+)%", 1).try_cast("double")
-    return text.select(F.input_file_name().alias("file"), (part("S") + part("D")).alias("complete_percent"), part("D").alias("duplicated_percent"), part("F").alias("fragmented_percent"), part("M").alias("missing_percent"))
+    return text.select("file", (part("S") + part("D")).alias("complete_percent"), part("D").alias("duplicated_percent"), part("F").alias("fragmented_percent"), part("M").alias("missing_percent"))
 
 
-def read_flagstat(spark: SparkSession, path: str) -> DataFrame:
+def read_flagstat(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
     """SRC-15: total, secondary, mapped and properly paired counts."""
-    text = spark.read.text(path, wholetext=True)
+    text = reports(spark, path, packed)
     part = lambda k: F.regexp_extract("value", rf"(?m)^([0-9]+) \+ [0-9]+ {k}", 1).try_cast("bigint")
-    return text.select(F.input_file_name().alias("file"), part("in total").alias("total"), part("secondary").alias("secondary"), part("mapped").alias("mapped"), part("properly paired").alias("properly_paired"))
+    return text.select("file", part("in total").alias("total"), part("secondary").alias("secondary"), part("mapped").alias("mapped"), part("properly paired").alias("properly_paired"))
 
 
 def read_coverage(spark: SparkSession, path: str) -> DataFrame:
@@ -231,9 +259,14 @@ def read_coverage(spark: SparkSession, path: str) -> DataFrame:
     return _fields(_lines(spark, path).filter(~F.col("value").startswith("#"))).select(f[0].alias("name"), (f[2].cast("bigint") - f[1].cast("bigint") + 1).alias("length"), f[4].cast("bigint").alias("covered"), f[6].cast("double").alias("depth"))
 
 
-def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-15: seconds and peak memory of each job file."""
-    return spark.read.csv(path, sep="\t", header=True).select(F.input_file_name().alias("file"), F.col("s").cast("double").alias("seconds"), F.col("max_rss").try_cast("double").alias("max_rss_mb"))
+def read_benchmark(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
+    """SRC-15: seconds and peak memory of each job file, by its own header."""
+    if not packed:
+        return spark.read.csv(path, sep="\t", header=True).select(F.input_file_name().alias("file"), F.col("s").cast("double").alias("seconds"), F.col("max_rss").try_cast("double").alias("max_rss_mb"))
+    lines = reports(spark, path, True).select("file", F.split(F.regexp_replace("value", r"\s+$", ""), "\r?\n").alias("l"))
+    rows = lines.select("file", F.split(F.col("l")[0], "\t").alias("h"), F.explode(F.slice("l", 2, F.size("l"))).alias("v")).filter("v <> ''")
+    value = lambda n: F.nullif(F.get(F.split("v", "\t"), (F.array_position("h", F.lit(n)) - 1).cast("int")), F.lit(""))
+    return rows.select("file", value("s").cast("double").alias("seconds"), value("max_rss").try_cast("double").alias("max_rss_mb"))
 
 
 EDIT = T.StructType([T.StructField("from_length", T.LongType()), T.StructField("to_length", T.LongType()), T.StructField("sequence", T.StringType())])

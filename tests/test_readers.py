@@ -136,3 +136,23 @@ def test_locate_on_path_literals(spark):
 def test_write_table(spark, tmp_path):
     R.write_table(spark.createDataFrame([(1, 2)], "x int, y int"), str(tmp_path / "t"), ["y", "x"], "tsv")
     assert spark.read.csv(str(tmp_path / "t"), sep="\t", header=True).select(F.col("y")).first()[0] == "2"
+
+
+def test_packed_reports_read_as_single_files(spark, tmp_path):
+    import __spark_entry__
+
+    text = {"a.txt": "100 + 0 in total\n5 + 0 secondary\n90 + 0 mapped (90%)\n", "b": "7 + 0 in total\n", "empty": ""}
+    pack = put(tmp_path, "packed.txt", "".join(f"==> {n} <==\n{t}\n" for n, t in text.items()))
+    got = {r.file: (r.total, r.secondary, r.mapped) for r in R.read_flagstat(spark, pack, packed=True).collect()}
+    assert got == {"a.txt": (100, 5, 90), "b": (7, None, None), "empty": (None, None, None)}
+    vcf = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t{0}\nchr1\t5\tx{0}\tN\t<DEL>\t.\tPASS\tEND=9\tGT:CN\t0/1:3\n"
+    pack = put(tmp_path, "vcfs.txt", "".join(f"==> f{s} <==\n{vcf.format(s)}" for s in "AB"))
+    assert sorted((r.file, r.sample, r.id, r.pos0, r.call["CN"]) for r in R.read_sample_vcf(spark, pack, packed=True).collect()) == [("fA", "A", "xA", 4, "3"), ("fB", "B", "xB", 4, "3")]
+    assert R.inventory_sample_vcfs(spark, {"s": pack}, packed=True).first().asDict() == {"source": "s", "files": 2, "samples": 2, "repeated_files": 0}
+    pack = put(tmp_path, "jobs.txt", "==> j1 <==\ns\th:m:s\tmax_rss\n1.5\t0:00:01\t-\n==> j2 <==\nmax_rss\ts\n8\t2\n")
+    assert sorted(tuple(r) for r in R.read_benchmark(spark, pack, packed=True).collect()) == [("j1", 1.5, None), ("j2", 2.0, 8.0)]
+    with pytest.raises(Exception, match="without a name"):
+        R.read_flagstat(spark, put(tmp_path, "bad.txt", "100 + 0 in total\n"), packed=True).collect()
+    # the queries' reports grow with the tables; the files they lie in do not
+    rows = __spark_entry__.queries()["src_15_flagstat"](spark, "/root/testdata/sf0.01")
+    assert rows.count() == 100 and len(rows.inputFiles()) < 50
