@@ -171,7 +171,7 @@ def check_tiling(segments: DataFrame, lengths: DataFrame) -> DataFrame:
 
 
 #: Links that one task takes when bridges are sought, about.
-TASK_LINKS = 200_000
+TASK_LINKS = 50_000
 
 
 def physical_links(links: DataFrame) -> DataFrame:
