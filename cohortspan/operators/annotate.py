@@ -65,10 +65,11 @@ def counterpart_rows(crosswalk: DataFrame) -> DataFrame:
 def extract_windows(contigs: DataFrame, windows: DataFrame, block: int = 65_536) -> DataFrame:
     """SCL-15: sequence of each window [start, end_) and whether the contig ends before it. Contigs: contig, seq; windows: window_id, contig, start, end_.
 
-    Contigs are cut into blocks; a window meets only its blocks, by an equi-join.
+    Contigs are cut into blocks; a window meets only its blocks, by an equi-join. A sequence may be a costly expression: no filter reads
+    it (an outer explode has none inferred either), since each would compute it again.
     """
     n = F.ceil(F.length("seq") / block).cast("int")
-    blocks = contigs.filter(F.length("seq") > 0).select("contig", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"), "seq")
+    blocks = contigs.select("contig", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1))).alias("block"), "seq").filter("block is not null")
     blocks = blocks.select("contig", "block", F.substring("seq", F.col("block") * block + 1, F.lit(block)).alias("part"))
     wanted = windows.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block).cast("int"), F.floor((F.greatest("end_", F.col("start") + 1) - 1) / block).cast("int"))))
     joined = wanted.join(blocks, ["contig", "block"], "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import alleles, annotate, calls, checks, cohort, compare, evidence, graph
+from ..operators.components import saved
 from .registry import Tables, query
 
 # imported calls
@@ -221,7 +222,8 @@ def built(t: Tables) -> DataFrame:
     turned = C.reverse_complement(F.col("s"))
     sources = placed.withColumn("source", F.when(F.col("contig") % 3 == 1, turned).otherwise(F.col("s")))
     offset = F.expr("CASE WHEN contig % 3 = 1 THEN length(s) - loc - length(allele) ELSE loc END + CASE WHEN contig % 5 = 0 THEN 1 ELSE 0 END")
-    candidates = sources.select(F.col("contig").alias("candidate_id"), F.col("contig").alias("chromosome"), F.col("loc").alias("position"), F.col("contig").alias("source_contig"), offset.alias("source_offset"), "allele")
+    # places and alleles of all texts, without the texts: written once, since they are read four times
+    candidates = saved(sources.select(F.col("contig").alias("candidate_id"), F.col("contig").alias("chromosome"), F.col("loc").alias("position"), F.col("contig").alias("source_contig"), offset.alias("source_offset"), "allele"))
     review = placed.filter("contig % 14 = 0").selectExpr("contig AS candidate_id", "IF(contig % 4 = 0, '-', '+') AS orientation")
     return alleles.reconstruct_alleles(candidates, flat(t), sources.selectExpr("contig", "source AS seq"), review, 40)
 

@@ -687,3 +687,12 @@ def test_path_events_walk_each_distinct_path_once(spark, monkeypatch):
     got = rows(alleles.path_event_coordinate(aln, events, segments), "aln_id", "event_id", "coordinate", "alternate")
     assert walked == [2]
     assert got == sorted([(i, "e1", 8, True) for i in range(1, 40, 2)] + [(i, "e2", 5, True) for i in range(1, 40, 2)] + [(i, "e1", 3, True) for i in range(0, 40, 2)] + [(i, "e2", None, True) for i in range(0, 40, 2)])
+
+
+def test_windows_compute_a_derived_sequence_once(spark):
+    contigs = spark.createDataFrame([(1, "acgtn" * 30), (2, ""), (3, None)], "contig long, raw string").select("contig", F.regexp_replace("raw", "n", "N").alias("seq"))
+    windows = spark.createDataFrame([("w", 1, 8, 23), ("past", 1, 145, 160), ("none", 2, 0, 4), ("null", 3, 0, 4)], "window_id string, contig long, start long, end_ long")
+    found = annotate.extract_windows(contigs, windows, block=10)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+    text = "acgtN" * 30
+    assert rows(found, "window_id", "window_seq", "truncated") == sorted([("w", text[8:23], False), ("past", text[145:], True), ("none", "", True), ("null", "", True)])
