@@ -8,15 +8,17 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import has_all, literal_sequence, stable_id
 from .components import components, saved
-from .intervals import length_compatible, sv_match
-from .kernels import OpenHeads
+from .intervals import length_compatible
+from .kernels import OpenHeads, best_sources
 
 ORDER = ("position_0", "svtype", "svlen", "evidence_id")
 
@@ -236,12 +238,50 @@ def select_panel(candidates: DataFrame, difficult: int, genic: int, size: int) -
     return hard.unionByName(genes).unionByName(best(rest, max(size - difficult - genic, 0), "RANKED"))
 
 
+def _best_sources(events: pa.Table, sources: pa.Table, distance: int, similarity: float) -> pa.Table:
+    """The places of events in one bin that have a source, with it. Both hold a row a place."""
+    number = lambda c: pc.fill_null(c, 0).to_numpy()
+    ids = sources.column("_id").combine_chunks()
+    nth = np.empty(len(ids), np.int64)
+    nth[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+    count, chosen, least, apart = best_sources(
+        (number(events.column("_p")), number(events.column("_l")), pc.is_null(events.column("_l")).to_numpy()),
+        (*(number(sources.column(c)) for c in ("_p", "_l")), pc.is_null(sources.column("_l")).to_numpy(), number(sources.column("_tier")), number(sources.column("_n")), nth),
+        distance, similarity,
+    )
+    have = pa.array(np.flatnonzero(chosen >= 0))
+    which = pa.array(chosen[chosen >= 0])
+    far, gap, n = least[chosen >= 0], apart[chosen >= 0], count[chosen >= 0]
+    mine, its = events.take(have), sources.take(which)
+    columns = [mine.column(c) for c in _PLACE] + [its.column(c) for c in ("_tier", "_id", "_p", "_l")]
+    return pa.table([*columns, pa.array(far), pa.array(gap, mask=gap < 0), pa.array(n)], names=[*_PLACE, "_tier", "_id", "_op", "_ol", "_far", "_gap", "_n"])
+
+
+_PLACE = ["frame", "chromosome", "svtype", "_bin", "_p", "_l"]
+
+
 def choose_sources(events: DataFrame, candidates: DataFrame, distance: int = 500, similarity: float = 0.7) -> DataFrame:
-    """JN-10: the best source of each event: high tier, near, alike in length, high MAPQ, then the smallest id."""
-    other = candidates.select("frame", "chromosome", "svtype", *(F.col(c).alias(f"other_{c}") for c in ("position_0", "svlen", "evidence_id", "confidence_tier")))
-    pairs = sv_match(events, other, distance, similarity)
-    order = [F.col("other_confidence_tier") != "HIGH_CONFIDENCE", F.abs(F.col("position_0") - F.col("other_position_0")), F.abs(F.col("svlen") - F.col("other_svlen")), F.col("other_evidence_id")]
-    return pairs.groupBy("event_id").agg(F.min_by(F.struct("other_evidence_id", "other_position_0", "other_svlen"), F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])).alias("s"), F.count(F.lit(1)).alias("sources")).select("event_id", "sources", "s.*")
+    """JN-10: the best source of each event: high tier, near, alike in length, high MAPQ, then the smallest id, with the number of its sources.
+
+    Both sides go to bins of many times `distance` bases (sources near a border to both), where places are told apart: rows of
+    one place, type and length have the same sources. A bin's sources are counted and chosen without making pairs (`kernels.best_sources`), so work and
+    shuffle grow with the rows, not with how many of them lie near each other. `similarity` is from 0 to 1, whole numbers are positions and lengths.
+    """
+    width, place = 200 * max(distance, 1), _PLACE
+    cell = place[:4]
+    at, length = F.col("position_0").cast("long"), F.col("svlen").cast("long")
+    marked = candidates.filter(at.isNotNull()).select(*cell[:3], at.alias("_p"), length.alias("_l"), F.when(F.col("confidence_tier").isNull(), 0).when(F.col("confidence_tier") == "HIGH_CONFIDENCE", 1).otherwise(2).alias("_tier"), F.struct(F.col("evidence_id").alias("id")).alias("_id"))
+    around = marked.withColumn("_bin", F.explode(F.sequence(F.floor((F.col("_p") - distance) / width), F.floor((F.col("_p") + distance) / width))))
+    sources = around.repartition(*cell).groupBy(*place, "_tier").agg(F.min("_id").getField("id").alias("_id"), F.count(F.lit(1)).alias("_n"))
+    asked = events.filter(at.isNotNull()).select(*cell[:3], at.alias("_p"), length.alias("_l"), "event_id").withColumn("_bin", F.floor(F.col("_p") / width))
+    types = {**dict(asked.dtypes), **dict(candidates.select(F.col("evidence_id").alias("_id")).dtypes)}
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in place), "_tier int", f"_id {types['_id']}", "_op long, _ol long, _far long, _gap long, _n long"])
+    run = lambda e, s: _best_sources(e, s, distance, similarity)
+    best = asked.select(*place).distinct().groupBy(*cell).cogroup(sources.groupBy(*cell)).applyInArrow(run, schema)
+    named = best.select(*(F.col(c).alias(f"_{c}") for c in place), "_tier", "_id", "_op", "_ol", "_far", "_gap", "_n")
+    met = asked.join(named, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "_l" else F.col(c) == F.col(f"_{c}") for c in place]))
+    first = F.min_by(F.struct(F.col("_id").alias("other_evidence_id"), F.col("_op").alias("other_position_0"), F.col("_ol").alias("other_svlen")), F.struct(F.nullif("_tier", F.lit(0)), "_far", "_gap", "_id"))
+    return met.groupBy("event_id").agg(first.alias("s"), F.sum("_n").alias("sources")).select("event_id", "sources", "s.*")
 
 
 def account_evidence(catalog: DataFrame, evidence: DataFrame) -> DataFrame:

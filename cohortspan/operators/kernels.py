@@ -342,3 +342,109 @@ def unpack_kmers(packed: bytes, k: int) -> np.ndarray:
     first = np.cumsum(length) - length
     n = length - k + 1
     return whole[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
+class RankCounts:
+    """Whole numbers in a fixed order, one bit a level: how many of any stretch of them are below a limit, for many stretches at once."""
+
+    def __init__(self, values: np.ndarray, many: int, weights: np.ndarray):
+        self.levels = []
+        for bit in reversed(range(many.bit_length())):
+            one = (values >> bit) & 1
+            order = np.argsort(one, kind="stable")
+            zeros = np.concatenate([[0], np.cumsum(1 - one)])
+            values, weights = values[order], weights[order]
+            self.levels.append((bit, zeros, np.concatenate([[0], np.cumsum(weights)])))
+
+    def below(self, start: np.ndarray, stop: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Summed weights of the values at [start, stop) that are less than `limit`, at most `many`."""
+        total = np.zeros(len(start), np.int64)
+        for bit, zeros, sums in self.levels:
+            one = ((limit >> bit) & 1).astype(bool)
+            from_, to = zeros[start], zeros[stop]
+            total += np.where(one, sums[to] - sums[from_], 0)
+            start, stop = np.where(one, zeros[-1] + start - from_, from_), np.where(one, zeros[-1] + stop - to, to)
+        return total
+
+
+def _first(n: int, size: int, holds) -> np.ndarray:
+    """For each of `size` questions the first of 0 to n - 1 for which `holds(places)` is true (and stays so); n if there is none."""
+    low, high = np.zeros(size, np.int64), np.full(size, n, np.int64)
+    while (low < high).any():
+        middle = (low + high) // 2
+        true = holds(np.minimum(middle, max(n - 1, 0))) | (low >= high)
+        low, high = np.where(true, low, middle + 1), np.where(true & (low < high), middle, high)
+    return low
+
+
+def best_sources(events: tuple[np.ndarray, ...], sources: tuple[np.ndarray, ...], distance: int, similarity: float) -> tuple[np.ndarray, ...]:
+    """For each event how many sources lie within `distance` and are alike in length, and which of them comes first by tier, distance, difference of lengths and name.
+
+    Events: positions, lengths, where a length is missing. Sources: the same, their tiers, how many rows each stands for, and their names' places in order; no
+    two agree in position, length and tier. Pairs are never made: near and alike sources are counted in a table of ranks, the least distance is
+    found by halving, and of the sources there only the next longer and the next shorter one can be first. Gives
+    counts, the sources' numbers (-1 if there is none), distances, and differences of length (-1 where one is missing, which comes first).
+    """
+    at, length, missing = events
+    place, size, unknown, tier, rows, name = sources
+    known = np.unique(size[~unknown])
+    many = len(known) + 1  # the last rank is that of missing lengths
+    # known lengths of one sign that are alike are neighbours; zero and a missing length are like any known one
+    positive, zero = np.searchsorted(known, 1), np.searchsorted(known, 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        above, own = known[positive:].astype(float), length.astype(float)
+        low = positive + _first(len(above), len(at), lambda i: above[i] / own >= similarity if len(above) else np.ones(len(at), bool))
+        high = positive + _first(len(above), len(at), lambda i: own / above[i] < similarity if len(above) else np.ones(len(at), bool))
+    low, high = np.where(length > 0, low, 0), np.where(length > 0, high, np.where(length < 0, zero, many - 1))
+    every = np.full(len(at), many - 1)
+    ranges = [(low, np.maximum(low, high)), (np.where(length == 0, every, zero), np.where(length == 0, every, positive)), (every, np.where(missing, every, many))]
+    ranges = [r for r, used in zip(ranges, (True, zero < positive or (length == 0).any(), unknown.any()), strict=True) if used]
+
+    rank = np.where(unknown, many - 1, np.searchsorted(known, size))
+    mine = np.searchsorted(known, length)
+    count = np.zeros(len(at), np.int64)
+    chosen, least, apart = (np.full(len(at), -1, np.int64) for _ in range(3))
+    for t in np.unique(tier):
+        order = np.flatnonzero(tier == t)
+        order = order[np.lexsort((rank[order], place[order]))]
+        where, ranks = place[order], rank[order]
+        counted, single = RankCounts(ranks, many, rows[order]), RankCounts(ranks, many, np.ones(len(order), np.int64))
+
+        def inside(table: RankCounts, q: np.ndarray, d, where=where) -> np.ndarray:
+            start, stop = np.searchsorted(where, at[q] - d, "left"), np.searchsorted(where, at[q] + d, "right")
+            return sum(table.below(start, stop, to[q]) - table.below(start, stop, from_[q]) for from_, to in ranges)
+
+        found = inside(counted, np.arange(len(at)), distance)
+        count += found
+        q = np.flatnonzero((found > 0) & (chosen < 0))
+        if not len(q):
+            continue
+        d = _first(distance + 1, len(q), lambda d, q=q, table=single: inside(table, q, d) > 0)
+        key = where * np.int64(many) + ranks
+        best, best_apart, best_name = np.full(len(q), -1, np.int64), np.zeros(len(q), np.int64), np.zeros(len(q), np.int64)
+        for from_, to in ranges:
+            for side in (-d, d):
+                x = at[q] + side
+                next_ = np.searchsorted(key, x * many + np.clip(mine[q], from_[q], to[q]), "left")
+                for i in (next_, next_ - 1):
+                    node = np.clip(i, 0, len(key) - 1)
+                    fits = (node == i) & (where[node] == x) & (ranks[node] >= from_[q]) & (ranks[node] < to[q])
+                    # a difference with a missing length is missing too
+                    gap = np.where(missing[q] | (ranks[node] == many - 1), -1, np.abs(size[order[node]] - length[q]))
+                    names = name[order[node]]
+                    fits &= ~missing[q]
+                    better = fits & ((best < 0) | (gap < best_apart) | ((gap == best_apart) & (names < best_name)))
+                    best, best_apart, best_name = np.where(better, order[node], best), np.where(better, gap, best_apart), np.where(better, names, best_name)
+        # without a length, the first name at that distance
+        blank = np.flatnonzero(missing[q])
+        if len(blank):
+            named = order[ranks < many - 1]
+            named = named[np.lexsort((name[named], place[named]))]
+            for side in (-d, d):
+                x = (at[q] + side)[blank]
+                i = np.minimum(np.searchsorted(place[named], x, "left"), len(named) - 1)
+                better = (place[named[i]] == x) & ((best[blank] < 0) | (name[named[i]] < best_name[blank]))
+                best[blank], best_name[blank] = np.where(better, named[i], best[blank]), np.where(better, name[named[i]], best_name[blank])
+            best_apart[blank] = -1
+        chosen[q], least[q], apart[q] = best, d, best_apart
+    return count, chosen, least, apart

@@ -696,3 +696,34 @@ def test_windows_compute_a_derived_sequence_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
     text = "acgtN" * 30
     assert rows(found, "window_id", "window_seq", "truncated") == sorted([("w", text[8:23], False), ("past", text[145:], True), ("none", "", True), ("null", "", True)])
+
+def test_best_source_without_pairs(spark):
+    """Counts and choices equal those of all pairs, with missing, zero and negative lengths, shared ids and places; pairs are never made."""
+    n, r = 400, random.Random(5)
+    kinds = "event_id string, frame string, chromosome string, svtype string, position_0 long, svlen long, confidence_tier string"
+
+    def rows(mark):
+        return [
+            (
+                r.choice([None, *(f"{mark}{i}" for i in range(n))]) if r.random() < 0.9 else f"{mark}{r.randrange(9)}", r.choice("GR"), r.choice(["chr1", None] + ["chr2"] * 8), "INS",
+                r.choice([None, r.randrange(-40, 4000), r.randrange(2400, 2600), 2500]), r.choice([None, 0, -r.randrange(1, 60), *(r.randrange(1, 90) for _ in range(6))]), r.choice(["HIGH_CONFIDENCE", "REVIEW", "REVIEW", None]),
+            )
+            for _ in range(n)
+        ]
+
+    events, sources = spark.createDataFrame(rows("e"), kinds).drop("confidence_tier"), spark.createDataFrame(rows("s"), kinds).withColumnRenamed("event_id", "evidence_id")
+    for distance in (50, 3):
+        got = catalog.choose_sources(events, sources, distance).collect()
+        other = sources.select("frame", "chromosome", "svtype", *(F.col(c).alias(f"other_{c}") for c in ("position_0", "svlen", "evidence_id", "confidence_tier")))
+        order = [F.col("other_confidence_tier") != "HIGH_CONFIDENCE", F.abs(F.col("position_0") - F.col("other_position_0")), F.abs(F.col("svlen") - F.col("other_svlen")), F.col("other_evidence_id")]
+        pairs = intervals.sv_match(events, other, distance).withColumn("_key", F.struct(*order))
+        want = {x["event_id"]: (x["n"], x["k"]) for x in pairs.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("k")).collect()}
+        assert len(want) > 100 and {x["event_id"]: x["sources"] for x in got} == {e: n for e, (n, _) in want.items()}
+        keys = {(x["event_id"], x["other_evidence_id"], x["other_position_0"], x["other_svlen"]): x["_key"] for x in pairs.collect() if x["_key"] == want[x["event_id"]][1]}
+        assert all((x["event_id"], x["other_evidence_id"], x["other_position_0"], x["other_svlen"]) in keys for x in got)
+    # 40,000 rows near each other on both sides are 1,600,000,000 pairs
+    dense = spark.range(40_000).select(F.concat(F.lit("x"), "id").alias("event_id"), F.lit("G").alias("frame"), F.lit("chr1").alias("chromosome"), F.lit("INS").alias("svtype"), (F.col("id") % 500).alias("position_0"), F.lit(50).cast("long").alias("svlen"), F.lit("REVIEW").alias("confidence_tier"))
+    got = catalog.choose_sources(dense.drop("confidence_tier"), dense.withColumnRenamed("event_id", "evidence_id"))
+    assert got.agg(F.count(F.lit(1)), F.min("sources"), F.max("sources")).first()[:] == (40_000, 40_000, 40_000)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "abs(" not in plan
