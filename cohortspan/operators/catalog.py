@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import has_all, literal_sequence, stable_id
 from .components import components, saved
@@ -28,7 +29,7 @@ _ORDER = [*_KEYS, "position_0", "svlen", "evidence_id"]
 
 
 def _walk(batches: Iterator[pa.RecordBatch], entered, distance: int, similarity: float, emit: bool, before: dict | None = None) -> Iterator[pa.RecordBatch]:
-    """Clusters one range of the sorted rows, entered with the heads that are open before it.
+    """Clusters one range of the sorted rows, entered with the heads that are open before it. Batches start with the columns of the order.
 
     With `emit`, rows with their heads; else one row that tells where the range starts and which heads are open behind it. With `before`, the heads
     it was entered with the last time, it is read only until the same heads are open either way; then what is behind it stays (a null state).
@@ -39,10 +40,12 @@ def _walk(batches: Iterator[pa.RecordBatch], entered, distance: int, similarity:
         if not batch.num_rows or same:
             continue
         found = []
-        for *own, position, length, name, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        columns = batch.columns[: len(_ORDER) + 1]
+        for start, stop in _stretches(columns[: len(_KEYS)]):
+            own = [c[start].as_py() for c in columns[: len(_KEYS)]]
             if key != own:
                 if first is None:
-                    first = [own, position]
+                    first = [own, columns[len(_KEYS)][start].as_py()]
                     heads = OpenHeads(distance, similarity, entered.get(part, ()))
                     old = OpenHeads(distance, similarity, before.get(part, ())) if before is not None else None
                 elif old is not None:
@@ -51,20 +54,35 @@ def _walk(batches: Iterator[pa.RecordBatch], entered, distance: int, similarity:
                 else:
                     heads = OpenHeads(distance, similarity)
                 key = own
-            found.append(heads.head(position, length, digest, name))
-            last = position
-            if old is not None:
-                old.head(position, length, digest, name)
+            rows = [c.slice(start, stop - start) for c in columns[len(_KEYS) :]]
+            last = rows[0][len(rows[0]) - 1].as_py()
+            if old is None:
+                found.append(heads.heads_of(*rows))
+                continue
+            for row in zip(*(c.to_pylist() for c in (rows[0], rows[1], rows[3], rows[2])), strict=True):
+                last = row[0]
+                heads.head(*row)
+                old.head(*row)
                 if old.heads == heads.heads:
                     same = True
                     break
+            if same:
+                break
         if emit:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, "cluster_head"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(found)], names=[*batch.schema.names, "cluster_head"])
     if not emit:
         state = None if same else json.dumps([first, key, last, [h for h in heads.heads if last - h[0] <= distance] if heads else []])
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([state], pa.string())], names=["part", "state"])
 
 
+def _stretches(keys: list[pa.Array]) -> Iterator[tuple[int, int]]:
+    """Where rows of one key start and stop in a sorted batch."""
+    n = len(keys[0])
+    new = reduce(lambda x, y: x | y, [pc.not_equal(k.slice(1), k.slice(0, n - 1)).to_numpy(zero_copy_only=False) for k in keys])
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), n]
+    return zip(cuts[:-1], cuts[1:], strict=True)
+
+
 def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float = 0.7, parts: int | None = None) -> DataFrame:
     """WIN-3: evidence with `cluster_head`: the evidence_id of the first row of its cluster.
 
@@ -73,22 +91,23 @@ def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float
     All ranges are clustered at once as if no head were open before them; what is open behind each is handed to the next one, and
     ranges that were entered with something else are read again, until the same heads are open as before, and so on until none changes. Every range has then been entered with
     what really is open there, since the first one is; few are ever repeated, because what is open is soon the same whatever was before.
-    The driver holds the open heads at the borders only, sequences as digests. Rows without a frame, chromosome, type,
+    The driver holds the open heads at the borders only, sequences as digests. Rows go to their range once, with all their columns, and come out of it
+    with their heads: select what is needed before. Rows without a frame, chromosome, type,
     position, length or id are clusters of their own.
     """
     placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _ORDER])
     digest = F.when(F.col("alternate_sequence") != "", F.md5("alternate_sequence")).otherwise("") if "alternate_sequence" in evidence.columns else F.lit("")
-    rows = evidence.withColumn("_digest", F.coalesce(digest, F.lit("")))
-    order = [*_ORDER, "_digest"]
+    order = [*(F.col(c).cast("long" if c in ("position_0", "svlen") else "string").alias(f"_{c}") for c in _ORDER), F.coalesce(digest, F.lit("")).alias("_digest")]
+    names = [*(f"_{c}" for c in _ORDER), "_digest"]
     parts = parts or int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = saved(rows.filter(placed).select(order).repartitionByRange(parts, *order).sortWithinPartitions(*order))
+    ranges = saved(evidence.filter(placed).select(*order, *evidence.columns).repartitionByRange(parts, *names).sortWithinPartitions(*names))
     context = evidence.sparkSession.sparkContext
 
     def behind(entered: dict, before: dict | None, which: list[int] | None) -> dict:
         own = ranges if which is None else ranges.filter(F.spark_partition_id().isin(which))
         shared = context.broadcast((entered, before))
         run = lambda it: _walk(it, shared.value[0], distance, similarity, False, shared.value[1])
-        rows_ = own.mapInArrow(run, "part int, state string").filter("state is not null").collect()  # a row a range
+        rows_ = own.select(names).mapInArrow(run, "part int, state string").filter("state is not null").collect()  # a row a range
         return {r["part"]: json.loads(r["state"]) for r in rows_ if which is None or r["part"] in which}
 
     entered: dict[int, list] = {}
@@ -109,10 +128,10 @@ def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float
             break
         left |= behind(entered, before, changed)
     shared = context.broadcast(entered)
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranges.schema)
-    heads = ranges.mapInArrow(lambda it: _walk(it, shared.value, distance, similarity, True), f"{types}, cluster_head string").dropDuplicates(order)
+    types = T.StructType([*ranges.schema.fields, T.StructField("cluster_head", T.StringType())])
+    rows = ranges.mapInArrow(lambda it: _walk(it, shared.value, distance, similarity, True), types)
     alone = evidence.filter(~placed).withColumn("cluster_head", F.col("evidence_id").cast("string"))
-    return rows.filter(placed).join(heads, order).select(*evidence.columns, "cluster_head").unionByName(alone)
+    return rows.select(*evidence.columns, "cluster_head").unionByName(alone)
 
 
 def number_all(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -286,9 +305,9 @@ def choose_sources(events: DataFrame, candidates: DataFrame, distance: int = 500
 
 def account_evidence(catalog: DataFrame, evidence: DataFrame) -> DataFrame:
     """JN-17: evidence rows with the event that lists them and CONFLICT, COVERED or UNMAPPED. Catalog: event_id, evidence_ids (array)."""
-    listed = catalog.select("event_id", F.explode("evidence_ids").alias("evidence_id")).groupBy("evidence_id").agg(F.min("event_id").alias("event_id"), F.count_distinct("event_id").alias("n"))
+    listed = catalog.select("event_id", F.explode("evidence_ids").alias("evidence_id")).groupBy("evidence_id").agg(F.min("event_id").alias("event_id"), F.max("event_id").alias("_last"))
     joined = evidence.join(listed, "evidence_id", "left")
-    return joined.withColumn("account", F.when(F.col("n") > 1, "CONFLICT").when(F.col("n") == 1, "COVERED").otherwise("UNMAPPED")).drop("n")
+    return joined.withColumn("account", F.when(F.col("event_id") < F.col("_last"), "CONFLICT").when(F.col("event_id").isNotNull(), "COVERED").otherwise("UNMAPPED")).drop("_last")
 
 
 def _fits(batches: Iterator[pa.RecordBatch], at_least: float) -> Iterator[pa.RecordBatch]:

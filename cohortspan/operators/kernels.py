@@ -6,11 +6,16 @@ import hashlib
 from math import lgamma, log
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 class OpenHeads:
     """Cluster heads of one key while its rows pass in order: only heads at most `distance` behind the current row are held."""
 
+    #: Rows that are compared with a head at once, and rows for each new head from which on that is faster than one by one.
+    BLOCK, THIN = 1024, 8
+
     def __init__(self, distance: int, similarity: float, heads: list[tuple] = ()):
         self.distance, self.similarity = distance, similarity
         self.heads: list[tuple] = [tuple(h) for h in heads]
@@ -27,6 +32,51 @@ class OpenHeads:
         self.heads.append((position, length, sequence, name))
         return name
 
+    def heads_of(self, positions: pa.Array, lengths: pa.Array, names: pa.Array, sequences: pa.Array) -> pa.Array:
+        """The heads' names of rows in order. Where heads come thick rows go one by one; else a head is compared with all rows of a block at once."""
+        at, length, told = positions.to_numpy(), lengths.to_numpy(), pc.dictionary_encode(sequences)
+        code, texts = told.indices.to_numpy(), told.dictionary.to_pylist()
+        out, thick = [], True
+        for i in range(0, len(at), self.BLOCK):
+            p, size, c, named = at[i : i + self.BLOCK], length[i : i + self.BLOCK], code[i : i + self.BLOCK], names.slice(i, self.BLOCK)
+            if thick:
+                found = [self.head(*row) for row in zip(p.tolist(), size.tolist(), [texts[x] for x in c.tolist()], named.to_pylist(), strict=True)]
+                opened = len(set(found))
+                out.append(pa.array(found, pa.string()))
+            else:
+                found, opened = self._block(p, size, c, texts, named)
+                out.append(found)
+            thick = opened * self.THIN > len(p)
+        return pa.concat_arrays(out)
+
+    def _block(self, at: np.ndarray, length: np.ndarray, code: np.ndarray, texts: list[str], names: pa.Array) -> tuple[pa.Array, int]:
+        heads = [h for h in self.heads if at[0] - h[0] <= self.distance]
+        fit, none, known = np.full(len(at), -1), texts.index("") if "" in texts else -1, len(heads)
+
+        def join(n: int, start: int) -> None:
+            position, its_length, its_sequence, _ = heads[n]
+            stop = int(np.searchsorted(at, position + self.distance, "right"))
+            rows = length[start:stop]
+            small = np.minimum(rows, its_length)
+            fits = (small == 0) | (small / np.maximum(rows, its_length) >= self.similarity)
+            if its_sequence:
+                fits &= (code[start:stop] == none) | (code[start:stop] == (texts.index(its_sequence) if its_sequence in texts else -1))
+            fit[start:stop][fits] = n  # the newest head that fits comes last
+
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for n in range(known):
+                join(n, 0)
+            k = 0
+            while (alone := np.flatnonzero(fit[k:] < 0)[:1]).size:
+                k += int(alone[0])
+                heads.append((int(at[k]), int(length[k]), texts[code[k]], names[k].as_py()))
+                fit[k] = len(heads) - 1
+                k += 1
+                join(len(heads) - 1, k)
+        self.at = int(at[-1])
+        self.heads = [h for h in heads if self.at - h[0] <= self.distance]
+        return pa.array([h[3] for h in heads], pa.string()).take(pa.array(fit)), len(heads) - known
+
 
 def bridges(edges: list[tuple[int, int]]) -> list[int]:
     """Indices of edges whose removal splits the graph, by an iterative low-link search; parallel edges are no bridges."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import annotate, catalog, checks, compare, graph, intervals
-from ..operators.components import components
+from ..operators.components import components, saved
 from .registry import Tables, query
 
 # The greedy clustering as a recursive walk: inside a gap-cut block, rows are numbered and each either opens a cluster or joins the
@@ -25,13 +25,17 @@ ORDERED = """o AS (SELECT *, CASE WHEN position_0 - LAG(position_0) OVER w <= 50
     cl AS (SELECT e.*, w.head AS cluster_head FROM evidence e JOIN walk w ON w.evidence_id = e.evidence_id)"""
 
 
+#: What places evidence in its cluster.
+PLACED = ("frame", "chromosome", "position_0", "svtype", "svlen", "evidence_id")
+
+
 def clustered(t: Tables) -> DataFrame:
     return catalog.cluster_evidence(t.evidence)
 
 
 @query("win_3_greedy_clusters", f"+ {ORDERED} SELECT evidence_id, cluster_head FROM cl", ("evidence",))
 def _(t):
-    return clustered(t).select("evidence_id", "cluster_head")
+    return catalog.cluster_evidence(t.evidence.select(*PLACED)).select("evidence_id", "cluster_head")
 
 
 ROWS = (
@@ -145,7 +149,7 @@ def _(t):
 
 @query("jn_17_account_evidence", f"+ {ROWS} SELECT CASE WHEN k.event_id IS NULL THEN 'UNMAPPED' ELSE 'COVERED' END AS account, COUNT(*) AS rows FROM cl LEFT JOIN cat k USING (frame, chromosome, cluster_head) GROUP BY 1", ("evidence",))
 def _(t):
-    c = clustered(t)
+    c = saved(catalog.cluster_evidence(t.evidence.select(*PLACED, "discovery_method", "graph_member")).drop("frame", "chromosome", "position_0", "svtype", "svlen"))
     listed = c.groupBy("cluster_head").agg(F.collect_list("evidence_id").alias("evidence_ids"), F.bool_or((F.col("discovery_method") == "graph_residual") & ~F.col("graph_member")).alias("k")).filter("k")
     return catalog.account_evidence(listed.withColumnRenamed("cluster_head", "event_id"), c).groupBy("account").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -727,3 +727,28 @@ def test_best_source_without_pairs(spark):
     assert got.agg(F.count(F.lit(1)), F.min("sources"), F.max("sources")).first()[:] == (40_000, 40_000, 40_000)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "abs(" not in plan
+
+
+def test_clusters_are_neither_joined_nor_told_apart_again(spark):
+    df = spark.range(3000).selectExpr("'REF' frame", "'chr1' chromosome", "id % 700 position_0", "'DEL' svtype", "50 + id % 90 svlen", "'e' || id evidence_id", "id extra")
+    got = catalog.cluster_evidence(df, parts=6)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    data = [(*r[:6], "") for r in df.collect()]
+    assert {r.evidence_id: r.cluster_head for r in got.collect()} == plain_greedy(data, 500, 0.7)
+
+
+@pytest.mark.parametrize("thin", [0, 8, 1000])
+def test_heads_of_blocks_are_those_of_single_rows(thin, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(kernels.OpenHeads, "BLOCK", 16)
+    monkeypatch.setattr(kernels.OpenHeads, "THIN", thin)
+    r = random.Random(thin)
+    for span in (1, 20, 300, 3000):
+        data = sorted((r.randrange(span), r.choice([0, r.randrange(1, 300)]), f"e{i:03}", r.choice(["", "A", "B"])) for i in range(200))
+        one, many = kernels.OpenHeads(50, 0.7), kernels.OpenHeads(50, 0.7)
+        want = [one.head(p, n, q, name) for p, n, name, q in data]
+        columns = [pa.array(c, t) for c, t in zip(zip(*data, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]
+        got = [x for cut in (slice(0, 77), slice(77, 200)) for x in many.heads_of(*(c[cut] for c in columns)).to_pylist()]
+        assert got == want and many.heads == one.heads
