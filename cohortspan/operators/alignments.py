@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cigar_bases, join_reasons, parse_cigar
-from .intervals import merge_intervals, union_length, union_lengths
+from .intervals import UNION_BASES, _cut, merge_intervals, union_length, union_lengths
 
 EVENT = "kind string, operation string, length bigint, svlen bigint, query_position bigint, target_position bigint, members int, left_anchor bigint, right_anchor bigint"
 
@@ -227,13 +227,26 @@ def mapping_metrics_primary(aln: DataFrame, totals: DataFrame, keys: list[str])
     )
 
 
+#: Alignments of a task that puts those of each read in order.
+READ_ROWS = 1_000_000
+
+
 def mapping_metrics_long(aln: DataFrame, keys: list[str], read: str = "read_name") -> DataFrame:
     """AGG-11: mapped reads, union of query bases, split reads (several non-secondary rows), multimapped reads, and exact p10/p50/p90 of length and MAPQ over all rows."""
-    union = union_length(aln.filter(~F.col("is_secondary")), [*keys, read], "qstart", "qend").groupBy(*keys).agg(F.sum("covered_bp").alias("aligned_bp"))
-    per_read = aln.groupBy(*keys, read).agg(F.count_if(~F.col("is_secondary")).alias("p"), F.count_if(F.col("is_secondary")).alias("s"))
-    reads = per_read.groupBy(*keys).agg(F.count_if(F.col("p") > 0).alias("mapped_reads"), F.count_if(F.col("p") > 1).alias("split_reads"), F.count_if(F.col("s") > 0).alias("multimapped_reads"))
+    # one shuffle by read and bin, in tasks of about so many rows however large the table is: intervals cut at borders of bins are put in order, rows counted in their first bin
+    parts = max(aln.count() // READ_ROWS + 1, int(aln.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cells = [*keys, read, "_bin"]
+    cut = _cut(aln.select(*keys, read, "is_secondary", "qstart", "qend"), F.col("qstart"), F.col("qend"), UNION_BASES)
+    own = F.col("_bin").isNull() | (F.col("_bin") == F.floor(F.col("qstart") / UNION_BASES))
+    rows = cut.select(*cells, "_s", "_e", (~F.col("is_secondary")).alias("_p"), own.alias("_own")).repartition(parts, *cells)
+    primary = lambda c: F.when(F.col("_p"), c)
+    before = F.max(primary(F.col("_e"))).over(Window.partitionBy(*cells).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, -1))
+    new = primary(F.greatest(F.col("_e") - F.greatest("_s", F.coalesce(before, F.col("_s"))), F.lit(0)))
+    binned = rows.withColumn("_new", new).groupBy(*cells).agg(F.sum("_new").alias("_bp"), F.count_if(F.col("_own") & F.col("_p")).alias("p"), F.count_if(F.col("_own") & ~F.col("_p")).alias("s"))
+    per_read = binned.groupBy(*keys, read).agg(F.sum("_bp").alias("_bp"), F.sum("p").alias("p"), F.sum("s").alias("s"))
+    reads = per_read.groupBy(*keys).agg(F.count_if(F.col("p") > 0).alias("mapped_reads"), F.count_if(F.col("p") > 1).alias("split_reads"), F.count_if(F.col("s") > 0).alias("multimapped_reads"), F.sum("_bp").alias("aligned_bp"))
     quantiles = aln.groupBy(*keys).agg(*(F.percentile(c, p / 100).alias(f"{n}_p{p}") for n, c in (("length", F.col("qend") - F.col("qstart")), ("mapq", F.col("mapq"))) for p in (10, 50, 90)))
-    return reads.join(union, keys, "left").join(quantiles, keys)
+    return reads.join(quantiles, keys)
 
 
 def mapping_metrics_linear(records: DataFrame, keys: list[str]) -> DataFrame:

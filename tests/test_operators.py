@@ -752,3 +752,26 @@ def test_heads_of_blocks_are_those_of_single_rows(thin, monkeypatch):
         columns = [pa.array(c, t) for c, t in zip(zip(*data, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]
         got = [x for cut in (slice(0, 77), slice(77, 200)) for x in many.heads_of(*(c[cut] for c in columns)).to_pylist()]
         assert got == want and many.heads == one.heads
+
+
+def test_long_read_metrics_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(A, "READ_ROWS", 40, raising=False)
+    monkeypatch.setattr(A, "UNION_BASES", 100, raising=False)
+    r = random.Random(3)
+    data = [(r.choice("ab"), r.randrange(40), *(lambda s: (s, s + r.randrange(0, 250)))(r.randrange(600)), r.randrange(60), r.random() < 0.3) for _ in range(400)]
+    data += [("a", 99, None, None, 3, False), ("b", 98, 5, 90, 4, True), ("b", 97, 5, 90, 4, None), ("c", 1, 0, 9, 1, True)]
+    df = spark.createDataFrame(data, "assembly_id string, read_name long, qstart long, qend long, mapq long, is_secondary boolean")
+    got_df = A.mapping_metrics_long(df, ["assembly_id"])
+    plan = got_df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and ", 11" in plan  # 404 rows
+    got = {x.assembly_id: (x.mapped_reads, x.split_reads, x.multimapped_reads, x.aligned_bp) for x in got_df.collect()}
+    want = {}
+    for name in "abc":
+        reads = {}
+        for a, read, s, e, _, secondary in data:
+            if a == name:
+                reads.setdefault(read, []).append((s, e, secondary))
+        first = [[x for x in rows if x[2] is False] for rows in reads.values()]
+        bases = sum(len(set().union(*(range(s, e) for s, e, _ in rows if s is not None))) for rows in first)
+        want[name] = (sum(bool(x) for x in first), sum(len(x) > 1 for x in first), sum(any(x[2] for x in rows) for rows in reads.values()), bases if any(first) else None)
+    assert got == want
