@@ -10,6 +10,9 @@ No phrase reaches `min_count` if a word or a pair of neighbours in it doesn't. S
 indexed, and their pairs counted; then shards are cut at rare pairs too, indexed again, and extended to `max_words`. What is left out
 this way can't be in any result, and no count is estimated. Shards are joined with what is frequent in them by shard, never broadcast.
 
+Words, pairs and longer phrases are summed in buckets, each of about as many as a task holds: a shard sends a bucket one row with all that
+it has there, packed, and gets one row back that says which of them are frequent. So neither a (word, shard) nor a (pair, shard) is ever a row.
+
 The score of a phrase is the lowest over its cuts in two parts of floor(`scale` a n / (l r)): a, l and r count the phrase and the
 parts, n the words of the language; products are decimals of 38 digits. A phrase inside a longer one that occurs as often goes: then one that is
 longer by one word at its left or right end occurs as often too, and `left_most` and `right_most` (the largest counts of
@@ -21,6 +24,7 @@ count, then by phrase; an empty table gives an empty result; other columns are n
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -31,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_arrow, materialise, number_within, scratch
+from .common import free_arrow, materialise, scratch
 
 # Where pieces end, and what separates words.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -41,6 +45,10 @@ _PLAIN = bytes.maketrans(BREAKS + b"\t", b"\n" * len(BREAKS) + b" ")
 SLICE = 1 << 20
 #: Phrases that are extended at a time hold at most about so many occurrences.
 AT_ONCE = 1 << 21
+#: Words (or phrases) and pairs of all shards that a bucket holds on average at most; a small table is still dealt to some tasks.
+WORDS, PAIRS, FEW, TASKS = 1 << 20, 1 << 22, 1 << 14, 64
+#: Spreads pairs evenly over the numbers that they can be; its product is undone by that with its inverse.
+_ODD = 0x9E3779B97F4A7C15
 
 
 def _slices(text: str) -> Iterator[bytes]:
@@ -65,6 +73,43 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.frombuffer(pa.decompress(packed[8:], 4 * n, codec="zstd", asbytes=True), "<i4")
 
 
+def _pack_numbers(numbers: np.ndarray, ascending: bool = False) -> bytes:
+    """Non-negative numbers, or ascending ones by their differences; first the lowest byte of all, then the next one, as far as any has one."""
+    numbers = np.diff(numbers, prepend=numbers[:1] * 0) if ascending else numbers
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return len(numbers).to_bytes(7, "little") + bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_numbers(packed: bytes, ascending: bool = False) -> np.ndarray:
+    n, width = int.from_bytes(packed[:7], "little"), packed[7]
+    whole = np.zeros((n, 8), np.uint8)
+    whole[:, :width] = np.frombuffer(pa.decompress(packed[8:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T
+    numbers = whole.reshape(-1).view("<u8")
+    return np.cumsum(numbers, dtype=np.uint64) if ascending else numbers
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    """No word holds a break."""
+    data = b"\n".join(words)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpack_words(packed: bytes) -> list[bytes]:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True).split(b"\n")
+
+
+def _buckets(rows: int, most: int) -> int:
+    return max(-(-rows // most), min(TASKS, -(-rows // FEW)), 1)
+
+
+def _by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the words, those of a bucket together, and where each bucket starts among them."""
+    bucket = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) * np.uint64(buckets) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+
+
 class _Shard:
     """Words of one language as numbers from 1 on; 0 is a break."""
 
@@ -83,11 +128,11 @@ class _Shard:
         self.parts.append(np.zeros(1, np.int32))
         self.size += len(words) + 1
 
-    def rows(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def rows(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The words, how often each occurs, and the numbers of the shard, where no two breaks are neighbours."""
         ids = _tight(np.concatenate(self.parts))
         counts = np.bincount(ids, minlength=len(self.known))[1:]
-        return [w.decode("utf-8", "replace") for w in list(self.known)[1:]], counts, ids
+        return list(self.known)[1:], counts, ids
 
 
 def _tight(ids: np.ndarray) -> np.ndarray:
@@ -98,7 +143,7 @@ def _tight(ids: np.ndarray) -> np.ndarray:
     return ids[keep]
 
 
-_SHARD_TYPES = "lang string, shard long, word string, id int, n long, ids binary"
+_SHARD_TYPES = "lang string, shard long, many int, n long, words binary, counts binary, ids binary"
 
 
 def _cut_shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
@@ -108,15 +153,9 @@ def _cut_shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator
     def close(lang: str) -> pa.RecordBatch:
         nonlocal made
         words, counts, ids = open_.pop(lang).rows()
-        n = len(words) + 1
         made += 1
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * n), pa.array(np.full(n, made)), pa.array([*words, None], pa.string()), pa.array([*range(1, n), None], pa.int32()),
-                pa.array([*counts.tolist(), None], pa.int64()), pa.array([*[None] * (n - 1), _pack(ids)], pa.binary()),
-            ],
-            names=["lang", "shard", "word", "id", "n", "ids"],
-        )
+        row = {"lang": lang, "shard": made, "many": len(words), "n": int(counts.sum()), "words": _pack_words(words), "counts": _pack_numbers(counts), "ids": _pack(ids)}
+        return _batch([row], _SHARD_TYPES)
 
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
@@ -225,93 +264,220 @@ def phrases_of(ids: np.ndarray, shortest: int, longest: int) -> Iterator[tuple[n
             yield phrases, counts
 
 
-_PAIR_TYPES = "lang string, shard long, pair long, n long, words array<string>, wids array<int>, ids binary"
+_DEALT_TYPES = "bucket int, shard long, lang string, words binary, counts binary"
+
+
+def _deal(lang: str, shard: int, words: list[bytes], counts: np.ndarray, buckets: int) -> list[dict]:
+    """One row for each bucket in which the shard has words or phrases."""
+    order, start = _by_bucket(words, buckets)
+    rows = []
+    for bucket in np.flatnonzero(np.diff(start)).tolist():
+        own = order[start[bucket] : start[bucket + 1]]
+        rows.append({"bucket": bucket, "shard": shard, "lang": lang, "words": _pack_words([words[i] for i in own.tolist()]), "counts": _pack_numbers(counts[own])})
+    return rows
+
+
+def _deal_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            yield _batch(_deal(row["lang"], row["shard"], _unpack_words(row["words"]), _unpack_numbers(row["counts"]), buckets), _DEALT_TYPES)
+        free_arrow()
+
+
+_FOUND_TYPES = "bucket int, lang string, word string, n long, rank int, shard long, places binary, ranks binary"
+
+
+def _sum_words(dealt: pa.Table, min_count: int, answer: bool) -> pa.Table:
+    """Frequent words or phrases of a bucket, ranked from 0; if `answer`, also a row for each shard: the places of those among what it sent."""
+    lists = [_unpack_words(x) for x in dealt.column("words").to_pylist()]
+    counts = np.concatenate([_unpack_numbers(x) for x in dealt.column("counts").to_pylist()]).astype(np.int64)
+    names = sorted(set(dealt.column("lang").to_pylist()))
+    lang = np.repeat([names.index(x) for x in dealt.column("lang").to_pylist()], [len(x) for x in lists])
+    coded = pa.concat_arrays([pa.array(x, pa.large_binary()) for x in lists]).dictionary_encode()
+    key, of = np.unique(coded.indices.to_numpy().astype(np.int64) * len(names) + lang, return_inverse=True)
+    sums = np.zeros(len(key), np.int64)
+    np.add.at(sums, of, counts)
+    often = sums >= min_count
+    rank = np.cumsum(often) - 1
+    bucket = dealt.column("bucket")[0].as_py()
+    word = coded.dictionary.take(pa.array(key[often] // len(names))).to_pylist()
+    rows = [{"bucket": bucket, "lang": names[x], "word": w.decode("utf-8", "replace"), "n": n, "rank": r} for r, (x, w, n) in enumerate(zip((key[often] % len(names)).tolist(), word, sums[often].tolist(), strict=True))]
+    at = 0
+    for shard, own in zip(dealt.column("shard").to_pylist(), lists, strict=True) if answer else ():
+        mine = of[at : at + len(own)]
+        at += len(own)
+        if (places := np.flatnonzero(often[mine])).size:
+            rows.append({"bucket": bucket, "shard": shard, "places": _pack_numbers(places, True), "ranks": _pack_numbers(rank[mine[places]])})
+    return _table(rows, _FOUND_TYPES)
+
+
+def _bits(many: int) -> int:
+    return max((many * many - 1).bit_length(), 1)
 
 
-def _pairs(frequent: pa.Table, shard: pa.Table) -> pa.Table:
-    """Pairs of a shard cut at rare words. frequent: id (in the shard), wid (in the corpus), word; shard: one row."""
-    lang, number = shard.column("lang")[0].as_py(), shard.column("shard")[0].as_py()
-    ids = _unpack(shard.column("ids")[0].as_py())
-    local = frequent.column("id").to_numpy()
-    wid = frequent.column("wid").to_numpy().astype(np.int64)
-    new = np.zeros(int(ids.max()) + 1, np.int32)
-    new[local] = np.arange(1, len(local) + 1)
+def _mixed(first: np.ndarray, second: np.ndarray, many: int) -> np.ndarray:
+    """One number for each pair of numbers below `many`, spread evenly below 2 ** _bits(many), and never the same one for two pairs."""
+    return (first.astype(np.uint64) * np.uint64(many) + second.astype(np.uint64)) * np.uint64(_ODD) & np.uint64((1 << _bits(many)) - 1)
+
+
+def _unmixed(mixed: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
+    pair = mixed * np.uint64(pow(_ODD, -1, 1 << 64)) & np.uint64((1 << _bits(many)) - 1)
+    return (pair // np.uint64(many)).astype(np.int64), (pair % np.uint64(many)).astype(np.int64)
+
+
+_PAIR_TYPES = "lang string, shard long, many int, pairs binary, counts binary, words binary, wids binary, ids binary"
+
+
+def _pairs(frequent: pa.Table, shard: pa.Table, buckets: int, width: int) -> pa.Table:
+    """A shard cut at rare words, and its pairs. frequent: what the buckets of words answered; shard: one row."""
+    row = shard.to_pylist()[0]
+    ids, words = _unpack(row["ids"]), _unpack_words(row["words"])
+    order, start = _by_bucket(words, buckets)
+    local, wid = [], []
+    for x in frequent.to_pylist():
+        local.append(order[start[x["bucket"]] + _unpack_numbers(x["places"], True).astype(np.int64)])
+        wid.append(x["bucket"] * width + _unpack_numbers(x["ranks"]).astype(np.int64))
+    local, wid = np.concatenate(local), np.concatenate(wid)
+    by = np.argsort(local)
+    local, wid = local[by], wid[by]
+    new = np.zeros(len(words) + 1, np.int32)
+    new[local + 1] = np.arange(1, len(local) + 1)
     cut = _tight(new[ids])
-    pairs = counts = np.zeros(0, np.int64)
-    for phrases, counts in phrases_of(cut, 2, 2):
-        pairs = wid[phrases[:, 0] - 1] << 32 | wid[phrases[:, 1] - 1]
-    n = len(pairs) + 1
-    whole = [pa.array([*[None] * (n - 1), x], t) for x, t in ((frequent.column("word").to_pylist(), pa.list_(pa.string())), (wid.tolist(), pa.list_(pa.int32())), (_pack(cut), pa.binary()))]
-    return pa.table([pa.array([lang] * n, pa.string()), pa.array(np.full(n, number)), pa.array([*pairs.tolist(), None], pa.int64()), pa.array([*counts.tolist(), None], pa.int64()), *whole], names=["lang", "shard", "pair", "n", "words", "wids", "ids"])
+    pairs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for phrases, n in phrases_of(cut, 2, 2):
+        pairs = _mixed(wid[phrases[:, 0] - 1], wid[phrases[:, 1] - 1], buckets * width)
+        by = np.argsort(pairs)
+        pairs, counts = pairs[by], n[by]
+    row |= {"many": len(pairs), "pairs": _pack_numbers(pairs, True), "counts": _pack_numbers(counts), "words": _pack_words([words[i] for i in local.tolist()]), "wids": _pack_numbers(wid), "ids": _pack(cut)}
+    return _table([row], _PAIR_TYPES)
+
+
+_PART_TYPES = "bucket int, shard long, pairs binary, counts binary"
+
+
+def _deal_pairs(batches: Iterator[pa.RecordBatch], buckets: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """A shard's pairs, a row for each bucket in which it has any."""
+    bounds = np.array([(b << bits) // buckets for b in range(buckets + 1)], np.uint64)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            pairs, counts = _unpack_numbers(row["pairs"], True), _unpack_numbers(row["counts"])
+            start = np.searchsorted(pairs, bounds)
+            cuts = [(b, slice(start[b], start[b + 1])) for b in np.flatnonzero(np.diff(start)).tolist()]
+            yield _batch([{"bucket": b, "shard": row["shard"], "pairs": _pack_numbers(pairs[own], True), "counts": _pack_numbers(counts[own])} for b, own in cuts], _PART_TYPES)
+        free_arrow()
 
 
-_PHRASE_TYPES = "lang string, phrase string, k int, n long"
+_NEAR_TYPES = "shard long, pairs binary, counts binary"
 
 
-def _longer(frequent: pa.Table, shard: pa.Table, longest: int) -> pa.Table:
-    """Phrases of three words and more of a shard cut at rare pairs. frequent: pair; shard: one row."""
-    ids = _unpack(shard.column("ids")[0].as_py())
-    wid = np.concatenate([[0], np.array(shard.column("wids")[0].as_py(), np.int64)])
-    known = np.sort(frequent.column("pair").to_numpy())
-    pair = wid[ids[:-1]] << 32 | wid[ids[1:]]
-    at = np.searchsorted(known, pair)
+def _sum_pairs(dealt: pa.Table, min_count: int) -> pa.Table:
+    """Frequent pairs of a bucket with their sums, in a row without a shard, and for each shard which of them it has."""
+    lists = [_unpack_numbers(x, True) for x in dealt.column("pairs").to_pylist()]
+    pairs, counts = np.concatenate(lists), np.concatenate([_unpack_numbers(x) for x in dealt.column("counts").to_pylist()]).astype(np.int64)
+    by = np.argsort(pairs, kind="stable")
+    pairs = pairs[by]
+    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+    pairs, sums = pairs[first], np.add.reduceat(counts[by], first)
+    pairs, sums = pairs[sums >= min_count], sums[sums >= min_count]
+    rows = [{"pairs": _pack_numbers(pairs, True), "counts": _pack_numbers(sums)}] if len(pairs) else []
+    for shard, own in zip(dealt.column("shard").to_pylist(), lists, strict=True) if len(pairs) else ():
+        if (held := own[_among(own, pairs)]).size:
+            rows.append({"shard": shard, "pairs": _pack_numbers(held, True)})
+    return _table(rows, _NEAR_TYPES)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the ascending ones."""
+    at = np.searchsorted(known, values)
     at[at == len(known)] = 0
-    apart = (known[at] != pair) & (ids[:-1] > 0) & (ids[1:] > 0)
+    return known[at] == values
+
+
+def _pair_rows(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for pairs, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            first, second = _unmixed(_unpack_numbers(pairs, True), many)
+            yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second), pa.array(_unpack_numbers(counts).astype(np.int64))], names=["wid", "_b", "n"])
+
+
+def _longer(frequent: pa.Table, shard: pa.Table, longest: int, many: int, buckets: int) -> pa.Table:
+    """Phrases of three words and more of a shard cut at rare pairs, dealt to buckets. frequent: pairs; shard: one row."""
+    row = shard.to_pylist()[0]
+    ids, words = _unpack(row["ids"]), _unpack_words(row["words"])
+    wid = np.concatenate([np.zeros(1, np.uint64), _unpack_numbers(row["wids"])])
+    known = np.sort(np.concatenate([_unpack_numbers(x, True) for x in frequent.column("pairs").to_pylist()]))
+    apart = ~_among(_mixed(wid[ids[:-1]], wid[ids[1:]], many), known) & (ids[:-1] > 0) & (ids[1:] > 0)
     cut = np.insert(ids, np.flatnonzero(apart) + 1, 0)
     # of what is left, single words can't be in a phrase
     alone = (cut[1:-1] > 0) & (cut[:-2] == 0) & (cut[2:] == 0)
     cut[1:-1][alone] = 0
     cut = _tight(cut)
-    text = pa.array([""] + shard.column("words")[0].as_py(), pa.string())
-    out = []
-    for phrases, counts in phrases_of(cut, 3, longest) if longest >= 3 else ():
-        k = phrases.shape[1]
-        joined = pc.binary_join_element_wise(*(text.take(pa.array(phrases[:, i])) for i in range(k)), " ")
-        lang = pa.array([shard.column("lang")[0].as_py()] * len(counts), pa.string())
-        out.append(pa.table([lang, joined, pa.array(np.full(len(counts), k, np.int32)), pa.array(counts.astype(np.int64))], names=["lang", "phrase", "k", "n"]))
-    empty = pa.table([pa.array([], t) for t in (pa.string(), pa.string(), pa.int32(), pa.int64())], names=["lang", "phrase", "k", "n"])
-    return pa.concat_tables([empty, *out])
+    text = pa.array([b"", *words], pa.binary())
+    joined, counts = [], [np.zeros(0, np.int64)]
+    for phrases, n in phrases_of(cut, 3, longest) if longest >= 3 else ():
+        joined += pc.binary_join_element_wise(*(text.take(pa.array(phrases[:, i])) for i in range(phrases.shape[1])), b" ").to_pylist()
+        counts.append(n)
+    counts = np.concatenate(counts)
+    # alike ones side by side pack better
+    by = sorted(range(len(joined)), key=joined.__getitem__)
+    rows = _deal(row["lang"], row["shard"], [joined[i] for i in by], counts[by], buckets) if by else []
+    return _table(rows, _DEALT_TYPES)
 
 
 def frequent_phrases(docs: DataFrame, keep: Callable[[DataFrame], DataFrame], text_col: str = "text", lang_col: str = "lang", max_words: int = 5, min_count: int = 100, shard_words: int = 1_000_000) -> DataFrame:
     """(lang, phrase, k, n, total): all words and phrases of up to `max_words` words with at least `min_count` occurrences; total counts the language's words. `keep` stores a table, see `scratch`."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     shards = keep(rows.mapInArrow(partial(_cut_shards, shard_words=shard_words), _SHARD_TYPES))
-    # a shard has one row for each of its words and pairs, so those of one word or pair are at most as many as there are shards; they are
-    # shuffled once, to be counted and, where frequent, kept
-    every = lambda *key: F.sum("n").over(Window.partitionBy(*key))
-    held = shards.filter("word is not null").select("lang", "shard", "word", "id", "n")
-    totals = held.groupBy("lang").agg(F.sum("n").alias("total"))
-    held = keep(held.withColumn("n", every("lang", "word")).filter(F.col("n") >= min_count))
-    words = keep(held.select("lang", "word", "n").distinct())
-    words = keep(number_within(words.withColumn("_all", F.lit(0)), "_all", "wid").select("lang", "word", "n", F.col("wid").cast("int")))
-
-    own = held.select("lang", "shard", "word", "id").join(words.select("lang", "word", "wid"), ["lang", "word"]).select("shard", "word", "id", "wid")
-    texts = shards.filter("ids is not null").select(F.col("shard").alias("shard"), "lang", "ids")
-    paired = keep(own.groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(_only_shards(_pairs, _PAIR_TYPES), _PAIR_TYPES))
-    near = keep(paired.filter("pair is not null").select("shard", "pair", "n").withColumn("n", every("pair")).filter(F.col("n") >= min_count))
-    pairs = near.select("pair", "n").distinct()
-
-    texts = paired.filter("ids is not null").select(F.col("shard").alias("shard"), "lang", "words", "wids", "ids")
-    longer = near.select("shard", "pair").groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(_only_shards(partial(_longer, longest=max_words), _PHRASE_TYPES), _PHRASE_TYPES)
-    longer = longer.groupBy("lang", "phrase").agg(F.first("k").alias("k"), F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    totals = shards.groupBy("lang").agg(F.sum("n").alias("total")).filter("total > 0")
+    sums = lambda dealt, answer: dealt.groupBy("bucket").applyInArrow(lambda bucket: _sum_words(bucket, min_count, answer), _FOUND_TYPES)
+
+    buckets = _buckets(shards.agg(F.sum("many")).first()[0] or 0, WORDS)
+    found = keep(sums(shards.filter("many > 0").select("lang", "shard", "words", "counts").mapInArrow(partial(_deal_words, buckets=buckets), _DEALT_TYPES), True))
+    width = (found.agg(F.max("rank")).first()[0] or 0) + 1
+    many = buckets * width
+    if many >= 1 << 31:
+        raise ValueError("more than 2^31 frequent words")
+    words = found.filter("word is not null").select("lang", "word", "n", (F.col("bucket").cast("long") * width + F.col("rank")).alias("wid"))
+
+    own = found.filter("shard is not null").select("shard", "bucket", "places", "ranks")
+    texts = shards.select("shard", "lang", "words", "ids")
+    paired = keep(own.groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(_only_shards(partial(_pairs, buckets=buckets, width=width), _PAIR_TYPES), _PAIR_TYPES))
+
+    pairs = paired.agg(F.sum("many")).first()[0] or 0
+    parts = _buckets(pairs, PAIRS)
+    dealt = paired.filter("many > 0").select("shard", "pairs", "counts").mapInArrow(partial(_deal_pairs, buckets=parts, bits=_bits(many)), _PART_TYPES)
+    near = keep(dealt.groupBy("bucket").applyInArrow(lambda bucket: _sum_pairs(bucket, min_count), _NEAR_TYPES))
+
+    texts = paired.select(F.col("shard").alias("shard"), "lang", "words", "wids", "ids")
+    longer = near.filter("shard is not null").select("shard", "pairs").groupBy("shard").cogroup(texts.groupBy("shard"))
+    longer = sums(longer.applyInArrow(_only_shards(partial(_longer, longest=max_words, many=many, buckets=_buckets(pairs, WORDS)), _DEALT_TYPES), _DEALT_TYPES), False)
+    longer = longer.select("lang", F.col("word").alias("phrase"), F.size(F.split("word", " ")).alias("k"), "n")
 
     second = words.select(F.col("wid").alias("_b"), F.col("word").alias("_after"))
-    two = pairs.withColumns({"wid": F.shiftright("pair", 32).cast("int"), "_b": F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")})
+    two = near.filter("shard is null").select("pairs", "counts").mapInArrow(partial(_pair_rows, many=many), "wid long, _b long, n long")
     two = two.join(words.select("wid", "lang", "word"), "wid").join(second, "_b").select("lang", F.concat_ws(" ", "word", "_after").alias("phrase"), F.lit(2).alias("k"), "n")
     one = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), "n")
-    return one.unionByName(two).unionByName(longer.select("lang", "phrase", "k", "n")).join(totals, "lang")
+    return one.unionByName(two).unionByName(longer).join(totals, "lang")
+
+
+_KINDS = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def _batch(rows: list[dict], types: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, pa.schema([(x.split()[0], _KINDS[x.split()[1]]) for x in types.split(", ")]))
+
+
+def _table(rows: list[dict], types: str) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows, types)])
 
 
 def _only_shards(run, types: str):
     """`run` for keys that both sides have; a shard in which nothing is frequent gives no rows."""
-    names = [x.split()[0] for x in types.split(", ")]
 
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows and right.num_rows:
-            return run(left, right)
-        kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32())}
-        return pa.table([pa.array([], kinds[x.split()[1]]) for x in types.split(", ")], names=names)
+        return run(left, right) if left.num_rows and right.num_rows else _table([], types)
 
     return each
 

@@ -145,6 +145,38 @@ def test_collocations(spark, prose, shard_words, min_count, longest):
     assert len(found) == len(expected) and {tuple(r) for r in found} == expected
 
 
+@pytest.mark.parametrize("few", [5, 1 << 14])
+def test_collocations_keep_a_shard_in_a_row(spark, prose, monkeypatch, few):
+    """A stored table has at most a row for each shard and bucket, never one for each word or pair of a shard; many buckets give the same phrases."""
+    monkeypatch.setattr(collocations, "FEW", few)
+    most = 1 if few > 1000 else collocations.TASKS
+    df, kept = spark.createDataFrame(prose, "lang string, text string").repartition(3), []
+    with collocations.scratch(spark) as keep:
+        found = collocations.frequent_phrases(df, lambda x: kept.append(keep(x)) or kept[-1], min_count=7, shard_words=300).collect()
+        of_shards = [x.filter("shard is not null").groupBy("shard").count() for x in kept if "shard" in x.columns]
+        assert len(of_shards) >= 3 and all(0 < x.agg({"count": "max"}).first()[0] <= most for x in of_shards)
+    f, total = brute_phrases(prose, 5)
+    expected = {(lang, " ".join(p), len(p), a, total[lang]) for lang, n in f.items() for p, a in n.items() if a >= 7}
+    assert len(found) == len(expected) and {(r.lang, r.phrase, r.k, r.n, r.total) for r in found} == expected
+
+
+def test_packed_numbers_words_and_pairs():
+    rng = np.random.default_rng(6)
+    for many in (1, 2, 3, 1000, (1 << 31) - 1):
+        first, second = rng.integers(0, many, (2, 500))
+        mixed = collocations._mixed(first, second, many)
+        assert int(mixed.max()) < 1 << collocations._bits(many)
+        assert all(np.array_equal(x, y) for x, y in zip(collocations._unmixed(mixed, many), (first, second), strict=True))
+        mixed.sort()
+        assert np.array_equal(collocations._unpack_numbers(collocations._pack_numbers(mixed, True), True), mixed)
+    for numbers in ([], [0], [0, 0, 255, 256, 2**40, 1]):
+        assert collocations._unpack_numbers(collocations._pack_numbers(np.array(numbers, np.int64))).tolist() == numbers
+    words = ["é".encode(), b"a\x00b", b"x" * 1000]
+    assert collocations._unpack_words(collocations._pack_words(words)) == words
+    order, start = collocations._by_bucket(words * 20, 7)
+    assert sorted(order.tolist()) == list(range(60)) and start[0] == 0 and start[-1] == 60 and len(start) == 8
+
+
 def test_collocations_of_nothing(spark):
     empty = spark.createDataFrame([], "lang string, text string")
     assert collocations.mine(empty).collect() == []
