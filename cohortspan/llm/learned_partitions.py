@@ -3,8 +3,9 @@
 On a sample of at most SAMPLE vectors the neighbour graph is cut into balanced parts (recursive bisection at the median of
 the graph's slow eigenvector), and a small network learns to tell from a vector in which parts its neighbours lie. A larger
 table has two levels: each part is cut again on a sample of its own, by a network of its own, so that parts stay small up to
-64 x 64 of them. Every vector of the table is indexed in its most probable part; a part beyond PART_ROWS is dealt to several tasks.
-A query probes its most probable parts by the product of both levels, and all their vectors are reranked by exact cosine.
+64 x 64 of them. Every vector of the table is indexed in its most probable part; neighbouring parts make a group for one task, and a part
+beyond PART_ROWS is dealt to several. A query probes its most probable parts by the product of both levels: it is sent once to each group that
+has some of them, with their numbers, and all vectors of these parts are reranked by exact cosine.
 
 How many parts are probed is measured, not assumed: for CALIBRATION of the asked vectors the exact neighbours in the whole
 table are found, and the fewest probes that reach them with the wanted recall are taken.
@@ -23,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +36,10 @@ log = logging.getLogger(__name__)
 SAMPLE, CALIBRATION = 4096, 256
 #: Rows of the table for each part, about; parts that one network tells apart, at most; candidates of one task, about.
 ROWS_A_PART, MAX_PARTS, PART_ROWS = 512, 64, 32_768
+#: Tasks that candidates are dealt to, rows of one at least, and the numbers in their vectors at most.
+GROUPS, GROUP_ROWS, GROUP_NUMBERS = 32, 2048, 1 << 22
+#: Queries that meet a group at once, queries routed at once, and cosines held at once.
+BLOCK, ROUTED, CELLS = 1024, 256, 1 << 20
 
 
 def neighbours(x: np.ndarray, k: int) -> np.ndarray:
@@ -152,23 +159,97 @@ def _level(x: np.ndarray) -> np.ndarray:
 def cosine(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Cosines in double precision. Each row is summed alike, so equal vectors get equal scores wherever they stand."""
     query, rows = _level(query), _level(rows)
-    return (rows * query).sum(axis=1) / (np.sqrt((rows**2).sum(axis=1)) * np.sqrt((query**2).sum()))
+    return (rows * query).sum(axis=1) / (np.sqrt((rows**2).sum(axis=1)) * np.sqrt((query**2).sum(axis=-1)))
 
 
-class _Part:
-    """The vectors of one part, for exact cosines."""
+class _Group:
+    """The vectors of some parts, for exact cosines with blocks of queries that each probe some of them."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int):
-        self.ids, self.rows, self.k = ids, rows.astype(np.float64), k
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, part: np.ndarray, k: int):
+        order = np.argsort(part, kind="stable")
+        self.ids, self.rows, self.k = ids[order], rows[order], k
         self.unit = _normal(self.rows)
-
-    def hits(self, query: np.ndarray, floor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        near = self.unit @ _normal(query[None])[0]
-        at = max(len(near) - self.k, 0)
-        good = np.flatnonzero(near >= np.partition(near, at)[at] - 1e-9)
-        score = cosine(query, self.rows[good])
-        keep = np.lexsort((self.ids[good], -score))[: self.k]
-        return score[keep], self.ids[good[keep]], (self.rows[good[keep]] == query).all(axis=1)
+        self.parts, first = np.unique(part[order], return_index=True)
+        self.edges = np.append(first, len(part))
+
+    def hits(self, query: np.ndarray, asking: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(query, score, id, same) of the k best of each query, best first; query `asking[i]` probes part `asked[i]`.
+
+        A block of cosines has CELLS numbers at most, and so have the rows that wait for their exact cosine.
+        """
+        unit, best = _normal(query), np.full((len(query), self.k), -np.inf)
+        kept, waiting, n = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), [], 0
+        by_part = np.argsort(asked, kind="stable")
+        asking, asked = asking[by_part], asked[by_part]
+        for i, part in enumerate(self.parts):
+            lo, hi = self.edges[i : i + 2]
+            own = asking[slice(*np.searchsorted(asked, [part, part + 1]))]
+            step = max(CELLS // (hi - lo), 1)
+            for at in range(0, len(own), step):
+                q = own[at : at + step]
+                near = unit[q] @ self.unit[lo:hi].T
+                better = near.max(axis=1) >= best[q].min(axis=1) - 1e-9
+                q, near = q[better], near[better]
+                top = np.partition(near, hi - lo - self.k, axis=1)[:, -self.k :] if hi - lo > self.k else near
+                best[q] = np.partition(np.hstack([best[q], top]), top.shape[1], axis=1)[:, -self.k :] if top.shape[1] else best[q]
+                r, c = np.nonzero(near >= best[q].min(axis=1, keepdims=True) - 1e-9)
+                waiting.append((q[r], lo + c, near[r, c]))
+                n += len(r)
+                if n > CELLS:
+                    kept, waiting, n = self._settle(query, best, kept, waiting), [], 0
+        q, row, score = self._settle(query, best, kept, waiting)
+        return q, score, self.ids[row], (self.rows[row] == query[q]).all(axis=1)
+
+    def _settle(self, query: np.ndarray, best: np.ndarray, kept: tuple, waiting: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k best rows of each query by their exact cosines: those of `kept`, and those waiting that can still be among them."""
+        floor = best.min(axis=1) - 1e-9
+        q, row, score = ([x] for x in kept)
+        for own, at, near in waiting:
+            good = near >= floor[own]
+            own, at = own[good], at[good]
+            step = max(CELLS // query.shape[1], 1)
+            for i in range(0, len(own), step):
+                q.append(own[i : i + step])
+                row.append(at[i : i + step])
+                score.append(cosine(query[q[-1]], self.rows[row[-1]]))
+        q, row, score = (np.concatenate(x) for x in (q, row, score))
+        order = np.lexsort((self.ids[row], -score, q))
+        place = np.arange(len(q)) - np.searchsorted(q[order], q[order])
+        order = order[place < self.k]
+        return q[order], row[order], score[order]
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _search(held: DataFrame, sent: DataFrame, k: int) -> DataFrame:
+    """(qid, hits): the k best rows of each query of `sent` (shard, id, vec, parts) in each shard of `held` (likewise; its one part) that it is sent to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, group = None, [], None
+        for batch in batches:
+            keys = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
+            edges = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+            for lo, hi in zip([0, *edges], [*edges, len(keys)], strict=True):
+                if lo == hi:
+                    continue
+                if key != tuple(keys[lo, :2]):
+                    key, rows, group = tuple(keys[lo, :2]), [], None
+                for at in range(lo, hi, BLOCK):
+                    own = batch.slice(at, min(BLOCK, hi - at))
+                    ids, vecs, parts = own.column("id").to_numpy(), _vectors(own.column("vec")), own.column("parts")
+                    if keys[lo, 2] == 0:
+                        rows.append((ids, vecs, parts.flatten().to_numpy()))
+                    elif rows or group:
+                        if not group:
+                            group = _Group(*(np.concatenate(x) for x in zip(*rows, strict=True)), k)
+                            rows = []
+                        q, score, found, same = group.hits(vecs, np.repeat(np.arange(len(ids)), pc.list_value_length(parts).to_numpy()), parts.flatten().to_numpy())
+                        of = pa.ListArray.from_arrays(np.searchsorted(q, np.arange(len(ids) + 1)).astype(np.int32), pa.StructArray.from_arrays([score, found, same], ["score", "id", "same"]))
+                        yield pa.RecordBatch.from_arrays([pa.array(ids), of], ["qid", "hits"])
+
+    return vectors.deal(held, sent).mapInArrow(run, "qid long, " + vectors.HIT.format("double"))
 
 
 def _learn(kept: DataFrame, n: int, sample_rows: int) -> Parts:
@@ -220,6 +301,20 @@ def _probes(placed: DataFrame, asked: DataFrame, parts: Parts, k: int, recall: f
     return m, float((needed < m).mean())
 
 
+def _groups(counts: list, most: int) -> dict[int, tuple[int, int]]:
+    """The first group of each part and into how many groups it is cut: neighbouring parts share a group of at most `most` rows, a larger part is cut by itself."""
+    out, group, room = {}, -1, 0
+    for part, n in sorted(counts):
+        cuts = -(-n // most)
+        if n > room:
+            group += 1
+            room = most if cuts == 1 else 0
+        out[part] = (group, cuts)
+        group += cuts - 1
+        room -= n if cuts == 1 else 0
+    return out
+
+
 def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.95, sample_rows: int = SAMPLE, calibration: int = CALIBRATION) -> DataFrame:
     """(query_id, rank, vec_id, score double) of vectors (id long, vec array<double>); a query's own row is no candidate of its."""
     spark = candidates.sparkSession
@@ -232,19 +327,31 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, recall: float
     placed = materialise(kept.select("id", "vec").mapInPandas(lambda it: (x.assign(shard=parts.home(_unit(x["vec"]))) for x in it if len(x)), "id long, vec array<double>, shard long"))
     probes, reached = _probes(placed, asked, parts, k, recall, calibration)
     log.info("%d of %d parts hold %.3f of the exact neighbours", probes, parts.parts * parts.below, reached)
-    cut = placed.groupBy("shard").count().select(F.col("shard").alias("part"), F.ceil(F.col("count") / PART_ROWS).alias("cuts")).orderBy("part").collect()  # a row a part
-    firsts = np.cumsum([0, *(r["cuts"] for r in cut)])
-    blocks = F.broadcast(spark.createDataFrame([(r["part"], int(f), r["cuts"]) for r, f in zip(cut, firsts, strict=False)], "part long, _first long, _cuts long"))
-    held = placed.withColumnRenamed("shard", "part").join(blocks, "part").select((F.col("_first") + F.pmod(F.xxhash64("id", "vec"), F.col("_cuts"))).alias("shard"), "id", "vec")
-
-    def route(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf.loc[pdf.index.repeat(probes)].reset_index(drop=True)
-        return out.assign(part=parts.ranked(_unit(pdf["vec"]))[:, :probes].ravel())
-
-    sent = asked.mapInPandas(lambda it: (route(x) for x in it if len(x)), "qid long, vec array<double>, part long")
-    each = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_cuts") - 1))
-    sent = sent.join(blocks, "part").select(each.alias("shard"), "qid", "vec", F.lit(None).cast("double").alias("floor"))
-    hits = vectors.search_shards(held, sent, lambda ids, rows: _Part(ids, rows, k + 1), "double")
+    width = kept.select(F.size("vec")).first()[0]
+    groups = _groups(placed.groupBy("shard").count().collect(), min(PART_ROWS, max(GROUP_NUMBERS // width, 1), max(n // GROUPS, GROUP_ROWS)))  # a row a part
+    blocks = F.broadcast(spark.createDataFrame([(p, f, c) for p, (f, c) in groups.items()], "part long, _first long, _cuts long"))
+    one = F.array(F.col("part").cast("smallint")).alias("parts")
+    held = placed.withColumnRenamed("shard", "part").join(blocks, "part").select((F.col("_first") + F.pmod(F.xxhash64("id", "vec"), F.col("_cuts"))).alias("shard"), "id", "vec", one)
+    wanted = [(p, f + i) for p, (f, c) in groups.items() for i in range(c)]
+    of_part, of_group = (np.array(x) for x in zip(*wanted, strict=True))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROUTED):
+                own = batch.slice(at, ROUTED)
+                probed = np.zeros((own.num_rows, parts.parts * parts.below), bool)
+                np.put_along_axis(probed, parts.ranked(_normal(_vectors(own.column("vec"))))[:, :probes], True, axis=1)
+                q, i = np.nonzero(probed[:, of_part])  # groups rise with i
+                start = np.flatnonzero(np.append(True, (q[1:] != q[:-1]) | (of_group[i[1:]] != of_group[i[:-1]]))) if len(q) else q
+                for b in range(0, len(start), BLOCK):
+                    first = start[b : b + BLOCK]
+                    stop = start[b + BLOCK] if b + BLOCK < len(start) else len(q)
+                    some = own.take(pa.array(q[first]))
+                    lists = pa.ListArray.from_arrays(np.append(first, stop).astype(np.int32) - np.int32(first[0]), of_part[i[first[0] : stop]].astype(np.int16))
+                    yield pa.RecordBatch.from_arrays([pa.array(of_group[i[first]].astype(np.int64)), some.column("qid"), some.column("vec"), lists], ["shard", "id", "vec", "parts"])
+
+    sent = asked.mapInArrow(route, "shard long, id long, vec array<double>, parts array<smallint>")
+    hits = _search(held, sent, k + 1)
     return vectors.answers(queries, asked, materialise(vectors.best(hits, k + 1)), k)
 
 

@@ -52,19 +52,28 @@ def distinct_queries(queries: DataFrame) -> DataFrame:
     return materialise(queries.select("vec").distinct()).select(F.monotonically_increasing_id().alias("qid"), "vec")
 
 
-def search_shards(held: DataFrame, sent: DataFrame, build: Callable, score: str) -> DataFrame:
-    """(qid, hits) of each query of `sent` (shard, qid, vec, floor) in its shard of `held` (shard, id, vec).
+def deal(held: DataFrame, sent: DataFrame) -> DataFrame:
+    """(shard, slice, side, the other columns) of both tables, each shard with its queries behind it (side 1).
 
-    `build(ids, points)` makes a shard searchable; its `hits(query, floor)` gives (scores, ids, same), best first. A task holds one
-    shard's candidates and reads queries as a stream. A shard that many queries ask goes to several tasks, each with its share of
+    Both have shard, id and the same other columns. A shard that many queries ask goes to several tasks, each with its share of
     them; one that none asks goes nowhere.
     """
     need = sent.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("slices"))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))
-    a = held.join(need, "shard").select("shard", each.alias("slice"), F.lit(0).alias("side"), "id", "vec", F.lit(None).cast(score).alias("floor"))
-    share = F.pmod(F.xxhash64("qid"), F.col("slices"))
-    b = sent.join(need, "shard").select("shard", share.alias("slice"), F.lit(1).alias("side"), F.col("qid").alias("id"), "vec", F.col("floor").cast(score).alias("floor"))
-    both = a.union(b).repartition(shuffle_partitions(held.sparkSession), "shard", "slice").sortWithinPartitions("shard", "slice", "side")
+    rest = [c for c in held.columns if c != "shard"]
+    a = held.join(need, "shard").select("shard", each.alias("slice"), F.lit(0).alias("side"), *rest)
+    b = sent.join(need, "shard").select("shard", F.pmod(F.xxhash64("id"), F.col("slices")).alias("slice"), F.lit(1).alias("side"), *rest)
+    return a.union(b).repartition(shuffle_partitions(held.sparkSession), "shard", "slice").sortWithinPartitions("shard", "slice", "side")
+
+
+def search_shards(held: DataFrame, sent: DataFrame, build: Callable, score: str) -> DataFrame:
+    """(qid, hits) of each query of `sent` (shard, qid, vec, floor) in its shard of `held` (shard, id, vec).
+
+    `build(ids, points)` makes a shard searchable; its `hits(query, floor)` gives (scores, ids, same), best first. A task holds one
+    shard's candidates and reads queries as a stream.
+    """
+    asked = sent.select("shard", F.col("qid").alias("id"), "vec", F.col("floor").cast(score).alias("floor"))
+    both = deal(held.select("shard", "id", "vec", F.lit(None).cast(score).alias("floor")), asked)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, ids, points, built = None, [], [], None

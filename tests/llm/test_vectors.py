@@ -101,6 +101,36 @@ def test_two_levels_of_parts(spark, monkeypatch):
     assert len(got) == 300 and len(want & {(r.query_id, r.vec_id) for r in got}) / 300 >= 0.9
 
 
+def test_queries_reach_a_group_of_parts_once(spark, monkeypatch):
+    """However many parts are probed, a query is one row for each group of them; a group's lists are those of all its probed rows."""
+    monkeypatch.setattr(learned_partitions, "MAX_PARTS", 8)
+    monkeypatch.setattr(learned_partitions, "ROWS_A_PART", 64)
+    found, best = [], vectors.best
+    monkeypatch.setattr(vectors, "best", lambda hits, k: best(found.append(hits) or hits, k))
+    x = np.random.default_rng(8).normal(size=(3000, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    got = learned_partitions.nearest(rows, rows.filter("id % 50 = 0"), 5, recall=1.0, sample_rows=512).collect()
+    assert len(got) == 300 and 60 <= found[0].count() <= 2 * 60
+
+
+@pytest.mark.parametrize("cells", [40, 1 << 20])
+def test_group_of_parts(monkeypatch, cells):
+    """Blocks of queries that probe different parts, with copies and scaled copies, against each query by itself."""
+    monkeypatch.setattr(learned_partitions, "CELLS", cells)
+    rng = np.random.default_rng(9)
+    x, part = rng.integers(-3, 4, (200, 4)).astype(float) + 0.5, rng.integers(0, 9, 200)
+    x[50:80] = x[50] * rng.choice([1, 2, 4], 30)[:, None]
+    ids, query = rng.permutation(200), np.vstack([x[50:60], rng.normal(size=(30, 4))])
+    probes = [rng.choice(12, rng.integers(0, 8), replace=False) for _ in query]
+    got = learned_partitions._Group(ids, x, part, 6).hits(query, np.repeat(np.arange(len(query)), [len(p) for p in probes]), np.concatenate(probes))
+    want = []
+    for i, (q, p) in enumerate(zip(query, probes, strict=True)):
+        own = np.flatnonzero(np.isin(part, p))
+        score = learned_partitions.cosine(q, x[own])
+        want += [(i, score[j], ids[own[j]], (x[own[j]] == q).all()) for j in np.lexsort((ids[own], -score))[:6]]
+    assert list(zip(*got, strict=True)) == want
+
+
 @pytest.mark.parametrize("size", [1e200, 1e-200, 5e-324, 1.7e308])
 def test_cosines_of_extreme_vectors(spark, size):
     rng = np.random.default_rng(6)
