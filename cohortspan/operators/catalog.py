@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.columns import has_all, literal_sequence, stable_id
 from .components import components, saved
 from .intervals import length_compatible
-from .kernels import OpenHeads, best_sources
+from .kernels import OpenHeads, best_sources, near_clusters
 
 ORDER = ("position_0", "svtype", "svlen", "evidence_id")
 
@@ -320,14 +320,32 @@ def _fits(batches: Iterator[pa.RecordBatch], at_least: float) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["q", "_q"]).filter(pa.array(keep, pa.bool_()))
 
 
+#: Nodes that one task clusters by itself, about.
+TASK_NODES = 50_000
+
+
+def _near(nodes: pa.Table, distance: int, similarity: float) -> pa.Table:
+    """Each node of a range with the least node of its cluster there."""
+    number = lambda c: nodes.column(c).to_numpy()
+    told = nodes.column("q").combine_chunks().dictionary_encode()
+    empty = pc.equal(told.dictionary, "").to_numpy(zero_copy_only=False)
+    q = np.where(empty, 0, np.arange(1, len(empty) + 1))[told.indices.to_numpy()]
+    cluster = near_clusters(number("p"), number("l"), q, number("bin"), number("band"), distance, similarity)
+    ids = number("id")
+    least = np.full(int(cluster.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, cluster, ids)
+    return pa.table([pa.array(ids), pa.array(least[cluster]), nodes.column("own")], names=["a", "b", "own"])
+
+
 def transitive_links(nodes: DataFrame, distance: int, length_sim: float, seq_sim: float) -> DataFrame:
-    """Edges (a, b) that connect all nodes (id, chromosome, svtype, position_0, len, seq, min_id, max_id) which chains of like pairs connect.
+    """Edges (a, b, own) that connect all nodes (id, chromosome, svtype, position_0, len, seq, min_id, max_id) which chains of like pairs connect.
 
     Lengths are cut into bands inside which all are alike, positions into bins inside which all are near. Nodes of one sequence, or without one, are alike
-    wherever place and length are: those of a cell (sequence, bin and band) hang on one of them. Two cells meet in the rows of their rims: the rows that no other
-    of the cell beats both in place and in length, so a dense cell has few. A node without a sequence is like any other: its cells meet all cells by their rims.
+    wherever place and length are. Neighbouring bins are dealt to ranges of about TASK_NODES nodes, each with the bin behind it, and a range clusters these
+    nodes by itself (`kernels.near_clusters`): an edge with `own` leads from each node to the cluster of its own range, which is named after its least node,
+    one without it to that of a range that only borders on it.
     Different sequences are compared once for each pair of them that meets; only nodes of two sequences that are alike are compared by pairs, of
-    which one edge for each node and cell is kept. So edges grow with the nodes, not with pairs of them.
+    which one edge for each node and cell is kept, to the cluster of the other. So edges grow with the nodes, not with pairs of them.
     """
     width = max(distance, 1)
     if length_sim <= 0:
@@ -344,18 +362,15 @@ def transitive_links(nodes: DataFrame, distance: int, length_sim: float, seq_sim
     around = lambda c, by: F.explode(F.transform(F.array(*(F.lit(i) for i in by)), lambda i: F.col(c) + i))
     ratio = F.when(F.greatest("len", "_len") > 0, F.least("len", "_len") / F.greatest("len", "_len")).otherwise(1.0)
     like = (F.abs(F.col("position_0") - F.col("_p")) <= distance) & (ratio >= length_sim)
-    # the rim: rows that no row as near to the cell's left or right border beats in length, or in shortness
-    rim = F.lit(False)
-    for place in (F.col("position_0"), -F.col("position_0")):
-        for size in (-F.col("len"), F.col("len")):
-            best = F.min(size).over(Window.partitionBy(*cell).orderBy(place, size).rowsBetween(Window.unboundedPreceding, -1))
-            rim = rim | best.isNull() | (size < best)
-    hung = placed.withColumns({"root": F.min("id").over(Window.partitionBy(*cell)), "rim": rim})
-    in_cell = hung.select(F.col("id").alias("a"), F.col("root").alias("b"))
-    rims = hung.filter("rim").select(*cell, "position_0", "len", F.col("root").alias("a"))
-    far = rims.select(*where, around("band", (0, 1)).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("q").alias("_q"), F.col("position_0").alias("_p"), F.col("len").alias("_len"), F.col("a").alias("b"))
-    free = (F.col("q") == F.col("_q")) | (F.col("q") == "") | (F.col("_q") == "")
-    across = rims.join(far, [*where, "band", "bin"]).filter((F.col("a") != F.col("b")) & free & like).groupBy(*where, "band", "bin", "a", "b").agg(F.lit(True).alias("_")).select("a", "b")
+    along = Window.partitionBy(*where).orderBy("bin")
+    held = F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = placed.groupBy(*where, "bin").agg(F.count(F.lit(1)).alias("_n")).select(*where, "bin", F.floor(held / TASK_NODES).alias("range"))
+    borders = (F.lag("bin").over(along) == F.col("bin") - 1) & (F.lag("range").over(along) < F.col("range"))
+    in_range = lambda at, own: F.array(F.struct(at.alias("range"), F.lit(own).alias("own")))
+    both = F.concat(in_range(F.col("range"), True), F.when(borders, in_range(F.lag("range").over(along), False)).otherwise(F.array().cast("array<struct<range:bigint,own:boolean>>")))
+    dealt = placed.join(counted.select(*where, "bin", both.alias("_r")), [*where, "bin"]).select(*where, "id", F.col("position_0").cast("long").alias("p"), F.col("len").cast("long").alias("l"), "q", "band", "bin", F.inline("_r"))
+    by_range = dealt.groupBy(*where, "range")
+    near = saved(by_range.applyInArrow(lambda t: _near(t, distance, length_sim), "a long, b long, own boolean"))
     # different sequences: those whose cells meet, compared once in each order
     told = placed.filter("q <> ''")
     beside = lambda *columns: told.select(*where, around("band", (-1, 0, 1)).alias("band"), around("bin", (-1, 0, 1)).alias("bin"), F.col("q").alias("_q"), *columns)
@@ -368,24 +383,26 @@ def transitive_links(nodes: DataFrame, distance: int, length_sim: float, seq_sim
     later = (F.col("position_0") > F.col("_p")) | ((F.col("position_0") == F.col("_p")) & (F.col("max_id") > F.col("_min")))
     others = beside(F.col("band").alias("_band"), F.col("bin").alias("_bin"), F.col("position_0").alias("_p"), F.col("len").alias("_len"), F.col("id").alias("b"), F.col("min_id").alias("_min"))
     pairs = told.join(met.join(fit, ["q", "_q"]), cell).join(others, [*where, "band", "bin", "_q"]).filter(later & like)
-    alike = pairs.groupBy(*where, "band", "bin", "_q", "id", "_band", "_bin").agg(F.min("b").alias("b")).select(F.col("id").alias("a"), "b")
-    return in_cell.union(across).union(alike)
+    alike = pairs.groupBy(*where, "band", "bin", "_q", "id", "_band", "_bin").agg(F.min("b").alias("_b")).select(F.col("id").alias("a"), "_b")
+    home = near.filter("own").select(F.col("a").alias("_b"), "b")
+    return near.union(alike.join(home, "_b").select("a", "b", F.lit(False)))
 
 
 def cluster_transitive(catalog: DataFrame, distance: int = 500, length_sim: float = 0.7, seq_sim: float = 0.8) -> DataFrame:
     """GR-3: (event_id, cluster_id): pairs alike in place, length and sequence, chained. The id comes from the cluster's last row in order of position and event_id.
 
-    Rows that agree in place, length and sequence are one node; nodes are linked by `transitive_links` and put together by `components`. Rows without
-    an anchor keep an empty cluster id.
+    Rows that agree in place, length and sequence are one node. Ranges of nodes are clustered by themselves (`transitive_links`); `components` puts together only what
+    is at their borders, or alike without being equal. Rows without an anchor keep an empty cluster id.
     """
     anchored = F.col("chromosome").isNotNull() & F.col("svtype").isNotNull() & F.col("position_0").isNotNull() & F.col("svlen").isNotNull()
     sequence = F.coalesce(F.col("alternate_sequence"), F.lit("")) if "alternate_sequence" in catalog.columns else F.lit("")
     rows = catalog.filter(anchored).select("event_id", "chromosome", "svtype", "position_0", F.abs("svlen").alias("len"), sequence.alias("seq"))
     at = ["chromosome", "svtype", "position_0", "len", "seq"]
-    nodes = saved(rows.groupBy(*at).agg(F.min("event_id").alias("min_id"), F.max("event_id").alias("max_id"))).withColumn("id", F.monotonically_increasing_id())
-    nodes = saved(nodes)
-    roots = components(transitive_links(nodes, distance, length_sim, seq_sim))
-    named = nodes.join(roots, nodes["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id"))
+    nodes = saved(rows.groupBy(*at).agg(F.min("event_id").alias("min_id"), F.max("event_id").alias("max_id")).withColumn("id", F.monotonically_increasing_id()))
+    edges = transitive_links(nodes, distance, length_sim, seq_sim)
+    home = edges.filter("own").select(F.col("a").alias("id"), F.col("b").alias("part"))
+    roots = components(edges.filter("not own").join(home, F.col("a") == F.col("id")).select(F.col("part").alias("a"), "b"))
+    named = nodes.join(home, "id").join(roots, F.col("part") == F.col("node"), "left").withColumn("root", F.coalesce("root", "part"))
     last = named.groupBy("root").agg(F.max(F.struct("position_0", "max_id")).alias("_last"))
     named = named.join(last, "root").select(*at, F.concat(F.lit("SVC_"), F.substring(F.sha2(F.col("_last.max_id").cast("string"), 256), 1, 12)).alias("cluster_id"))
     found = rows.join(named, at).select("event_id", "cluster_id")

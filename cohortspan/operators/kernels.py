@@ -498,3 +498,76 @@ def best_sources(events: tuple[np.ndarray, ...], sources: tuple[np.ndarray, ...]
             best_apart[blank] = -1
         chosen[q], least[q], apart[q] = best, d, best_apart
     return count, chosen, least, apart
+
+
+def _ranked(x: np.ndarray) -> tuple[np.ndarray, int]:
+    """Small numbers from 1 in the order of `x`, of which two are next to each other if the values are, and how many to reckon with."""
+    values, which = np.unique(x, return_inverse=True)
+    rank = np.cumsum(np.append(1, np.minimum(np.diff(values), 2)))
+    return rank[which], int(rank[-1]) + 2
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (the least number in each set) after the sets of a[i] and b[i] are joined."""
+    while True:
+        x, y = label[a], label[b]
+        if (x == y).all():
+            return label
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            further = label[label]
+            if (further == label).all():
+                break
+            label = further
+
+
+def near_clusters(position: np.ndarray, length: np.ndarray, q: np.ndarray, where: np.ndarray, band: np.ndarray, distance: int, similarity: float, block: int = 1 << 20) -> np.ndarray:
+    """A cluster number for each row: chains of rows at most `distance` apart, alike in length, and of one `q` or one of them of `q` 0.
+
+    Rows of a cell (q, bin `where`, length band) are all alike. Two cells meet in the rows of their rims: those that no other row of the cell as near to its left or
+    right border beats in length, or in shortness. Cells that are together already aren't compared; at most about `block` pairs of rows are held at once.
+    """
+    if not len(position):
+        return np.zeros(0, np.int64)
+    (at, bins_), (size, bands) = _ranked(where), _ranked(band)
+    cells, of = np.unique((q.astype(np.int64) * bins_ + at) * bands + size, return_inverse=True)
+    rim = np.zeros(len(of), bool)
+    for place in (position, -position):
+        for far in (length, -length):
+            order = np.lexsort((far, place, of))
+            value = far[order] - far.min() - of[order] * (int(far.max()) - int(far.min()) + 1)  # those of a later cell are all less
+            rim[order] |= value < np.append(value[0] + 1, np.minimum.accumulate(value)[:-1])
+    rows = np.flatnonzero(rim)
+    rows = rows[np.argsort(of[rows], kind="stable")]
+    many = np.bincount(of[rows], minlength=len(cells))
+    start = np.cumsum(many) - many
+    label = np.arange(len(cells))
+
+    def meeting(own: np.ndarray, key: np.ndarray, steps) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for bin_, band_ in steps:
+            wanted = key + bin_ * bands + band_
+            to = np.minimum(np.searchsorted(cells, wanted), len(cells) - 1)
+            found.append((own[cells[to] == wanted], to[cells[to] == wanted]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    every, named = np.arange(len(cells)), np.flatnonzero(cells >= bins_ * bands)
+    bare = cells[named] % (bins_ * bands)
+    around = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0)]
+    for own, key, steps in ((named, bare, [(0, 0)]), (every, cells, [(0, 1), (1, 0)]), (every, cells, [(1, -1), (1, 1)]), (named, bare, around)):
+        a, b = meeting(own, key, steps)
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+        pairs = np.cumsum(many[a] * many[b])
+        cut = [0, *np.unique(np.searchsorted(pairs, np.arange(block, pairs[-1], block)) + 1), len(a)] if len(a) else [0]
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            x, y = a[lo:hi], b[lo:hi]
+            n = many[x] * many[y]
+            which = np.repeat(np.arange(len(n)), n)
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            i, j = rows[start[x][which] + nth // many[y][which]], rows[start[y][which] + nth % many[y][which]]
+            least, most = np.minimum(length[i], length[j]), np.maximum(length[i], length[j])
+            good = (np.abs(position[i] - position[j]) <= distance) & (np.where(most > 0, least / np.maximum(most, 1), 1.0) >= similarity)
+            linked = np.bincount(which[good], minlength=len(n)) > 0
+            label = _joined(label, x[linked], y[linked])
+    return label[of]

@@ -649,6 +649,39 @@ def test_transitive_edges_grow_with_the_nodes(spark):
     assert components(edges).select("root").distinct().count() == 1
 
 
+@pytest.mark.parametrize(("nodes", "span"), [(1, 3_000), (15, 20_000), (40, 2_000)])
+def test_transitive_clusters_over_many_ranges(spark, monkeypatch, nodes, span):
+    """Chains across borders of ranges, with a bin's nodes beyond a range too; only what is at borders is put together by rounds."""
+    monkeypatch.setattr(catalog, "TASK_NODES", nodes)
+    sent, plain = [], catalog.components
+    monkeypatch.setattr(catalog, "components", lambda e, *a: sent.append(e.count()) or plain(e, *a))
+    rng = random.Random(nodes)
+    data = [(f"e{i}", "c1", rng.randrange(span), "INS", rng.choice([0, 50, 60, 85, 121, 173, rng.randrange(40, 900)]), rng.choice(["", "", "ACGTACGTACGT", "ACGTACGTACGA", "TTTTTTTT"])) for i in range(250)]
+    df = spark.createDataFrame(data, "event_id string, chromosome string, position_0 long, svtype string, svlen long, alternate_sequence string")
+    assert {r.event_id: r.cluster_id for r in catalog.cluster_transitive(df).collect()} == plain_chains(data, 500, 0.7, 0.8)
+    bare = df.withColumn("alternate_sequence", F.lit(""))
+    monkeypatch.setattr(catalog, "TASK_NODES", 1000)
+    catalog.cluster_transitive(bare).collect()
+    assert sent[0] > 0 and sent[1] == 0  # one range has no border
+
+
+@pytest.mark.parametrize("block", [1, 1 << 20])
+def test_near_clusters_against_all_pairs(block):
+    rng = np.random.default_rng(12)
+    for span, distance, similarity in ((4000, 500, 0.7), (200, 7, 0.9), (30, 0, 1.0), (3000, 100, 0.0)):
+        p, n, q = rng.integers(-span, span, 120), rng.integers(0, 400, 120), rng.choice([0, 0, 1, 2, 5], 120)
+        band = np.zeros(120, int) if similarity <= 0 else n if similarity >= 1 else np.where(n > 0, np.floor(np.log(np.maximum(n, 1)) / -np.log(similarity)), -2).astype(int)
+        got = kernels.near_clusters(p, n, q, p // max(distance, 1), band, distance, similarity, block)
+        want = np.arange(120)
+        ratio = np.minimum.outer(n, n) / np.maximum(np.maximum.outer(n, n), 1)
+        ratio[np.maximum.outer(n, n) == 0] = 1
+        like = (np.abs(np.subtract.outer(p, p)) <= distance) & (ratio >= similarity) & ((q[:, None] == q) | (q[:, None] == 0) | (q == 0))
+        for _ in range(120):
+            want = np.where(like, want, 120).min(axis=1)
+        assert ((got[:, None] == got) == (want[:, None] == want)).all()
+    assert len(kernels.near_clusters(*[np.zeros(0, int)] * 5, 500, 0.7)) == 0
+
+
 def test_tags_are_split_once_a_row(spark):
     tags = F.array(F.lit("a:i:1"), F.lit("b:Z:x:y"), F.lit(None).cast("string"), F.lit(":i:3"), F.lit("c::4"), F.lit("d:i"), F.lit("a:i:2"), F.lit("e:Z:"))
     df = spark.range(1).select(C.tags_to_map(tags).alias("m"), C.tags_to_map(F.lit(None).cast("array<string>")).alias("none"))
