@@ -9,17 +9,18 @@ from .intervals import bins
 
 
 #: Features of a bin that one row holds while loci meet them; a denser bin is several rows.
-ROW_FEATURES = 4096
+ROW_FEATURES = 16_384
 
 
-def annotation_context(loci: DataFrame, features: DataFrame, types: list[str], width: int = 5_000, most: int = ROW_FEATURES) -> DataFrame:
+def annotation_context(loci: DataFrame, features: DataFrame, types: list[str], width: int = 2_000, most: int = ROW_FEATURES) -> DataFrame:
     """AGG-40: per locus the ids of overlapped features by type (NO_OVERLAP without any) and its gene context.
 
     Loci: locus_id, chromosome, locus_start, locus_end; features: chromosome, start, end_, feature_type, feature_id. A bin's features stand in order of
-    their ids in rows of at most `most`; a locus takes its own from them, so (locus, feature) is never a row and never shuffled. Loci that touch several bins
-    or a bin of several rows put their shares together.
+    their ids in rows of at most `most`; a locus takes its own from them, so (locus, feature) is never a row and never shuffled. A feature also stands in the bin before
+    its own, so a locus of at most `width` bases finds all in the bin where it starts. Only longer loci, and those of a bin of several rows, put their shares together.
+    Loci go to their bin in order of place, so that lists which are nearly alike lie side by side where they are stored.
     """
-    inside = features.filter(F.col("feature_type").isin(types) & F.col("feature_id").isNotNull()).withColumn("_bin", bins(F.col("start"), F.col("end_"), width))
+    inside = features.filter(F.col("feature_type").isin(types) & F.col("feature_id").isNotNull()).withColumn("_bin", bins(F.col("start") - width, F.col("end_"), width))
     nth = F.row_number().over(Window.partitionBy("chromosome", "_bin").orderBy("feature_id", "start", "end_"))
     numbered = inside.select("chromosome", "_bin", "feature_type", F.struct("feature_id", "start", "end_").alias("_f"), F.floor((nth - 1) / most).alias("_row"))
     of_type = lambda t: F.array_sort(F.collect_list(F.when(F.col("feature_type") == t, F.col("_f"))))
@@ -27,7 +28,10 @@ def annotation_context(loci: DataFrame, features: DataFrame, types: list[str], w
     repeated = F.count(F.lit(1)).over(Window.partitionBy("locus_id")) > 1
     own = loci.select("locus_id", "chromosome", "locus_start", "locus_end", repeated.alias("_again"))
     first, last = F.floor(F.col("locus_start") / width), F.floor(F.greatest(F.col("locus_end") - 1, "locus_start") / width)
-    asked = own.withColumns({"_bin": F.explode_outer(F.sequence(first, last)), "_several": F.col("_again") | (first < last)})
+    short = F.coalesce(F.col("locus_end") - F.col("locus_start") <= width, F.lit(True))
+    asked = own.withColumns({"_bin": F.explode_outer(F.when(short, F.array(first)).otherwise(F.sequence(first, last))), "_several": F.col("_again") | ~short})
+    asked = asked.repartition("chromosome", "_bin").sortWithinPartitions("chromosome", "_bin", "locus_start", "locus_end")
+    asked = asked.withColumn("_nth", F.monotonically_increasing_id()).filter("_nth >= 0")  # a sort right below a join would be taken out
     overlaps = lambda f: (f["start"] < F.col("locus_end")) & (f["end_"] > F.col("locus_start"))
     ids = lambda t: F.coalesce(F.array_distinct(F.transform(F.filter(f"_of_{t}", overlaps), lambda f: f["feature_id"])), F.array().cast("array<string>"))
     met = asked.join(rows, ["chromosome", "_bin"], "left").select("locus_id", (F.col("_several") | (F.coalesce("_last", F.lit(0)) > 0)).alias("_several"), *(ids(t).alias(t) for t in types))

@@ -682,6 +682,18 @@ def test_near_clusters_against_all_pairs(block):
     assert len(kernels.near_clusters(*[np.zeros(0, int)] * 5, 500, 0.7)) == 0
 
 
+def test_annotation_lists_lie_in_order_of_place(spark):
+    """Loci of at most a bin's width find features beyond its border in the one bin where they start; neighbours are written side by side."""
+    loci = spark.range(300).selectExpr("'l' || id locus_id", "'c' chromosome", "(id * 37) % 1000 locus_start", "(id * 37) % 1000 + id % 65 locus_end")
+    features = spark.range(80).selectExpr("'f' || id feature_id", "'c' chromosome", "(id * 53) % 1000 start", "(id * 53) % 1000 + 1 + id % 90 end_", "'gene' feature_type")
+    got = annotate.annotation_context(loci, features, ["gene"], 64)
+    place = {r.locus_id: r.locus_start for r in loci.collect()}
+    starts = [[place[r.locus_id] for r in part] for part in got.rdd.glom().collect()]
+    assert sum(a > b for part in starts for a, b in itertools.pairwise(part)) < 8
+    want = {(a.locus_id, f.feature_id) for a in loci.collect() for f in features.collect() if f.start < a.locus_end and a.locus_start < f.end_}
+    assert {(r.locus_id, f) for r in got.collect() for f in r.gene.split(";") if f != "NO_OVERLAP"} == want
+
+
 def test_tags_are_split_once_a_row(spark):
     tags = F.array(F.lit("a:i:1"), F.lit("b:Z:x:y"), F.lit(None).cast("string"), F.lit(":i:3"), F.lit("c::4"), F.lit("d:i"), F.lit("a:i:2"), F.lit("e:Z:"))
     df = spark.range(1).select(C.tags_to_map(tags).alias("m"), C.tags_to_map(F.lit(None).cast("array<string>")).alias("none"))
