@@ -97,10 +97,13 @@ def cluster_evidence(evidence: DataFrame, distance: int = 500, similarity: float
     """
     placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _ORDER])
     digest = F.when(F.col("alternate_sequence") != "", F.md5("alternate_sequence")).otherwise("") if "alternate_sequence" in evidence.columns else F.lit("")
-    order = [*(F.col(c).cast("long" if c in ("position_0", "svlen") else "string").alias(f"_{c}") for c in _ORDER), F.coalesce(digest, F.lit("")).alias("_digest")]
-    names = [*(f"_{c}" for c in _ORDER), "_digest"]
+    types = dict(evidence.dtypes)
+    kind = {c: "bigint" if c in ("position_0", "svlen") else "string" for c in _ORDER}
+    names = [*(c if types[c] == kind[c] else f"_{c}" for c in _ORDER), "_digest"]  # a column of the right type goes to its range once
+    order = [*(F.col(c) if n == c else F.col(c).cast(kind[c]).alias(n) for c, n in zip(_ORDER, names, strict=False)), F.coalesce(digest, F.lit("")).alias("_digest")]
+    others = [c for c in evidence.columns if c not in names]
     parts = parts or int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = saved(evidence.filter(placed).select(*order, *evidence.columns).repartitionByRange(parts, *names).sortWithinPartitions(*names))
+    ranges = saved(evidence.filter(placed).select(*order, *others).repartitionByRange(parts, *names).sortWithinPartitions(*names))
     context = evidence.sparkSession.sparkContext
 
     def behind(entered: dict, before: dict | None, which: list[int] | None) -> dict:
@@ -157,9 +160,8 @@ _OPTIONAL = {"sex_chromosome_status": "string", "end_0": "bigint", "alternate_se
 def catalog_rows(clustered: DataFrame) -> DataFrame:
     """AGG-24 with WIN-4: one row for each cluster that has graph evidence from an assembly outside the graph; ids hold the cluster's ordinal.
 
-    The representative is the surest, then longest, then first row of that evidence. Lists are sets in order, joined by `;`: rows are shuffled once,
-    by cluster, and a cluster's sets are gathered where its rows lie, so what is gathered is what is shown and lists that nobody reads are
-    never made. The ordinal counts clusters in the order of their first rows, over ranges (`number_all`). Null and
+    The representative is the surest, then longest, then first row of that evidence. Lists are sets in order, joined by `;`: a cluster's rows lie in one range
+    or a few, so its sets are gathered there first and only these are shuffled, by cluster; lists that nobody reads are never made. The ordinal counts clusters in the order of their first rows, over ranges (`number_all`). Null and
     empty values are in no list.
     """
     cluster = ["frame", "chromosome", "cluster_head"]
@@ -176,7 +178,7 @@ def catalog_rows(clustered: DataFrame) -> DataFrame:
         "sex_chromosome_status": F.col("sex_chromosome_status"), "evidence_ids": F.col("evidence_id"),
     }
     own = lambda c: F.array_sort(F.collect_set(F.when(c.cast("string") != "", c.cast("string"))))
-    rows = clustered.repartition(*cluster).groupBy(*cluster).agg(
+    rows = clustered.groupBy(*cluster).agg(
         F.min(F.when(found, best)).alias("r"),
         F.min(F.struct("position_0", "svtype", "svlen", "evidence_id")).alias("first"),
         F.bool_or(control).alias("controlled"), F.bool_or(found & (F.col("confidence_tier") == "HIGH_CONFIDENCE")).alias("high"), F.bool_or(linear & (F.col("confidence_tier") == "CALLER_PASS")).alias("passed"),

@@ -694,6 +694,19 @@ def test_annotation_lists_lie_in_order_of_place(spark):
     assert {(r.locus_id, f) for r in got.collect() for f in r.gene.split(";") if f != "NO_OVERLAP"} == want
 
 
+def test_catalogue_shuffles_sets_and_moves_a_column_once(spark, monkeypatch):
+    """Evidence goes to its range without copies of its own columns; a cluster's sets are gathered there before they are shuffled."""
+    kept, saved = [], catalog.saved
+    monkeypatch.setattr(catalog, "saved", lambda df: kept.append(df) or saved(df))
+    rows_ = [("REF", "c1", i % 3, "DEL", 100, f"e{i}", f"s{i % 2}", f"a{i % 2}", "graph_residual", False, "HIGH_CONFIDENCE", "", "x") for i in range(60)]
+    df = spark.createDataFrame(rows_, "frame string, chromosome string, position_0 long, svtype string, svlen int, evidence_id string, sample_id string, assembly_id string, discovery_method string, graph_member boolean, confidence_tier string, qc_tier string, caller string")
+    got = catalog.catalog_rows(catalog.cluster_evidence(df, parts=2))
+    assert sorted(kept[0].columns) == sorted([*df.columns, "_svlen", "_digest"])
+    assert not re.search("(?i)repartition|exchange", kept[1]._jdf.queryExecution().analyzed().toString().split("Aggregate")[1].split("MapInArrow")[0])
+    r = got.first()
+    assert got.count() == 1 and r.carrier_samples == "s0;s1" and r.evidence_count == 60 and r.evidence_ids.split(";") == sorted(f"e{i}" for i in range(60))
+
+
 def test_tags_are_split_once_a_row(spark):
     tags = F.array(F.lit("a:i:1"), F.lit("b:Z:x:y"), F.lit(None).cast("string"), F.lit(":i:3"), F.lit("c::4"), F.lit("d:i"), F.lit("a:i:2"), F.lit("e:Z:"))
     df = spark.range(1).select(C.tags_to_map(tags).alias("m"), C.tags_to_map(F.lit(None).cast("array<string>")).alias("none"))
